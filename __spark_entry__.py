@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from eventmart.operators import jobs
+from eventmart.plans import etl_runs
 from eventmart.plans import mr_examples as mr
 from eventmart.plans import oracle
 from eventmart.plans.queries import QUERIES, run_query
@@ -129,6 +130,36 @@ SELECT country AS key,
 FROM ev GROUP BY country""")
 
 
+# ETL (S1-S2, C1-C4, T1-T16, K1) and the lake (S3, partition pruning): these
+# take (spark, sf_dir) directly; the oracle's `ev` is the expected lake content.
+_DIRECT: dict[str, tuple[QueryFn, str, str]] = {
+    "etl_clickstream": (etl_runs.etl_clickstream, "etl_clickstream", "SELECT * FROM ev"),
+    "etl_sales_rerun": (etl_runs.etl_sales_rerun, "etl_sales", "SELECT * FROM ev"),
+    "etl_metrics": (etl_runs.etl_clickstream_metrics, "etl_clickstream", """
+SELECT CAST(2 * COUNT(*) AS BIGINT) AS rows_read,
+       COUNT(*) AS duplicates_dropped,
+       COUNT(*) AS rows_written,
+       COUNT(DISTINCT event_date) AS partitions,
+       MIN(event_date) AS min_date,
+       MAX(event_date) AS max_date
+FROM ev"""),
+    "etl_separators": (etl_runs.etl_separators, "clickstream", """
+SELECT f.file, f.file AS detected, e.user_id AS session_id, e.event_type,
+       e.value AS price, e.props
+FROM events e CROSS JOIN (VALUES ('comma'), ('semicolon'), ('tab'), ('pipe')) f(file)"""),
+    "lake_daily_active_users_range": (
+        lambda spark, sf: etl_runs.lake_days_query(spark, sf, "daily_active_users",
+                                                   "2024-01-10", "2024-01-20"),
+        "etl_clickstream",
+        QUERIES["daily_active_users"].sql.replace(
+            "FROM {events}", "FROM ev WHERE event_date_str BETWEEN '2024-01-10' AND '2024-01-20'")),
+}
+for _name in ("revenue_by_category", "top_products", "session_depth", "monthly_trends"):
+    _DIRECT[f"lake_{_name}"] = (
+        (lambda n: lambda spark, sf: etl_runs.lake_days_query(spark, sf, n))(_name),
+        "etl_clickstream", QUERIES[_name].sql.replace("{events}", "ev"))
+
+
 def _bind(adapter: str, fn) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(spark, ADAPTERS[adapter](spark, sf_dir))
@@ -141,9 +172,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, QueryFn]:
-    return {key: _bind(adapter, fn) for key, (adapter, fn, _) in _REG.items()}
+    out = {key: _bind(adapter, fn) for key, (adapter, fn, _) in _REG.items()}
+    out.update({key: fn for key, (fn, _, _) in _DIRECT.items()})
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return {key: oracle.with_ev(adapter, body)
-            for key, (adapter, _, body) in _REG.items() if body is not None}
+    out = {key: oracle.with_ev(adapter, body)
+           for key, (adapter, _, body) in _REG.items() if body is not None}
+    out.update({key: oracle.with_ev(ev, body) for key, (_, ev, body) in _DIRECT.items()})
+    return out
