@@ -14,7 +14,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmart.operators import jobs
+from eventmart.operators import jobs, marts
+from eventmart.operators.etl import column_profile
+from eventmart.operators.report import Report
+from eventmart.operators.sinks import row_counts
+from eventmart.plans.run_all import run_all
+from eventmart.session import run_dir
+from eventmart.sources.lake import TableStore
 from eventmart.plans import etl_runs
 from eventmart.plans import mr_examples as mr
 from eventmart.plans import oracle
@@ -129,6 +135,141 @@ SELECT country AS key,
            AS reduced_value
 FROM ev GROUP BY country""")
 
+# Marts written to a table store, read back
+def _store(spark: SparkSession, ev: DataFrame, names) -> TableStore:
+    store = TableStore(spark, run_dir(spark, "marts"))
+    plans = marts.mart_plans(ev)
+    for n in names:
+        store.write(n, plans[n])
+    return store
+
+
+_MART_ORACLES = {
+    "daily_metrics": """
+SELECT event_date_str AS event_date, COUNT(*) AS total_events,
+       COUNT(DISTINCT session_id) AS unique_sessions,
+       ROUND(SUM(price) * 100) / 100 AS total_revenue
+FROM ev GROUP BY event_date_str""",
+    "top_products": """
+SELECT product_id, COUNT(*) AS view_count, COUNT(DISTINCT session_id) AS unique_sessions,
+       ROUND(SUM(price) * 100) / 100 AS total_revenue
+FROM ev GROUP BY product_id ORDER BY view_count DESC, product_id LIMIT 50""",
+    "country_metrics": """
+SELECT country, COUNT(*) AS total_events, COUNT(DISTINCT session_id) AS unique_sessions
+FROM ev GROUP BY country""",
+    "category_metrics": """
+SELECT category_name, COUNT(*) AS total_events, COUNT(DISTINCT session_id) AS unique_sessions,
+       ROUND(SUM(price) * 100) / 100 AS total_revenue
+FROM ev GROUP BY category_name""",
+}
+for _name in marts.MART_NAMES:
+    _add(f"mart_{_name}", "clickstream",
+         (lambda n: lambda spark, ev: _store(spark, ev, [n]).read(n))(_name), _MART_ORACLES[_name])
+    _add(f"mart_sales_{_name}", "sales",
+         (lambda n: lambda spark, ev: _store(spark, ev, [n]).read(n))(_name), _MART_ORACLES[_name])
+_add("mart_without_price", "clickstream",
+     lambda spark, ev: _store(spark, ev.drop("price"), ["daily_metrics"]).read("daily_metrics"), """
+SELECT event_date_str AS event_date, COUNT(*) AS total_events,
+       COUNT(DISTINCT session_id) AS unique_sessions
+FROM ev GROUP BY event_date_str""")
+
+# K7: tables and their row counts
+_add("catalog_row_counts", "clickstream",
+     lambda spark, ev: row_counts(_store(spark, ev, marts.MART_NAMES).tables()), """
+SELECT 'category_metrics' AS table_name, COUNT(DISTINCT category_name) AS row_count FROM ev
+UNION ALL SELECT 'country_metrics', COUNT(DISTINCT country) FROM ev
+UNION ALL SELECT 'daily_metrics', COUNT(DISTINCT event_date_str) FROM ev
+UNION ALL SELECT 'top_products', LEAST(50, COUNT(DISTINCT product_id)) FROM ev""")
+
+# Optional-column profile (device is absent from these events)
+_add("optional_column_profile", "clickstream", lambda spark, ev: column_profile(ev), """
+SELECT * FROM (VALUES
+  ('price', true, (SELECT COUNT(price) FROM ev), 'revenue analytics'),
+  ('country', true, (SELECT COUNT(country) FROM ev), 'geography breakdown'),
+  ('product_id', true, (SELECT COUNT(product_id) FROM ev), 'top products analysis'),
+  ('category_id', true, (SELECT COUNT(category_id) FROM ev), 'category analytics'),
+  ('device', false, CAST(0 AS BIGINT), 'device breakdown'),
+  ('event_type', true, (SELECT COUNT(event_type) FROM ev), 'event type analytics'))
+  t(column_name, present, non_null_rows, purpose)""")
+
+# Report sections, from marts ("mart") and from raw events ("base")
+_REPORT_MARTS = {
+    "overview": ["daily_metrics"], "first_days": ["daily_metrics"],
+    "top_products": ["top_products"], "categories": ["category_metrics"],
+    "top_countries": ["country_metrics"], "daily_volume": ["daily_metrics"],
+    "category_share": ["category_metrics"],
+}
+_REPORT_ORACLES = {
+    "overview": {"both": """
+SELECT COUNT(*) AS total_events, COUNT(DISTINCT event_date_str) AS total_days FROM ev"""},
+    "first_days": {"both": """
+SELECT event_date_str AS event_date, COUNT(*) AS total_events,
+       COUNT(DISTINCT session_id) AS unique_sessions
+FROM ev GROUP BY event_date_str ORDER BY event_date_str LIMIT 15"""},
+    "top_products": {
+        "mart": """
+SELECT product_id, COUNT(*) AS view_count, COUNT(DISTINCT session_id) AS unique_sessions,
+       ROUND(SUM(price) * 100) / 100 AS total_revenue
+FROM ev GROUP BY product_id ORDER BY view_count DESC, product_id LIMIT 10""",
+        "base": """
+SELECT product_id, category_name, COUNT(*) AS view_count, ROUND(AVG(price) * 100) / 100 AS avg_price
+FROM ev GROUP BY product_id, category_name
+ORDER BY view_count DESC, product_id, category_name LIMIT 10"""},
+    "categories": {
+        "mart": _MART_ORACLES["category_metrics"],
+        "base": """
+SELECT category_name, COUNT(*) AS total_events, ROUND(SUM(price) * 100) / 100 AS total_revenue,
+       ROUND(AVG(price) * 100) / 100 AS avg_price
+FROM ev GROUP BY category_name"""},
+    "top_countries": {"both": """
+SELECT country, COUNT(*) AS total_events, COUNT(DISTINCT session_id) AS unique_sessions
+FROM ev GROUP BY country ORDER BY total_events DESC, country LIMIT 10"""},
+    "daily_volume": {"both": """
+SELECT event_date_str AS event_date, COUNT(*) AS total_events FROM ev GROUP BY event_date_str"""},
+    "category_share": {"both": """
+SELECT category_name, COUNT(*) AS total_events FROM ev GROUP BY category_name"""},
+}
+
+
+def _report(section: str, route: str):
+    def run(spark: SparkSession, ev: DataFrame) -> DataFrame:
+        store = _store(spark, ev, _REPORT_MARTS.get(section, [])) if route == "mart" else None
+        return getattr(Report(ev, store), section)()
+    return run
+
+
+for _section, _routes in _REPORT_ORACLES.items():
+    for _route in ("mart", "base"):
+        _body = _routes.get(_route, _routes.get("both"))
+        _add(f"report_{_section}_{_route}", "clickstream", _report(_section, _route), _body)
+_add("report_session_depth", "clickstream", _report("session_depth", "base"),
+     QUERIES["session_depth"].sql.replace("{events}", "ev") + "\nLIMIT 20")
+
+# Run everything over events without a price column; priced ones skip
+_add("run_all_summary", "clickstream",
+     lambda spark, ev: run_all(spark, ev.drop("price"), TableStore(spark, run_dir(spark, "run-all"))),
+     """
+SELECT * FROM (VALUES
+  ('query', 'total_events_by_day', 'ok', (SELECT COUNT(DISTINCT event_date_str) FROM ev)),
+  ('query', 'daily_active_users', 'ok', (SELECT COUNT(DISTINCT event_date_str) FROM ev)),
+  ('query', 'top_event_types', 'ok', (SELECT COUNT(DISTINCT page_number) FROM ev)),
+  ('query', 'top_products', 'skipped', CAST(0 AS BIGINT)),
+  ('query', 'revenue_by_category', 'skipped', CAST(0 AS BIGINT)),
+  ('query', 'country_device_breakdown', 'skipped', CAST(0 AS BIGINT)),
+  ('query', 'hourly_traffic', 'ok', (SELECT COUNT(DISTINCT event_hour) FROM ev)),
+  ('query', 'monthly_trends', 'skipped', CAST(0 AS BIGINT)),
+  ('query', 'session_depth', 'ok',
+     (SELECT COUNT(DISTINCT n) FROM (SELECT COUNT(*) AS n FROM ev GROUP BY session_id) d)),
+  ('job', 'event_count_by_type', 'ok', (SELECT COUNT(DISTINCT event_type) FROM ev)),
+  ('job', 'country_event_count', 'ok', (SELECT COUNT(DISTINCT country) FROM ev)),
+  ('job', 'revenue_by_category', 'skipped', CAST(0 AS BIGINT)),
+  ('job', 'total_events_by_day', 'ok', (SELECT COUNT(DISTINCT event_date_str) FROM ev)),
+  ('job', 'daily_active_users', 'ok', (SELECT COUNT(DISTINCT event_date_str) FROM ev)),
+  ('job', 'top_products', 'ok', (SELECT LEAST(25, COUNT(DISTINCT product_id)) FROM ev)),
+  ('job', 'session_depth', 'ok',
+     (SELECT COUNT(DISTINCT n) FROM (SELECT COUNT(*) AS n FROM ev GROUP BY session_id) d)))
+  t(kind, name, status, "rows")""")
+
 
 # ETL (S1-S2, C1-C4, T1-T16, K1) and the lake (S3, partition pruning): these
 # take (spark, sf_dir) directly; the oracle's `ev` is the expected lake content.
