@@ -44,25 +44,37 @@ def to_double(c) -> Column:
     return F.when(s.rlike(NUMERIC_TEXT), F.trim(s).try_cast("double"))
 
 
+NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def as_double(df, name: str) -> Column:
+    """Column ``name`` of ``df`` as double: a plain cast for numeric columns,
+    the checked text conversion (``to_double``) otherwise."""
+    t = dict(df.dtypes)[name]
+    if t in NUMERIC_TYPES or t.startswith("decimal"):
+        return F.col(name).cast("double")
+    return to_double(name)
+
+
 def category_label(category_id) -> Column:
     """Numeric category id -> label.  Looks up the *double* value, so 1.0 is a
-    label and 1.5 is not (casting to int first would wrongly truncate)."""
+    label and 1.5 is not (casting to int first would wrongly truncate).
+    Text ids must be converted first (``to_double`` / ``as_double``)."""
     m = F.create_map(*chain.from_iterable(
         (F.lit(float(k)), F.lit(v)) for k, v in CATEGORY_LABELS.items()))
-    return F.coalesce(F.try_element_at(m, to_double(category_id)), F.lit(OTHER_CATEGORY))
+    return F.coalesce(F.try_element_at(m, _col(category_id).cast("double")), F.lit(OTHER_CATEGORY))
 
 
 def first_truthy(df, names, default: str) -> Column:
     """``str(a or b or default)`` over the columns of ``df`` that exist: null and
     empty text fall through, and so does zero in a numeric column."""
-    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
     types = dict(df.dtypes)
     parts = []
     for n in names:
         if n not in types:
             continue
         c = F.col(n)
-        if types[n] in numeric or types[n].startswith("decimal"):
+        if types[n] in NUMERIC_TYPES or types[n].startswith("decimal"):
             parts.append(F.when(c != 0, c.cast("string")))
         else:
             s = c.cast("string")

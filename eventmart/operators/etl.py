@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.functions.expressions import category_label, to_double
+from eventmart.functions.expressions import as_double, category_label
 from eventmart.functions.naming import OPTIONAL_COLUMNS, REQUIRED_COLUMNS, column_plan
 from eventmart.sources import delimited
 from eventmart.sources.lake import PARTITION_COLUMN, read_lake, write_lake
@@ -88,8 +88,8 @@ def _parse_timestamp(c) -> F.Column:
         *[F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz") for fmt in TIMESTAMP_FORMATS])
 
 
-def _whole_number(c) -> F.Column:
-    v = to_double(c)
+def _whole_number(df: DataFrame, c: str) -> F.Column:
+    v = as_double(df, c)
     return F.when(v == F.floor(v), v.try_cast("bigint"))
 
 
@@ -101,7 +101,7 @@ def build_event_datetime(df: DataFrame) -> DataFrame:
         ts = _parse_timestamp("event_time")
         return df.withColumns({"event_time": ts, "event_date": F.to_date(ts)})
     if {"year", "month", "day"} <= cols:
-        text = F.format_string("%04d-%02d-%02d", *[_whole_number(c) for c in ("year", "month", "day")])
+        text = F.format_string("%04d-%02d-%02d", *[_whole_number(df, c) for c in ("year", "month", "day")])
         d = text.try_cast("date")
         return df.withColumns({"event_date": d, "event_time": d.cast("timestamp_ntz")})
     if "event_date" in cols:
@@ -112,17 +112,19 @@ def build_event_datetime(df: DataFrame) -> DataFrame:
 
 
 def add_derived_columns(df: DataFrame) -> DataFrame:
+    day = F.to_date("event_time")
     new = {
         "event_hour": F.hour("event_time").cast("int"),
-        "event_month": F.date_format("event_time", "yyyy-MM"),
-        "day_of_week": F.date_format("event_time", "EEEE"),
+        "event_month": F.substring(day.cast("string"), 1, 7),
+        "day_of_week": F.date_format(day, "EEEE"),
     }
     if "category_id" in df.columns:
-        new["category_id"] = to_double("category_id")
-        new["category_name"] = category_label("category_id")
+        cid = as_double(df, "category_id")
+        new["category_id"] = cid
+        new["category_name"] = category_label(cid)
     for c in PRICE_COLUMNS:
         if c in df.columns:
-            new[c] = to_double(c)
+            new[c] = as_double(df, c)
     return df.withColumns(new)
 
 
@@ -134,7 +136,7 @@ def fill_missing(df: DataFrame) -> DataFrame:
 
 
 def add_partition_key(df: DataFrame) -> DataFrame:
-    return df.withColumn(PARTITION_COLUMN, F.date_format("event_date", "yyyy-MM-dd"))
+    return df.withColumn(PARTITION_COLUMN, F.col("event_date").cast("string"))
 
 
 def clean_events(df: DataFrame) -> DataFrame:

@@ -23,12 +23,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmart.functions.expressions import first_truthy, round2, to_double
+from eventmart.functions.expressions import as_double, first_truthy, round2
 
 
 def _price0(df: DataFrame):
     """Price as a number, 0 when missing or not a number."""
-    return F.coalesce(to_double("price"), F.lit(0.0)) if "price" in df.columns else F.lit(0.0)
+    return F.coalesce(as_double(df, "price"), F.lit(0.0)) if "price" in df.columns else F.lit(0.0)
 
 
 def event_count_by_type(df: DataFrame) -> DataFrame:

@@ -25,13 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _time_columns(ts) -> list:
+    # Day and month text come from the date by plain casts: no time zone is
+    # involved (formatting a zone-less timestamp would convert it per row).
     ts = F.col(ts).cast("timestamp_ntz")
+    day = F.to_date(ts).cast("string")
     return [
         ts.alias("event_time"),
         F.to_date(ts).alias("event_date"),
-        F.date_format(ts, "yyyy-MM-dd").alias("event_date_str"),
+        day.alias("event_date_str"),
         F.hour(ts).cast("int").alias("event_hour"),
-        F.date_format(ts, "yyyy-MM").alias("event_month"),
+        F.substring(day, 1, 7).alias("event_month"),
     ]
 
 
