@@ -33,7 +33,10 @@ def write_lake(df: DataFrame, path: str) -> None:
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     """The lake as one DataFrame; the day column stays text (``yyyy-MM-dd``),
-    whatever the directory names look like (a null day reads back as null)."""
+    whatever the directory names look like (a null day reads back as null).
+
+    The file listing is taken now: after a later write to the same lake, read
+    it again rather than reusing this frame."""
     key = "spark.sql.sources.partitionColumnTypeInference.enabled"
     before = spark.conf.get(key)
     spark.conf.set(key, "false")
