@@ -93,22 +93,26 @@ def _whole_number(df: DataFrame, c: str) -> F.Column:
     return F.when(v == F.floor(v), v.try_cast("bigint"))
 
 
-def build_event_datetime(df: DataFrame) -> DataFrame:
-    """``event_time`` (timestamp) and ``event_date`` (date), from the first of:
-    an event_time column; year/month/day columns (midnight); a date column."""
+def event_time_columns(df: DataFrame) -> tuple:
+    """``(event_time, event_date)`` expressions from the first of: an event_time
+    column; year/month/day columns (midnight); a date column; else nulls."""
     cols = set(df.columns)
     if "event_time" in cols:
         ts = _parse_timestamp("event_time")
-        return df.withColumns({"event_time": ts, "event_date": F.to_date(ts)})
+        return ts, F.to_date(ts)
     if {"year", "month", "day"} <= cols:
         text = F.format_string("%04d-%02d-%02d", *[_whole_number(df, c) for c in ("year", "month", "day")])
         d = text.try_cast("date")
-        return df.withColumns({"event_date": d, "event_time": d.cast("timestamp_ntz")})
+        return d.cast("timestamp_ntz"), d
     if "event_date" in cols:
         d = F.to_date(_parse_timestamp("event_date"))
-        return df.withColumns({"event_date": d, "event_time": d.cast("timestamp_ntz")})
-    return df.withColumns({"event_date": F.lit(None).cast("date"),
-                           "event_time": F.lit(None).cast("timestamp_ntz")})
+        return d.cast("timestamp_ntz"), d
+    return F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("date")
+
+
+def build_event_datetime(df: DataFrame) -> DataFrame:
+    ts, d = event_time_columns(df)
+    return df.withColumns({"event_time": ts, "event_date": d})
 
 
 def add_derived_columns(df: DataFrame) -> DataFrame:
