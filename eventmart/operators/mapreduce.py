@@ -114,13 +114,20 @@ def _tree_reduce(df: DataFrame, mapper, schema: StructType, columns, red: Combin
         local["salt"] = TaskContext.get().partitionId() % red.fanout
         yield local
 
-    def level(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = _combine_frame(pdf, names, red.combine)
-        out["salt"] = pdf["salt"].iloc[0]
-        return out
+    def level(batches):
+        # rows of one (key, salt) are in this partition; one pass combines them
+        pdf = pd.concat(list(batches), ignore_index=True)
+        if len(pdf):
+            for salt, part in pdf.groupby("salt", sort=False):
+                out = _combine_frame(part, names, red.combine)
+                out["salt"] = salt
+                yield out
 
+    # level 1: partials of each map task; level 2: per (key, salt), so a hot key
+    # is combined by `fanout` tasks; level 3 below: per key, <= fanout rows.
     partial = (src.mapInPandas(map_and_combine, salted)
-               .groupBy("key", "salt").applyInPandas(level, salted))
+               .repartition("key", "salt")
+               .mapInPandas(level, salted))
 
     key_field = schema["key"]
     if red.finish is None:
@@ -129,13 +136,16 @@ def _tree_reduce(df: DataFrame, mapper, schema: StructType, columns, red: Combin
         out_schema = StructType([key_field, *StructType.fromDDL(red.result_schema).fields])
     out_names = [f.name for f in out_schema.fields]
 
-    def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        key = pdf["key"].iloc[0]
-        total = red.combine(key, pdf[names].reset_index(drop=True))
-        res = red.finish(key, total) if red.finish else total
-        return pd.DataFrame([{"key": key, **res}], columns=out_names)
+    def final(batches):
+        pdf = pd.concat(list(batches), ignore_index=True)
+        rows = []
+        for key, g in pdf.groupby("key", sort=False, dropna=False):
+            total = red.combine(key, g[names].reset_index(drop=True))
+            rows.append({"key": key, **(red.finish(key, total) if red.finish else total)})
+        if rows:
+            yield pd.DataFrame(rows, columns=out_names)
 
-    return partial.groupBy("key").applyInPandas(final, out_schema)
+    return partial.repartition("key").mapInPandas(final, out_schema)
 
 
 def map_reduce(df: DataFrame, mapper, reducer, pair_schema: str | StructType, *,
