@@ -62,9 +62,11 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
-def main(argv=None) -> int:
+def main(argv=None, spark=None) -> int:
+    """Run one command; with ``spark`` given, use (and keep) that session."""
     args = _parser().parse_args(argv)
-    spark = build_session(master=args.master)
+    own = spark is None
+    spark = spark or build_session(master=args.master)
     if args.cmd == "etl":
         res = run_etl(spark, args.input, args.lake, sep=args.sep)
         print(f"separator {res.separator!r}; missing optional columns {res.missing_optional}")
@@ -96,7 +98,8 @@ def main(argv=None) -> int:
         for name, df in report.sections().items():
             print(f"== {name}")
             df.show(20, truncate=False)
-    spark.stop()
+    if own:
+        spark.stop()
     return 0
 
 

@@ -25,7 +25,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.functions.expressions import as_double, category_label
-from eventmart.functions.naming import OPTIONAL_COLUMNS, REQUIRED_COLUMNS, column_plan
+from eventmart.functions.naming import (
+    OPTIONAL_COLUMNS, REQUIRED_COLUMNS, column_plan, count_separator,
+)
 from eventmart.sources import delimited
 from eventmart.sources.lake import PARTITION_COLUMN, read_lake, write_lake
 
@@ -168,8 +170,9 @@ class EtlResult:
 def read_events_file(spark: SparkSession, path: str, sep: str | None = None,
                      types: dict[str, str] | None = None):
     """Scan + map + validate + type.  Returns (typed frame, sep, header, types, missing)."""
-    sep = sep or delimited.detect_separator(spark, path)
-    header = delimited.read_header(spark, path, sep)
+    line = delimited.first_line(spark, path)
+    sep = sep or count_separator(line)
+    header = delimited.parse_header(line, sep)
     text = map_columns(delimited.scan_text(spark, path, sep, len(header)), header)
     missing = validate_schema(text.columns)
     types = types if types is not None else delimited.profile_types(text)

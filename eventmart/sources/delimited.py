@@ -40,8 +40,12 @@ def detect_separator(spark: SparkSession, path: str) -> str:
     return count_separator(first_line(spark, path))
 
 
+def parse_header(line: str, sep: str) -> list[str]:
+    return dedupe_header(next(csv.reader([line], delimiter=sep)))
+
+
 def read_header(spark: SparkSession, path: str, sep: str) -> list[str]:
-    return dedupe_header(next(csv.reader([first_line(spark, path)], delimiter=sep)))
+    return parse_header(first_line(spark, path), sep)
 
 
 def scan_text(spark: SparkSession, path: str, sep: str, n_columns: int) -> DataFrame:
