@@ -52,3 +52,28 @@ def test_lake_write_is_rebalanced(spark, workdir):
     df = spark.range(1000).select(F.lit("2024-01-01").alias("event_date_str"), "id")
     write_lake(df, f"{workdir}/lake")
     assert read_lake(spark, f"{workdir}/lake").count() == 1000
+
+
+def test_hot_day_is_split_across_files(spark, workdir):
+    """One day holds a third of all rows: the rebalanced write cuts it into
+    several tasks/files instead of funnelling it through one."""
+    import glob
+    from eventmart.sources.lake import write_lake
+    n = 300_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-01"))
+         .otherwise(F.format_string("2024-02-%02d", (F.col("id") % 28 + 1).cast("int")))
+         .alias("event_date_str"),
+        F.col("id"), (F.col("id") * 7 % 1000).cast("double").alias("price"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        write_lake(df.repartition(16), f"{workdir}/lake")
+    finally:
+        spark.conf.set(key, before)
+    hot_files = glob.glob(f"{workdir}/lake/event_date_str=2024-01-01/*.parquet")
+    cold_files = glob.glob(f"{workdir}/lake/event_date_str=2024-02-01/*.parquet")
+    assert len(hot_files) > 1
+    assert len(hot_files) > len(cold_files)
+    assert read_lake(spark, f"{workdir}/lake").count() == n
