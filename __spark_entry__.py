@@ -295,6 +295,24 @@ FROM events e CROSS JOIN (VALUES ('comma'), ('semicolon'), ('tab'), ('pipe')) f(
         QUERIES["daily_active_users"].sql.replace(
             "FROM {events}", "FROM ev WHERE event_date_str BETWEEN '2024-01-10' AND '2024-01-20'")),
 }
+# single ETL steps (C1-C3 + S2 typing, T1, T2-T5, T10-T14)
+_DIRECT["etl_map_columns"] = (
+    lambda spark, sf: etl_runs.etl_step(spark, sf, "map_columns"), "clickstream_typed",
+    "SELECT * FROM ev UNION ALL SELECT * FROM ev")
+_DIRECT["etl_drop_duplicates"] = (
+    lambda spark, sf: etl_runs.etl_step(spark, sf, "drop_duplicates"), "clickstream_typed",
+    "SELECT DISTINCT * FROM ev")
+_DIRECT["etl_event_time"] = (
+    lambda spark, sf: etl_runs.etl_step(spark, sf, "event_time"), "etl_clickstream",
+    "SELECT session_id, event_type, event_time, event_date FROM ev")
+_DIRECT["etl_fill_missing"] = (
+    lambda spark, sf: etl_runs.etl_step(spark, sf, "fill_missing"), "etl_clickstream",
+    "SELECT session_id, event_type, country, price, category_id, category_name, event_date_str FROM ev")
+_DIRECT["etl_date_parts"] = (etl_runs.etl_date_parts, "sales", """
+SELECT session_id, CAST(page_number AS BIGINT) AS event_sequence,
+       year(event_time) AS year, month(event_time) AS month, day(event_time) AS day,
+       CAST(event_date AS TIMESTAMP) AS event_time, event_date
+FROM ev""")
 for _name in ("revenue_by_category", "top_products", "session_depth", "monthly_trends"):
     _DIRECT[f"lake_{_name}"] = (
         (lambda n: lambda spark, sf: etl_runs.lake_days_query(spark, sf, n))(_name),

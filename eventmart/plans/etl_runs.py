@@ -14,7 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmart.operators.etl import read_events_file, run_etl, etl_metrics_frame
+from eventmart.operators.etl import (
+    build_event_datetime, clean_events, drop_duplicate_rows, etl_metrics_frame,
+    read_events_file, run_etl, trim_text,
+)
 from eventmart.plans.queries import run_query
 from eventmart.session import run_dir
 from eventmart.sources.lake import days_between, read_lake
@@ -136,3 +139,39 @@ def lake_days_query(spark: SparkSession, sf_dir: str, name: str,
     if first:
         lake = days_between(lake, first, last)
     return run_query(spark, lake, name)
+
+
+# -- single ETL steps over the same exports (finer-grained checks) -----------
+
+def _typed_export(spark: SparkSession, raw: DataFrame, sep: str) -> DataFrame:
+    work = run_dir(spark, "etl-steps")
+    export_delimited(raw, f"{work}/raw", sep)
+    typed, *_ = read_events_file(spark, f"{work}/raw")
+    return typed
+
+
+def etl_step(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:
+    """One stage of the clickstream ETL: ``map_columns`` (scan, map, type),
+    ``drop_duplicates``, ``event_time`` (after dedup and trim) or
+    ``fill_missing`` (the whole cleaning, before the write)."""
+    typed = _typed_export(spark, clickstream_raw(spark, sf_dir), ",")
+    if step == "map_columns":
+        return typed
+    if step == "drop_duplicates":
+        return drop_duplicate_rows(typed)
+    if step == "event_time":
+        return (typed.transform(drop_duplicate_rows).transform(trim_text)
+                .transform(build_event_datetime)
+                .select("session_id", "event_type", "event_time", "event_date"))
+    if step == "fill_missing":
+        return clean_events(typed).select("session_id", "event_type", "country", "price",
+                                          "category_id", "category_name", "event_date_str")
+    raise KeyError(step)
+
+
+def etl_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales export: event date and midnight time built from year/month/day."""
+    typed = _typed_export(spark, sales_raw(spark, sf_dir), ";")
+    return (typed.transform(drop_duplicate_rows).transform(build_event_datetime)
+            .select("session_id", "event_sequence", "year", "month", "day",
+                    "event_time", "event_date"))

@@ -87,7 +87,23 @@ SELECT l_orderkey AS session_id,
 FROM lineitem
 """
 
+# The clickstream export after scan, column mapping and typing (one copy of
+# each row; the export holds every row twice).
+CLICKSTREAM_TYPED_EV = """
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_time,
+       user_id AS session_id,
+       ' ' || event_type || ' ' AS event_type,
+       event_id % 5 + 1 AS page_number,
+       CAST(TRY_CAST(k AS INTEGER) % 5 AS BIGINT) AS category_id,
+       'P' || k AS product_id,
+       CASE WHEN user_id % 30 = 0 THEN NULL ELSE 'C' || CAST(user_id % 30 AS VARCHAR) END AS country,
+       CASE WHEN event_type = 'error' THEN NULL ELSE value END AS price,
+       props AS extra_col
+FROM (SELECT *, regexp_extract(props, '([0-9]+)', 1) AS k FROM events) s
+"""
+
 EV = {"clickstream": CLICKSTREAM_EV, "sales": SALES_EV,
+      "clickstream_typed": CLICKSTREAM_TYPED_EV,
       "etl_clickstream": ETL_CLICKSTREAM_EV, "etl_sales": ETL_SALES_EV}
 
 
