@@ -14,9 +14,12 @@ values of one key -> one result.  Spark does the shuffle.
     costs no more than any other; or
   - ``Combine(combine, finish)`` for a Python reduce.  ``combine`` must be
     associative (its output has the value columns again).  It runs as a tree:
-    once per map task over that task's pairs, then on ``(key, salt)`` with
+    once per map task over that task's pairs (a running partial, emitted each
+    time it reaches ``flush_rows`` keys), then on ``(key, salt)`` with
     ``fanout`` salts, then once per key over at most ``fanout`` partials, where
-    ``finish`` shapes the result.  No task ever holds a key's full value list.
+    ``finish`` shapes the result.  The last two levels read their shuffle
+    sorted by key and stream it group by group.  No task ever holds a key's
+    full value list or a whole partition.
   A reduce that is not associative (exact distinct counts, medians) belongs in
   the Column form (``F.count_distinct``, ``F.percentile``), which Spark plans
   with its own two-level shuffle.
@@ -69,18 +72,29 @@ class Combine:
     finish: Callable[[object, dict], dict] | None = None
     result_schema: str | None = None  # DDL of finish's output (without key)
     fanout: int = 32
+    flush_rows: int = 100_000  # keys a map task's running partial holds before it is emitted
 
 
 def _value_names(pair_schema: StructType) -> list[str]:
     return [f.name for f in pair_schema.fields if f.name != "key"]
 
 
-def _combine_frame(pdf: pd.DataFrame, names: list[str], combine) -> pd.DataFrame:
-    rows = []
+def _groups(pdf: pd.DataFrame):
+    """``(key, rows)`` per key; the null key (which pandas reports as NaN) is
+    given as ``None``, so a chunk holding only that group keeps its type."""
     for key, g in pdf.groupby("key", sort=False, dropna=False):
+        yield (None if pd.isna(key) else key), g
+
+
+def _combine_frame(pdf: pd.DataFrame, names: list[str], combine) -> pd.DataFrame:
+    keys, rows = [], []
+    for key, g in _groups(pdf):
         part = combine(key, g[names].reset_index(drop=True))
-        rows.append({"key": key, **{n: part[n] for n in names}})
-    return pd.DataFrame(rows, columns=["key", *names])
+        keys.append(key)
+        rows.append({n: part[n] for n in names})
+    out = pd.DataFrame(rows, columns=names)
+    out.insert(0, "key", pd.Series(keys, dtype=object))
+    return out
 
 
 def emit_pairs(df: DataFrame, mapper, pair_schema: str | StructType,
@@ -100,33 +114,64 @@ def emit_pairs(df: DataFrame, mapper, pair_schema: str | StructType,
     return src.mapInPandas(run, pair_schema)
 
 
+def whole_groups(batches, keys: list[str]):
+    """Regroup Arrow batches that arrive sorted by ``keys`` into frames that
+    hold only complete groups.
+
+    The rows of the last group of a batch may continue in the next batch, so
+    they are carried over.  Memory is one batch plus one group, never the
+    whole partition."""
+    carry = None
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        buf = pdf if carry is None else pd.concat([carry, pdf], ignore_index=True)
+        codes = buf.groupby(keys, sort=False, dropna=False).ngroup()
+        tail = (codes == codes.iloc[-1]).to_numpy()
+        carry = buf[tail].reset_index(drop=True)
+        if not tail.all():
+            yield buf[~tail]
+    if carry is not None and len(carry):
+        yield carry
+
+
 def _tree_reduce(df: DataFrame, mapper, schema: StructType, columns, red: Combine) -> DataFrame:
     names = _value_names(schema)
     salted = StructType([*schema.fields]).add("salt", IntegerType())
     src = df.select(*columns) if columns else df
 
     def map_and_combine(batches):
-        parts = [_combine_frame(out, names, red.combine)
-                 for out in (mapper(pdf) for pdf in batches) if out is not None and len(out)]
-        if not parts:
-            return
-        local = _combine_frame(pd.concat(parts, ignore_index=True), names, red.combine)
-        local["salt"] = TaskContext.get().partitionId() % red.fanout
-        yield local
+        # A running partial per key over this task's batches; it is emitted
+        # whenever it reaches `flush_rows` keys, so memory stays bounded even
+        # if every key is distinct (later levels combine the extra partials).
+        salt = TaskContext.get().partitionId() % red.fanout
+        running = None
+        for pdf in batches:
+            out = mapper(pdf)
+            if out is None or not len(out):
+                continue
+            part = _combine_frame(out, names, red.combine)
+            running = part if running is None else _combine_frame(
+                pd.concat([running, part], ignore_index=True), names, red.combine)
+            if len(running) >= red.flush_rows:
+                yield running.assign(salt=salt)
+                running = None
+        if running is not None and len(running):
+            yield running.assign(salt=salt)
 
     def level(batches):
-        # rows of one (key, salt) are in this partition; one pass combines them
-        pdf = pd.concat(list(batches), ignore_index=True)
-        if len(pdf):
-            for salt, part in pdf.groupby("salt", sort=False):
-                out = _combine_frame(part, names, red.combine)
-                out["salt"] = salt
-                yield out
+        # sorted by (key, salt): each run of whole groups combines to one row each
+        for part in whole_groups(batches, ["key", "salt"]):
+            for salt, rows in part.groupby("salt", sort=False):
+                yield _combine_frame(rows, names, red.combine).assign(salt=salt)
 
     # level 1: partials of each map task; level 2: per (key, salt), so a hot key
     # is combined by `fanout` tasks; level 3 below: per key, <= fanout rows.
+    # Levels 2 and 3 read their shuffle sorted by key and stream it group by
+    # group, so no task holds its whole partition.
     partial = (src.mapInPandas(map_and_combine, salted)
                .repartition("key", "salt")
+               .sortWithinPartitions("key", "salt")
                .mapInPandas(level, salted))
 
     key_field = schema["key"]
@@ -137,15 +182,19 @@ def _tree_reduce(df: DataFrame, mapper, schema: StructType, columns, red: Combin
     out_names = [f.name for f in out_schema.fields]
 
     def final(batches):
-        pdf = pd.concat(list(batches), ignore_index=True)
-        rows = []
-        for key, g in pdf.groupby("key", sort=False, dropna=False):
-            total = red.combine(key, g[names].reset_index(drop=True))
-            rows.append({"key": key, **(red.finish(key, total) if red.finish else total)})
-        if rows:
-            yield pd.DataFrame(rows, columns=out_names)
-
-    return partial.repartition("key").mapInPandas(final, out_schema)
+        for part in whole_groups(batches, ["key"]):
+            keys, rows = [], []
+            for key, g in _groups(part):
+                total = red.combine(key, g[names].reset_index(drop=True))
+                keys.append(key)
+                rows.append(red.finish(key, total) if red.finish else total)
+            out = pd.DataFrame(rows, columns=[n for n in out_names if n != "key"])
+            out["key"] = pd.Series(keys, dtype=object)
+            yield out[out_names]
+
+    return (partial.repartition("key")
+            .sortWithinPartitions("key")
+            .mapInPandas(final, out_schema))
 
 
 def map_reduce(df: DataFrame, mapper, reducer, pair_schema: str | StructType, *,

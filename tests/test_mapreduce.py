@@ -87,3 +87,34 @@ def test_phase_outputs(spark, workdir):
     for phase in ("map", "shuffle", "reduce"):
         assert glob.glob(f"{workdir}/j_1_{phase}_output/part-*.csv")
     assert key_sizes(pairs).count() == 98
+
+
+def test_whole_groups_carries_a_group_across_batches():
+    from eventmart.operators.mapreduce import whole_groups
+    batches = [pd.DataFrame({"key": k}) for k in (["a", "a"], ["a", "b"], ["b"], ["b", "c", None], [None])]
+    got = [list(f["key"]) for f in whole_groups(iter(batches), ["key"])]
+    assert got == [["a", "a", "a"], ["b", "b", "b", "c"], [None, None]]
+
+
+def test_tree_combine_streams_small_batches_and_flushes(spark):
+    # tiny Arrow batches: every group of the sorted levels spans many batches;
+    # flush_rows=3: map tasks emit several partials per key; null keys stay one group
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+         .when(F.col("id") % 11 == 0, F.lit(None))
+         .otherwise((F.col("id") % 53).cast("string")).alias("k"),
+        (F.col("id") % 10).cast("double").alias("v")).repartition(8)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        red = Combine(_combine, fanout=3, flush_rows=3)
+        got = {r.key: (r.n, r.total) for r in
+               map_reduce(df, _map_kv, red, "key string, n long, total double",
+                          columns=["k", "v"]).collect()}
+    finally:
+        spark.conf.set(key, before)
+    want = {r.k: (r.n, r.total) for r in
+            df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total")).collect()}
+    assert got == want
+    assert None in got and got["hot"][0] == 6667
