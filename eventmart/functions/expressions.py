@@ -65,6 +65,13 @@ def category_label(category_id) -> Column:
     return F.coalesce(F.try_element_at(m, _col(category_id).cast("double")), F.lit(OTHER_CATEGORY))
 
 
+def category_label_sql(category_id: str) -> str:
+    """``category_label`` as SQL text over the SQL expression ``category_id``."""
+    pairs = ", ".join(f"CAST({k} AS DOUBLE), '{v}'" for k, v in CATEGORY_LABELS.items())
+    return (f"coalesce(try_element_at(map({pairs}), CAST({category_id} AS DOUBLE)), "
+            f"'{OTHER_CATEGORY}')")
+
+
 def first_truthy(df, names, default: str) -> Column:
     """``str(a or b or default)`` over the columns of ``df`` that exist: null and
     empty text fall through, and so does zero in a numeric column."""
