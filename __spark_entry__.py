@@ -276,6 +276,7 @@ SELECT * FROM (VALUES
 _DIRECT: dict[str, tuple[QueryFn, str, str]] = {
     "etl_clickstream": (etl_runs.etl_clickstream, "etl_clickstream", "SELECT * FROM ev"),
     "etl_sales_rerun": (etl_runs.etl_sales_rerun, "etl_sales", "SELECT * FROM ev"),
+    "stream_clickstream": (etl_runs.stream_clickstream, "etl_clickstream", "SELECT * FROM ev"),
     "etl_metrics": (etl_runs.etl_clickstream_metrics, "etl_clickstream", """
 SELECT CAST(2 * COUNT(*) AS BIGINT) AS rows_read,
        COUNT(*) AS duplicates_dropped,

@@ -22,12 +22,14 @@ from eventmart.plans.queries import run_query
 from eventmart.session import run_dir
 from eventmart.sources.lake import days_between, read_lake
 from eventmart.sources.tables import table
+from eventmart.streaming.ingest import start_ingest
 
 
-def export_delimited(df: DataFrame, path: str, sep: str) -> None:
+def export_delimited(df: DataFrame, path: str, sep: str, mode: str = "overwrite") -> None:
     """Write ``df`` as delimited text with a header, keeping values verbatim
-    (no whitespace stripping; embedded quotes doubled)."""
-    (df.write.mode("overwrite")
+    (no whitespace stripping; embedded quotes doubled).  ``append`` adds new
+    files next to the ones already in ``path``."""
+    (df.write.mode(mode)
        .option("header", True).option("sep", sep)
        .option("quote", '"').option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
@@ -113,6 +115,30 @@ def etl_sales_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lake(spark, f"{work}/lake").select(*SALES_COLUMNS)
 
 
+def stream_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clickstream export landing in two arrivals (events before and from
+    the middle of the time range), each ingested by one incremental streaming
+    run into the same lake.  The second run reads only the new files; copies
+    are dropped within the watermark window, which the second arrival is
+    still inside.  The lake must equal the batch ETL's."""
+    src = table(spark, sf_dir, "events")
+    bounds = src.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    split = bounds.lo + (bounds.hi - bounds.lo) / 2 if bounds.lo is not None else None
+    raw = clickstream_raw(spark, sf_dir)
+    early = F.col("Timestamp") < F.lit(split.strftime("%Y-%m-%d %H:%M:%S.%f")) if split else F.lit(True)
+    work = run_dir(spark, "stream-clickstream")
+    landing, lake, ckpt = f"{work}/landing", f"{work}/lake", f"{work}/checkpoint"
+    layout = {}
+    for i, part in enumerate((raw.filter(early), raw.filter(~early))):
+        export_delimited(part, landing, ",", mode="overwrite" if i == 0 else "append")
+        if not layout:
+            # the first arrival fixes header, separator and column types (one profile)
+            _, sep, header, types, _ = read_events_file(spark, landing)
+            layout = {"sep": sep, "header": header, "types": types}
+        start_ingest(spark, landing, lake, ckpt, **layout).awaitTermination()
+    return read_lake(spark, lake).select(*CLICKSTREAM_COLUMNS)
+
+
 SEPARATOR_NAMES = {",": "comma", ";": "semicolon", "\t": "tab", "|": "pipe"}
 
 
