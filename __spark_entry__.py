@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from eventmart.operators import jobs, marts
 from eventmart.operators.etl import column_profile
 from eventmart.operators.report import Report
-from eventmart.operators.sinks import row_counts
+from eventmart.operators.sinks import preview, read_csv, row_counts, write_csv
 from eventmart.plans.run_all import run_all
 from eventmart.session import run_dir
 from eventmart.sources.lake import TableStore
@@ -181,6 +181,24 @@ UNION ALL SELECT 'country_metrics', COUNT(DISTINCT country) FROM ev
 UNION ALL SELECT 'daily_metrics', COUNT(DISTINCT event_date_str) FROM ev
 UNION ALL SELECT 'top_products', LEAST(50, COUNT(DISTINCT product_id)) FROM ev""")
 
+# K2 / K6: a result written as CSV and read back; the first rows of a result
+def _csv_roundtrip(name: str):
+    def run(spark: SparkSession, ev: DataFrame) -> DataFrame:
+        result = run_query(spark, ev, name)
+        path = run_dir(spark, f"csv-{name}")
+        write_csv(result, path)
+        return read_csv(spark, path, result.schema)
+    return run
+
+
+_add("csv_daily_active_users", "clickstream", _csv_roundtrip("daily_active_users"),
+     QUERIES["daily_active_users"].sql.replace("{events}", "ev"))
+_add("csv_sales_revenue_by_category", "sales", _csv_roundtrip("revenue_by_category"),
+     QUERIES["revenue_by_category"].sql.replace("{events}", "ev"))
+_add("preview_total_events_by_day", "sales",
+     lambda spark, ev: preview(run_query(spark, ev, "total_events_by_day"), 10),
+     QUERIES["total_events_by_day"].sql.replace("{events}", "ev") + "\nLIMIT 10")
+
 # Optional-column profile (device is absent from these events)
 _add("optional_column_profile", "clickstream", lambda spark, ev: column_profile(ev), """
 SELECT * FROM (VALUES

@@ -17,6 +17,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def read_csv(spark, path: str, schema) -> DataFrame:
+    """A result written by ``write_csv``, read back with its own schema."""
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
     """First ``n`` rows of a result, in its own order."""
     return df.limit(n)
