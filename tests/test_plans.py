@@ -77,3 +77,47 @@ def test_hot_day_is_split_across_files(spark, workdir):
     assert len(hot_files) > 1
     assert len(hot_files) > len(cold_files)
     assert read_lake(spark, f"{workdir}/lake").count() == n
+
+
+def test_no_registered_query_broadcasts_or_reads_unused_columns(spark):
+    """Named queries and jobs: no broadcast exchange (nothing has a size bound
+    to justify one), and no scan of the source's full column list."""
+    import re
+    import __spark_entry__ as E
+    queries = E.queries()
+    keys = [k for k in queries if k.startswith(("q_", "sales_", "mr_"))]
+    assert len(keys) >= 25
+    full = {len(spark.read.parquet(f"{SF001}/{t}.parquet").columns) for t in ("events", "lineitem")}
+    for key in keys:
+        p = plan(queries[key](spark, SF001))
+        assert "BroadcastExchange" not in p, key
+        schemas = re.findall(r"ReadSchema: struct<([^>]*)>", p)
+        assert schemas, key
+        for schema in schemas:
+            assert len(schema.split(",")) not in full, (key, schema)
+
+
+def test_count_distinct_shuffles_key_and_session_first(spark):
+    """A hot key is spread over tasks by (key, session_id); the second
+    exchange carries only per-task partial counts."""
+    p = plan(run_query(spark, ADAPTERS["sales"](spark, SF001), "daily_active_users"))
+    first = p.index("hashpartitioning(event_date_str")
+    assert "session_id" in p[first:p.index("\n", first)]
+    assert p.count("Exchange") >= 2 and "partial_count(distinct" in p
+
+
+def test_tree_reduce_reads_shuffle_sorted(spark):
+    """The Python levels of the tree reduce stream sorted groups."""
+    import pandas as pd
+    from eventmart.operators.mapreduce import Combine, map_reduce
+    df = spark.range(100).select((F.col("id") % 7).cast("string").alias("k"))
+    out = map_reduce(df, lambda p: pd.DataFrame({"key": p["k"], "n": 1}),
+                     Combine(lambda k, v: {"n": int(v["n"].sum())}), "key string, n long",
+                     columns=["k"])
+    tree = plan(out).split("\n\n")[0]          # the operator tree of the formatted plan
+    lines = [ln.strip(" +-") for ln in tree.splitlines()]
+    ops = [ln.split(" (")[0] for ln in lines if ln]
+    assert ops.count("MapInPandas") == 3
+    # both shuffled levels: Exchange -> Sort -> MapInPandas
+    below = [ops[i + 1] for i, op in enumerate(ops[:-1]) if op == "MapInPandas"]
+    assert below.count("Sort") == 2
