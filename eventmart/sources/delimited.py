@@ -60,20 +60,22 @@ def scan_text(spark: SparkSession, path: str, sep: str, n_columns: int) -> DataF
 
 def profile_types(df: DataFrame) -> dict[str, str]:
     """Column -> ``bigint`` / ``double`` / ``string`` from one aggregate pass."""
-    aggs = []
+    aggs = [F.count(F.lit(1)).alias("__rows")]
     for c in df.columns:
         v = F.col(c)
         is_int = v.rlike(INTEGER_TEXT) & F.trim(v).try_cast("bigint").isNotNull()
+        # integer text is numeric text: the second pattern runs only when needed
+        is_num = is_int | v.rlike(NUMERIC_TEXT)
         aggs += [
             F.count(v).alias(f"{c}__n"),
-            F.count(F.lit(1)).alias(f"{c}__rows"),
             F.bool_and(F.coalesce(is_int, F.lit(True))).alias(f"{c}__int"),
-            F.bool_and(F.coalesce(v.rlike(NUMERIC_TEXT), F.lit(True))).alias(f"{c}__num"),
+            F.bool_and(F.coalesce(is_num, F.lit(True))).alias(f"{c}__num"),
         ]
     row = df.agg(*aggs).first().asDict()
+    rows = row["__rows"]
     types = {}
     for c in df.columns:
-        n, rows = row[f"{c}__n"], row[f"{c}__rows"]
+        n = row[f"{c}__n"]
         if rows and n == 0:
             types[c] = "double"          # nothing but missing values
         elif row[f"{c}__int"] and n == rows:
