@@ -14,6 +14,10 @@ a Structured Streaming query instead:
 * a Parquet file sink appends to the lake, partitioned by day, exactly once
   per micro-batch (its commit log lists the files readers may see).
 
+State is keyed by the whole row and holds about one ``dedup_window`` of
+events.  On a cluster, run with the RocksDB state store provider so that it
+lives on local disk, not in executor memory.
+
 ``trigger(availableNow=True)`` processes everything pending and stops, so a
 scheduled job gets batch-like runs that only touch new files.
 """
