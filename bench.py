@@ -6,7 +6,8 @@ env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 Headline set: the four published comparisons (event counts by type, by
 country, revenue by category, events by day) in both the SQL layer and the job
 API, plus the other named queries, all over the clickstream events; then the
-same over the sales events (6x more rows).  Method: session start and one
+same over the sales events (6x more rows).  Three of the published jobs also
+run through the generic Python map/reduce API (``api_*``, clickstream only).  Method: session start and one
 untimed warm-up pass are excluded; each query is then timed end to end (plan +
 run + collect) BENCH_REPEAT times and the median is reported.  ``value`` is the
 sum of the medians.
@@ -23,6 +24,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from eventmart.operators import jobs  # noqa: E402
+from eventmart.plans import mr_examples as mr  # noqa: E402
 from eventmart.plans.queries import run_query  # noqa: E402
 from eventmart.session import build_session  # noqa: E402
 from eventmart.sources.tables import ADAPTERS  # noqa: E402
@@ -42,6 +44,12 @@ def headline(spark, sf_dir):
         for name in ("daily_active_users", "top_event_types", "top_products", "hourly_traffic",
                      "monthly_trends", "session_depth", "country_device_breakdown"):
             qs[f"{prefix}q_{name}"] = (lambda n=name, e=ev: run_query(spark, e(), n))
+        if adapter == "clickstream":
+            # the same published jobs through the generic Python map/reduce API
+            # (pandas mapper + built-in reduce, Python tree reduce, row function)
+            qs["api_event_count_by_type"] = lambda e=ev: mr.event_type_counts(e())
+            qs["api_revenue_by_category"] = lambda e=ev: mr.category_revenue_tree(e())
+            qs["api_country_event_count"] = lambda e=ev: mr.country_sessions_rowwise(e())
     return qs
 
 
