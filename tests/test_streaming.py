@@ -23,7 +23,10 @@ def test_incremental_ingest(spark, workdir):
 
     write_text(landing, "b.csv", HEAD + "2024-01-02 11:00:00,s3,view,3\n"
                                         "2024-01-01 10:00:00,s1, view,1.5\n")
-    start_ingest(spark, landing, f"{workdir}/lake", f"{workdir}/ckpt", **args).awaitTermination()
+    second = start_ingest(spark, landing, f"{workdir}/lake", f"{workdir}/ckpt", **args)
+    second.awaitTermination()
+    # only the new file is read (the old one is in the checkpoint's file log)
+    assert sum(p["numInputRows"] for p in second.recentProgress) == 2
     rows = read_lake(spark, f"{workdir}/lake").collect()
     assert sorted(r.session_id for r in rows) == ["s1", "s1", "s2", "s3"]
     s3 = [r for r in rows if r.session_id == "s3"][0]
