@@ -14,12 +14,13 @@ values of one key -> one result.  Spark does the shuffle.
     costs no more than any other; or
   - ``Combine(combine, finish)`` for a Python reduce.  ``combine`` must be
     associative (its output has the value columns again).  It runs as a tree:
-    once per map task over that task's pairs (a running partial, emitted each
-    time it reaches ``flush_rows`` keys), then on ``(key, salt)`` with
-    ``fanout`` salts, then once per key over at most ``fanout`` partials, where
-    ``finish`` shapes the result.  The last two levels read their shuffle
-    sorted by key and stream it group by group.  No task ever holds a key's
-    full value list or a whole partition.
+    once per map task over that task's pairs (held partials are combined each
+    time they reach ``flush_rows`` rows, and emitted early if that does not
+    halve them), then on ``(key, salt)`` with ``fanout`` salts, then once per
+    key over at most ``fanout`` partials, where ``finish`` shapes the result.
+    The last two levels read their shuffle sorted by key and stream it group
+    by group.  No task ever holds a key's full value list or a whole
+    partition.
   A reduce that is not associative (exact distinct counts, medians) belongs in
   the Column form (``F.count_distinct``, ``F.percentile``), which Spark plans
   with its own two-level shuffle.
@@ -72,7 +73,7 @@ class Combine:
     finish: Callable[[object, dict], dict] | None = None
     result_schema: str | None = None  # DDL of finish's output (without key)
     fanout: int = 32
-    flush_rows: int = 100_000  # keys a map task's running partial holds before it is emitted
+    flush_rows: int = 100_000  # partial rows a map task holds before combining or emitting them
 
 
 def _value_names(pair_schema: StructType) -> list[str]:
@@ -141,23 +142,30 @@ def _tree_reduce(df: DataFrame, mapper, schema: StructType, columns, red: Combin
     src = df.select(*columns) if columns else df
 
     def map_and_combine(batches):
-        # A running partial per key over this task's batches; it is emitted
-        # whenever it reaches `flush_rows` keys, so memory stays bounded even
-        # if every key is distinct (later levels combine the extra partials).
+        # Per-batch partials are held until they reach `flush_rows` rows, then
+        # combined.  If that at least halves them they are kept, else emitted:
+        # memory stays bounded even if every key is distinct, and each row is
+        # combined a bounded number of times (later levels merge the rest).
         salt = TaskContext.get().partitionId() % red.fanout
-        running = None
+        parts, held = [], 0
         for pdf in batches:
             out = mapper(pdf)
             if out is None or not len(out):
                 continue
             part = _combine_frame(out, names, red.combine)
-            running = part if running is None else _combine_frame(
-                pd.concat([running, part], ignore_index=True), names, red.combine)
-            if len(running) >= red.flush_rows:
-                yield running.assign(salt=salt)
-                running = None
-        if running is not None and len(running):
-            yield running.assign(salt=salt)
+            parts.append(part)
+            held += len(part)
+            if held >= red.flush_rows:
+                merged = _combine_frame(pd.concat(parts, ignore_index=True), names, red.combine)
+                if 2 * len(merged) > red.flush_rows:
+                    yield merged.assign(salt=salt)
+                    parts, held = [], 0
+                else:
+                    parts, held = [merged], len(merged)
+        if parts:
+            last = parts[0] if len(parts) == 1 else _combine_frame(
+                pd.concat(parts, ignore_index=True), names, red.combine)
+            yield last.assign(salt=salt)
 
     def level(batches):
         # sorted by (key, salt): each run of whole groups combines to one row each

@@ -3,6 +3,7 @@
 import glob
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from eventmart.operators.mapreduce import (
@@ -96,9 +97,11 @@ def test_whole_groups_carries_a_group_across_batches():
     assert got == [["a", "a", "a"], ["b", "b", "b", "c"], [None, None]]
 
 
-def test_tree_combine_streams_small_batches_and_flushes(spark):
+@pytest.mark.parametrize("flush_rows", [3, 25, 100_000])
+def test_tree_combine_streams_small_batches_and_flushes(spark, flush_rows):
     # tiny Arrow batches: every group of the sorted levels spans many batches;
-    # flush_rows=3: map tasks emit several partials per key; null keys stay one group
+    # small flush_rows: map tasks combine held partials and emit several per
+    # key (3: always emit; 25: keep some, emit some); null keys stay one group
     df = spark.range(20000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot"))
          .when(F.col("id") % 11 == 0, F.lit(None))
@@ -108,7 +111,7 @@ def test_tree_combine_streams_small_batches_and_flushes(spark):
     before = spark.conf.get(key)
     spark.conf.set(key, "7")
     try:
-        red = Combine(_combine, fanout=3, flush_rows=3)
+        red = Combine(_combine, fanout=3, flush_rows=flush_rows)
         got = {r.key: (r.n, r.total) for r in
                map_reduce(df, _map_kv, red, "key string, n long, total double",
                           columns=["k", "v"]).collect()}
