@@ -30,3 +30,20 @@ def test_cli_commands(spark, workdir, capsys):
 def test_missing_input_fails(spark, workdir):
     with pytest.raises(AnalysisException):
         run_etl(spark, f"{workdir}/does-not-exist.csv", f"{workdir}/lake")
+
+
+def test_cli_ingest(spark, workdir):
+    import os
+    from eventmart.sources.lake import read_lake
+    landing = os.path.join(workdir, "landing")
+    os.makedirs(landing)
+    first = write_text(landing, "a.csv", DIRTY)
+    args = ["ingest", "--landing", landing, "--lake", f"{workdir}/lake",
+            "--checkpoint", f"{workdir}/ckpt", "--sample-file", first, "--dedup-window", "400 days"]
+    assert main(args, spark=spark) == 0
+    streamed = read_lake(spark, f"{workdir}/lake")
+    batch_lake = f"{workdir}/batch"
+    run_etl(spark, first, batch_lake)
+    batch = read_lake(spark, batch_lake).select(*streamed.columns)
+    assert streamed.count() == 5
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
