@@ -39,7 +39,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-wide folder for written intermediate tables.
 
     This is ``spark.checkpoint.dir`` as the cluster sets it.  Only when the
-    session has none (a bare test session) do we create one and register it.
+    session has none do we create one and register it, and only in local mode
+    (a test session): on a cluster a machine-local folder would not be shared,
+    so a missing setting is an error there.
     """
     conf = spark.sparkContext.getConf()
     d = conf.get("spark.checkpoint.dir", None)
@@ -47,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current.rstrip("/")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
         d = tempfile.mkdtemp(prefix="eventmart-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     elif not spark.sparkContext.getCheckpointDir():

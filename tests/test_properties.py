@@ -58,3 +58,10 @@ def test_missing_columns_skip(spark):
     assert "revenue_by_category" not in jobs.run_all_jobs(ev)
     assert "total_revenue" not in marts.daily_metrics(ev).columns
     assert "country_metrics" not in marts.mart_plans(ev)
+
+
+def test_shared_dir_is_the_session_checkpoint_dir(spark):
+    from eventmart.session import run_dir, shared_dir
+    d = shared_dir(spark)
+    assert d and run_dir(spark, "x").startswith(f"{d}/eventmart/x-")
+    assert run_dir(spark, "x") != run_dir(spark, "x")
