@@ -43,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--sample-file", required=True)
     s.add_argument("--dedup-window", default="1 day")
+    s.add_argument("--files-per-day", type=int, default=4)
 
     s = sub.add_parser("build-marts")
     s.add_argument("--lake", required=True)
@@ -74,7 +75,8 @@ def main(argv=None, spark=None) -> int:
             print(f"{k:>20}: {v}")
     elif args.cmd == "ingest":
         start_ingest(spark, args.landing, args.lake, args.checkpoint,
-                     sample_file=args.sample_file, dedup_window=args.dedup_window).awaitTermination()
+                     sample_file=args.sample_file, dedup_window=args.dedup_window,
+                     files_per_day=args.files_per_day).awaitTermination()
     elif args.cmd == "build-marts":
         store = TableStore(spark, args.store)
         built = marts.build_marts(store, read_lake(spark, args.lake))

@@ -71,15 +71,24 @@ def clean_stream(typed: DataFrame, dedup_window: str) -> DataFrame:
 def start_ingest(spark: SparkSession, landing: str, lake: str, checkpoint: str, *,
                  sample_file: str | None = None, header: list[str] | None = None,
                  sep: str | None = None, types: dict[str, str] | None = None,
-                 dedup_window: str = "1 day", available_now: bool = True) -> StreamingQuery:
+                 dedup_window: str = "1 day", available_now: bool = True,
+                 files_per_day: int = 4) -> StreamingQuery:
     """Start the incremental ingest.  Header, separator and types come from the
-    arguments or, when missing, from ``sample_file`` (one batch profile)."""
+    arguments or, when missing, from ``sample_file`` (one batch profile).
+
+    Rows are shuffled by (day, a hash of the row modulo ``files_per_day``)
+    before the sink.  Each micro-batch then writes at most ``files_per_day``
+    files per day, rather than one per task per day, and a hot day is still
+    written by ``files_per_day`` tasks.  (Streaming has no adaptive
+    rebalance.)"""
     if header is None or sep is None or types is None:
         if sample_file is None:
             raise ValueError("give header, sep and types, or a sample_file to derive them")
         _, s_sep, s_header, s_types, _ = read_events_file(spark, sample_file, sep, types)
         sep, header, types = sep or s_sep, header or s_header, types or s_types
     events = clean_stream(event_stream(spark, landing, header, sep, types), dedup_window)
+    salt = F.pmod(F.xxhash64(*events.columns), F.lit(files_per_day))
+    events = events.repartition(PARTITION_COLUMN, salt)
     writer = (events.writeStream.format("parquet")
               .option("checkpointLocation", checkpoint)
               .partitionBy(PARTITION_COLUMN)

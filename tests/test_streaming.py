@@ -31,3 +31,26 @@ def test_incremental_ingest(spark, workdir):
     assert sorted(r.session_id for r in rows) == ["s1", "s1", "s2", "s3"]
     s3 = [r for r in rows if r.session_id == "s3"][0]
     assert (s3.event_date_str, s3.event_hour, s3.price) == ("2024-01-02", 11, 3.0)
+
+
+def test_ingest_writes_few_files_per_day(spark, workdir):
+    """With many shuffle partitions, each day still gets at most
+    files_per_day files per micro-batch."""
+    import glob
+    import os
+    landing = os.path.join(workdir, "landing")
+    os.makedirs(landing)
+    body = "".join(f"2024-01-0{1 + i % 3} 10:00:{i % 60:02d},s{i},view,{i}\n" for i in range(600))
+    first = write_text(landing, "a.csv", HEAD + body)
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "50")
+    try:
+        start_ingest(spark, landing, f"{workdir}/lake", f"{workdir}/ckpt", sample_file=first,
+                     files_per_day=2).awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        files = glob.glob(f"{workdir}/lake/event_date_str={day}/*.parquet")
+        assert 1 <= len(files) <= 2, (day, len(files))
+    assert read_lake(spark, f"{workdir}/lake").count() == 600
