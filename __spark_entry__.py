@@ -47,7 +47,7 @@ for _prefix, _adapter in (("q", "clickstream"), ("sales", "sales")):
     for _name, _q in QUERIES.items():
         _add(f"{_prefix}_{_name}", _adapter,
              (lambda n: lambda spark, ev: run_query(spark, ev, n))(_name),
-             _q.sql.replace("{events}", "ev"))
+             _q.plain_sql.replace("{events}", "ev"))
 
 # The jobs as column expressions (job semantics: fallbacks, price 0, rounded avg)
 _TOTAL0 = "ROUND(SUM(COALESCE(price, 0)) * 100) / 100"
@@ -86,7 +86,7 @@ SELECT CAST(product_id AS VARCHAR) AS product_id,
 FROM ev GROUP BY 1
 ORDER BY view_count DESC, product_id
 LIMIT 25""",
-    "session_depth": QUERIES["session_depth"].sql.replace("{events}", "ev"),
+    "session_depth": QUERIES["session_depth"].plain_sql.replace("{events}", "ev"),
 }
 for _name in jobs.JOBS:
     _add(f"mr_{_name}", "clickstream",
@@ -114,7 +114,7 @@ SELECT key, COUNT(*) AS pairs FROM (
     SELECT 'country:' || country AS key FROM ev WHERE event_type <> 'error') p
 GROUP BY key""")
 _add("mapreduce_chained", "clickstream", lambda spark, ev: mr.chained_session_depth(ev),
-     QUERIES["session_depth"].sql.replace("{events}", "ev"))
+     QUERIES["session_depth"].plain_sql.replace("{events}", "ev"))
 _add("mapreduce_combine", "clickstream", lambda spark, ev: mr.category_revenue_tree(ev), f"""
 SELECT category_name,
        {_TOTAL0} AS total_revenue,
@@ -192,12 +192,12 @@ def _csv_roundtrip(name: str):
 
 
 _add("csv_daily_active_users", "clickstream", _csv_roundtrip("daily_active_users"),
-     QUERIES["daily_active_users"].sql.replace("{events}", "ev"))
+     QUERIES["daily_active_users"].plain_sql.replace("{events}", "ev"))
 _add("csv_sales_revenue_by_category", "sales", _csv_roundtrip("revenue_by_category"),
-     QUERIES["revenue_by_category"].sql.replace("{events}", "ev"))
+     QUERIES["revenue_by_category"].plain_sql.replace("{events}", "ev"))
 _add("preview_total_events_by_day", "sales",
      lambda spark, ev: preview(run_query(spark, ev, "total_events_by_day"), 10),
-     QUERIES["total_events_by_day"].sql.replace("{events}", "ev") + "\nLIMIT 10")
+     QUERIES["total_events_by_day"].plain_sql.replace("{events}", "ev") + "\nLIMIT 10")
 
 # Optional-column profile (device is absent from these events)
 _add("optional_column_profile", "clickstream", lambda spark, ev: column_profile(ev), """
@@ -261,7 +261,7 @@ for _section, _routes in _REPORT_ORACLES.items():
         _body = _routes.get(_route, _routes.get("both"))
         _add(f"report_{_section}_{_route}", "clickstream", _report(_section, _route), _body)
 _add("report_session_depth", "clickstream", _report("session_depth", "base"),
-     QUERIES["session_depth"].sql.replace("{events}", "ev") + "\nLIMIT 20")
+     QUERIES["session_depth"].plain_sql.replace("{events}", "ev") + "\nLIMIT 20")
 
 # Run everything over events without a price column; priced ones skip
 _add("run_all_summary", "clickstream",
@@ -311,7 +311,7 @@ FROM events e CROSS JOIN (VALUES ('comma'), ('semicolon'), ('tab'), ('pipe')) f(
         lambda spark, sf: etl_runs.lake_days_query(spark, sf, "daily_active_users",
                                                    "2024-01-10", "2024-01-20"),
         "etl_clickstream",
-        QUERIES["daily_active_users"].sql.replace(
+        QUERIES["daily_active_users"].plain_sql.replace(
             "FROM {events}", "FROM ev WHERE event_date_str BETWEEN '2024-01-10' AND '2024-01-20'")),
 }
 # single ETL steps (C1-C3 + S2 typing, T1, T2-T5, T10-T14)
@@ -335,7 +335,7 @@ FROM ev""")
 for _name in ("revenue_by_category", "top_products", "session_depth", "monthly_trends"):
     _DIRECT[f"lake_{_name}"] = (
         (lambda n: lambda spark, sf: etl_runs.lake_days_query(spark, sf, n))(_name),
-        "etl_clickstream", QUERIES[_name].sql.replace("{events}", "ev"))
+        "etl_clickstream", QUERIES[_name].plain_sql.replace("{events}", "ev"))
 
 
 def _bind(adapter: str, fn) -> QueryFn:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.expressions import as_double, first_truthy, round2
+from eventmart.operators.topk import top_k_with_distinct
 
 
 def _price0(df: DataFrame):
@@ -73,17 +74,18 @@ def daily_active_users(df: DataFrame) -> DataFrame:
 
 
 def top_products(df: DataFrame, k: int = 25) -> DataFrame:
-    """Top ``k`` products by views (keyed by product only)."""
-    price = _price0(df)
-    total = round2(F.sum(price))
+    """Top ``k`` products by views (keyed by product only).  Sessions are
+    counted only for the top ``k`` (``operators.topk``)."""
+    base = df.select(F.col("product_id").cast("string").alias("product_id"),
+                     _price0(df).alias("_price"), "session_id")
+    total = round2(F.sum("_price"))
     n = F.count(F.lit(1))
-    return (df.groupBy(F.col("product_id").cast("string").alias("product_id"))
-            .agg(n.alias("view_count"),
-                 F.count_distinct("session_id").alias("unique_sessions"),
-                 round2(total / n).alias("avg_price"),
-                 total.alias("total_revenue"))
-            .orderBy(F.desc("view_count"), F.asc_nulls_last("product_id"))
-            .limit(k))
+    return top_k_with_distinct(
+        base, ["product_id"],
+        [n.alias("view_count"), round2(total / n).alias("avg_price"), total.alias("total_revenue")],
+        [F.desc("view_count"), F.asc_nulls_last("product_id")], k,
+        distinct="session_id", distinct_name="unique_sessions",
+        columns=["product_id", "view_count", "unique_sessions", "avg_price", "total_revenue"])
 
 
 def pages_per_session(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmart.functions.expressions import round2
+from eventmart.operators.topk import top_k_with_distinct
 from eventmart.sources.lake import TableStore
 
 MART_NAMES = ["daily_metrics", "top_products", "country_metrics", "category_metrics"]
@@ -31,10 +32,17 @@ def daily_metrics(events: DataFrame) -> DataFrame:
 
 
 def top_products(events: DataFrame, k: int = TOP_PRODUCTS_KEPT) -> DataFrame:
-    """Products by views, keyed by product only; the top ``k`` are kept."""
-    return (events.groupBy("product_id").agg(*_counts(events, "view_count"))
-            .orderBy(F.desc("view_count"), F.asc_nulls_last("product_id"))
-            .limit(k))
+    """Products by views, keyed by product only; the top ``k`` are kept.
+    Sessions are counted only for those ``k`` (``operators.topk``)."""
+    priced = "price" in events.columns
+    base = events.select("product_id", "session_id", *(["price"] if priced else []))
+    aggs = [F.count(F.lit(1)).alias("view_count")]
+    if priced:
+        aggs.append(round2(F.sum("price")).alias("total_revenue"))
+    return top_k_with_distinct(
+        base, ["product_id"], aggs, [F.desc("view_count"), F.asc_nulls_last("product_id")], k,
+        distinct="session_id", distinct_name="unique_sessions",
+        columns=["product_id", "view_count", "unique_sessions", *(["total_revenue"] if priced else [])])
 
 
 def country_metrics(events: DataFrame) -> DataFrame:

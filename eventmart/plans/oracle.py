@@ -113,4 +113,4 @@ def with_ev(adapter: str, body: str) -> str:
 
 
 def named_query(adapter: str, name: str) -> str:
-    return with_ev(adapter, QUERIES[name].sql.replace("{events}", "ev"))
+    return with_ev(adapter, QUERIES[name].plain_sql.replace("{events}", "ev"))

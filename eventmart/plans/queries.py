@@ -23,13 +23,18 @@ class NamedQuery:
     name: str
     sql: str
     requires: frozenset  # canonical columns the query reads
+    plain: str | None = None  # the direct form, when ``sql`` is a rewrite of it
 
     def missing(self, columns) -> list[str]:
         return sorted(self.requires - set(columns))
 
+    @property
+    def plain_sql(self) -> str:
+        return self.plain or self.sql
 
-def _q(name, requires, sql):
-    return NamedQuery(name, sql.strip(), frozenset(requires))
+
+def _q(name, requires, sql, plain=None):
+    return NamedQuery(name, sql.strip(), frozenset(requires), plain.strip() if plain else None)
 
 
 QUERIES: dict[str, NamedQuery] = {q.name: q for q in [
@@ -55,7 +60,36 @@ FROM {events}
 GROUP BY page_number
 ORDER BY total_events DESC, page_position NULLS LAST
 """),
+    # The order does not depend on the distinct count, so the top 25 groups are
+    # picked from a plain aggregate, and sessions are counted only for them: a
+    # broadcast join with at most 25 rows keeps just their events, instead of
+    # shuffling every (product, category, session) triple.
     _q("top_products", {"product_id", "category_name", "price", "session_id"}, """
+WITH top AS (
+    SELECT product_id,
+           category_name,
+           COUNT(*)                       AS view_count,
+           ROUND(AVG(price) * 100) / 100  AS avg_price,
+           ROUND(SUM(price) * 100) / 100  AS total_revenue
+    FROM {events}
+    GROUP BY product_id, category_name
+    ORDER BY view_count DESC, product_id NULLS LAST, category_name NULLS LAST
+    LIMIT 25
+)
+SELECT /*+ BROADCAST(t) */
+       t.product_id,
+       t.category_name,
+       t.view_count,
+       COUNT(DISTINCT e.session_id)   AS unique_sessions,
+       t.avg_price,
+       t.total_revenue
+FROM {events} e
+JOIN top t
+  ON e.product_id IS NOT DISTINCT FROM t.product_id
+ AND e.category_name IS NOT DISTINCT FROM t.category_name
+GROUP BY t.product_id, t.category_name, t.view_count, t.avg_price, t.total_revenue
+ORDER BY view_count DESC, product_id NULLS LAST, category_name NULLS LAST
+""", plain="""
 SELECT product_id,
        category_name,
        COUNT(*)                       AS view_count,

@@ -65,3 +65,22 @@ def test_shared_dir_is_the_session_checkpoint_dir(spark):
     d = shared_dir(spark)
     assert d and run_dir(spark, "x").startswith(f"{d}/eventmart/x-")
     assert run_dir(spark, "x") != run_dir(spark, "x")
+
+
+def test_top_k_with_distinct_matches_direct_form(spark):
+    """Top-k first, then distinct counts for those groups only: same rows as
+    the direct aggregate, with a null key, a hot key and ties."""
+    from pyspark.sql import functions as F
+    from eventmart.operators.topk import top_k_with_distinct
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+         .when(F.col("id") % 7 == 0, F.lit(None))
+         .otherwise((F.col("id") % 40).cast("string")).alias("p"),
+        (F.col("id") % 17).alias("s"))
+    order = [F.desc("n"), F.asc_nulls_last("p")]
+    got = top_k_with_distinct(df, ["p"], [F.count(F.lit(1)).alias("n")], order, 6,
+                              distinct="s", distinct_name="u", columns=["p", "n", "u"])
+    want = (df.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("s").alias("u"))
+            .orderBy(*order).limit(6))
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
+    assert None in [r.p for r in got.collect()]
