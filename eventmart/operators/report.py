@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions.expressions import round2
 from eventmart.operators import jobs
+from eventmart.operators.topk import top_k_with_distinct
 from eventmart.sources.lake import TableStore
 
 
@@ -46,10 +47,17 @@ class Report:
                 .agg(F.count(F.lit(1)).alias("total_events"),
                      F.count_distinct("session_id").alias("unique_sessions")))
 
-    # R2
+    # R2: from raw events, sessions are counted only for the first n days
     def first_days(self, n: int = 15) -> DataFrame:
-        return (self._daily().select("event_date", "total_events", "unique_sessions")
-                .orderBy(F.asc_nulls_last("event_date")).limit(n))
+        order = [F.asc_nulls_last("event_date")]
+        cols = ["event_date", "total_events", "unique_sessions"]
+        daily = self._mart("daily_metrics")
+        if daily is not None:
+            return daily.select(*cols).orderBy(*order).limit(n)
+        base = self.events.select(F.col("event_date_str").alias("event_date"), "session_id")
+        return top_k_with_distinct(base, ["event_date"], [F.count(F.lit(1)).alias("total_events")],
+                                   order, n, distinct="session_id",
+                                   distinct_name="unique_sessions", columns=cols)
 
     # The mart keeps products by id; the base route groups by (product, category)
     def top_products(self, n: int = 10) -> DataFrame:
@@ -74,14 +82,16 @@ class Report:
                      round2(F.avg("price")).alias("avg_price"))
                 .orderBy(F.desc("total_revenue"), F.asc_nulls_last("category_name")))
 
-    # R5
+    # From raw events, sessions are counted only for the top n countries
     def top_countries(self, n: int = 10) -> DataFrame:
+        order = [F.desc("total_events"), F.asc_nulls_last("country")]
         mart = self._mart("country_metrics")
-        if mart is None:
-            mart = (self.events.groupBy("country")
-                    .agg(F.count(F.lit(1)).alias("total_events"),
-                         F.count_distinct("session_id").alias("unique_sessions")))
-        return mart.orderBy(F.desc("total_events"), F.asc_nulls_last("country")).limit(n)
+        if mart is not None:
+            return mart.orderBy(*order).limit(n)
+        return top_k_with_distinct(self.events.select("country", "session_id"), ["country"],
+                                   [F.count(F.lit(1)).alias("total_events")], order, n,
+                                   distinct="session_id", distinct_name="unique_sessions",
+                                   columns=["country", "total_events", "unique_sessions"])
 
     # R6
     def session_depth(self, n: int = 20) -> DataFrame:
