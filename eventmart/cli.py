@@ -29,7 +29,7 @@ from eventmart.streaming.ingest import start_ingest
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="eventmart")
-    p.add_argument("--master", default=None, help="Spark master (default: local[BENCH_CPUS|8])")
+    p.add_argument("--master", default=None, help="Spark master (default: spark-submit's, else local[BENCH_CPUS|8])")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     s = sub.add_parser("etl")

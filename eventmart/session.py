@@ -15,19 +15,29 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, app: str = "eventmart",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
-    master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+    """Session for tests, the bench and the command line.
+
+    Under ``spark-submit`` (no ``master`` given), the submit's master and the
+    cluster's sizing (shuffle partitions, memory) are kept; only AQE and the
+    session zone are set.  Otherwise a ``local[BENCH_CPUS|8]`` session is
+    built with test-sized settings."""
+    submitted = master is None and "PYSPARK_GATEWAY_PORT" in os.environ
     builder = (
-        SparkSession.builder.master(master).appName(app)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
+        SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
     )
+    if not submitted:
+        builder = (
+            builder.master(master or f"local[{os.environ.get('BENCH_CPUS', '8')}]")
+            .config("spark.ui.enabled", "false")
+            .config("spark.ui.showConsoleProgress", "false")
+            .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+            .config("spark.driver.memory", "16g")
+        )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
