@@ -1,5 +1,6 @@
 """Invariants across APIs and routes on the benchmark tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventmart.operators import jobs, marts
@@ -67,7 +68,8 @@ def test_shared_dir_is_the_session_checkpoint_dir(spark):
     assert run_dir(spark, "x") != run_dir(spark, "x")
 
 
-def test_top_k_with_distinct_matches_direct_form(spark):
+@pytest.mark.parametrize("max_broadcast_rows", [100_000, 2])
+def test_top_k_with_distinct_matches_direct_form(spark, max_broadcast_rows):
     """Top-k first, then distinct counts for those groups only: same rows as
     the direct aggregate, with a null key, a hot key and ties."""
     from pyspark.sql import functions as F
@@ -79,7 +81,8 @@ def test_top_k_with_distinct_matches_direct_form(spark):
         (F.col("id") % 17).alias("s"))
     order = [F.desc("n"), F.asc_nulls_last("p")]
     got = top_k_with_distinct(df, ["p"], [F.count(F.lit(1)).alias("n")], order, 6,
-                              distinct="s", distinct_name="u", columns=["p", "n", "u"])
+                              distinct="s", distinct_name="u", columns=["p", "n", "u"],
+                              max_broadcast_rows=max_broadcast_rows)
     want = (df.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("s").alias("u"))
             .orderBy(*order).limit(6))
     assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.collect()]
