@@ -321,6 +321,12 @@ _DIRECT["etl_map_columns"] = (
 _DIRECT["etl_drop_duplicates"] = (
     lambda spark, sf: etl_runs.etl_step(spark, sf, "drop_duplicates"), "clickstream_typed",
     "SELECT DISTINCT * FROM ev")
+_DIRECT["etl_trim"] = (
+    lambda spark, sf: etl_runs.etl_step(spark, sf, "trim"), "clickstream_typed",
+    "SELECT session_id, trim(event_type) AS event_type, product_id, country FROM ev")
+_DIRECT["etl_derived_columns"] = (
+    lambda spark, sf: etl_runs.etl_step(spark, sf, "derived_columns"), "etl_clickstream",
+    "SELECT session_id, event_time, event_hour, event_month, day_of_week FROM ev")
 _DIRECT["etl_event_time"] = (
     lambda spark, sf: etl_runs.etl_step(spark, sf, "event_time"), "etl_clickstream",
     "SELECT session_id, event_type, event_time, event_date FROM ev")

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.operators.etl import (
-    build_event_datetime, clean_events, drop_duplicate_rows, etl_metrics_frame,
-    read_events_file, run_etl, trim_text,
+    add_derived_columns, build_event_datetime, clean_events, drop_duplicate_rows,
+    etl_metrics_frame, read_events_file, run_etl, trim_text,
 )
 from eventmart.plans.queries import run_query
 from eventmart.session import run_dir
@@ -178,17 +178,25 @@ def _typed_export(spark: SparkSession, raw: DataFrame, sep: str) -> DataFrame:
 
 def etl_step(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:
     """One stage of the clickstream ETL: ``map_columns`` (scan, map, type),
-    ``drop_duplicates``, ``event_time`` (after dedup and trim) or
-    ``fill_missing`` (the whole cleaning, before the write)."""
+    ``drop_duplicates``, ``trim`` (after dedup), ``event_time`` (after dedup
+    and trim), ``derived_columns`` (hour, month, weekday) or ``fill_missing``
+    (the whole cleaning, before the write)."""
     typed = _typed_export(spark, clickstream_raw(spark, sf_dir), ",")
     if step == "map_columns":
         return typed
     if step == "drop_duplicates":
         return drop_duplicate_rows(typed)
+    if step == "trim":
+        return (typed.transform(drop_duplicate_rows).transform(trim_text)
+                .select("session_id", "event_type", "product_id", "country"))
     if step == "event_time":
         return (typed.transform(drop_duplicate_rows).transform(trim_text)
                 .transform(build_event_datetime)
                 .select("session_id", "event_type", "event_time", "event_date"))
+    if step == "derived_columns":
+        return (typed.transform(drop_duplicate_rows).transform(trim_text)
+                .transform(build_event_datetime).transform(add_derived_columns)
+                .select("session_id", "event_time", "event_hour", "event_month", "day_of_week"))
     if step == "fill_missing":
         return clean_events(typed).select("session_id", "event_type", "country", "price",
                                           "category_id", "category_name", "event_date_str")
