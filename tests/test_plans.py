@@ -105,12 +105,13 @@ def test_no_registered_query_broadcasts_or_reads_unused_columns(spark):
     import re
     import __spark_entry__ as E
     queries = E.queries()
-    keys = [k for k in queries if k.startswith(("q_", "sales_", "mr_"))]
-    assert len(keys) >= 25
+    keys = [k for k in queries if k.startswith(("q_", "sales_", "mr_"))
+            or (k.startswith("report_") and k.endswith("_base"))]
+    assert len(keys) >= 30
     full = {len(spark.read.parquet(f"{SF001}/{t}.parquet").columns) for t in ("events", "lineitem")}
     for key in keys:
         p = plan(queries[key](spark, SF001))
-        if key.endswith("top_products"):
+        if key.endswith(("top_products", "top_countries_base", "first_days_base")):
             # every broadcast side has a top-k below it (bounded by k rows)
             subtrees = _subtrees(p, "BroadcastExchange")
             assert subtrees, key
