@@ -5,8 +5,9 @@
 not involve the distinct count (top products by views), the k groups are
 picked first from a plain aggregate, which is partially aggregated per task.
 The distinct count is then computed only over the events of those k groups.
-A broadcast join selects those events, and the broadcast side is the k-row
-result, so its size is bounded by ``k``.  That bound is checked against
+A broadcast join selects those events and tags them with their group's
+aggregates; the broadcast side is the k-row result, so its size is bounded
+by ``k``.  That bound is checked against
 ``MAX_BROADCAST_ROWS``, and beyond it the direct plan runs.  The events are
 scanned twice, pruned to the columns each step needs.
 """
@@ -46,10 +47,11 @@ def top_k_with_distinct(events: DataFrame, keys: list[str], aggs: list[Column],
                 .agg(*aggs, F.count_distinct(distinct).alias(distinct_name))
                 .select(*columns).orderBy(*order).limit(k))
     top = events.groupBy(*keys).agg(*aggs).orderBy(*order).limit(k)
-    picked = top.select(*[F.col(c).alias(f"_top_{c}") for c in keys])
-    counted = (events.join(F.broadcast(picked), _same(events, picked, keys, "_top_"), "left_semi")
-               .groupBy(*[F.col(c).alias(f"_cnt_{c}") for c in keys])
-               .agg(F.count_distinct(distinct).alias(distinct_name)))
-    return (top.join(F.broadcast(counted), _same(top, counted, keys, "_cnt_"), "left")
-            .select(*[top[c] if c in top.columns else F.col(c) for c in columns])
+    picked = top.select(*[F.col(c).alias(f"_top_{c}") for c in top.columns])
+    rows = events.select(*keys, distinct)
+    # every event of a top group, tagged with that group's aggregates
+    return (rows.join(F.broadcast(picked), _same(rows, picked, keys, "_top_"))
+            .groupBy(*[F.col(f"_top_{c}").alias(c) for c in top.columns])
+            .agg(F.count_distinct(distinct).alias(distinct_name))
+            .select(*columns)
             .orderBy(*order))
