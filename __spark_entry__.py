@@ -10,6 +10,7 @@ Every query reads whole benchmark tables through an adapter
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -350,6 +351,19 @@ def _bind(adapter: str, fn) -> QueryFn:
     return run
 
 
+# The text operators live in a subpackage of their own, which may be absent.
+_LLM, _LLM_SQL = {}, {}
+if importlib.util.find_spec("eventmart.llm") is not None:
+    from eventmart.llm import registry as _llm
+    _LLM.update(_llm.QUERIES)
+    _LLM_SQL.update(_llm.SQL)
+if importlib.util.find_spec("corpus_pipeline") is not None:
+    import corpus_pipeline as _pipeline
+    _LLM["pipeline"] = _pipeline.run
+    if _pipeline.ORACLE_SQL is not None:
+        _LLM_SQL["pipeline"] = _pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: revenue by category over the clickstream events at sf0.001."""
     return run_query(spark, ADAPTERS["clickstream"](spark, FLAGSHIP_SF), "revenue_by_category")
@@ -358,11 +372,11 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, QueryFn]:
     out = {key: _bind(adapter, fn) for key, (adapter, fn, _) in _REG.items()}
     out.update({key: fn for key, (fn, _, _) in _DIRECT.items()})
-    return out
+    return out | _LLM
 
 
 def oracle_sql() -> dict[str, str]:
     out = {key: oracle.with_ev(adapter, body)
            for key, (adapter, _, body) in _REG.items() if body is not None}
     out.update({key: oracle.with_ev(ev, body) for key, (_, ev, body) in _DIRECT.items()})
-    return out
+    return out | _LLM_SQL
