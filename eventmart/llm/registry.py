@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from eventmart.llm import decontaminate, line_dedup, quality, toxicity
+from eventmart.llm import decontaminate, line_dedup, packing, plane_files, quality, sharding, toxicity
 
 QUERIES = {
     "op2_quality_rules": quality.op2_quality_rules,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
+    "op6_token_planes": plane_files.op6_token_planes,
+    "op7_histogram_shards": sharding.op7_histogram_shards,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
