@@ -94,3 +94,50 @@ def block_rows(positions: np.ndarray, bits: int) -> list[tuple[int, bytes]]:
     edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, np.int64)
     ends = np.r_[edge[1:], len(block)]
     return [(int(block[a]), (positions[a:b] % BLOCK_BITS).astype("<u4").tobytes()) for a, b in zip(edge, ends, strict=True)]
+
+
+def _or_blocks(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(BLOCK_BITS, bool)
+    for batch in batches:
+        for x in batch.column("offsets"):
+            bits[np.frombuffer(x.as_py(), "<u4")] = True
+    yield pa.RecordBatch.from_pydict({"block": pa.array([key[0].as_py()], pa.int64()), "bitmap": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+
+def key_filter(keys: DataFrame) -> tuple[int, np.ndarray]:
+    """A Bloom filter of the 64-bit keys in the only column of ``keys``: size in bits and bitmap, 64 MB at most."""
+    from eventmart.llm.textvec import mix
+    bits = filter_bits(keys.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = mix(batch.column(0).to_numpy().astype(np.int64).view(np.uint64))
+            rows = block_rows(np.unique(probes(h, bits)), bits)
+            if rows:
+                yield pa.RecordBatch.from_pydict({"block": pa.array([r[0] for r in rows], pa.int64()), "offsets": pa.array([r[1] for r in rows], pa.binary())})
+
+    merged = keys.mapInArrow(run, "block long, offsets binary").groupBy("block").applyInArrow(_or_blocks, "block long, bitmap binary")
+    bitmap = np.zeros(bits // 8, np.uint8)
+    for row in merged.toLocalIterator():
+        at = row["block"] * BLOCK_BITS // 8
+        bitmap[at: at + BLOCK_BITS // 8] = np.frombuffer(row["bitmap"], np.uint8)
+    return bits, bitmap
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest node reachable over edges (a, b), for every node with an edge.
+
+    Large-star and small-star rounds on the edge table until it no longer changes; every round is written,
+    so that plans stay short and lost executors cost one round."""
+    current, mark = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"), None
+    while True:
+        both = current.union(current.select("b", "a")).toDF("u", "v")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = large.groupBy("u").agg(F.min("v").alias("m"))
+        linked = large.join(small, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b").union(small.select("u", "m"))
+        current = stage(linked.distinct(), "edges")
+        now = tuple(current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if now == mark:
+            return current.select(F.col("a").alias("node"), F.col("b").alias("component")).union(current.select("b", "b").distinct())
+        mark = now

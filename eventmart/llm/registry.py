@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventmart.llm import decontaminate, line_dedup, packing, plane_files, quality, sharding, toxicity
+from eventmart.llm import decontaminate, jaccard_join, line_dedup, packing, plane_files, quality, sharding, toxicity
 
 QUERIES = {
     "op2_quality_rules": quality.op2_quality_rules,
@@ -10,10 +10,12 @@ QUERIES = {
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_token_planes": plane_files.op6_token_planes,
     "op7_histogram_shards": sharding.op7_histogram_shards,
+    "op8_jaccard_join": jaccard_join.op8_jaccard_join,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 SQL = {
     "op5_benchmark_decontamination": decontaminate.OP5_SQL,
+    "op8_jaccard_join": jaccard_join.OP8_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
 }
