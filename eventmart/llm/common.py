@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import math
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +17,19 @@ from pyspark.sql import functions as F
 from eventmart.session import run_dir
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package where they would not find it: neither on ``PYTHONPATH`` nor in the folder
+    that Python starts in.  (A cluster job that passes it with ``--py-files`` has it on the path.)"""
+    package = Path(__file__).resolve().parents[1]
+    root = str(package.parent)
+    sc = spark.sparkContext
+    places = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    if root in places or f"{package.name}.zip" in sc._python_includes:
+        return
+    folder = tempfile.mkdtemp(prefix=f"{package.name}-code-")
+    sc.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", root, package.name))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -3,6 +3,14 @@
 from __future__ import annotations
 
 from eventmart.llm import decontaminate, jaccard_join, line_dedup, packing, plane_files, quality, sharding, toxicity
+from eventmart.llm.common import ship_code
+
+def _shipped(query):
+    def run(spark, sf_dir):
+        ship_code(spark)
+        return query(spark, sf_dir)
+    return run
+
 
 QUERIES = {
     "op2_quality_rules": quality.op2_quality_rules,
@@ -14,6 +22,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
+QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
 SQL = {
     "op5_benchmark_decontamination": decontaminate.OP5_SQL,
     "op8_jaccard_join": jaccard_join.OP8_SQL,
