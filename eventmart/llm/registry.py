@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventmart.llm import decontaminate, jaccard_join, line_dedup, packing, plane_files, quality, sharding, toxicity
+from eventmart.llm import decontaminate, jaccard_join, licenses, line_dedup, packing, plane_files, quality, sharding, surrogates, toxicity
 from eventmart.llm.common import ship_code
 
 def _shipped(query):
@@ -13,8 +13,10 @@ def _shipped(query):
 
 
 QUERIES = {
+    "op1_surrogates": surrogates.op1_surrogates,
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_license_scan": licenses.op4_license_scan,
     "op5_benchmark_decontamination": decontaminate.op5_benchmark_decontamination,
     "op6_token_planes": plane_files.op6_token_planes,
     "op7_histogram_shards": sharding.op7_histogram_shards,
