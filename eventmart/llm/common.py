@@ -107,8 +107,10 @@ def in_filter(h: np.ndarray, bits: int, bitmap: np.ndarray) -> np.ndarray:
 
 def block_rows(positions: np.ndarray, bits: int) -> list[tuple[int, bytes]]:
     """Ascending bit positions as (block, offsets in the block) rows."""
+    if not len(positions):
+        return []
     block = (positions // BLOCK_BITS).astype(np.int64)
-    edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, np.int64)
+    edge = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
     ends = np.r_[edge[1:], len(block)]
     return [(int(block[a]), (positions[a:b] % BLOCK_BITS).astype("<u4").tobytes()) for a, b in zip(edge, ends, strict=True)]
 
