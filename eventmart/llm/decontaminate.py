@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 from eventmart.llm.common import column, stage, table, take
 
 MAX_CHARS = 4_000_000
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Words of the text as it stands, capitals included.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Letters to lower case, every byte that is no part of a word to a space.
 _NORMAL = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
