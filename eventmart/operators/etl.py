@@ -1,45 +1,51 @@
-"""ETL: delimited event file -> canonical, cleaned events -> day-partitioned lake.
+"""ETL: delimited event files -> canonical, cleaned events -> day-partitioned lake.
 
-``run_etl`` chains the steps below into ONE lazy plan and one write:
+``run_etl`` chains the steps below into one lazy plan and one write:
 
-  scan (text) -> map columns -> validate -> type columns -> drop duplicate rows
+  scan (text) -> map columns -> validate -> declared types -> drop duplicate rows
   -> trim text -> event time/date -> derived columns -> fill missing -> write
 
-Only the duplicate drop shuffles (a hash aggregate on all columns, partially
+Two steps shuffle: the duplicate drop (a hash aggregate on all columns, partially
 aggregated in every map task, so a row repeated a billion times costs one row
-per task).  Typing costs one extra aggregate pass unless types are given.
-Metrics are collected with ``DataFrame.observe`` during the write itself.
+per task) and the write, which is rebalanced by day.  Metrics are collected with
+``DataFrame.observe`` during the write itself.
+
+Malformed rows (see ``sources.delimited``) stop the run, before anything is written, unless a ``quarantine``
+folder is given: they are then written there with their text, and counted.
 
 Deliberate differences from a pandas implementation of the same steps:
 missing text stays null rather than the text ``nan`` and is then filled with
 ``unknown``; a missing time leaves ``event_month``/``event_date_str`` null (not
-``NaT``); a bare ``date`` column is parsed (not overwritten with nulls); a
-re-run replaces the days it writes instead of adding copies.
+``NaT``); a bare ``date`` column is parsed (not overwritten with nulls); column types are
+declared, not guessed from the data; a rerun of an input replaces its own rows instead of adding copies.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.functions.expressions import as_double, category_label
-from eventmart.functions.naming import (
-    OPTIONAL_COLUMNS, REQUIRED_COLUMNS, column_plan, count_separator,
-)
+from eventmart.functions.naming import OPTIONAL_COLUMNS, REQUIRED_COLUMNS, column_plan
 from eventmart.sources import delimited
-from eventmart.sources.lake import PARTITION_COLUMN, read_lake, write_lake
+from eventmart.sources.delimited import BAD_ROW, Layout
+from eventmart.sources.lake import PARTITION_COLUMN, source_folder, write_lake
 
-# Extra timestamp layouts tried after Spark's own ISO parsing.
-TIMESTAMP_FORMATS = [
-    "yyyy/MM/dd HH:mm:ss", "yyyy/MM/dd HH:mm", "yyyy/MM/dd",
-    "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy",
-    "dd.MM.yyyy HH:mm:ss", "dd.MM.yyyy",
-]
+# Columns whose missing numbers become 0, and whose missing labels become "unknown".
 PRICE_COLUMNS = ["price", "price_secondary"]
 LABEL_COLUMNS = ["country", "device", "event_type", "colour", "location"]
 
+#: Date layouts besides ISO, as (pattern, ISO form): year first, month first with slashes, day first with points.
+DATE_LAYOUTS = [
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})", "$1-$2-$3"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})", "$3-$1-$2"),
+    (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})", "$3-$2-$1"),
+]
+
 
 class SchemaError(ValueError):
     """A required column is missing after header mapping."""
@@ -47,11 +53,6 @@ class SchemaError(ValueError):
 
 # -- schema ----------------------------------------------------------------
 
-def map_columns(df: DataFrame, header: list[str]) -> DataFrame:
-    """Positional text columns -> canonical names (first of an alias group wins)."""
-    return df.select(*[F.col(df.columns[i]).alias(name) for i, name in column_plan(header)])
-
-
 def validate_schema(columns) -> list[str]:
     """Raise if a required column is missing; return missing optional columns."""
     missing = [c for c in REQUIRED_COLUMNS if c not in columns]
@@ -73,6 +74,16 @@ def column_profile(df: DataFrame) -> DataFrame:
         f"stack({len(OPTIONAL_COLUMNS)}, {stack}) AS (column_name, present, non_null_rows, purpose)")
 
 
+def schema_report(df: DataFrame) -> DataFrame:
+    """``(column_name, required, present, type, non_null_rows)`` of the required and optional columns, from one aggregate."""
+    types, wanted = dict(df.dtypes), [*REQUIRED_COLUMNS, *OPTIONAL_COLUMNS]
+    counts = df.agg(*[F.count(c).alias(c) for c in wanted if c in types])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(c in REQUIRED_COLUMNS).alias("required"), F.lit(c in types).alias("present"),
+                     F.lit(types.get(c)).cast("string").alias("type"), (F.col(c) if c in types else F.lit(0).cast("bigint")).alias("non_null_rows"))
+            for c in wanted]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 # -- cleaning --------------------------------------------------------------
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:
@@ -84,10 +95,11 @@ def trim_text(df: DataFrame) -> DataFrame:
 
 
 def _parse_timestamp(c) -> F.Column:
-    s = F.trim(F.col(c).cast("string"))
-    return F.coalesce(
-        s.try_cast("timestamp_ntz"),
-        *[F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz") for fmt in TIMESTAMP_FORMATS])
+    """Text -> time as written; no time zone is involved."""
+    text = F.trim(F.col(c).cast("string"))
+    for pattern, iso in DATE_LAYOUTS:
+        text = F.regexp_replace(text, pattern, iso)
+    return text.try_cast("timestamp_ntz")
 
 
 def _whole_number(df: DataFrame, c: str) -> F.Column:
@@ -160,38 +172,63 @@ def clean_events(df: DataFrame) -> DataFrame:
 @dataclass
 class EtlResult:
     output_path: str
-    separator: str
-    header: list[str]
-    types: dict[str, str]
+    source: str
+    layouts: list[Layout]
     missing_optional: list[str]
     metrics: dict = field(default_factory=dict)
 
+    @property
+    def separator(self) -> str:
+        """The separator, where all files have the same."""
+        (sep,) = {x.sep for x in self.layouts}
+        return sep
+
+
+def _paths(paths) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
+
+
+def source_name(paths) -> str:
+    """Source id of an input by its paths: the last name, readable, and a digest of them all."""
+    paths = sorted(_paths(paths))
+    name = re.sub(r"[^A-Za-z0-9]+", "-", paths[0].rstrip("/").rsplit("/", 1)[-1]).strip("-")
+    return f"{name[:40]}-{hashlib.sha256(chr(10).join(paths).encode()).hexdigest()[:12]}"
+
+
+def read_events_file(spark: SparkSession, paths, sep: str | None = None, multi_line: bool = False):
+    """Scan, map, validate and type an input.  Returns (typed frame with ``BAD_ROW``, layouts, missing optional columns)."""
+    found = delimited.layouts(spark, _paths(paths), sep)
+    for x in found:
+        validate_schema([c for _, c in column_plan(list(x.header))])
+    typed = delimited.read_layouts(spark, found, multi_line)
+    return typed, found, validate_schema(typed.columns)
+
 
-def read_events_file(spark: SparkSession, path: str, sep: str | None = None,
-                     types: dict[str, str] | None = None):
-    """Scan + map + validate + type.  Returns (typed frame, sep, header, types, missing)."""
-    line = delimited.first_line(spark, path)
-    sep = sep or count_separator(line)
-    header = delimited.parse_header(line, sep)
-    text = map_columns(delimited.scan_text(spark, path, sep, len(header)), header)
-    missing = validate_schema(text.columns)
-    types = types if types is not None else delimited.profile_types(text)
-    return delimited.apply_types(text, types), sep, header, types, missing
+def well_formed(typed: DataFrame, fail: bool = True) -> DataFrame:
+    """The rows that fit their header; another row fails the job, or is left out."""
+    bad = F.col(BAD_ROW).isNotNull()
+    if fail:
+        stop = F.raise_error(F.concat(F.lit("malformed row: "), F.col(BAD_ROW))).cast("boolean")
+        return typed.filter(F.when(bad, stop).otherwise(F.lit(True))).drop(BAD_ROW)
+    return typed.filter(~bad).drop(BAD_ROW)
 
 
-def run_etl(spark: SparkSession, input_path: str, output_path: str, *,
-            sep: str | None = None, types: dict[str, str] | None = None) -> EtlResult:
-    typed, sep, header, types, missing = read_events_file(spark, input_path, sep, types)
+def run_etl(spark: SparkSession, input_path, output_path: str, *, source: str | None = None, sep: str | None = None,
+            quarantine: str | None = None, multi_line: bool = False) -> EtlResult:
+    """Add an input (a path or several) to a lake.  ``source`` names it; a rerun under the same name replaces
+    its rows.  Malformed rows go to ``quarantine``, or fail the run."""
+    source = source or source_name(input_path)
+    typed, found, missing = read_events_file(spark, input_path, sep, multi_line)
 
     read_obs = Observation("rows_read")
-    typed = typed.observe(read_obs, F.count(F.lit(1)).alias("rows_read"))
-    derived = (typed.transform(drop_duplicate_rows).transform(trim_text)
+    typed = typed.observe(read_obs, F.count(F.lit(1)).alias("rows_read"), F.count(BAD_ROW).alias("rows_malformed"))
+    derived = (well_formed(typed, fail=quarantine is None).transform(drop_duplicate_rows).transform(trim_text)
                .transform(build_event_datetime).transform(add_derived_columns))
     fill_obs = Observation("filled")
     derived = derived.observe(
         fill_obs, F.lit(0).alias("_"),
         *[F.count_if(F.col(c).isNull()).alias(f"{c}_filled")
-          for c in PRICE_COLUMNS if c in derived.columns])
+          for c in PRICE_COLUMNS + LABEL_COLUMNS if c in derived.columns])
     out_obs = Observation("rows_written")
     events = (derived.transform(fill_missing).transform(add_partition_key)
               .observe(out_obs,
@@ -199,22 +236,24 @@ def run_etl(spark: SparkSession, input_path: str, output_path: str, *,
                        F.min("event_date").alias("min_date"),
                        F.max("event_date").alias("max_date"),
                        F.count_if(F.col("event_date").isNull()).alias("rows_without_date")))
-    write_lake(events, output_path)
+    write_lake(events, output_path, source)
 
     metrics = {**read_obs.get, **{k: v for k, v in fill_obs.get.items() if k != "_"}, **out_obs.get}
-    metrics["duplicates_dropped"] = metrics["rows_read"] - metrics["rows_written"]
-    return EtlResult(output_path, sep, header, types, missing, metrics)
+    metrics["duplicates_dropped"] = metrics["rows_read"] - metrics["rows_malformed"] - metrics["rows_written"]
+    if metrics["rows_malformed"]:
+        (delimited.read_layouts(spark, found, multi_line).filter(F.col(BAD_ROW).isNotNull())
+         .select(F.col(BAD_ROW).alias("line")).write.mode("overwrite").parquet(source_folder(quarantine, source)))
+    return EtlResult(output_path, source, found, missing, metrics)
 
 
 def etl_metrics_frame(spark: SparkSession, result: EtlResult) -> DataFrame:
-    """The run's metrics as one row, with the written day count from the lake."""
+    """The run's metrics as one row; its days are counted in the folder it wrote."""
     m = result.metrics
-    days = read_lake(spark, result.output_path).agg(
+    days = spark.read.parquet(source_folder(result.output_path, result.source)).agg(
         F.count_distinct(PARTITION_COLUMN).alias("partitions"))
+    counted = [k for k in m if k in ("rows_read", "rows_malformed", "duplicates_dropped", "rows_written", "rows_without_date") or k.endswith("_filled")]
     return days.select(
-        F.lit(m["rows_read"]).cast("bigint").alias("rows_read"),
-        F.lit(m["duplicates_dropped"]).cast("bigint").alias("duplicates_dropped"),
-        F.lit(m["rows_written"]).cast("bigint").alias("rows_written"),
+        *[F.lit(m[k]).cast("bigint").alias(k) for k in counted],
         F.col("partitions"),
         F.lit(m["min_date"]).cast("date").alias("min_date"),
         F.lit(m["max_date"]).cast("date").alias("max_date"),

@@ -13,26 +13,22 @@ values of one key -> one result.  Spark does the shuffle.
     partial states and finishes per key, so a key holding a third of all rows
     costs no more than any other; or
   - ``Combine(combine, finish)`` for a Python reduce.  ``combine`` must be
-    associative (its output has the value columns again).  It runs as a tree:
-    once per map task over that task's pairs (held partials are combined each
-    time they reach ``flush_rows`` rows, and emitted early if that does not
-    halve them), then on ``(key, salt)`` with ``fanout`` salts, then once per
-    key over at most ``fanout`` partials, where ``finish`` shapes the result.
-    The last two levels read their shuffle sorted by key and stream it group
-    by group.  No task ever holds a key's full value list or a whole
-    partition.
+    associative and commutative (the order of partial results is the shuffle's); its output has the value columns
+    again.  Every Arrow batch of pairs is combined where it is made; partial results of ``FAN_IN`` neighbouring
+    map tasks meet first, then those of the whole key, both in grouped iterators, so that no task holds a
+    key's values at once, and a hot key is spread over as many tasks as there are map tasks to ``FAN_IN``.
   A reduce that is not associative (exact distinct counts, medians) belongs in
   the Column form (``F.count_distinct``, ``F.percentile``), which Spark plans
   with its own two-level shuffle.
 
 ``phase_outputs`` gives the map/shuffle/reduce views of a job as DataFrames
-(first pairs, values per key, JSON-encoded results) and ``save_phase_outputs``
-writes them as CSV.
+(all pairs, values per key, JSON-encoded results) and ``save_phase_outputs``
+writes them as CSV.  A job with an ``output_dir`` maps once: its pairs are written, and everything else reads them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -43,61 +39,38 @@ from pyspark.sql.types import IntegerType, StructType
 
 from eventmart.operators.sinks import write_csv
 
-MAP_SAMPLE_PAIRS = 5000  # pairs kept in the map-phase output, as the reference keeps
+#: Map tasks whose partial results of a key meet in one task.
+FAN_IN = 32
 
 
 def per_row(fn: Callable[[dict], Iterable[tuple]], value_names: list[str] | None = None):
-    """Adapt ``fn(row) -> iterable of (key, value)`` to a batch mapper.
+    """Adapt ``fn(row) -> iterable of (key, value)`` to a batch mapper: the slow path, one Python call a row.
 
     ``row`` is a dict (so ``row.get(name, default)`` works).  With
     ``value_names``, tuple values are spread over those value columns.
     """
     def mapper(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, values = [], []
-        for row in pdf.to_dict("records"):
-            for k, v in fn(row) or ():
-                keys.append(k)
-                values.append(v)
+        pairs = [pair for row in pdf.to_dict("records") for pair in fn(row) or ()]
+        keys = [k for k, _ in pairs]
         if value_names:
-            cols = {n: [v[i] for v in values] for i, n in enumerate(value_names)}
-            return pd.DataFrame({"key": keys, **cols})
-        return pd.DataFrame({"key": keys, "value": values})
+            return pd.DataFrame([v for _, v in pairs], columns=value_names).assign(key=keys)[["key", *value_names]]
+        return pd.DataFrame({"key": keys, "value": [v for _, v in pairs]})
     return mapper
 
 
 @dataclass
 class Combine:
-    """Associative Python reduce, run as a tree (see module doc)."""
+    """Associative and commutative Python reduce (see module doc)."""
 
     combine: Callable[[object, pd.DataFrame], dict]
     finish: Callable[[object, dict], dict] | None = None
     result_schema: str | None = None  # DDL of finish's output (without key)
-    fanout: int = 32
-    flush_rows: int = 100_000  # partial rows a map task holds before combining or emitting them
 
 
 def _value_names(pair_schema: StructType) -> list[str]:
     return [f.name for f in pair_schema.fields if f.name != "key"]
 
 
-def _groups(pdf: pd.DataFrame):
-    """``(key, rows)`` per key; the null key (which pandas reports as NaN) is
-    given as ``None``, so a chunk holding only that group keeps its type."""
-    for key, g in pdf.groupby("key", sort=False, dropna=False):
-        yield (None if pd.isna(key) else key), g
-
-
-def _combine_frame(pdf: pd.DataFrame, names: list[str], combine) -> pd.DataFrame:
-    keys, rows = [], []
-    for key, g in _groups(pdf):
-        part = combine(key, g[names].reset_index(drop=True))
-        keys.append(key)
-        rows.append({n: part[n] for n in names})
-    out = pd.DataFrame(rows, columns=names)
-    out.insert(0, "key", pd.Series(keys, dtype=object))
-    return out
-
-
 def emit_pairs(df: DataFrame, mapper, pair_schema: str | StructType,
                columns: list[str] | None = None) -> DataFrame:
     """Map phase: ``mapper`` over Arrow batches -> pair rows.
@@ -115,94 +88,42 @@ def emit_pairs(df: DataFrame, mapper, pair_schema: str | StructType,
     return src.mapInPandas(run, pair_schema)
 
 
-def whole_groups(batches, keys: list[str]):
-    """Regroup Arrow batches that arrive sorted by ``keys`` into frames that
-    hold only complete groups.
-
-    The rows of the last group of a batch may continue in the next batch, so
-    they are carried over.  Memory is one batch plus one group, never the
-    whole partition."""
-    carry = None
-    for pdf in batches:
-        if not len(pdf):
-            continue
-        buf = pdf if carry is None else pd.concat([carry, pdf], ignore_index=True)
-        codes = buf.groupby(keys, sort=False, dropna=False).ngroup()
-        tail = (codes == codes.iloc[-1]).to_numpy()
-        carry = buf[tail].reset_index(drop=True)
-        if not tail.all():
-            yield buf[~tail]
-    if carry is not None and len(carry):
-        yield carry
-
-
-def _tree_reduce(df: DataFrame, mapper, schema: StructType, columns, red: Combine) -> DataFrame:
+def _combined(pairs: DataFrame, schema: StructType, red: Combine) -> DataFrame:
+    """Pairs -> one row a key."""
     names = _value_names(schema)
-    salted = StructType([*schema.fields]).add("salt", IntegerType())
-    src = df.select(*columns) if columns else df
+    columns = [f.name for f in schema.fields]
+    combine, finish = red.combine, red.finish
+    partial = StructType([*schema.fields]).add("part", IntegerType())
 
-    def map_and_combine(batches):
-        # Per-batch partials are held until they reach `flush_rows` rows, then
-        # combined.  If that at least halves them they are kept, else emitted:
-        # memory stays bounded even if every key is distinct, and each row is
-        # combined a bounded number of times (later levels merge the rest).
-        salt = TaskContext.get().partitionId() % red.fanout
-        parts, held = [], 0
+    def by_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = TaskContext.get().partitionId() // FAN_IN
         for pdf in batches:
-            out = mapper(pdf)
-            if out is None or not len(out):
-                continue
-            part = _combine_frame(out, names, red.combine)
-            parts.append(part)
-            held += len(part)
-            if held >= red.flush_rows:
-                merged = _combine_frame(pd.concat(parts, ignore_index=True), names, red.combine)
-                if 2 * len(merged) > red.flush_rows:
-                    yield merged.assign(salt=salt)
-                    parts, held = [], 0
-                else:
-                    parts, held = [merged], len(merged)
-        if parts:
-            last = parts[0] if len(parts) == 1 else _combine_frame(
-                pd.concat(parts, ignore_index=True), names, red.combine)
-            yield last.assign(salt=salt)
-
-    def level(batches):
-        # sorted by (key, salt): each run of whole groups combines to one row each
-        for part in whole_groups(batches, ["key", "salt"]):
-            for salt, rows in part.groupby("salt", sort=False):
-                yield _combine_frame(rows, names, red.combine).assign(salt=salt)
-
-    # level 1: partials of each map task; level 2: per (key, salt), so a hot key
-    # is combined by `fanout` tasks; level 3 below: per key, <= fanout rows.
-    # Levels 2 and 3 read their shuffle sorted by key and stream it group by
-    # group, so no task holds its whole partition.
-    partial = (src.mapInPandas(map_and_combine, salted)
-               .repartition("key", "salt")
-               .sortWithinPartitions("key", "salt")
-               .mapInPandas(level, salted))
-
-    key_field = schema["key"]
-    if red.finish is None:
-        out_schema = schema
-    else:
-        out_schema = StructType([key_field, *StructType.fromDDL(red.result_schema).fields])
-    out_names = [f.name for f in out_schema.fields]
-
-    def final(batches):
-        for part in whole_groups(batches, ["key"]):
-            keys, rows = [], []
-            for key, g in _groups(part):
-                total = red.combine(key, g[names].reset_index(drop=True))
-                keys.append(key)
-                rows.append(red.finish(key, total) if red.finish else total)
-            out = pd.DataFrame(rows, columns=[n for n in out_names if n != "key"])
-            out["key"] = pd.Series(keys, dtype=object)
-            yield out[out_names]
-
-    return (partial.repartition("key")
-            .sortWithinPartitions("key")
-            .mapInPandas(final, out_schema))
+            rows = [{"key": None if pd.isna(key) else key, **combine(None if pd.isna(key) else key, own[names].reset_index(drop=True))}
+                    for key, own in pdf.groupby("key", sort=False, dropna=False)]
+            if rows:
+                yield pd.DataFrame(rows, columns=columns).astype({"key": object}).assign(part=part)
+
+    def folded(key, batches: Iterator[pd.DataFrame]) -> dict:
+        total = None
+        for pdf in batches:
+            values = pdf[names].reset_index(drop=True)
+            total = combine(key, values if total is None else pd.concat([pd.DataFrame([total], columns=names), values], ignore_index=True))
+        return total
+
+    def by_part(group: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = None if pd.isna(group[0]) else group[0]
+        yield pd.DataFrame([{"key": key, **folded(key, batches), "part": group[1]}], columns=[*columns, "part"]).astype({"key": object})
+
+    out_schema = schema if finish is None else StructType([schema["key"], *StructType.fromDDL(red.result_schema).fields])
+
+    def by_key(group: tuple, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = None if pd.isna(group[0]) else group[0]
+        total = folded(key, batches)
+        yield pd.DataFrame([{"key": key, **(finish(key, total) if finish else total)}], columns=[f.name for f in out_schema.fields]).astype({"key": object})
+
+    return (pairs.mapInPandas(by_batch, partial)
+            .groupBy("key", "part").applyInPandas(by_part, partial)
+            .groupBy("key").applyInPandas(by_key, out_schema))
 
 
 def map_reduce(df: DataFrame, mapper, reducer, pair_schema: str | StructType, *,
@@ -210,13 +131,13 @@ def map_reduce(df: DataFrame, mapper, reducer, pair_schema: str | StructType, *,
                output_dir: str | None = None) -> DataFrame:
     """Run one map/reduce job; returns ``(key, result...)`` rows (lazy)."""
     schema = pair_schema if isinstance(pair_schema, StructType) else StructType.fromDDL(pair_schema)
-    if isinstance(reducer, Combine):
-        result = _tree_reduce(df, mapper, schema, columns, reducer)
-    else:
-        pairs = emit_pairs(df, mapper, schema, columns)
-        result = reduce_pairs(pairs, reducer)
+    pairs = emit_pairs(df, mapper, schema, columns)
+    if output_dir:
+        path = f"{output_dir.rstrip('/')}/{_safe(job_name)}_pairs"
+        pairs.write.mode("overwrite").parquet(path)
+        pairs = df.sparkSession.read.schema(schema).parquet(path)
+    result = _combined(pairs, schema, reducer) if isinstance(reducer, Combine) else reduce_pairs(pairs, reducer)
     if output_dir:
-        pairs = emit_pairs(df, mapper, schema, columns)
         save_phase_outputs(phase_outputs(pairs, result), output_dir, job_name)
     return result
 
@@ -233,15 +154,13 @@ def reduce_pairs(pairs: DataFrame, aggregates: dict[str, Column | Callable]) ->
 
 def phase_outputs(pairs: DataFrame, reduced: DataFrame) -> dict[str, DataFrame]:
     """The three inspectable phase views of a job."""
-    value_cols = [c for c in pairs.columns if c != "key"]
-    result_cols = [c for c in reduced.columns if c != "key"]
-    return {
-        "map": pairs.limit(MAP_SAMPLE_PAIRS).select(
-            "key", *[F.to_json(F.col(c)).alias(c) if isinstance(pairs.schema[c].dataType, StructType)
-                     else F.col(c) for c in value_cols]),
-        "shuffle": key_sizes(pairs),
-        "reduce": reduced_json(reduced, result_cols),
-    }
+    return {"map": map_view(pairs), "shuffle": key_sizes(pairs), "reduce": reduced_json(reduced)}
+
+
+def map_view(pairs: DataFrame) -> DataFrame:
+    """Every pair, structured values as JSON text."""
+    return pairs.select(*[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, StructType) else F.col(f.name)
+                          for f in pairs.schema.fields])
 
 
 def key_sizes(pairs: DataFrame) -> DataFrame:
@@ -257,10 +176,13 @@ def reduced_json(reduced: DataFrame, result_cols: list[str] | None = None) -> Da
     return reduced.select("key", F.to_json(F.struct(*result_cols)).alias("reduced_value"))
 
 
+def _safe(job_name: str) -> str:
+    return job_name.replace("/", "_")
+
+
 def save_phase_outputs(outputs: dict[str, DataFrame], output_dir: str, job_name: str) -> None:
-    safe = job_name.replace("/", "_")
     for phase, frame in outputs.items():
-        write_csv(frame, f"{output_dir.rstrip('/')}/{safe}_{phase}_output")
+        write_csv(frame, f"{output_dir.rstrip('/')}/{_safe(job_name)}_{phase}_output")
 
 
 def results_to_frame(reduced: DataFrame, key_col: str, value_col: str) -> DataFrame:

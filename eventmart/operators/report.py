@@ -8,6 +8,8 @@ tables have no order), with the group key as the tie-breaker.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,10 +120,40 @@ class Report:
                 return mart.dtypes
         return self.events.dtypes
 
+    def available(self) -> dict[str, bool]:
+        """Whether each section can be made: its mart is there, or the events have its columns."""
+        have = set(self.events.columns)
+        return {name: (mart is not None and self._mart(mart) is not None) or needs <= have
+                for name, (mart, needs) in SECTIONS.items()}
+
     def sections(self) -> dict[str, DataFrame]:
-        return {
-            "overview": self.overview(), "first_days": self.first_days(),
-            "top_products": self.top_products(), "categories": self.categories(),
-            "top_countries": self.top_countries(), "session_depth": self.session_depth(),
-            "daily_volume": self.daily_volume(), "category_share": self.category_share(),
-        }
+        """The sections that can be made; one whose columns are absent is left out, the others stay."""
+        return {name: getattr(self, name)() for name, there in self.available().items() if there}
+
+
+#: Sections: the mart that answers them, and the event columns they need without it.
+SECTIONS = {
+    "overview": ("daily_metrics", {"event_date_str"}),
+    "first_days": ("daily_metrics", {"event_date_str", "session_id"}),
+    "top_products": ("top_products", {"product_id", "category_name", "price"}),
+    "categories": ("category_metrics", {"category_name", "price"}),
+    "top_countries": ("country_metrics", {"country", "session_id"}),
+    "session_depth": (None, {"session_id"}),
+    "daily_volume": ("daily_metrics", {"event_date_str", "session_id"}),
+    "category_share": ("category_metrics", {"category_name"}),
+}
+
+
+def report_summary(report: Report) -> DataFrame:
+    """``(section, status, rows)`` of a report."""
+    spark = report.events.sparkSession
+    made = report.sections()
+    parts = [(made[n].agg(F.count(F.lit(1)).alias("rows")) if n in made else spark.range(1).select(F.lit(0).cast("bigint").alias("rows")))
+             .select(F.lit(n).alias("section"), F.lit("ok" if n in made else "skipped").alias("status"), "rows") for n in SECTIONS]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def schema_frame(df: DataFrame) -> DataFrame:
+    """``(position, column_name, type)`` of a frame's columns."""
+    rows = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(t).alias("type")) for i, (c, t) in enumerate(df.dtypes)])
+    return df.sparkSession.range(1).select(F.inline(rows))

@@ -17,6 +17,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_csv_if_any(df: DataFrame, path: str) -> bool:
+    """``write_csv`` for a result that has rows; says whether it has."""
+    if df.isEmpty():
+        return False
+    write_csv(df, path)
+    return True
+
+
 def read_csv(spark, path: str, schema) -> DataFrame:
     """A result written by ``write_csv``, read back with its own schema."""
     return spark.read.schema(schema).option("header", True).csv(path)

@@ -3,12 +3,9 @@
 ``COUNT(DISTINCT session_id)`` per group makes Spark shuffle every distinct
 (group, session) pair, close to the whole input.  When the top-k order does
 not involve the distinct count (top products by views), the k groups are
-picked first from a plain aggregate, which is partially aggregated per task.
-The distinct count is then computed only over the events of those k groups.
-A broadcast join selects those events and tags them with their group's
-aggregates; the broadcast side is the k-row result, so its size is bounded
-by ``k``.  That bound is checked against
-``MAX_BROADCAST_ROWS``, and beyond it the direct plan runs.  The events are
+picked first from a plain aggregate, which is partially aggregated per task, and sessions are counted
+only over the events of those k groups, keyed by nothing but the group's own columns.  The joins are plain
+joins: Spark chooses their form by size, the same plan for every k.  The events are
 scanned twice, pruned to the columns each step needs.
 """
 
@@ -26,32 +23,18 @@ def _same(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Co
                   [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys])
 
 
-# Largest k whose top list is broadcast; beyond it the direct plan runs.
-MAX_BROADCAST_ROWS = 100_000
-
-
 def top_k_with_distinct(events: DataFrame, keys: list[str], aggs: list[Column],
                         order: list[Column], k: int, distinct: str,
-                        distinct_name: str, columns: list[str],
-                        max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                        distinct_name: str, columns: list[str]) -> DataFrame:
     """The ``k`` first groups of ``events.groupBy(keys).agg(aggs)`` by ``order``,
     with ``count_distinct(distinct)`` of each as ``distinct_name``; output
     ``columns`` in that order, sorted by ``order``.  ``events`` must already
-    hold the key columns; ``order`` may not use ``distinct_name``.
-
-    The broadcast side has at most ``k`` rows.  When ``k`` exceeds
-    ``max_broadcast_rows``, the list is not broadcast; the direct plan (one
-    aggregate with the distinct count, then top-k) runs instead."""
-    if k > max_broadcast_rows:
-        return (events.groupBy(*keys)
-                .agg(*aggs, F.count_distinct(distinct).alias(distinct_name))
-                .select(*columns).orderBy(*order).limit(k))
+    hold the key columns; ``order`` may not use ``distinct_name``."""
     top = events.groupBy(*keys).agg(*aggs).orderBy(*order).limit(k)
-    picked = top.select(*[F.col(c).alias(f"_top_{c}") for c in top.columns])
+    picked = top.select(*[F.col(c).alias(f"_top_{c}") for c in keys])
     rows = events.select(*keys, distinct)
-    # every event of a top group, tagged with that group's aggregates
-    return (rows.join(F.broadcast(picked), _same(rows, picked, keys, "_top_"))
-            .groupBy(*[F.col(f"_top_{c}").alias(c) for c in top.columns])
-            .agg(F.count_distinct(distinct).alias(distinct_name))
-            .select(*columns)
-            .orderBy(*order))
+    counted = (rows.join(picked, _same(rows, picked, keys, "_top_"), "left_semi")
+               .groupBy(*[F.col(c).alias(f"_count_{c}") for c in keys])
+               .agg(F.count_distinct(distinct).alias(distinct_name)))
+    return (top.join(counted, _same(top, counted, keys, "_count_"))
+            .select(*columns).orderBy(*order))

@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from eventmart.operators.etl import (
     add_derived_columns, build_event_datetime, clean_events, drop_duplicate_rows,
-    etl_metrics_frame, read_events_file, run_etl, trim_text,
+    etl_metrics_frame, read_events_file, run_etl, schema_report, trim_text, well_formed,
 )
 from eventmart.plans.queries import run_query
 from eventmart.session import run_dir
-from eventmart.sources.lake import days_between, read_lake
+from eventmart.sources.lake import PARTITION_COLUMN, days_between, read_lake
 from eventmart.sources.tables import table
 from eventmart.streaming.ingest import start_ingest
 
@@ -106,8 +106,8 @@ def etl_clickstream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def etl_sales_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales file ingested twice into one lake: the second run replaces the days
-    it writes, so the lake holds each row once."""
+    """Sales file ingested twice into one lake: the second run replaces its own
+    rows, so the lake holds each row once."""
     work = run_dir(spark, "etl-sales")
     export_delimited(sales_raw(spark, sf_dir), f"{work}/raw", ";")
     run_etl(spark, f"{work}/raw", f"{work}/lake")
@@ -115,28 +115,162 @@ def etl_sales_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lake(spark, f"{work}/lake").select(*SALES_COLUMNS)
 
 
-def stream_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The clickstream export landing in two arrivals (events before and from
-    the middle of the time range), each ingested by one incremental streaming
-    run into the same lake.  The second run reads only the new files; copies
-    are dropped within the watermark window, which the second arrival is
-    still inside.  The lake must equal the batch ETL's."""
-    src = table(spark, sf_dir, "events")
-    bounds = src.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    split = bounds.lo + (bounds.hi - bounds.lo) / 2 if bounds.lo is not None else None
+def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The clickstream export before and from the middle of its time range."""
+    bounds = table(spark, sf_dir, "events").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     raw = clickstream_raw(spark, sf_dir)
-    early = F.col("Timestamp") < F.lit(split.strftime("%Y-%m-%d %H:%M:%S.%f")) if split else F.lit(True)
+    if bounds.lo is None:
+        return raw, raw.limit(0)
+    split = bounds.lo + (bounds.hi - bounds.lo) / 2
+    early = F.col("Timestamp") < F.lit(split.strftime("%Y-%m-%d %H:%M:%S.%f"))
+    return raw.filter(early), raw.filter(~early)
+
+
+def _streamed(spark: SparkSession, parts, work: str) -> None:
+    """Each part lands and is ingested by one incremental run."""
+    for i, part in enumerate(parts):
+        export_delimited(part, f"{work}/landing", ",", mode="overwrite" if i == 0 else "append")
+        start_ingest(spark, f"{work}/landing", f"{work}/lake", f"{work}/checkpoint").awaitTermination()
+
+
+def stream_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clickstream export landing in two arrivals, each ingested by one incremental streaming
+    run into the same lake.  The second run reads only the new files.  The lake must equal the batch ETL's."""
     work = run_dir(spark, "stream-clickstream")
-    landing, lake, ckpt = f"{work}/landing", f"{work}/lake", f"{work}/checkpoint"
-    layout = {}
-    for i, part in enumerate((raw.filter(early), raw.filter(~early))):
-        export_delimited(part, landing, ",", mode="overwrite" if i == 0 else "append")
-        if not layout:
-            # the first arrival fixes header, separator and column types (one profile)
-            _, sep, header, types, _ = read_events_file(spark, landing)
-            layout = {"sep": sep, "header": header, "types": types}
-        start_ingest(spark, landing, lake, ckpt, **layout).awaitTermination()
-    return read_lake(spark, lake).select(*CLICKSTREAM_COLUMNS)
+    _streamed(spark, _halves(spark, sf_dir), work)
+    return read_lake(spark, f"{work}/lake").select(*CLICKSTREAM_COLUMNS)
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half arrives first: every row of the second arrival is late, by two weeks, and none is lost."""
+    work = run_dir(spark, "stream-late")
+    _streamed(spark, reversed(_halves(spark, sf_dir)), work)
+    return read_lake(spark, f"{work}/lake").select(*CLICKSTREAM_COLUMNS)
+
+
+def stream_then_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One half streamed, the other added by the batch ETL to the same lake."""
+    work = run_dir(spark, "stream-batch")
+    early, late = _halves(spark, sf_dir)
+    _streamed(spark, [early], work)
+    export_delimited(late, f"{work}/raw", ",")
+    run_etl(spark, f"{work}/raw", f"{work}/lake")
+    return read_lake(spark, f"{work}/lake").select(*CLICKSTREAM_COLUMNS)
+
+
+def etl_two_inputs_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of all days split over two inputs of one lake, by event number: each adds its rows to every day."""
+    work = run_dir(spark, "etl-two")
+    raw = clickstream_raw(spark, sf_dir)
+    for name, part in (("even", raw.filter("Page % 2 = 0")), ("odd", raw.filter("Page % 2 <> 0"))):
+        export_delimited(part, f"{work}/{name}", ",")
+        run_etl(spark, f"{work}/{name}", f"{work}/lake")
+    return read_lake(spark, f"{work}/lake").select(*CLICKSTREAM_COLUMNS)
+
+
+def etl_undated_two_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two inputs without any readable time, one run twice: their undated rows stand side by side."""
+    work = run_dir(spark, "etl-undated")
+    raw = table(spark, sf_dir, "events").select(F.col("event_id").alias("Session ID"), F.lit("no time").alias("Timestamp"), F.col("event_type").alias("Action"))
+    for name, part in (("even", raw.filter("`Session ID` % 2 = 0")), ("odd", raw.filter("`Session ID` % 2 <> 0")), ("even", raw.filter("`Session ID` % 2 = 0"))):
+        export_delimited(part, f"{work}/{name}", ",")
+        run_etl(spark, f"{work}/{name}", f"{work}/lake")
+    return read_lake(spark, f"{work}/lake").select("session_id", "event_type", "event_time", PARTITION_COLUMN)
+
+
+def _events_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("Session ID"), F.col("event_type").alias("Action"), F.col("value").alias("Price"), F.col("props").alias("Props"))
+
+
+_FILE_COLUMNS = ["session_id", "event_type", "price", "props"]
+
+
+def etl_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder, two files: other order of columns, other names for them, another separator."""
+    work = run_dir(spark, "etl-mixed")
+    raw = _events_file(spark, sf_dir)
+    export_delimited(raw.filter("`Session ID` % 2 = 0"), f"{work}/raw/a", ",")
+    other = raw.filter("`Session ID` % 2 <> 0").select("Props", F.col("Price").alias("amount"), F.col("Session ID").alias("SessionId"), F.col("Action").alias("event type"))
+    export_delimited(other, f"{work}/raw/b", ";")
+    run_etl(spark, f"{work}/raw", f"{work}/lake")
+    return read_lake(spark, f"{work}/lake").select(*_FILE_COLUMNS)
+
+
+def etl_quoted_newlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line breaks inside quotes, read with ``multi_line``."""
+    work = run_dir(spark, "etl-newlines")
+    raw = _events_file(spark, sf_dir).withColumn("Props", F.concat(F.lit('first line, "quoted"\n'), "Props"))
+    export_delimited(raw, f"{work}/raw", ",")
+    run_etl(spark, f"{work}/raw", f"{work}/lake", multi_line=True)
+    return read_lake(spark, f"{work}/lake").select(*_FILE_COLUMNS)
+
+
+def etl_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with a field too many, too few, or cut by a quote are counted and kept in the quarantine; the others are loaded."""
+    work = run_dir(spark, "etl-malformed")
+    line = F.concat_ws(",", F.col("event_id"), "event_type", "value")
+    kind = F.col("event_id") % 10
+    broken = F.when(kind == 1, F.concat(line, F.lit(",extra"))).when(kind == 2, F.concat_ws(",", "event_id", "event_type")).when(kind == 3, F.concat_ws(",", F.col("event_id"), F.lit('cut"'), F.col("value"))).otherwise(line)
+    # every part file begins with its own header line
+    rows = table(spark, sf_dir, "events").select(broken.alias("session_id,action,price"))
+    rows.write.option("header", True).option("quote", "").option("escapeQuotes", False).option("sep", "\x01").csv(f"{work}/raw")
+    result = run_etl(spark, f"{work}/raw", f"{work}/lake", quarantine=f"{work}/quarantine")
+    kept = read_lake(spark, f"{work}/lake").select(F.lit("loaded").alias("place"), F.col("session_id").alias("content"), "price")
+    bad = spark.read.parquet(f"{work}/quarantine").select(F.lit("quarantine").alias("place"), F.col("line").alias("content"), F.lit(None).cast("double").alias("price"))
+    counted = spark.range(1).select(F.lit("counted").alias("place"), F.lit(str(result.metrics["rows_malformed"])).alias("content"), F.lit(None).cast("double").alias("price"))
+    return kept.union(bad).union(counted)
+
+
+def etl_ids_with_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long numbers as ids, next to missing ones: no two ids become one, and whole numbers with gaps stay whole."""
+    work = run_dir(spark, "etl-gaps")
+    raw = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 10 != 0, (F.col("event_id") + F.lit(9007199254740992)).cast("string")).alias("Session ID"),
+        F.when(F.col("event_id") % 7 != 0, F.col("event_id") + F.lit(9007199254740992)).alias("Order"), F.col("event_id").alias("Row"))
+    export_delimited(raw, f"{work}/raw", ",")
+    run_etl(spark, f"{work}/raw", f"{work}/lake")
+    return read_lake(spark, f"{work}/lake").select("session_id", "event_sequence", "row")
+
+
+def etl_type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One input with numbers as ids, then one with letters in them, in one lake."""
+    work = run_dir(spark, "etl-drift")
+    raw = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("Session ID"), F.col("user_id").cast("string").alias("Extra"), F.col("value").alias("Price"))
+    for name, part in (("numbers", raw.filter("`Session ID` % 2 = 0")), ("letters", raw.filter("`Session ID` % 2 <> 0").withColumns({"Session ID": F.concat(F.lit("A"), "Session ID"), "Extra": F.concat("Extra", F.lit("x"))}))):
+        export_delimited(part, f"{work}/{name}", ",")
+        run_etl(spark, f"{work}/{name}", f"{work}/lake")
+    return read_lake(spark, f"{work}/lake").select("session_id", "extra", "price")
+
+
+def etl_event_time_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times in an hour that some zones skip, under a session in such a zone: they stay as written."""
+    work = run_dir(spark, "etl-zone")
+    raw = table(spark, sf_dir, "events").select(F.col("event_id").alias("Session ID"), F.concat(F.lit("03/09/2008 02:"), F.lpad((F.col("event_id") % 60).cast("string"), 2, "0"), F.lit(":00")).alias("Timestamp"))
+    export_delimited(raw, f"{work}/raw", ",")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        run_etl(spark, f"{work}/raw", f"{work}/lake")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    return read_lake(spark, f"{work}/lake").select("session_id", "event_time", "event_hour", PARTITION_COLUMN)
+
+
+def etl_bare_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date column alone, in three layouts, some unreadable: all derived columns are null there."""
+    work = run_dir(spark, "etl-date")
+    day, kind = F.to_date("ts"), F.col("event_id") % 4
+    text = (F.when(kind == 0, day.cast("string")).when(kind == 1, F.date_format(day, "MM/dd/yyyy"))
+            .when(kind == 2, F.date_format(day, "dd.MM.yyyy")).otherwise("never"))
+    export_delimited(table(spark, sf_dir, "events").select(F.col("event_id").alias("Session ID"), text.alias("Date")), f"{work}/raw", ",")
+    run_etl(spark, f"{work}/raw", f"{work}/lake")
+    return read_lake(spark, f"{work}/lake").select("session_id", "event_time", "event_date", "event_hour", "event_month", "day_of_week")
+
+
+def etl_schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Required and optional columns of the raw clickstream file, and whether each is there, with its type."""
+    typed = _typed_export(spark, clickstream_raw(spark, sf_dir), ",")
+    return schema_report(typed)
 
 
 SEPARATOR_NAMES = {",": "comma", ";": "semicolon", "\t": "tab", "|": "pipe"}
@@ -151,9 +285,9 @@ def etl_separators(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for sep, name in SEPARATOR_NAMES.items():
         export_delimited(src, f"{work}/{name}", sep)
-        typed, found, *_ = read_events_file(spark, f"{work}/{name}")
-        parts.append(typed.select(F.lit(name).alias("file"),
-                                  F.lit(SEPARATOR_NAMES[found]).alias("detected"), "*"))
+        typed, found, _ = read_events_file(spark, f"{work}/{name}")
+        parts.append(well_formed(typed).select(F.lit(name).alias("file"),
+                                               F.lit(SEPARATOR_NAMES[found[0].sep]).alias("detected"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -173,7 +307,7 @@ def _typed_export(spark: SparkSession, raw: DataFrame, sep: str) -> DataFrame:
     work = run_dir(spark, "etl-steps")
     export_delimited(raw, f"{work}/raw", sep)
     typed, *_ = read_events_file(spark, f"{work}/raw")
-    return typed
+    return well_formed(typed)
 
 
 def etl_step(spark: SparkSession, sf_dir: str, step: str) -> DataFrame:

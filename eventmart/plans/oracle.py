@@ -7,8 +7,6 @@ by the DuckDB form of the two adapters in ``eventmart.sources.tables``.
 
 from __future__ import annotations
 
-from eventmart.plans.queries import QUERIES
-
 CLICKSTREAM_EV = """
 SELECT user_id AS session_id,
        ts AS event_time,
@@ -47,7 +45,7 @@ FROM lineitem
 
 # What the ETL must produce from the raw files of ``plans.etl_runs``.
 ETL_CLICKSTREAM_EV = """
-SELECT user_id AS session_id,
+SELECT CAST(user_id AS VARCHAR) AS session_id,
        ts AS event_time,
        CAST(ts AS DATE) AS event_date,
        strftime(ts, '%Y-%m-%d') AS event_date_str,
@@ -67,7 +65,7 @@ FROM (SELECT *, regexp_extract(props, '([0-9]+)', 1) AS k FROM events) s
 """
 
 ETL_SALES_EV = """
-SELECT l_orderkey AS session_id,
+SELECT CAST(l_orderkey AS VARCHAR) AS session_id,
        CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS event_time,
        CAST(l_shipdate AS DATE) AS event_date,
        strftime(l_shipdate, '%Y-%m-%d') AS event_date_str,
@@ -91,10 +89,10 @@ FROM lineitem
 # each row; the export holds every row twice).
 CLICKSTREAM_TYPED_EV = """
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_time,
-       user_id AS session_id,
+       CAST(user_id AS VARCHAR) AS session_id,
        ' ' || event_type || ' ' AS event_type,
        event_id % 5 + 1 AS page_number,
-       CAST(TRY_CAST(k AS INTEGER) % 5 AS BIGINT) AS category_id,
+       CAST(TRY_CAST(k AS INTEGER) % 5 AS DOUBLE) AS category_id,
        'P' || k AS product_id,
        CASE WHEN user_id % 30 = 0 THEN NULL ELSE 'C' || CAST(user_id % 30 AS VARCHAR) END AS country,
        CASE WHEN event_type = 'error' THEN NULL ELSE value END AS price,
@@ -110,7 +108,3 @@ EV = {"clickstream": CLICKSTREAM_EV, "sales": SALES_EV,
 def with_ev(adapter: str, body: str) -> str:
     """``body`` reads ``ev``; prepend the adapter as a CTE."""
     return f"WITH ev AS ({EV[adapter].strip()})\n{body.strip()}"
-
-
-def named_query(adapter: str, name: str) -> str:
-    return with_ev(adapter, QUERIES[name].plain_sql.replace("{events}", "ev"))

@@ -13,9 +13,11 @@ deterministic.  Money is rounded with ``round2`` semantics: ``ROUND(x*100)/100``
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -61,9 +63,8 @@ GROUP BY page_number
 ORDER BY total_events DESC, page_position NULLS LAST
 """),
     # The order does not depend on the distinct count, so the top 25 groups are
-    # picked from a plain aggregate, and sessions are counted only for them: a
-    # broadcast join with at most 25 rows keeps just their events, instead of
-    # shuffling every (product, category, session) triple.
+    # picked from a plain aggregate, and sessions are counted only for them,
+    # instead of shuffling every (product, category, session) triple.
     _q("top_products", {"product_id", "category_name", "price", "session_id"}, """
 WITH top AS (
     SELECT product_id,
@@ -75,19 +76,24 @@ WITH top AS (
     GROUP BY product_id, category_name
     ORDER BY view_count DESC, product_id NULLS LAST, category_name NULLS LAST
     LIMIT 25
+), counted AS (
+    SELECT e.product_id, e.category_name, COUNT(DISTINCT e.session_id) AS unique_sessions
+    FROM {events} e
+    LEFT SEMI JOIN top t
+      ON e.product_id IS NOT DISTINCT FROM t.product_id
+     AND e.category_name IS NOT DISTINCT FROM t.category_name
+    GROUP BY e.product_id, e.category_name
 )
-SELECT /*+ BROADCAST(t) */
-       t.product_id,
+SELECT t.product_id,
        t.category_name,
        t.view_count,
-       COUNT(DISTINCT e.session_id)   AS unique_sessions,
+       c.unique_sessions,
        t.avg_price,
        t.total_revenue
-FROM {events} e
-JOIN top t
-  ON e.product_id IS NOT DISTINCT FROM t.product_id
- AND e.category_name IS NOT DISTINCT FROM t.category_name
-GROUP BY t.product_id, t.category_name, t.view_count, t.avg_price, t.total_revenue
+FROM top t
+JOIN counted c
+  ON c.product_id IS NOT DISTINCT FROM t.product_id
+ AND c.category_name IS NOT DISTINCT FROM t.category_name
 ORDER BY view_count DESC, product_id NULLS LAST, category_name NULLS LAST
 """, plain="""
 SELECT product_id,
@@ -160,6 +166,24 @@ class MissingColumns(ValueError):
     """The events frame lacks a column the query needs."""
 
 
+def run_sql_folder(spark: SparkSession, events: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Every ``.sql`` file of a folder, by name: its text with ``events`` as the table.  A file that is one of the named queries and lacks columns is left out."""
+    files = spark.read.text(f"{folder.rstrip('/')}/*.sql", wholetext=True).select("value", F.col("_metadata.file_name").alias("name"))
+    out = {}
+    for row in files.orderBy("name").collect():              # texts of queries
+        name = row["name"].removesuffix(".sql")
+        if name in QUERIES and QUERIES[name].missing(events.columns):
+            continue
+        out[name] = run_sql(spark, events, row["value"])
+    return out
+
+
+def run_sql(spark: SparkSession, events: DataFrame, text: str) -> DataFrame:
+    """One SQL text that reads ``events``."""
+    bound = re.sub(r"\b(FROM|JOIN)\s+events\b", r"\1 {events}", text.strip().rstrip(";"), flags=re.IGNORECASE)
+    return spark.sql(bound, events=events)
+
+
 def run_query(spark: SparkSession, events: DataFrame, name: str) -> DataFrame:
     """Plan one named query over ``events`` (lazy; nothing runs until an action)."""
     if name not in QUERIES:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.operators.jobs import JOBS
-from eventmart.operators.sinks import write_csv
+from eventmart.operators.sinks import write_csv_if_any
 from eventmart.plans.queries import QUERIES, run_query
 from eventmart.sources.lake import TableStore
 
@@ -27,13 +27,16 @@ def _status(spark, kind, name, status, rows: DataFrame | None) -> DataFrame:
 
 
 def run_all(spark: SparkSession, events: DataFrame, store: TableStore | None = None,
-            csv_dir: str | None = None) -> DataFrame:
-    parts = []
+            csv_dir: str | None = None, kind: str | None = None) -> DataFrame:
+    """``kind``: ``query`` or ``job`` runs only those."""
+    parts, wanted = [], kind
     items = [("query", n, q.missing(events.columns), (lambda n=n: run_query(spark, events, n)))
              for n, q in QUERIES.items()]
     items += [("job", n, j.missing(events.columns), (lambda j=j: j.run(events)))
               for n, j in JOBS.items()]
     for kind, name, missing, plan in items:
+        if wanted not in (None, kind):
+            continue
         if missing:
             parts.append(_status(spark, kind, name, "skipped", None))
             continue
@@ -42,6 +45,6 @@ def run_all(spark: SparkSession, events: DataFrame, store: TableStore | None = N
         if store is not None:
             result = store.write(table, result)
         if csv_dir:
-            write_csv(result, f"{csv_dir.rstrip('/')}/{table}")
+            write_csv_if_any(result, f"{csv_dir.rstrip('/')}/{table}")
         parts.append(_status(spark, kind, name, "ok", result))
     return reduce(DataFrame.unionByName, parts)

@@ -6,6 +6,7 @@ is for tests, ``bench.py`` and command-line use.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -68,7 +69,23 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def _drop(spark: SparkSession, folder: str) -> None:
+    """Delete this application's work folder, unless the session is gone already."""
+    jvm = spark._jvm
+    if jvm is not None and not spark._jsc.sc().isStopped():
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared dir; every call gets its own, so lazily
-    evaluated DataFrames that read it are never overwritten by a later call."""
-    return f"{shared_dir(spark)}/eventmart/{label}-{uuid.uuid4().hex[:12]}"
+    evaluated DataFrames that read it are never overwritten by a later call.  All of an application's folders
+    lie in one, which is deleted when the program ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDERS:
+        _OWN_FOLDERS[app] = f"{shared_dir(spark)}/eventmart/{app}-{uuid.uuid4().hex[:12]}"
+        atexit.register(_drop, spark, _OWN_FOLDERS[app])
+    return f"{_OWN_FOLDERS[app]}/{label}-{uuid.uuid4().hex[:12]}"

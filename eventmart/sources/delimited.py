@@ -1,26 +1,29 @@
-"""Delimited event files: separator sniffing, header handling, column typing.
-
-* The separator is sniffed from the first line only (one-line driver read).
-* Data is read by Spark's CSV source with every field as text and positional
-  names; the header line is parsed on the driver, so repeated header names
-  keep their own identity (``x``, ``x.1``) instead of Spark's renaming.
-* Missing-value tokens become null.
-* Each column is typed as a whole, the way a pandas reader types a file: all
-  integers and no missing -> bigint; all numbers -> double; else text.  The
-  evidence comes from ONE aggregate over the file (a distributed pass, like
-  ``inferSchema``); passing ``types`` skips it.
+"""Delimited event files: header and separator of every file, scan, declared types, malformed rows.
+
+* Every file's own header line decides its separator and columns, so files of one input may differ in
+  both.  Files with the same layout are scanned together, and layouts are united by canonical name.  Only header lines
+  are read on the driver, by a few threads.
+* Data is read once, by Spark's CSV source, with every field as text and positional names; missing-value tokens
+  become null; then every column gets the type declared for its canonical name (``COLUMN_TYPES``; any
+  other column is text).  Types never depend on the data, so two inputs of one lake always fit.
+* A row with more or fewer fields than its header, or with a field that a quote cuts (a line break inside
+  quotes, read line by line), is malformed: it is kept apart with its text, never cut or padded in silence.
+  ``multi_line=True`` reads line breaks inside quotes; a file is then one task.
 """
 
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from eventmart.functions.expressions import INTEGER_TEXT, NUMERIC_TEXT, to_double
-from eventmart.functions.naming import count_separator, dedupe_header
+from eventmart.functions.expressions import to_double
+from eventmart.functions.naming import column_plan, count_separator, dedupe_header
 
 # Field texts read as missing (pandas' default NA tokens).
 NA_TOKENS = [
@@ -28,73 +31,113 @@ NA_TOKENS = [
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-
-def first_line(spark: SparkSession, path: str) -> str:
-    row = spark.read.text(path).first()
-    if row is None:
-        raise ValueError(f"{path}: empty input")
-    return row[0].lstrip("﻿")
-
-
-def detect_separator(spark: SparkSession, path: str) -> str:
-    return count_separator(first_line(spark, path))
-
-
-def parse_header(line: str, sep: str) -> list[str]:
-    return dedupe_header(next(csv.reader([line], delimiter=sep)))
-
-
-def read_header(spark: SparkSession, path: str, sep: str) -> list[str]:
-    return parse_header(first_line(spark, path), sep)
-
-
-def scan_text(spark: SparkSession, path: str, sep: str, n_columns: int) -> DataFrame:
-    """All fields as text, columns ``_c0 .. _c{n-1}``; header lines skipped."""
-    schema = StructType([StructField(f"_c{i}", StringType()) for i in range(n_columns)])
+#: Declared types: identifiers are text without outer spaces; other columns not named here are text as it is.
+COLUMN_TYPES = {
+    **dict.fromkeys(("session_id", "user_id", "product_id"), "id"),
+    **dict.fromkeys(("year", "month", "day", "event_sequence", "page_number"), "bigint"),
+    **dict.fromkeys(("price", "price_secondary", "category_id"), "double"),
+}
+
+#: Column with the text of a malformed row; null in all others.
+BAD_ROW = "_bad_row"
+_HEADER_THREADS = 16
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Files that share separator and header."""
+    sep: str
+    header: tuple[str, ...]
+    files: tuple[str, ...]
+
+
+def input_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The data files under some files, folders or patterns (names that begin with ``_`` or ``.`` are none)."""
+    spark.read.text(paths)                       # a path that is missing fails here, as in any read
+    jvm, conf, out = spark._jvm, spark._jsc.hadoopConfiguration(), []
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(conf)
+        todo = list(fs.globStatus(where) or [])
+        while todo:
+            status = todo.pop()
+            if status.isDirectory():
+                todo += [s for s in fs.listStatus(status.getPath()) if s.getPath().getName()[0] not in "_."]
+            elif status.getLen():
+                out.append(status.getPath().toString())
+    return sorted(set(out))
+
+
+def header_line(spark: SparkSession, file: str) -> str:
+    """The first line of a file, plain or compressed, from any store that Spark reads."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        return (reader.readLine() or "").lstrip("﻿")
+    finally:
+        reader.close()
+
+
+def parse_header(line: str, sep: str) -> tuple[str, ...]:
+    if line.count('"') % 2:
+        raise ValueError(f"line break inside a header: {line!r}")
+    return tuple(dedupe_header(next(csv.reader([line], delimiter=sep))))
+
+
+def layouts(spark: SparkSession, paths: list[str], sep: str | None = None) -> list[Layout]:
+    """The layouts of an input; the separator is found for each file unless it is given."""
+    files = input_files(spark, paths)
+    with ThreadPoolExecutor(_HEADER_THREADS) as pool:
+        lines = list(pool.map(lambda f: header_line(spark, f), files))
+    groups: dict[tuple, list[str]] = {}
+    for file, line in zip(files, lines, strict=True):
+        if line:
+            own = sep or count_separator(line)
+            groups.setdefault((own, parse_header(line, own)), []).append(file)
+    if not groups:
+        raise ValueError(f"{paths}: empty input")
+    return [Layout(s, header, tuple(names)) for (s, header), names in groups.items()]
+
+
+def _cut_by_quote(field: Column) -> Column:
+    quotes = F.length(field) - F.length(F.replace(field, F.lit('"'), F.lit("")))
+    return F.coalesce((field.startswith('"') | field.endswith('"')) & (quotes % 2 == 1), F.lit(False))
+
+
+def scan_text(spark: SparkSession, layout: Layout, multi_line: bool = False) -> DataFrame:
+    """Fields as text under their canonical names (first of an alias group wins), and ``BAD_ROW``."""
+    names = [f"_c{i}" for i in range(len(layout.header))]
+    schema = StructType([StructField(c, StringType()) for c in [*names, "_corrupt"]])
     raw = (spark.read.schema(schema)
-           .option("header", True).option("sep", sep).option("encoding", "UTF-8")
-           .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
-           .csv(path))
-    return raw.select(*[F.when(~F.col(c).isin(NA_TOKENS), F.col(c)).alias(c) for c in raw.columns])
-
-
-def profile_types(df: DataFrame) -> dict[str, str]:
-    """Column -> ``bigint`` / ``double`` / ``string`` from one aggregate pass."""
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for c in df.columns:
-        v = F.col(c)
-        is_int = v.rlike(INTEGER_TEXT) & F.trim(v).try_cast("bigint").isNotNull()
-        # integer text is numeric text: the second pattern runs only when needed
-        is_num = is_int | v.rlike(NUMERIC_TEXT)
-        aggs += [
-            F.count(v).alias(f"{c}__n"),
-            F.bool_and(F.coalesce(is_int, F.lit(True))).alias(f"{c}__int"),
-            F.bool_and(F.coalesce(is_num, F.lit(True))).alias(f"{c}__num"),
-        ]
-    row = df.agg(*aggs).first().asDict()
-    rows = row["__rows"]
-    types = {}
-    for c in df.columns:
-        n = row[f"{c}__n"]
-        if rows and n == 0:
-            types[c] = "double"          # nothing but missing values
-        elif row[f"{c}__int"] and n == rows:
-            types[c] = "bigint"
-        elif row[f"{c}__int"] or row[f"{c}__num"]:
-            types[c] = "double"          # numbers with gaps, or with fractions
-        else:
-            types[c] = "string"
-    return types
-
-
-def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    cols = []
-    for c in df.columns:
-        t = types.get(c, "string")
-        if t == "bigint":
-            cols.append(F.trim(F.col(c)).try_cast("bigint").alias(c))
-        elif t == "double":
-            cols.append(to_double(c).alias(c))
-        else:
-            cols.append(F.col(c))
-    return df.select(*cols)
+           .option("header", True).option("sep", layout.sep).option("encoding", "UTF-8")
+           .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+           # all fields are counted in every row, whichever are used
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("columnPruning", False)
+           .csv(list(layout.files)))
+    cut = reduce(lambda a, b: a | b, [_cut_by_quote(F.col(c)) for c in names])
+    bad = F.coalesce("_corrupt", F.when(cut, F.concat_ws(layout.sep, *names)))
+    fields = [F.when(~F.col(names[i]).isin(NA_TOKENS), F.col(names[i])).alias(c) for i, c in column_plan(list(layout.header))]
+    return raw.select(*fields, bad.alias(BAD_ROW))
+
+
+def apply_types(df: DataFrame) -> DataFrame:
+    """Text columns -> the declared types; a value that does not fit is null."""
+    def typed(c: str) -> Column:
+        kind = COLUMN_TYPES.get(c)
+        if kind == "id":
+            text = F.trim(c)
+            return F.when(text != "", text)
+        if kind == "bigint":
+            number = to_double(c)
+            return F.coalesce(F.trim(c).try_cast("bigint"), F.when(number == F.floor(number), number.try_cast("bigint")))
+        return to_double(c) if kind == "double" else F.col(c)
+    return df.select(*[typed(c).alias(c) for c in df.columns])
+
+
+def read_layouts(spark: SparkSession, found: list[Layout], multi_line: bool = False) -> DataFrame:
+    """All layouts as one frame of typed canonical columns and ``BAD_ROW``; a column that a layout lacks is null."""
+    frames = [apply_types(scan_text(spark, x, multi_line)) for x in found]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -1,49 +1,52 @@
-"""The event lake (Parquet partitioned by day) and the table store.
+"""The event lake (Parquet by input and day) and the table store.
 
-Layout: ``<root>/event_date_str=YYYY-MM-DD/part-*.parquet``.  Reading it with
-a filter on ``event_date_str`` prunes whole directories (``PartitionFilters``);
-selecting a few columns prunes the Parquet columns (``ReadSchema``).
+Layout: ``<root>/source_id=<input>/event_date_str=YYYY-MM-DD/part-*.parquet``.  An input (its ``source_id``) owns its
+folder: another input only adds files, and a rerun of the same input replaces its own rows and no others.
+Reading with a filter on ``event_date_str`` prunes whole directories (``PartitionFilters``); selecting a few
+columns prunes the Parquet columns (``ReadSchema``).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StringType, StructField, StructType
 
+SOURCE_COLUMN = "source_id"
 PARTITION_COLUMN = "event_date_str"
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def write_lake(df: DataFrame, path: str) -> None:
-    """Write events partitioned by day.
+def source_folder(path: str, source: str) -> str:
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", source):
+        raise ValueError(f"a source id has letters, digits, '.', '_' and '-' only: {source!r}")
+    return f"{path.rstrip('/')}/{SOURCE_COLUMN}={source}"
+
+
+def write_lake(df: DataFrame, path: str, source: str) -> None:
+    """Write the events of one input, partitioned by day, in place of its earlier events.
 
     ``rebalance`` on the partition column lets AQE cut a hot day into several
     tasks (and merge tiny days), so neither one huge task nor tasks x days small
-    files.  Dynamic overwrite replaces only the days present in ``df``, so a
-    re-run is idempotent instead of appending copies.
-    """
+    files."""
     (df.hint("rebalance", PARTITION_COLUMN)
        .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy(PARTITION_COLUMN)
-       .parquet(path))
+       .parquet(source_folder(path, source)))
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
-    """The lake as one DataFrame; the day column stays text (``yyyy-MM-dd``),
+    """The lake as one DataFrame, columns of all inputs; the day column stays text (``yyyy-MM-dd``),
     whatever the directory names look like (a null day reads back as null).
 
     The file listing is taken now: after a later write to the same lake, read
     it again rather than reusing this frame."""
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return spark.read.parquet(path)
-    finally:
-        spark.conf.set(key, before)
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    schema = StructType([StructField(f.name, StringType()) if f.name in (SOURCE_COLUMN, PARTITION_COLUMN) else f for f in found])
+    return spark.read.schema(schema).parquet(path)
 
 
 def days_between(df: DataFrame, first: str, last: str) -> DataFrame:
@@ -54,42 +57,42 @@ def days_between(df: DataFrame, first: str, last: str) -> DataFrame:
 class TableStore:
     """Named result tables (marts, job outputs) stored as Parquet under ``root``.
 
-    ``root`` is a folder on shared storage.  ``exists`` answers from storage,
-    so a store reopened later by another job sees the same tables.
+    ``root`` is a folder on shared storage, and every answer comes from it, so a store reopened later by
+    another job sees the same tables.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._written: list[str] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(self.path(name))
-        if name not in self._written:
-            self._written.append(name)
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def _file_system(self):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def _written(self, fs, folder) -> bool:
+        """Whether a write has ended there."""
+        return fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
+
     def exists(self, name: str) -> bool:
-        try:
-            self.read(name)
-            return True
-        except AnalysisException:
-            return False
-
-    def names(self, candidates=None) -> list[str]:
-        """Tables present: those written through this store plus any of
-        ``candidates`` found in storage."""
-        found = list(self._written)
-        for c in candidates or ():
-            if c not in found and self.exists(c):
-                found.append(c)
-        return found
-
-    def tables(self, candidates=None) -> dict[str, DataFrame]:
-        return {n: self.read(n) for n in self.names(candidates)}
+        fs, _ = self._file_system()
+        return self._written(fs, self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name)))
+
+    def names(self) -> list[str]:
+        """The tables in storage."""
+        fs, where = self._file_system()
+        if not fs.exists(where):
+            return []
+        return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory() and self._written(fs, s.getPath()))
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {n: self.read(n) for n in self.names()}

@@ -19,22 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from eventmart.functions.expressions import category_label_sql
 
 
-_RELATIONS: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table as a relation.
-
-    The tables are read-only inputs, so each session keeps one relation per
-    table, as a catalog table would: its file listing and footer schema are
-    resolved once rather than on every query.  Data is still scanned by every
-    query that uses it."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    rel = _RELATIONS.get(key)
-    if rel is None:
-        rel = _RELATIONS[key] = spark.read.parquet(path)
-    return rel
+    """A benchmark table as a frame."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _time_columns(ts: str) -> str:

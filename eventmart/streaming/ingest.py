@@ -1,22 +1,11 @@
 """Incremental ETL: new files in a landing folder -> the day-partitioned lake.
 
-The batch ETL (``operators.etl.run_etl``) re-reads its whole input each run.
-For a folder that keeps receiving files, this runs the same cleaning steps as
-a Structured Streaming query instead:
-
-* a file source lists the landing folder and hands each micro-batch only the
-  files not seen before (tracked in the checkpoint);
-* the steps are the batch ones (map columns, type, drop duplicate rows, trim,
-  time columns, derived columns, fills, day key), with two stream rules:
-  column types are fixed up front (from ``types`` or a profile of one sample
-  file), and duplicate rows are dropped within ``dedup_window`` of event time
-  (state older than the watermark is evicted, so state stays bounded);
-* a Parquet file sink appends to the lake, partitioned by day, exactly once
-  per micro-batch (its commit log lists the files readers may see).
-
-State is keyed by the whole row and holds about one ``dedup_window`` of
-events.  On a cluster, run with the RocksDB state store provider so that it
-lives on local disk, not in executor memory.
+A Structured Streaming file source lists the landing folder and hands every micro-batch the files not seen
+before (tracked in the checkpoint).  Each micro-batch is one input of the batch ETL (``operators.etl.run_etl``):
+the same headers by file, declared types, malformed rows and lake writer, so batch and stream can share a lake.
+Its source id holds the batch number; a batch that is run again after a failure replaces its own
+rows, which makes the ingest exactly-once.  There is no state and no watermark: late events are written like all
+others.  As in the batch ETL, copies of a row are dropped within one input, here a micro-batch.
 
 ``trigger(availableNow=True)`` processes everything pending and stops, so a
 scheduled job gets batch-like runs that only touch new files.
@@ -24,74 +13,29 @@ scheduled job gets batch-like runs that only touch new files.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
-
-from eventmart.operators.etl import (
-    add_derived_columns, add_partition_key, build_event_datetime, event_time_columns,
-    fill_missing, map_columns, read_events_file, trim_text, validate_schema,
-)
-from eventmart.sources import delimited
-from eventmart.sources.lake import PARTITION_COLUMN
 
+from eventmart.operators.etl import run_etl
 
-def event_stream(spark: SparkSession, landing: str, header: list[str], sep: str,
-                 types: dict[str, str]) -> DataFrame:
-    """Typed, canonically named rows of every file arriving in ``landing``."""
-    schema = StructType([StructField(f"_c{i}", StringType()) for i in range(len(header))])
-    raw = (spark.readStream.schema(schema)
-           .option("header", True).option("sep", sep).option("encoding", "UTF-8")
-           .option("quote", '"').option("escape", '"')
-           .csv(landing))
-    text = raw.select(*[F.when(~F.col(c).isin(delimited.NA_TOKENS), F.col(c)).alias(c)
-                        for c in raw.columns])
-    text = map_columns(text, header)
-    validate_schema(text.columns)
-    return delimited.apply_types(text, types)
 
+#: What the file source tells of a file; only its path is read.
+_FILES = "path string, modificationTime timestamp, length long, content binary"
 
-def clean_stream(typed: DataFrame, dedup_window: str) -> DataFrame:
-    """Batch cleaning order (duplicates are judged on the untrimmed values).
-    Rows without an event time are deduplicated within their micro-batch only."""
-    ts, _ = event_time_columns(typed)
-    # watermarks need a zoned timestamp; a helper column carries one
-    deduped = (typed.withColumn("_watermark", ts.cast("timestamp"))
-               .withWatermark("_watermark", dedup_window)
-               .dropDuplicatesWithinWatermark()
-               .drop("_watermark"))
-    return (deduped.transform(trim_text)
-            .transform(build_event_datetime)
-            .transform(add_derived_columns)
-            .transform(fill_missing)
-            .transform(add_partition_key))
 
+def start_ingest(spark: SparkSession, landing: str, lake: str, checkpoint: str, *, sep: str | None = None,
+                 quarantine: str | None = None, multi_line: bool = False, available_now: bool = True,
+                 name: str | None = None) -> StreamingQuery:
+    """Start the incremental ingest.  ``name`` tells the ingests of one lake apart (by default the checkpoint does)."""
+    name = name or f"ingest-{hashlib.sha256(checkpoint.encode()).hexdigest()[:12]}"
 
-def start_ingest(spark: SparkSession, landing: str, lake: str, checkpoint: str, *,
-                 sample_file: str | None = None, header: list[str] | None = None,
-                 sep: str | None = None, types: dict[str, str] | None = None,
-                 dedup_window: str = "1 day", available_now: bool = True,
-                 files_per_day: int = 4) -> StreamingQuery:
-    """Start the incremental ingest.  Header, separator and types come from the
-    arguments or, when missing, from ``sample_file`` (one batch profile).
+    def add(batch: DataFrame, number: int) -> None:
+        files = [r["path"] for r in batch.collect()]          # names of the new files only
+        if files:
+            run_etl(spark, files, lake, source=f"{name}-{number:08d}", sep=sep, quarantine=quarantine, multi_line=multi_line)
 
-    Rows are shuffled by (day, a hash of the row modulo ``files_per_day``)
-    before the sink.  Each micro-batch then writes at most ``files_per_day``
-    files per day, rather than one per task per day, and a hot day is still
-    written by ``files_per_day`` tasks.  (Streaming has no adaptive
-    rebalance.)"""
-    if header is None or sep is None or types is None:
-        if sample_file is None:
-            raise ValueError("give header, sep and types, or a sample_file to derive them")
-        _, s_sep, s_header, s_types, _ = read_events_file(spark, sample_file, sep, types)
-        sep, header, types = sep or s_sep, header or s_header, types or s_types
-    events = clean_stream(event_stream(spark, landing, header, sep, types), dedup_window)
-    salt = F.pmod(F.xxhash64(*events.columns), F.lit(files_per_day))
-    events = events.repartition(PARTITION_COLUMN, salt)
-    writer = (events.writeStream.format("parquet")
-              .option("checkpointLocation", checkpoint)
-              .partitionBy(PARTITION_COLUMN)
-              .outputMode("append"))
-    writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start(lake)
+    arrivals = spark.readStream.format("binaryFile").schema(_FILES).load(landing).select("path")
+    writer = arrivals.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

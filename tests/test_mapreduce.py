@@ -3,7 +3,6 @@
 import glob
 
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from eventmart.operators.mapreduce import (
@@ -29,7 +28,7 @@ def _combine(_key, v):
 def test_tree_combine_matches_builtin_on_skewed_key(spark):
     df = _skewed(spark).repartition(16)
     red = Combine(_combine, lambda k, p: {"n": p["n"], "mean": p["total"] / p["n"]},
-                  "n long, mean double", fanout=4)
+                  "n long, mean double")
     got = {r.key: (r.n, round(r.mean, 9)) for r in
            map_reduce(df, _map_kv, red, "key string, n long, total double", columns=["k", "v"]).collect()}
     want = {r.k: (r.n, round(r.mean, 9)) for r in
@@ -81,27 +80,35 @@ def test_phase_outputs(spark, workdir):
     reduced = map_reduce(df, mapper, {"a": F.sum("value"), "b": F.count(F.lit(1))},
                          "key string, value long", columns=["k"], output_dir=workdir, job_name="j/1")
     views = phase_outputs(pairs, reduced)
-    assert views["map"].count() == 5000
+    assert views["map"].count() == 12000
     assert views["shuffle"].agg(F.sum("value_count")).first()[0] == 12000
     hot = views["reduce"].filter("key = 'hot'").first().reduced_value
     assert hot == '{"a":4000,"b":4000}'
     for phase in ("map", "shuffle", "reduce"):
         assert glob.glob(f"{workdir}/j_1_{phase}_output/part-*.csv")
+    assert spark.read.option("header", True).csv(f"{workdir}/j_1_map_output").count() == 12000
     assert key_sizes(pairs).count() == 98
 
 
-def test_whole_groups_carries_a_group_across_batches():
-    from eventmart.operators.mapreduce import whole_groups
-    batches = [pd.DataFrame({"key": k}) for k in (["a", "a"], ["a", "b"], ["b"], ["b", "c", None], [None])]
-    got = [list(f["key"]) for f in whole_groups(iter(batches), ["key"])]
-    assert got == [["a", "a", "a"], ["b", "b", "b", "c"], [None, None]]
+def test_job_with_outputs_maps_once(spark, workdir):
+    seen = spark.sparkContext.accumulator(0)
 
+    def mapper(pdf):
+        seen.add(len(pdf))
+        return pd.DataFrame({"key": pdf["k"], "value": 1})
 
-@pytest.mark.parametrize("flush_rows", [3, 25, 100_000])
-def test_tree_combine_streams_small_batches_and_flushes(spark, flush_rows):
-    # tiny Arrow batches: every group of the sorted levels spans many batches;
-    # small flush_rows: map tasks combine held partials and emit several per
-    # key (3: always emit; 25: keep some, emit some); null keys stay one group
+    out = map_reduce(_skewed(spark, 3000), mapper, {"n": F.sum("value")}, "key string, value long", columns=["k"], output_dir=workdir)
+    assert out.agg(F.sum("n")).first()[0] == 3000 and seen.value == 3000
+
+
+def test_missing_value_is_no_session(spark):
+    from eventmart.plans.mr_examples import country_sessions
+    df = spark.createDataFrame([("PL", 1), ("PL", None), ("PL", 9007199254740993), (None, 1), ("", None)], "country string, session_id long")
+    assert {r.country: (r.total_events, r.unique_sessions) for r in country_sessions(df).collect()} == {"PL": (3, 2), "unknown": (2, 1)}
+
+
+def test_combine_streams_small_batches(spark):
+    # tiny Arrow batches: every group of the later levels spans many batches; null keys stay one group
     df = spark.range(20000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot"))
          .when(F.col("id") % 11 == 0, F.lit(None))
@@ -111,7 +118,7 @@ def test_tree_combine_streams_small_batches_and_flushes(spark, flush_rows):
     before = spark.conf.get(key)
     spark.conf.set(key, "7")
     try:
-        red = Combine(_combine, fanout=3, flush_rows=flush_rows)
+        red = Combine(_combine)
         got = {r.key: (r.n, r.total) for r in
                map_reduce(df, _map_kv, red, "key string, n long, total double",
                           columns=["k", "v"]).collect()}
