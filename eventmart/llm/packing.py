@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.llm.common import stage, table, take
-from eventmart.llm.tokens import encoder
+from eventmart.llm.tokens import encoder, texts_of
 
 #: Lengths are planned in classes of so many tokens.
 UNIT = 4
@@ -50,7 +50,7 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, kind: str, capacity: int, en
         enc, task, seen = encoder(tokenizer_path, kind), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             owner, out, blobs = [], [], []
-            for i, ids in enumerate(enc.encode(batch.column("text").to_pylist())):
+            for i, ids in enumerate(enc.encode(texts_of(batch.column("text")))):
                 ids = memoryview(ids + end)
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at: at + 4 * capacity]

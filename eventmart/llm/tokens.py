@@ -7,8 +7,9 @@ of its pieces laid end to end.  A Python worker keeps the pieces it has met, up
 * ``bytes`` (white space kept): a piece starts at a space after which no white space follows, so that
   each run of white space lies in one piece, as the tokenizer's own pattern needs it.
 
-Texts for which this might differ (rare white space or separators, text that is not in Unicode normal form,
-spaces before other white space) are encoded whole by the tokenizer.
+A new piece of letters goes straight to the tokenizer's model, one of letters before a point or comma in
+two parts, and any other through the whole tokenizer.  Texts for which cuts might differ (rare white space or
+separators, text that is not in Unicode normal form, spaces before other white space) are encoded whole.
 """
 
 from __future__ import annotations
@@ -17,21 +18,79 @@ import os
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
-import numpy as np
+import pyarrow as pa
 
-#: Pieces kept by one Python worker, about 120 MB.
+#: Pieces met lately that one Python worker keeps; as many older ones are kept beside them, about 240 MB in all.
 MAX_PIECES = 600_000
-#: Texts are encoded in groups of about so many characters.
-GROUP_CHARS = 1_000_000
-#: Letter-only pieces are handed to the tokenizer so many at a time, as one text.
-JOINED = 500
-#: Signs that may end a piece of letters.
-_ENDS = ".,;:!?"
-_ODD_WORDS = re.compile("[\x1c-\x1f\u03a3]")
-_ODD_BYTES = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]| [ \t-\r]")
+#: Signs that may end a piece of letters and are tokens apart from it: ASCII signs but the apostrophe.
+_ENDS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: White space other than single line breaks between other signs.
+_OTHER_SPACE = re.compile(r"[\t\x0B-\r ]|\n\n|^\n|\n$")
+_ODD_WORDS = "\x1c\x1d\x1e\x1f"
+_SIGMA = "\u03a3"
+_WIDE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACE_PAIRS = ("  ", " \n", " \t", " \r", " \x0b", " \x0c")
+
+
+def texts_of(column: pa.Array, rows: int = 200) -> Iterator[str | None]:
+    """A string column's values, a few at a time as Python strings."""
+    for i in range(0, len(column), rows):
+        yield from column.slice(i, rows).to_pylist()
+
+
+def _byte_signs() -> dict[int, str]:
+    """The tokenizers' printable sign for each byte: itself if printable, else the next one from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class Pieces(dict):
+    """Ids of each piece met so far, as little-endian unsigned 32-bit integers; a new one is encoded on the way.
+
+    ``lead`` is the sign before every piece; ``bare`` has pieces that follow a line break."""
+
+    def __init__(self, tokenizer, lead: str, bare: Pieces | None = None):
+        super().__init__()
+        self.tokenizer, self.model, self.lead = tokenizer, tokenizer.model, lead
+        self.bare = self if bare is None else bare
+        self.older: dict[str, bytes] = {}
+        self.signs = _byte_signs()
+        self.start = "".join(self.signs[b] for b in lead.encode())
+
+    def age(self) -> None:
+        """Forget the older pieces; those met since become the older ones."""
+        self.older = dict(self)
+        self.clear()
+
+    def __missing__(self, piece: str) -> bytes:
+        out = self.older.get(piece)
+        if out is None:
+            if piece.isascii():
+                signs = piece if piece.isalpha() else None
+            else:  # below U+0530 letters are letters in every version of Unicode
+                signs = piece.encode().decode("latin-1").translate(self.signs) if piece.isalpha() and max(piece) < "\u0530" else None
+            if signs is not None:
+                out = array("I", [t.id for t in self.model.tokenize(self.start + signs)]).tobytes()
+            elif (core := piece.rstrip(_ENDS)) != piece and core.isalpha():
+                out = self[core] + self.end(piece[len(core):])
+            elif "\n" in piece and not _OTHER_SPACE.search(piece):
+                # single line breaks between words; the whole is hardly met again, so it is not kept
+                first, *rest = piece.split("\n")
+                return self[first] + b"".join([self.end("\n") + self.bare[x] for x in rest])
+            else:
+                out = array("I", self.tokenizer.encode(self.lead + piece, add_special_tokens=False).ids).tobytes()
+        self[piece] = out
+        return out
+
+    @cache  # noqa: B019  one object a Python worker, and few endings
+    def end(self, signs: str) -> bytes:
+        return array("I", self.tokenizer.encode(signs, add_special_tokens=False).ids).tobytes()
+
+    __hash__ = object.__hash__
 
 
 class Encoder:
@@ -41,75 +100,40 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
         self.words = kind == "words"
-        self.known: dict[str, bytes] = {}                # in kind "bytes": pieces that follow a space, without it
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.edge = np.zeros(max(vocabulary.values()) + 1, bool)   # tokens that end a word, or start one after a space
-        self.edge[[i for t, i in vocabulary.items() if (t.endswith("</w>") if self.words else t.startswith("Ġ"))]] = True
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces: letters only, many as one text; letters before a point or comma by their two
-        parts, which the tokenizer never joins; all others alone."""
-        lead = "" if self.words else " "
-        plain = {p for p in pieces if p.isalpha()}
-        rest, ended = [], []
-        for p in pieces:
-            if p not in plain:
-                core = p.rstrip(_ENDS)
-                if core.isalpha():
-                    ended.append((p, core))
-                else:
-                    rest.append(p)
-        ends = sorted({p[len(core):] for p, core in ended})
-        end_ids = dict(zip(ends, self._encode(ends), strict=True))
-        plain.update(core for _, core in ended)
-        plain = list(plain.difference(self.known))
-        for i in range(0, len(plain), JOINED):
-            some = plain[i:i + JOINED]
-            ids = np.array(self.tokenizer.encode(lead + " ".join(some), add_special_tokens=False).ids, "<u4")
-            at = np.flatnonzero(self.edge[ids])
-            if len(at) != len(some):
-                self.known.update(zip(some, self._encode([lead + p for p in some]), strict=True))
-                continue
-            bounds = np.r_[0, at + 1] * 4 if self.words else np.r_[at, len(ids)] * 4
-            data, bounds = ids.tobytes(), bounds.tolist()
-            self.known.update({p: data[a:b] for p, a, b in zip(some, bounds, bounds[1:], strict=False)})
-        self.known.update({p: self.known[core] + end_ids[p[len(core):]] for p, core in ended})
-        self.known.update(zip(rest, self._encode([lead + p for p in rest]), strict=True))
+        self.bare = Pieces(self.tokenizer, "")
+        self.known = self.bare if self.words else Pieces(self.tokenizer, " ", self.bare)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _pieces(self, text: str) -> list[str] | None:
+        """The pieces of a text; None for a text that has to be encoded whole."""
+        plain = text.isascii()
         if not self.words:
-            return None if _ODD_BYTES.search(text) else text.split(" ")
+            odd = any(x in text for x in _SPACE_PAIRS) or not plain and any(x in text for x in _WIDE_SPACES)
+            return None if odd else text.split(" ")
+        if any(x in text for x in _ODD_WORDS) or not plain and _SIGMA in text:
+            return None
         low = text.lower()
-        if _ODD_WORDS.search(text) or not (low.isascii() or unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low)):
+        if not plain and not (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", low)):
             return None
         return low.split()
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
-        group, chars = [], 0
-        for text in texts:
-            group.append(text or "")
-            chars += len(group[-1])
-            if chars >= GROUP_CHARS:
-                yield from self._group(group)
-                group, chars = [], 0
-        yield from self._group(group)
-
-    def _group(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [self._pieces(t) for t in texts]
-        whole = [t if p is None else "" if self.words else p[0] for t, p in zip(texts, cut, strict=True)]
-        if len(self.known) > MAX_PIECES:
-            self.known.clear()
-        new: set[str] = set()
-        for pieces in cut:
-            new.update(pieces or ())
-        self._learn(list(new.difference(self.known)))
         get = self.known.__getitem__
-        for first, pieces in zip(self._encode(whole), cut, strict=True):
-            yield first if pieces is None else first + b"".join(map(get, pieces if self.words else pieces[1:]))
+        for text in texts:
+            text = text or ""
+            pieces = self._pieces(text)
+            if len(self.known) + len(self.bare) > MAX_PIECES:
+                self.known.age()
+                self.bare.age()
+            if pieces is None:
+                yield self._whole(text)
+            elif self.words:
+                yield b"".join(map(get, pieces))
+            else:                                        # the first piece follows no space
+                yield (self.bare[pieces[0]] if pieces[0] else b"") + b"".join(map(get, pieces[1:]))
 
 
 @cache
