@@ -163,9 +163,9 @@ def classifier(docs: DataFrame) -> Classifier:
     """Trained with ordinary paragraphs of at most ``MAX_DOCUMENTS`` documents, chosen by a hash of their text."""
     some = docs.filter("text is not null").orderBy(F.xxhash64("text", F.lit(5)), "text").limit(MAX_DOCUMENTS)
     lines = some.select(F.explode(F.slice(F.split("text", "\n", -1), 1, 50)).alias("line")).filter("length(trim(line)) between 1 and 2000")
-    ordinary = [r["line"] for r in lines.limit(4 * MAX_ORDINARY).collect()]
+    ordinary = [r["line"] for r in lines.distinct().orderBy(F.xxhash64("line"), "line").limit(4 * MAX_ORDINARY).collect()]
     plain = [x for x in ordinary if max(similarity(x, f) for f in TEMPLATES) < 0.3 and not {"license", "licensed", "licence", "licenced", "copyright"} & set(_words(x))]
-    return Classifier(sorted(set(plain))[:MAX_ORDINARY])
+    return Classifier(plain[:MAX_ORDINARY])
 
 
 _FOUND = "license string, guess string, probability double, similarity double, confirmed boolean, start long, end long"

@@ -36,7 +36,7 @@ _SYMBOLS = table_of(b"#*$%&|<>")
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, features: Features, max_rows: int, extra=None) -> DataFrame:
-    """(y, fold, slots, values, …) of at most ``max_rows`` labelled documents.  ``extra(texts)`` may give
+    """(key, y, fold, slots, counts, …) of at most ``max_rows`` labelled documents.  ``extra(texts)`` may give
     further sparse rows of the same texts, for example with swapped terms."""
     marks = take(labels, doc_id="doc_id", y=label).filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").cast("int").alias("y"))
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -51,16 +51,17 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, features: Feat
             got = features.rows(texts)
             swapped = extra(texts) if extra else [None] * len(got)
             blobs = lambda rows, i, kind: pa.array([None if r is None else r[i].astype(kind).tobytes() for r in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("fold"), blobs(got, 0, "<i4"), blobs(got, 1, "<f4"), blobs(swapped, 0, "<i4"), blobs(swapped, 1, "<f4")], ["y", "fold", "slots", "counts", "slots2", "counts2"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("y"), batch.column("fold"), blobs(got, 0, "<i4"), blobs(got, 1, "<f4"), blobs(swapped, 0, "<i4"), blobs(swapped, 1, "<f4")], ["key", "y", "fold", "slots", "counts", "slots2", "counts2"])
 
-    return pairs.mapInArrow(run, "y int, fold int, slots binary, counts binary, slots2 binary, counts2 binary")
+    return pairs.mapInArrow(run, "key string, y int, fold int, slots binary, counts binary, slots2 binary, counts2 binary")
 
 
 def train(rows: DataFrame, features: Features, prior: float, pair_weight: float = 0.0, calibration_fold: int = 1) -> Model:
     """Fit on all folds but one, calibrate on that one."""
     sparse = lambda a, b: (np.frombuffer(a, "<i4"), np.frombuffer(b, "<f4"))
     y, fold, own, twins, source = [], [], [], [], []
-    for r in rows.toLocalIterator():
+    # in a fixed order, so that the same rows always make the same model
+    for r in sorted(rows.toLocalIterator(), key=lambda r: (r["key"], r["slots"], r["counts"])):
         if r["fold"] != calibration_fold and r["slots2"] is not None:
             source.append(len(y))
             twins.append(sparse(r["slots2"], r["counts2"]))
