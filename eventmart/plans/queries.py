@@ -47,7 +47,17 @@ FROM {events}
 GROUP BY event_date_str
 ORDER BY event_date_str NULLS LAST
 """),
-    _q("daily_active_users", {"event_date_str", "session_id"}, """
+    # (day, session) pairs are the big shuffle: keyed by the date, four bytes, and written as text afterwards
+    _q("daily_active_users", {"event_date_str", "event_date", "session_id"}, """
+SELECT CAST(day AS STRING) AS event_date,
+       active_users
+FROM (
+    SELECT event_date AS day, COUNT(DISTINCT session_id) AS active_users
+    FROM {events}
+    GROUP BY event_date
+) per_day
+ORDER BY event_date NULLS LAST
+""", plain="""
 SELECT event_date_str             AS event_date,
        COUNT(DISTINCT session_id) AS active_users
 FROM {events}
@@ -138,7 +148,23 @@ WHERE event_hour IS NOT NULL
 GROUP BY event_hour
 ORDER BY event_hour
 """),
-    _q("monthly_trends", {"event_month", "price", "session_id"}, """
+    # likewise keyed by the first day of the month
+    _q("monthly_trends", {"event_month", "event_date", "price", "session_id"}, """
+SELECT SUBSTRING(CAST(month AS STRING), 1, 7) AS event_month,
+       total_events,
+       unique_sessions,
+       total_revenue
+FROM (
+    SELECT TRUNC(event_date, 'MM')        AS month,
+           COUNT(*)                       AS total_events,
+           COUNT(DISTINCT session_id)     AS unique_sessions,
+           ROUND(SUM(price) * 100) / 100  AS total_revenue
+    FROM {events}
+    WHERE event_date IS NOT NULL
+    GROUP BY TRUNC(event_date, 'MM')
+) per_month
+ORDER BY event_month
+""", plain="""
 SELECT event_month,
        COUNT(*)                       AS total_events,
        COUNT(DISTINCT session_id)     AS unique_sessions,
