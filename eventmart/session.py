@@ -7,10 +7,12 @@ is for tests, ``bench.py`` and command-line use.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 
@@ -72,12 +74,10 @@ def shared_dir(spark: SparkSession) -> str:
 _OWN_FOLDERS: dict[str, str] = {}
 
 
-def _drop(spark: SparkSession, folder: str) -> None:
-    """Delete this application's work folder, unless the session is gone already."""
-    jvm = spark._jvm
-    if jvm is not None and not spark._jsc.sc().isStopped():
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def _drop(path, conf) -> None:
+    """Delete a work folder at the program's end, unless the JVM is gone already."""
+    with contextlib.suppress(Py4JError, OSError):
+        path.getFileSystem(conf).delete(path, True)
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
@@ -87,5 +87,5 @@ def run_dir(spark: SparkSession, label: str) -> str:
     app = spark.sparkContext.applicationId
     if app not in _OWN_FOLDERS:
         _OWN_FOLDERS[app] = f"{shared_dir(spark)}/eventmart/{app}-{uuid.uuid4().hex[:12]}"
-        atexit.register(_drop, spark, _OWN_FOLDERS[app])
+        atexit.register(_drop, spark._jvm.org.apache.hadoop.fs.Path(_OWN_FOLDERS[app]), spark._jsc.hadoopConfiguration())
     return f"{_OWN_FOLDERS[app]}/{label}-{uuid.uuid4().hex[:12]}"
