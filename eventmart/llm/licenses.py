@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmart.llm.common import column, table, take
+from eventmart.llm.common import column, hashed_sample, table, take
 from eventmart.llm.textvec import SPACE, mix, slices, windows
 
 #: Public licence notices by family (fixed values).
@@ -160,8 +160,8 @@ class Classifier:
 
 
 def classifier(docs: DataFrame) -> Classifier:
-    """Trained with ordinary paragraphs of at most ``MAX_DOCUMENTS`` documents, chosen by a hash of their text."""
-    some = docs.filter("text is not null").orderBy(F.xxhash64("text", F.lit(5)), "text").limit(MAX_DOCUMENTS)
+    """Trained with ordinary paragraphs of at most ``MAX_DOCUMENTS`` documents, chosen by a hash."""
+    some = hashed_sample(docs.filter("text is not null"), MAX_DOCUMENTS, "doc_id", "text")
     lines = some.select(F.explode(F.slice(F.split("text", "\n", -1), 1, 50)).alias("line")).filter("length(trim(line)) between 1 and 2000")
     ordinary = [r["line"] for r in lines.distinct().orderBy(F.xxhash64("line"), "line").limit(4 * MAX_ORDINARY).collect()]
     plain = [x for x in ordinary if max(similarity(x, f) for f in TEMPLATES) < 0.3 and not {"license", "licensed", "licence", "licenced", "copyright"} & set(_words(x))]
@@ -174,7 +174,7 @@ _FOUND = "license string, guess string, probability double, similarity double, c
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per document: doc_id, n_paragraphs, licenses (distinct, sorted) and findings, with byte ranges of the lines."""
     own = take(docs, doc_id=id_column, text=text_column)
-    model = docs.sparkSession.sparkContext.broadcast(classifier(own.select("text")))
+    model = docs.sparkSession.sparkContext.broadcast(classifier(own))
     schema = T.StructType([own.schema["doc_id"], *T._parse_datatype_string(f"n_paragraphs long, licenses array<string>, findings array<struct<{_FOUND.replace(' ', ':').replace(',:', ',')}>>").fields])
     found_type = pa.list_(pa.struct([("license", pa.string()), ("guess", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64()), ("confirmed", pa.bool_()), ("start", pa.int64()), ("end", pa.int64())]))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmart.llm.common import column, table, take
+from eventmart.llm.common import column, hashed_sample, table, take
 from eventmart.llm.hashed_lr import Features, Model, Rows, fit, platt
 from eventmart.llm.textvec import SPACE, Slice, mix, slices, sums, table_of, windows
 
@@ -40,7 +40,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, features: Feat
     further sparse rows of the same texts, for example with swapped terms."""
     marks = take(labels, doc_id="doc_id", y=label).filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").cast("int").alias("y"))
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    chosen = marks.withColumn("fold", (crc % 5).cast("int")).orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(max_rows)
+    chosen = hashed_sample(marks.withColumn("fold", (crc % 5).cast("int")), max_rows, "doc_id")
     pairs = take(docs, doc_id="doc_id", text="text").join(F.broadcast(chosen), "doc_id")  # bounded by max_rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 
 from eventmart.llm import line_dedup, quality, toxicity
+from eventmart.llm.common import hashed_sample
 from eventmart.llm.hashed_lr import Features
 from eventmart.llm.textvec import slices
 from tests.conftest import SF001, SF01
@@ -134,3 +135,11 @@ def test_toxicity_held_out_accuracy(spark):
 @pytest.mark.parametrize("columns", [COLUMNS])
 def test_scores_ignore_other_columns(spark, columns):
     assert "predicted" in toxicity.toxicity_scores(edges(spark), spark.createDataFrame([], LABELS)).columns
+
+
+# -- samples ----------------------------------------------------------------------------------------------
+def test_hashed_sample_is_bounded_and_the_same_each_time(spark):
+    df = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    first = [r.doc_id for r in hashed_sample(df.repartition(3), 50, "doc_id").collect()]
+    assert len(first) == 50 and first == [r.doc_id for r in hashed_sample(df.repartition(7), 50, "doc_id").collect()]
+    assert hashed_sample(df.limit(5), 50, "doc_id").count() == 5 and hashed_sample(df.limit(0), 50, "doc_id").count() == 0
