@@ -495,17 +495,24 @@ def _bind(adapter: str, fn) -> QueryFn:
     return run
 
 
+def _there(module: str) -> bool:
+    try:
+        return importlib.util.find_spec(module) is not None
+    except ModuleNotFoundError:                  # its package is absent
+        return False
+
+
 # The text operators live in a subpackage of their own, which may be absent.
 _LLM, _LLM_SQL = {}, {}
-if importlib.util.find_spec("eventmart.llm") is not None:
+if _there("eventmart.llm.registry"):
     from eventmart.llm import registry as _llm
     _LLM.update(_llm.QUERIES)
     _LLM_SQL.update(_llm.SQL)
-if importlib.util.find_spec("corpus_pipeline") is not None:
-    import corpus_pipeline as _pipeline
-    _LLM["pipeline"] = _pipeline.run
-    if _pipeline.ORACLE_SQL is not None:
-        _LLM_SQL["pipeline"] = _pipeline.ORACLE_SQL
+    if _there("corpus_pipeline"):
+        import corpus_pipeline as _pipeline
+        _LLM["pipeline"] = _pipeline.run
+        if _pipeline.ORACLE_SQL is not None:
+            _LLM_SQL["pipeline"] = _pipeline.ORACLE_SQL
 
 
 def entry(spark: SparkSession) -> DataFrame:
