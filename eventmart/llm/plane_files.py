@@ -33,12 +33,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmart.llm.common import table, take
-from eventmart.llm.tokens import encoder
+from eventmart.llm.tokens import encoder, texts_of
 from eventmart.session import run_dir
 
 SEGMENT_IDS = 1 << 20
 BLOCK_IDS = 1 << 16
-LEVEL = 3
+LEVEL = 1
 _HEAD = struct.Struct("<4sBBIQI")
 _PLANES = {"byte": (8, 4), "bit": (1, 32)}
 
@@ -104,19 +104,22 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "byte
             data = write_segment(np.frombuffer(b"".join(parts), "<u4"), planes)
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([segment], pa.int32()), pa.array([start], pa.int64()), pa.array([ids], pa.list_(list_type)), pa.array([counts], pa.list_(pa.int64())), pa.array([data], pa.binary())], schema.names)
 
-        for batch in batches:
-            list_type = batch.schema.field("doc_id").type
-            for doc, got in zip(batch.column("doc_id").to_pylist(), enc.encode(batch.column("text").to_pylist()), strict=True):
-                ids.append(doc)
-                parts.append(got + end)
-                counts.append(len(parts[-1]) // 4)
-                held += counts[-1]
-                if held >= SEGMENT_IDS:
-                    yield row()
-                    segment, start = segment + 1, start + held
-                    ids, parts, counts, held = [], [], [], 0
-        if ids:
-            yield row()
+        try:
+            for batch in batches:
+                list_type = batch.schema.field("doc_id").type
+                for doc, got in zip(batch.column("doc_id").to_pylist(), enc.encode(texts_of(batch.column("text"))), strict=True):
+                    ids.append(doc)
+                    parts.append(got + end)
+                    counts.append(len(parts[-1]) // 4)
+                    held += counts[-1]
+                    if held >= SEGMENT_IDS:
+                        yield row()
+                        segment, start = segment + 1, start + held
+                        ids, parts, counts, held = [], [], [], 0
+            if ids:
+                yield row()
+        finally:
+            enc.forget()
 
     ordered = own.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     # the planes are compressed already
@@ -127,9 +130,9 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
     """Per document, from the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32[, ids]."""
     files = spark.read.parquet(path)
     totals = files.groupBy("shard").agg(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n"))
-    # one row a shard
+    # one row a shard, that is a write task: small enough for one task and a broadcast
     first = totals.select("shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    rows = files.join(first, "shard").select("doc_ids", "n_tokens", "data", (F.col("first") + F.col("start")).alias("start"))
+    rows = files.join(F.broadcast(first), "shard").select("doc_ids", "n_tokens", "data", (F.col("first") + F.col("start")).alias("start"))
     id_type = files.schema["doc_ids"].dataType.elementType
     fields = [T.StructField("doc_id", id_type), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())]
     schema = T.StructType([*fields, T.StructField("ids", T.BinaryType())] if with_ids else fields)

@@ -1,7 +1,7 @@
 """Token ids of whole texts, fast: the tokenizer encodes each distinct piece of text once.
 
 Neither tokenizer kind here lets a token reach across the cuts made below, so a text's ids are the ids
-of its pieces laid end to end.  A Python worker keeps the pieces it has met, up to a bound.
+of its pieces laid end to end.  A task keeps the pieces it has met, up to a bound.
 
 * ``words`` (lower case, white space dropped): pieces are the lower-cased runs between white space.
 * ``bytes`` (white space kept): a piece starts at a space after which no white space follows, so that
@@ -23,7 +23,7 @@ from functools import cache
 
 import pyarrow as pa
 
-#: Pieces met lately that one Python worker keeps; as many older ones are kept beside them, about 240 MB in all.
+#: Pieces met lately that one task keeps; as many older ones are kept beside them, about 240 MB in all.
 MAX_PIECES = 600_000
 #: Signs that may end a piece of letters and are tokens apart from it: ASCII signs but the apostrophe.
 _ENDS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -102,6 +102,13 @@ class Encoder:
         self.words = kind == "words"
         self.bare = Pieces(self.tokenizer, "")
         self.known = self.bare if self.words else Pieces(self.tokenizer, " ", self.bare)
+        self.stores = (self.bare,) if self.words else (self.bare, self.known)
+
+    def forget(self) -> None:
+        """Let go of all pieces, as a task that ends should: workers live on for other work."""
+        for pieces in self.stores:
+            pieces.clear()
+            pieces.older = {}
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -124,10 +131,10 @@ class Encoder:
         get = self.known.__getitem__
         for text in texts:
             text = text or ""
+            if sum(map(len, self.stores)) > MAX_PIECES:
+                for store in self.stores:
+                    store.age()
             pieces = self._pieces(text)
-            if len(self.known) + len(self.bare) > MAX_PIECES:
-                self.known.age()
-                self.bare.age()
             if pieces is None:
                 yield self._whole(text)
             elif self.words:
