@@ -15,13 +15,15 @@ it, and the counts are summed per pair.
    each document is paired with one hub, the document with the fewest rare n-grams.  What links to the same hub
    is connected.  Where a document does not link to its hub, it is paired with those of the list whose counts allow
    a link: a pair that shares no rare n-gram (others came up in step 2) differs in at least
-   ``rare_a + rare_b + |frequent_a - frequent_b|`` n-grams.
+   ``rare_a + rare_b + |frequent_a - frequent_b|`` n-grams, and, by the triangle inequality, in at least the
+   difference of what each differs from the hub.
+   Documents with equal sets (128 bits of the set agree) are one class before that, of which one document stands in lists and pairs.
 4. Surviving pairs are verified: whole sets of the documents concerned are cut into fragments of the order, the
    overlap is counted in every fragment and summed per pair.
 5. Links are joined into components by large-star and small-star rounds.
 
 The result has every link between different texts that the components need; links inside a group that its
-hub connects already are not listed.  Hashes are 64 bits wide.  The sketch takes at most ``2 ** MAX_BITS`` counters;
+hub connects already are not listed.  Hashes are 64 bits wide.  The sketch takes at most ``MAX_BUCKETS`` counters;
 beyond about 10**9 n-grams raise it, or lists of fairly frequent n-grams grow (never the result).
 
 Defined results: null and empty texts, and texts without words, have the empty set, which links with nothing; a
@@ -46,7 +48,7 @@ from eventmart.llm.common import column, components, in_filter, key_filter, stag
 from eventmart.llm.textvec import SPACE, Slice, mix, slices, windows
 
 #: Counters of the sketch, at most (two bytes each in a task, one bit each in the broadcast).
-MAX_BITS = 25
+MAX_BUCKETS = 1 << 25
 _BLOCK = 1 << 20
 #: A task passes its counters on after so many documents, below what a counter holds.
 _FLUSH_DOCS = 60_000
@@ -79,24 +81,27 @@ def shingle_sets(s: Slice, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 # -- 1: which n-grams are frequent ------------------------------------------------------------------------
-def _sketch(nodes: DataFrame, n: int, bits: int) -> DataFrame:
-    """(block, counts): counters of one task, 16 bits each, compressed."""
-    shift = np.uint64(64 - bits)
+def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each hash, in hash order."""
+    return ((grams >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+
 
+def _sketch(nodes: DataFrame, n: int, buckets: int) -> DataFrame:
+    """(block, counts): counters of one task, 16 bits each, compressed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         press = zstandard.ZstdCompressor(level=1)
-        counters, docs = np.zeros(1 << bits, np.uint16), 0
+        counters, docs = np.zeros(buckets, np.uint16), 0
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for block in range(max(1, (1 << bits) // _BLOCK)):
+            for block in range(-(-buckets // _BLOCK)):
                 part = counters[block * _BLOCK: (block + 1) * _BLOCK]
                 yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "counts": pa.array([press.compress(part.tobytes())], pa.binary())})
 
         for batch in batches:
             for s in slices(column(batch, "text"), lower=True):
                 grams, _ = shingle_sets(s, n)
-                np.add.at(counters, (grams >> shift).astype(np.int64), np.uint16(1))
+                np.add.at(counters, _bucket(grams, buckets), np.uint16(1))
                 docs += s.n
                 if docs > _FLUSH_DOCS:
                     yield from rows()
@@ -120,15 +125,15 @@ def _frequent_block(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[p
 
 
 def frequent_buckets(nodes: DataFrame, n: int, size: int) -> tuple[int, np.ndarray]:
-    """log2 of the number of buckets, and a packed bitmap (4 MB at most) of those with frequent n-grams."""
-    bits = min(MAX_BITS, max(16, math.ceil(math.log2(max(size / 48, 1)))))
-    merged = _sketch(nodes, n, bits).groupBy("block").applyInArrow(_frequent_block, "block int, bitmap binary")
-    bitmap = np.zeros((1 << bits) // 8, np.uint8)
+    """Number of buckets, about one for eight n-grams, and a packed bitmap (4 MB at most) of those with frequent n-grams."""
+    buckets = int(min(MAX_BUCKETS, max(1 << 16, size // 48)) // 8 * 8)
+    merged = _sketch(nodes, n, buckets).groupBy("block").applyInArrow(_frequent_block, "block int, bitmap binary")
+    bitmap = np.zeros(buckets // 8, np.uint8)
     for row in merged.toLocalIterator():
         at = row["block"] * _BLOCK // 8
         part = np.frombuffer(row["bitmap"], np.uint8)
         bitmap[at: at + len(part)] = part
-    return bits, bitmap
+    return buckets, bitmap
 
 
 # -- 2: rare prefix n-grams, fragment by fragment ---------------------------------------------------------
@@ -139,12 +144,11 @@ def fragment_edges(fragments: int, percent: int) -> np.ndarray:
     return (edges * 2.0 ** 64).astype(np.uint64)
 
 
-_ROW = "fragment int, blob binary, node long, n int, rare int, often array<long>"
+_ROW = "fragment int, blob binary, node long, n int, rare int, often array<long>, digest array<long>"
 
 
-def _prefixes(nodes: DataFrame, n: int, percent: int, bits: int, bitmap, edges: np.ndarray) -> DataFrame:
+def _prefixes(nodes: DataFrame, n: int, percent: int, buckets: int, bitmap, edges: np.ndarray) -> DataFrame:
     """One row a document (fragment below 0), and rows of each fragment's prefix n-grams."""
-    shift = np.uint64(64 - bits)
     schema = T._parse_datatype_string(_ROW)
     fragments = len(edges) + 1
 
@@ -156,8 +160,12 @@ def _prefixes(nodes: DataFrame, n: int, percent: int, bits: int, bitmap, edges:
             grams_of, place_of = [], []
             for s in slices(column(batch, "text"), lower=True):
                 grams, bounds = shingle_sets(s, n)
-                bucket = grams >> shift
-                often = ((bitmap.value[(bucket >> np.uint64(3)).astype(np.int64)] >> (bucket & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+                # 128 bits that equal sets have in common
+                total = np.r_[np.uint64(0), np.cumsum(mix(grams + np.uint64(1)))]
+                parity = np.r_[np.uint64(0), np.bitwise_xor.accumulate(mix(grams + np.uint64(2)))]
+                digest = np.stack([total[bounds[1:]] - total[bounds[:-1]], parity[bounds[1:]] ^ parity[bounds[:-1]]], axis=1).view(np.int64)
+                bucket = _bucket(grams, buckets)
+                often = ((bitmap.value[bucket >> 3] >> (bucket & 7).astype(np.uint8)) & 1).astype(bool)
                 for i in range(s.n):
                     a, b = bounds[i], bounds[i + 1]
                     size = int(b - a)
@@ -165,10 +173,10 @@ def _prefixes(nodes: DataFrame, n: int, percent: int, bits: int, bitmap, edges:
                     prefix = size - -(-percent * size // 100) + 1 if size else 0
                     rare = own[~mark]
                     late = own[mark][:max(0, prefix - len(rare))]
-                    docs.append((int(node_of[s.first + i]), size, len(rare), late.view(np.int64)))
+                    docs.append((int(node_of[s.first + i]), size, len(rare), late.view(np.int64), digest[i]))
                     grams_of.append(rare[:prefix])
                     place_of.append(np.full(len(grams_of[-1]), len(docs) - 1, np.uint32))
-            yield pa.RecordBatch.from_arrays([pa.array([-1 - task % 64] * len(docs), pa.int32()), pa.nulls(len(docs), pa.binary()), pa.array([d[0] for d in docs], pa.int64()), pa.array([d[1] for d in docs], pa.int32()), pa.array([d[2] for d in docs], pa.int32()), pa.array([d[3] for d in docs], pa.list_(pa.int64()))], schema.names)
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - task % 64] * len(docs), pa.int32()), pa.nulls(len(docs), pa.binary()), pa.array([d[0] for d in docs], pa.int64()), pa.array([d[1] for d in docs], pa.int32()), pa.array([d[2] for d in docs], pa.int32()), pa.array([d[3] for d in docs], pa.list_(pa.int64())), pa.array([d[4] for d in docs], pa.list_(pa.int64()))], schema.names)
             grams, place = np.concatenate(grams_of), np.concatenate(place_of)
             part = np.searchsorted(edges, grams, "right")
             order = np.argsort(part, kind="stable")
@@ -184,12 +192,12 @@ def _prefixes(nodes: DataFrame, n: int, percent: int, bits: int, bitmap, edges:
                 which.append(int(f))
             none = len(blobs)
             if none:
-                yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(blobs, pa.binary()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.list_(pa.int64()))], schema.names)
+                yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(blobs, pa.binary()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.list_(pa.int64())), pa.nulls(none, pa.list_(pa.int64()))], schema.names)
 
     return nodes.mapInArrow(run, schema)
 
 
-_COUNTED = "node long, n int, rare int, often array<long>, a long, b long, shared int, na int, nb int, late int"
+_COUNTED = "node long, n int, rare int, often array<long>, digest array<long>, a long, b long, shared int, na int, nb int, late int"
 
 
 def _count_fragment(percent: int):
@@ -198,13 +206,13 @@ def _count_fragment(percent: int):
 
     def out(a, b, shared, na, nb, late) -> pa.RecordBatch:
         k = len(a)
-        return pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.array(a), pa.array(b), pa.array(shared.astype(np.int32)), pa.array(na), pa.array(nb), pa.array(late)], names)
+        return pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int64())), pa.array(a), pa.array(b), pa.array(shared.astype(np.int32)), pa.array(na), pa.array(nb), pa.array(late)], names)
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key[0].as_py() < 0:
             for batch in batches:
                 k = batch.num_rows
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("node", "n", "rare", "often")], *[pa.nulls(k, t) for t in (pa.int64(), pa.int64(), *[pa.int32()] * 4)]], names)
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("node", "n", "rare", "often", "digest")], *[pa.nulls(k, t) for t in (pa.int64(), pa.int64(), *[pa.int32()] * 4)]], names)
             return
         nodes, sizes, lates, grams, places, docs = [], [], [], [], [], 0
         for batch in batches:
@@ -290,13 +298,29 @@ def _set_fragments(nodes: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return nodes.mapInArrow(run, "node long, n int, fragment int, grams array<long>")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose similarity is high enough: overlaps counted by fragment, then summed."""
+def only(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of the documents in ``wanted`` and, of no consequence, a few others."""
+    bits, bitmap = key_filter(wanted)
+    shared = sets.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("node").to_numpy().astype(np.int64)
+            yield batch.filter(pa.array(in_filter(mix(ids.view(np.uint64)), bits, shared.value)))
+
+    return sets.mapInArrow(run, sets.schema)
+
+
+def measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, na, nb, overlap) of each pair: overlaps counted by fragment, then summed."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), "fragment", F.col("grams").alias("ga"))
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), "fragment", F.col("grams").alias("gb"))
     parts = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("part"))
-    summed = parts.groupBy("a", "b").agg(F.sum("part").alias("overlap"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    return summed.filter(f"100 * overlap >= {percent} * (na + nb - overlap)").select("a", "b")
+    return parts.groupBy("a", "b").agg(F.sum("part").alias("overlap"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+
+
+def _linked(percent: int) -> str:
+    return f"100 * overlap >= {percent} * (na + nb - overlap)"
 
 
 # -- all of it --------------------------------------------------------------------------------------------
@@ -313,43 +337,59 @@ def _node(doc_id, text, by_id: bool):
     return doc_id.cast("long") if by_id else F.xxhash64(doc_id, F.coalesce(text, F.lit("")))
 
 
-def link_components(nodes: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def link_components(nodes: DataFrame, n: int, percent: int, by_id: bool) -> tuple[DataFrame, DataFrame]:
     """(node, n) of every row, and (node, component) of every linked document."""
     texts = nodes.select("node", "text")
     size = text_bytes(texts)
-    bits, often = frequent_buckets(texts, n, size)
+    buckets, often = frequent_buckets(texts, n, size)
     bitmap = nodes.sparkSession.sparkContext.broadcast(often)
     edges = fragment_edges(max(8, math.ceil(size / 6 * (100 - percent) / 100 / FRAGMENT_GRAMS)), percent)
-    counted = _prefixes(texts, n, percent, bits, bitmap, edges).groupBy("fragment").applyInArrow(_count_fragment(percent), _COUNTED)
+    counted = _prefixes(texts, n, percent, buckets, bitmap, edges).groupBy("fragment").applyInArrow(_count_fragment(percent), _COUNTED)
     counted = stage(counted, "counted")
-    docs = counted.filter("node is not null").select("node", "n", "rare", "often")
+    docs = counted.filter("node is not null").select("node", "n", "rare", "often", "digest")
+    # documents with equal sets are one class; its smallest node stands for it from here on
+    classes = docs.filter("n > 0").groupBy("n", "digest").agg(F.min("node").alias("rep"), F.count("*").alias("k")).filter("k > 1")
+    same = stage(docs.join(classes, ["n", "digest"]).filter("node <> rep").select("node", "rep").distinct(), "classes")
     summed = counted.filter("a is not null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("na").alias("na"), F.first("nb").alias("nb"), F.first("late").alias("late"))
     likely = summed.filter(f"shared + late >= {_overlap(percent, 'na', 'nb')} - greatest({_most(percent, 'na')}, {_most(percent, 'nb')}) + 1").select("a", "b")
-    # 3: lists of frequent prefix n-grams
-    lists = docs.filter(F.size("often") > 0).select("node", "n", "rare", F.explode("often").alias("gram")).distinct()
-    hubs = lists.groupBy("gram").agg(F.min(F.struct("rare", "node", "n")).alias("hub")).select("gram", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.rare").alias("hub_rare"))
-    lists = stage(lists.join(hubs, "gram"), "lists")
+    for side in ("a", "b"):
+        likely = likely.join(same.withColumnRenamed("node", side), side, "left").withColumn(side, F.coalesce("rep", side)).drop("rep")
+    likely = likely.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    # 3: lists of frequent prefix n-grams; documents in one list have its hub in common
+    lists = docs.filter(F.size("often") > 0).join(same.select("node"), "node", "left_anti").select("node", "n", "rare", F.explode("often").alias("gram"))
+    hubs = lists.groupBy("gram").agg(F.min(F.struct("rare", "node", "n")).alias("hub"))
+    lists = lists.join(hubs, "gram").select("node", "n", "rare", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.rare").alias("hub_rare"))
+    lists = stage(lists.distinct(), "lists")
     to_hub = lists.filter("node <> hub").filter(_may_link(percent, "", "hub_")).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
     pairs = stage(likely.union(to_hub).distinct(), "pairs")
     wanted = pairs.select("a").union(pairs.select("b")).union(lists.select("node")).distinct()
-    sets = stage(_set_fragments(texts, wanted, n).dropDuplicates(["node", "fragment"]), "sets")
-    links = stage(verify(pairs, sets, percent), "links")
-    # documents that do not link to the hub of a list, with those of the list that their counts allow
-    tied = links.select(F.col("a").alias("node"), F.col("b").alias("hub")).union(links.select("b", "a"))
-    loose = lists.filter("node <> hub").join(tied, ["node", "hub"], "left_anti").select("gram", "node", "n", "rare")
-    cells = lists.select("gram", F.col("n").alias("other_n"), F.col("rare").alias("other_rare")).distinct()
-    open_cells = loose.select("gram", "n", "rare").distinct().join(cells, "gram").filter(_may_link(percent, "", "other_"))
-    others = lists.select("gram", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("rare").alias("other_rare"))
-    more = loose.join(open_cells, ["gram", "n", "rare"]).join(others, ["gram", "other_n", "other_rare"]).filter("node <> other").select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    more = more.join(pairs, ["a", "b"], "left_anti")
-    every = links.union(verify(more, sets, percent))
+    sets = _set_fragments(texts, wanted, n)
+    sets = stage(sets if by_id else sets.dropDuplicates(["node", "fragment"]), "sets")
+    measured = stage(measure(pairs, sets), "measured")
+    links = measured.filter(_linked(percent)).select("a", "b")
+    # documents that do not link to their hub, with those of the same hub that their counts, and their differences
+    # from the hub where these are known, allow
+    differ = measured.select("a", "b", (F.col("na") + F.col("nb") - 2 * F.col("overlap")).alias("differ"), F.expr(_linked(percent)).alias("tied"))
+    differ = differ.select(F.col("a").alias("node"), F.col("b").alias("hub"), "differ", "tied").union(differ.select("b", "a", "differ", "tied"))
+    members = lists.join(differ, ["node", "hub"], "left").select("hub", "node", "n", "rare", F.when(F.col("node") == F.col("hub"), 0).otherwise(F.col("differ")).alias("differ"), ((F.col("node") == F.col("hub")) | F.coalesce("tied", F.lit(False))).alias("tied"))
+    members = stage(members, "members")
+    loose = members.filter("not tied").drop("tied")
+    cells = members.select("hub", F.col("n").alias("other_n"), F.col("rare").alias("other_rare")).distinct()
+    open_cells = loose.select("hub", "n", "rare").distinct().join(cells, "hub").filter(_may_link(percent, "", "other_"))
+    others = members.select("hub", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("rare").alias("other_rare"), F.col("differ").alias("other_differ"), F.col("tied").alias("other_tied"))
+    near = f"coalesce(abs(differ - other_differ), 0) <= n + other_n - 2 * {_overlap(percent, 'n', 'other_n')}"
+    more = loose.join(open_cells, ["hub", "n", "rare"]).join(others, ["hub", "other_n", "other_rare"]).filter(near).filter("other_tied or node < other")
+    more = more.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+    more = stage(more, "more")
+    late = measure(more, only(sets, more.select("a").union(more.select("b")).distinct()))
+    every = links.union(late.filter(_linked(percent)).select("a", "b")).union(same.select(F.col("rep").alias("a"), F.col("node").alias("b")))
     return docs.select("node", "n"), components(every)
 
 
 def join(docs: DataFrame, n: int = 4, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
-    nodes, _ = with_nodes(docs, id_column, text_column)
-    sizes, linked = link_components(nodes, n, percent)
+    nodes, by_id = with_nodes(docs, id_column, text_column)
+    sizes, linked = link_components(nodes, n, percent, by_id)
     ids = nodes.select("node", "doc_id")
     named = linked.join(ids, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_node = linked.join(named, "component").select("node", "component_id")
@@ -363,7 +403,7 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_column: str = "d
     names = docs.columns
     plain = docs.toDF(*[f"_{i}" for i in range(len(names))])
     nodes, by_id = with_nodes(docs, id_column, text_column)
-    _, linked = link_components(nodes, n, percent)
+    _, linked = link_components(nodes, n, percent, by_id)
     ids = nodes.select("node", "doc_id").distinct()
     first = linked.join(ids, "node").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("keep"))
     gone = linked.join(first, "component").filter(F.col("node") != F.col("keep.node")).select(F.col("node").alias("_node"))

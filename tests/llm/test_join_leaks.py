@@ -57,7 +57,7 @@ def test_join_equals_all_pairs(spark, monkeypatch, seed, often):
     """Also with an order that calls nearly everything frequent, where hubs have to do the work."""
     rows = _groups(seed)
     if often == 2:
-        monkeypatch.setattr(jaccard_join, "frequent_buckets", lambda *a: (16, np.where(np.random.default_rng(seed).random(8192) < 0.9, 255, 0).astype(np.uint8)))
+        monkeypatch.setattr(jaccard_join, "frequent_buckets", lambda *a: (1 << 16, np.where(np.random.default_rng(seed).random(8192) < 0.9, 255, 0).astype(np.uint8)))
     assert joined(edges(spark, rows)) == component_answer(rows)
     assert joined(edges(spark, rows), n=5, percent=80) == component_answer(rows, 5, 80)
 
