@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are taken in slices of about so many bytes; a longer text is a slice of its own.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 300_000
 _P = np.uint64(0x9E3779B97F4A7C1B)          # 3 mod 8, so that swapped letters always differ
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 _MIX2 = np.uint64(0xC4CEB9FE1A85EC53)
