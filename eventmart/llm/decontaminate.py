@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 from eventmart.llm.common import column, stage, table, take
 
 MAX_CHARS = 4_000_000
+#: Rows of a batch that are taken together.
+ROWS_AT_ONCE = 500
 #: Words of the text as it stands, capitals included.
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Letters to lower case, every byte that is no part of a word to a space.
@@ -123,17 +125,19 @@ def _search(docs: DataFrame, machines: list[Automaton]) -> DataFrame:
         shared = spark.sparkContext.broadcast(machine)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, again=k > 0) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                n_words, hits, items = [], [], []
-                old = zip(batch.column("hit").to_pylist(), batch.column("items").to_pylist(), strict=True) if again else iter(lambda: ((), ()), 0)
-                for text, (old_hit, old_items) in zip(column(batch, "_text").cast(pa.binary()).to_pylist(), old, strict=False):
-                    words = words_of(text)
-                    hit, found = shared.value.find(words)
-                    n_words.append(len(words))
-                    hits.append(np.union1d(hit, np.array(old_hit, np.int64)) if len(old_hit) else hit)
-                    items.append(sorted(found | set(old_items)))
-                columns = [batch.column(f.name) for f in own.fields]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], schema.names)
+            for whole in batches:
+                for i in range(0, whole.num_rows, ROWS_AT_ONCE):
+                    batch = whole.slice(i, ROWS_AT_ONCE)
+                    n_words, hits, items = [], [], []
+                    old = zip(batch.column("hit").to_pylist(), batch.column("items").to_pylist(), strict=True) if again else iter(lambda: ((), ()), 0)
+                    for text, (old_hit, old_items) in zip(column(batch, "_text").cast(pa.binary()).to_pylist(), old, strict=False):
+                        words = words_of(text)
+                        hit, found = shared.value.find(words)
+                        n_words.append(len(words))
+                        hits.append(np.union1d(hit, np.array(old_hit, np.int64)) if len(old_hit) else hit)
+                        items.append(sorted(found | set(old_items)))
+                    columns = [batch.column(f.name) for f in own.fields]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))], schema.names)
 
         docs = docs.mapInArrow(run, schema)
         if k + 1 < len(machines):
@@ -166,9 +170,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text: str = "text", window: int = 10) -> DataFrame:
     """The documents, all columns, that hold no window of the benchmark."""
     names = docs.columns
-    plain = docs.toDF(*[f"_{i}" for i in range(len(names))])
-    found = _search(plain.withColumn("_text", F.col(f"_{names.index(text_column)}")), automata(benchmark, item_column, item_text, window))
-    return found.filter(F.size("hit") == 0).select(*plain.columns).toDF(*names)
+    kept = docs.toDF(*[f"_{i}" for i in range(len(names))])
+    text, schema = f"_{names.index(text_column)}", kept.schema
+    machines = automata(benchmark, item_column, item_text, window)
+    for k, machine in enumerate(machines):
+        shared = docs.sparkSession.sparkContext.broadcast(machine)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for i in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    some = batch.slice(i, ROWS_AT_ONCE)
+                    clean = [not len(shared.value.find(words_of(t))[0]) for t in column(some, text).cast(pa.binary()).to_pylist()]
+                    yield some.filter(pa.array(clean))
+
+        kept = kept.mapInArrow(run, schema)
+        if k + 1 < len(machines):
+            kept = stage(kept, "decontaminate")
+    return kept.toDF(*names)
 
 
 def op5_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -130,11 +130,15 @@ def _kept_lines(text: bytes, drop: set) -> tuple[list[bytes], int]:
     return kept, len(lines)
 
 
-def _with_drops(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    """Documents (``_id``, ``_text`` and others) with the column ``_drop_keys``, null where nothing goes."""
-    own = docs.select(F.col("_id").alias("doc_id"), F.col("_text").alias("text"))
+def _with_drops(docs: DataFrame, id_name: str, text_name: str, min_chars: int, min_docs: int) -> DataFrame:
+    """Documents with the column ``_drop_keys``, null where nothing goes."""
+    own = docs.select(F.col(id_name).alias("doc_id"), F.col(text_name).alias("text"))
     drops = repeated_keys(own, min_chars, min_docs).toDF("_drop_id", "_drop_keys")
-    return docs.join(drops, docs["_id"].eqNullSafe(drops["_drop_id"]), "left").drop("_drop_id")
+    return docs.join(drops, docs[id_name].eqNullSafe(drops["_drop_id"]), "left").drop("_drop_id")
+
+
+#: Rows of a batch whose texts are taken apart together.
+_ROWS = 500
 
 
 def line_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
@@ -142,19 +146,21 @@ def line_report(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     own = take(docs, _id=id_column, _text=text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, n, gone, sha = [], [], [], []
-            for text, drop in zip(column(batch, "_text").cast(pa.binary()).to_pylist(), batch.column("_drop_keys").to_pylist(), strict=True):
-                kept, before = _kept_lines(text, set(drop or ()))
-                joined_text = b"\n".join(kept)
-                texts.append(joined_text)
-                n.append(before)
-                gone.append(before - len(kept))
-                sha.append(hashlib.sha256(joined_text).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha)], ["doc_id", "text", "n_lines", "n_dropped", "kept_sha256"])
+        for whole in batches:
+            for i in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(i, _ROWS)
+                texts, n, gone, sha = [], [], [], []
+                for text, drop in zip(column(batch, "_text").cast(pa.binary()).to_pylist(), batch.column("_drop_keys").to_pylist(), strict=True):
+                    kept, before = _kept_lines(text, set(drop or ()))
+                    joined_text = b"\n".join(kept)
+                    texts.append(joined_text)
+                    n.append(before)
+                    gone.append(before - len(kept))
+                    sha.append(hashlib.sha256(joined_text).hexdigest())
+                yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha)], ["doc_id", "text", "n_lines", "n_dropped", "kept_sha256"])
 
     schema = T.StructType([T.StructField("doc_id", own.schema["_id"].dataType), T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("kept_sha256", T.StringType())])
-    return _with_drops(own, min_chars, min_docs).mapInArrow(run, schema)
+    return _with_drops(own, "_id", "_text", min_chars, min_docs).mapInArrow(run, schema)
 
 
 def drop_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = 40, min_docs: int = 5) -> DataFrame:
@@ -162,18 +168,18 @@ def drop_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     document that loses every line stays with an empty text."""
     names = docs.columns
     plain = docs.toDF(*[f"_{i}" for i in range(len(names))])
-    at = names.index(text_column)
-    joined = _with_drops(plain.withColumns({"_id": F.col(f"_{names.index(id_column)}"), "_text": F.col(f"_{at}")}), min_chars, min_docs)
-    schema = plain.schema
+    at, schema = names.index(text_column), plain.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [x if not drop or x is None else b"\n".join(_kept_lines(x, set(drop))[0]) for x, drop in zip(batch.column("_text").cast(pa.binary()).to_pylist(), batch.column("_drop_keys").to_pylist(), strict=True)]
-            own = [batch.column(f.name) for f in schema.fields]
-            own[at] = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(own, [f.name for f in schema.fields])
-
-    return joined.mapInArrow(run, schema).toDF(*names)
+        for whole in batches:
+            for i in range(0, whole.num_rows, _ROWS):
+                batch = whole.slice(i, _ROWS)
+                own = [batch.column(f.name) for f in schema.fields]
+                texts = [x if not drop or x is None else b"\n".join(_kept_lines(x, set(drop))[0]) for x, drop in zip(own[at].cast(pa.binary()).to_pylist(), batch.column("_drop_keys").to_pylist(), strict=True)]
+                own[at] = pa.array(texts, pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(own, [f.name for f in schema.fields])
+
+    return _with_drops(plain, f"_{names.index(id_column)}", f"_{at}", min_chars, min_docs).mapInArrow(run, schema).toDF(*names)
 
 
 def op10_line_dedup(spark, sf_dir: str) -> DataFrame:

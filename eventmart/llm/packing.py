@@ -48,21 +48,24 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, kind: str, capacity: int, en
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, task, seen = encoder(tokenizer_path, kind), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            owner, out, blobs = [], [], []
-            for i, ids in enumerate(enc.encode(texts_of(batch.column("text")))):
-                ids = memoryview(ids + end)
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at: at + 4 * capacity]
-                    length = len(part) // 4
-                    owner.append(i)
-                    out.append((piece, at // 4, length, zlib.crc32(part), task, seen[length]))
-                    seen[length] += 1
-                    if with_ids:
-                        blobs.append(bytes(part))
-            if owner:
-                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(owner)), *columns, *([pa.array(blobs, pa.binary())] if with_ids else [])], schema.names)
+        try:
+            for batch in batches:
+                owner, out, blobs = [], [], []
+                for i, ids in enumerate(enc.encode(texts_of(batch.column("text")))):
+                    ids = memoryview(ids + end)
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at: at + 4 * capacity]
+                        length = len(part) // 4
+                        owner.append(i)
+                        out.append((piece, at // 4, length, zlib.crc32(part), task, seen[length]))
+                        seen[length] += 1
+                        if with_ids:
+                            blobs.append(bytes(part))
+                if owner:
+                    columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()), strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(owner)), *columns, *([pa.array(blobs, pa.binary())] if with_ids else [])], schema.names)
+        finally:
+            enc.forget()
 
     return docs.mapInArrow(run, schema)
 
