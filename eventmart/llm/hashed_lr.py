@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 
-from eventmart.llm.textvec import SPACE, Slice, mix, slices, windows
+from eventmart.llm.textvec import SPACE, Slice, mix, slices, sums, windows
 
 
 @dataclass(frozen=True)
@@ -112,48 +112,60 @@ class Rows:
     bounds: np.ndarray
 
     @classmethod
-    def of(cls, rows) -> Rows:
-        rows = list(rows)
-        return cls(np.concatenate([r[0] for r in rows] or [np.zeros(0, np.int32)]),
-                   np.concatenate([r[1] for r in rows] or [np.zeros(0, np.float32)]),
-                   np.r_[0, np.cumsum([len(r[0]) for r in rows])].astype(np.int64))
+    def of(cls, slots: list[bytes], values: list[bytes]) -> Rows:
+        """From little-endian 32-bit slots and floats of each row."""
+        return cls(np.frombuffer(b"".join(slots), "<i4"), np.frombuffer(b"".join(values), "<f4"),
+                   np.r_[0, np.cumsum([len(s) // 4 for s in slots])].astype(np.int64))
+
+    def __len__(self) -> int:
+        return len(self.bounds) - 1
+
+    def parts(self, most: int = 400_000) -> list[tuple[int, int]]:
+        """Ranges of rows with about so many entries each, which bound what a step of the fit holds at once."""
+        out, first = [], 0
+        for i in range(1, len(self) + 1):
+            if i == len(self) or self.bounds[i + 1] - self.bounds[first] > most:
+                out.append((first, i))
+                first = i
+        return out
 
-    def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
+    def margins(self, w: np.ndarray, b: float) -> np.ndarray:
+        out = np.full(len(self), b)
+        for i, j in self.parts():
+            own = slice(self.bounds[i], self.bounds[j])
+            out[i:j] += sums(self.value[own] * w[self.slot[own]], self.bounds[i:j + 1] - self.bounds[i])
+        return out
 
-    def take(self, which: np.ndarray) -> Rows:
-        keep = np.repeat(which, np.diff(self.bounds))
-        return Rows(self.slot[keep], self.value[keep], np.r_[0, np.cumsum(np.diff(self.bounds)[which])])
+    def pulled(self, pull: np.ndarray, size: int) -> np.ndarray:
+        """Sum of all rows, each times its pull."""
+        out = np.zeros(size)
+        for i, j in self.parts():
+            own = slice(self.bounds[i], self.bounds[j])
+            each = np.repeat(pull[i:j], np.diff(self.bounds[i:j + 1]))
+            out += np.bincount(self.slot[own], self.value[own] * each, size)
+        return out
 
 
-def fit(rows: Rows, y: np.ndarray, bits: int, *, pairs: tuple[Rows, np.ndarray] | None = None,
-        pair_weight: float = 0.0, l2: float = 1e-4, steps: int = 150, rate: float = 0.5) -> tuple[np.ndarray, float]:
-    """Full-batch gradient descent (Adam) on log loss, both classes weighing the same.
+def fit(rows: Rows, y: np.ndarray, bits: int, *, use: np.ndarray | None = None, pairs: tuple[Rows, np.ndarray] | None = None,
+        pair_weight: float = 0.0, l2: float = 1e-4, steps: int = 100, rate: float = 0.5) -> tuple[np.ndarray, float]:
+    """Full-batch gradient descent (Adam) on log loss, both classes weighing the same; ``use`` marks the rows to fit.
 
     ``pairs``: rows of texts with swapped terms, and the row in ``rows`` each comes from;
     ``pair_weight`` times the mean squared change of margin is added to the loss."""
-    size = 1 << bits
+    size, use = 1 << bits, np.ones(len(y), bool) if use is None else use
     w, b = np.zeros(size), 0.0
     m, v = np.zeros(size + 1), np.zeros(size + 1)
-    owner, n = rows.owner(), len(y)
-    weight = np.where(y == 1, 0.5 / max((y == 1).sum(), 1), 0.5 / max((y == 0).sum(), 1))
-    if pairs is not None:
-        twin, source = pairs
-        twin_owner = twin.owner()
+    weight = np.where(y == 1, 0.5 / max((use & (y == 1)).sum(), 1), 0.5 / max((use & (y == 0)).sum(), 1)) * use
     for t in range(1, steps + 1):
-        margin = np.bincount(owner, rows.value * w[rows.slot], n) + b
+        margin = rows.margins(w, b)
         pull = weight * (sigmoid(margin) - y)
-        if pairs is not None and len(source):
-            change = np.bincount(twin_owner, twin.value * w[twin.slot], len(source)) + b - margin[source]
-            push = 2 * pair_weight * change / len(source)
-            back = np.bincount(source, push, n)
-        else:
-            push, back = None, 0.0
-        g = np.bincount(rows.slot, rows.value * (pull - back)[owner], size)
-        if push is not None:
-            g += np.bincount(twin.slot, twin.value * push[twin_owner], size)
-        g += l2 * w
-        g = np.append(g, pull.sum())
+        g = np.append(l2 * w, pull.sum())
+        if pairs is not None and len(pairs[1]):
+            twin, source = pairs
+            push = 2 * pair_weight * (twin.margins(w, b) - margin[source]) / len(source)
+            g[:-1] += twin.pulled(push, size)
+            pull = pull - np.bincount(source, push, len(y))
+        g[:-1] += rows.pulled(pull, size)
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
         step = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8) * min(1.0, 2 * (1 - t / (steps + 1)))

@@ -58,27 +58,19 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, features: Feat
 
 def train(rows: DataFrame, features: Features, prior: float, pair_weight: float = 0.0, calibration_fold: int = 1) -> Model:
     """Fit on all folds but one, calibrate on that one."""
-    sparse = lambda a, b: (np.frombuffer(a, "<i4"), np.frombuffer(b, "<f4"))
-    y, fold, own, twins, source = [], [], [], [], []
     # in a fixed order, so that the same rows always make the same model
-    for r in sorted(rows.toLocalIterator(), key=lambda r: (r["key"], r["slots"], r["counts"])):
-        if r["fold"] != calibration_fold and r["slots2"] is not None:
-            source.append(len(y))
-            twins.append(sparse(r["slots2"], r["counts2"]))
-        y.append(r["y"])
-        fold.append(r["fold"])
-        own.append(sparse(r["slots"], r["counts"]))
-    y, fold = np.array(y, int), np.array(fold, int)
+    got = sorted((tuple(r) for r in rows.toLocalIterator()), key=lambda r: (r[0], r[3], r[4]))
+    y, fold = np.array([r[1] for r in got], int), np.array([r[2] for r in got], int)
+    every = Rows.of([r[3] for r in got], [r[4] for r in got])
+    source = np.array([i for i, r in enumerate(got) if r[5] is not None and r[2] != calibration_fold], int)
+    twins = Rows.of([got[i][5] for i in source], [got[i][6] for i in source])
+    del got
     fitted = fold != calibration_fold
     if not len(y) or len(set(y[fitted])) < 2:
         p = min(max(((y == 1).sum() + 2 * prior) / (len(y) + 2), 1e-6), 1 - 1e-6)
         return Model(features, np.zeros(1 << features.bits, np.float32), float(np.log(p / (1 - p))))
-    every = Rows.of(own)
-    new = np.cumsum(fitted) - 1
-    pairs = (Rows.of(twins), new[np.array(source, int)]) if source else None
-    w, b = fit(every.take(fitted), y[fitted], features.bits, pairs=pairs, pair_weight=pair_weight)
-    margin = np.bincount(every.owner(), every.value * w[every.slot], len(y)) + b
-    held = ~fitted
+    w, b = fit(every, y, features.bits, use=fitted, pairs=(twins, source), pair_weight=pair_weight)
+    held, margin = ~fitted, every.margins(w, b)
     a, c = platt(margin[held], y[held]) if len(set(y[held])) == 2 else (1.0, 0.0)
     return Model(features, w.astype(np.float32), b, a, c, {"rows": int(len(y)), "calibrated_on": int(held.sum())})
 
