@@ -69,7 +69,8 @@ def hashed_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
-    """A column as one string array without nulls (null: empty)."""
+    """A column as one string array without nulls (null: empty).  What Arrow holds of earlier batches is given back."""
+    pa.default_memory_pool().release_unused()
     got = batch.column(name)
     if pa.types.is_null(got.type):
         got = pa.array([""] * len(got), pa.string())

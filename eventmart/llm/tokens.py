@@ -37,6 +37,7 @@ _SPACE_PAIRS = ("  ", " \n", " \t", " \r", " \x0b", " \x0c")
 
 def texts_of(column: pa.Array, rows: int = 200) -> Iterator[str | None]:
     """A string column's values, a few at a time as Python strings."""
+    pa.default_memory_pool().release_unused()
     for i in range(0, len(column), rows):
         yield from column.slice(i, rows).to_pylist()
 
