@@ -44,17 +44,19 @@ _GIVEN = "|".join(n for names in FIRST_NAMES.values() for n in names)
 _CAPITAL = r"\p{Lu}\p{Ll}+"
 #: Patterns by type, first match counts (Java regular expressions).
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{32,128}|(?:sk|pk|ghp|gho|xoxb|AKIA)[_-]?[0-9A-Za-z_-]{16,})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
     "phone": r"(?<!\d)(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
-    "name": rf"(?<!\p{{L}})(?:(?:{'|'.join(TITLES)})\.? (?:(?:{_GIVEN})(?!\p{{L}})(?: {_CAPITAL})?|{_CAPITAL})|(?:{_GIVEN}) {_CAPITAL})(?!\p{{L}})",
+    "name": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{'|'.join(TITLES)})\.? (?:(?:{_GIVEN})(?!\p{{L}})(?: {_CAPITAL})?|{_CAPITAL})|(?:{_GIVEN}) {_CAPITAL})(?!\p{{L}})",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _NUMBERS = ("ssn", "card", "phone")
+#: What can be found in a text without digits and at signs.
+_WORDS_ONLY = "|".join(f"(?:{PATTERNS[k]})" for k in ("secret", "name"))
 
 #: Alphabets by kind (fixed values): a letter is replaced within its kind.
 ALPHABETS = ("aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ", "0123456789",
@@ -194,7 +196,8 @@ def replace_pii(docs: DataFrame, key: str, id_column: str = "doc_id", text_colum
     number of each type."""
     names = [c for c in docs.columns if c.lower() not in ("n_mentions", "mentions")]
     text = F.coalesce(F.col(text_column), F.lit(""))
-    found = docs.select(*names, F.regexp_extract_all(text, F.lit(_ANY), F.lit(0)).alias("_found"), F.xxhash64(id_column, text_column).alias("_row"))
+    mentions = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))).otherwise(F.regexp_extract_all(text, F.lit(_WORDS_ONLY), F.lit(0)))
+    found = docs.select(*names, mentions.alias("_found"), F.xxhash64(id_column, text_column).alias("_row"))
     some = stage(found.filter(F.size("_found") > 0), "mentions")
     none = found.filter(F.size("_found") == 0)
     mentions = some.select("_row", F.explode(F.array_distinct("_found")).alias("mention")).distinct()
