@@ -5,10 +5,11 @@
    two entities; digits alone identify a number, so that its spellings are one entity, and first and last names
    are entities of their own, so that "Mr. Smith" and "John Smith" stay one person.
 2. Every distinct entity gets a surrogate from a keyed hash: letters become letters of the same script, case and kind
-   (vowel or consonant), digits become digits, all else stays; IP addresses stay valid, card numbers keep a valid check
+   (vowel or consonant), letters of other alphabets become letters of their script, digits become digits, all else stays; IP addresses stay valid, card numbers keep a valid check
    digit, first names come from the list of the same gender and script.
 3. Collision checks: a surrogate that another entity of its type has as well, or that is some entity of the
-   corpus, is drawn again with the next attempt, until none is left.  So distinct entities stay distinct
+   corpus, is drawn again with the next attempt, until none is left; after ``DRAWS`` attempts each further one is a character longer.
+   No surrogate is made from its entity's characters.  So distinct entities stay distinct
    and each entity has one surrogate throughout.
 4. Mentions meet their entities' surrogates in a join; a mention's own spelling (brackets, blanks, capitals) is
    filled with the surrogate's characters.  Only documents with mentions take part; the others pass.
@@ -23,6 +24,9 @@ before it is joined.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +69,46 @@ ALPHABETS = ("aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ",
 _ACCENTED = ("áàâäãåæéèêëíìîïóòôöõøœúùûüýÿ", "ñçšžßđłćč", "ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕØÚÙÛÜÝ", "ÑÇŠŽĐŁĆČ")
 
 
+#: A script with fewer letters (or figures) than this borrows the Latin ones; of a larger one than the second, the first are drawn.
+_FEWEST, _MOST = 8, 64
+#: Draws of an entity's own form; each later one is a character longer than the one before.
+DRAWS = 5
+
+
+def _other_letters() -> tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...], tuple[str, ...]]:
+    """For the letters and figures that no alphabet above holds: those whose base letter one of ALPHABETS holds, by
+    alphabet; and runs of code points of one script, as the first one of each in hexadecimal digits, with the capitals and
+    the other signs to draw from."""
+    known = set("".join(ALPHABETS + _ACCENTED))
+    accented = [""] * len(ALPHABETS)
+    scripts: dict[str, list[list[str]]] = {}
+    runs: list[tuple[str, str]] = []
+    for code in range(0x80, sys.maxunicode + 1):
+        c = chr(code)
+        kind = unicodedata.category(c)
+        if kind[0] not in "LN" or c in known:
+            continue
+        base = next((k for k, a in enumerate(ALPHABETS) if unicodedata.normalize("NFKD", c)[0] in a), None)
+        if base is not None:
+            accented[base] += c
+            continue
+        script = unicodedata.name(c, "?").split(" ")[0] + kind[0]
+        scripts.setdefault(script, [[], []])[kind not in ("Lu", "Lt")].append(c)
+        if not runs or runs[-1][1] != script:
+            runs.append((f"{code:06X}", script))
+    own = {"LATINL": 0, "CYRILLICL": 5, "GREEKL": 9}
+    targets = {}
+    for script, (capitals, others) in scripts.items():
+        k = own.get(script, 0)
+        plain, large = ("0123456789",) * 2 if script[-1] == "N" else (ALPHABETS[k + 1], ALPHABETS[k + 3])
+        enough = script not in own and len(others) >= _FEWEST
+        targets[script] = "".join(capitals[:_MOST]) if enough and len(capitals) >= _FEWEST else large, "".join(others[:_MOST]) if enough else plain
+    return tuple(accented), tuple(r[0] for r in runs), tuple(targets[r[1]][0] for r in runs), tuple(targets[r[1]][1] for r in runs)
+
+
+_MARKED, _RUNS, _RUN_CAPITALS, _RUN_OTHERS = _other_letters()
+
+
 def _digest(key: str, kind: Column, entity: Column, attempt: Column) -> Column:
     """256 hexadecimal digits that only the key's holder can make."""
     base = F.concat_ws("\x1f", F.lit(key), kind, entity, attempt.cast("string"))
@@ -76,20 +120,33 @@ def _draw(digest: Column, i: Column, n: int) -> Column:
     return (F.conv(F.substr(digest, (i % 63) * 4 + 1, F.lit(4)), 16, 10).cast("int") % n).cast("int")
 
 
+def _other(c: Column) -> Column:
+    """What to draw from for a letter that is in no alphabet: the letters of its script."""
+    words = lambda x: F.split(F.lit(" ".join(x)), " ")
+    code = F.lpad(F.hex(F.ascii(c)), 6, "0")
+    run = F.size(F.filter(words(_RUNS), lambda r: r <= code))
+    return F.when(F.lower(c) != c, F.element_at(words(_RUN_CAPITALS), run)).otherwise(F.element_at(words(_RUN_OTHERS), run))
+
+
 def _letter(c: Column, i: Column, digest: Column, kinds) -> Column:
-    out = c
-    for source, target in reversed(kinds):
-        out = F.when(F.instr(F.lit(source), c) > 0, F.substr(F.lit(target), _draw(digest, i, len(target)) + 1, F.lit(1))).otherwise(out)
-    return out
+    base, letters = c, F.lit(None).cast("string")
+    if kinds is ALPHABETS:
+        base = F.translate(c, *_BASES)
+        letters = F.when(c.rlike(r"[\p{L}\p{N}&&[^\x00-\x7F]]"), _other(c))
+    for k in reversed(kinds):
+        letters = F.when(F.instr(F.lit(k), base) > 0, F.lit(k)).otherwise(letters)
+    number = F.conv(F.substr(digest, (i % 63) * 4 + 1, F.lit(4)), 16, 10).cast("int") % F.length(letters)
+    return F.coalesce(F.substr(letters, number.cast("int") + 1, F.lit(1)), c)
 
 
 def _spelled(entity: Column, digest: Column, kinds) -> Column:
     return F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.when(c == "", c).otherwise(_letter(c, i, digest, kinds))), "")
 
 
-_KINDS = [(a, a) for a in ALPHABETS] + list(zip(_ACCENTED, ALPHABETS, strict=False))
-_DIGITS = [("0123456789", "0123456789")]
-_HEX = [("0123456789", "0123456789"), ("abcdef", "abcdef"), ("ABCDEF", "ABCDEF")]
+#: Letters with marks, and for each a letter of its alphabet.
+_BASES = "".join(_ACCENTED) + "".join(_MARKED), "".join(a[0] * len(m) for m, a in zip((*_ACCENTED, *_MARKED), (*ALPHABETS[:4], *ALPHABETS), strict=True))
+_DIGITS = ("0123456789",)
+_HEX = ("0123456789", "abcdef", "ABCDEF")
 
 
 def _luhn(digits: Column) -> Column:
@@ -98,24 +155,30 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(F.reverse(digits), ""), lambda c, i: F.coalesce(F.when(c == "", 0).otherwise(value(c, i)), F.lit(0))), F.lit(0), lambda a, b: a + b)
 
 
-def surrogate(kind: Column, entity: Column, digest: Column) -> Column:
-    """The surrogate of an entity in its own spelling."""
-    digits = _spelled(entity, digest, _DIGITS)
+def surrogate(kind: Column, entity: Column, digest: Column, grown: Column) -> Column:
+    """The surrogate of an entity in its own spelling, with ``grown`` more characters.  If there are any, signs are drawn
+    too, so that even an entity of signs only leaves none of itself."""
+    more = lambda x: F.repeat(F.lit(x), grown)
+    signs = lambda x: F.when(grown > 0, F.regexp_replace(x, r"[^\p{L}\p{N}]", "e")).otherwise(x)
+    digits = _spelled(F.concat(entity, more("0")), digest, _DIGITS)
     body = F.substr(digits, F.lit(1), F.length(digits) - 1)
     check = ((10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
     card = F.when(_luhn(entity) % 10 == 0, F.concat(body, check)).otherwise(digits)
-    octets = F.array_join(F.transform(F.split(entity, r"\."), lambda c, i: (_draw(digest, i, 254) + 1).cast("string")), ".")
+    octets = F.array_join(F.transform(F.split(F.concat(entity, more(".0")), r"\."), lambda c, i: (_draw(digest, i, 254) + 1).cast("string")), ".")
     at = F.instr(entity, "@")
     # the local part and the first label of the domain change, the rest of the domain stays
-    local = _spelled(F.substr(entity, F.lit(1), at - 1), digest, _KINDS)
-    label = _spelled(F.regexp_extract(entity, r"@([^.]*)", 1), F.sha2(digest, 512), _KINDS)
+    local = _spelled(F.concat(signs(F.substr(entity, F.lit(1), at - 1)), more("e")), digest, ALPHABETS)
+    label = _spelled(signs(F.regexp_extract(entity, r"@([^.]*)", 1)), F.sha2(digest, 512), ALPHABETS)
     email = F.concat(local, F.lit("@"), label, F.regexp_extract(entity, r"@[^.]*(.*)$", 1))
-    secret = F.when(entity.rlike("^[0-9a-fA-F]+$"), _spelled(entity, digest, _HEX)).otherwise(F.concat(F.substr(entity, F.lit(1), F.lit(4)), _spelled(F.substr(entity, F.lit(5), F.length(entity)), digest, _KINDS)))
-    iban = F.concat(F.substr(entity, F.lit(1), F.lit(2)), _spelled(F.substr(entity, F.lit(3), F.length(entity)), digest, _KINDS))
+    hexadecimal = _spelled(F.concat(entity, more("0")), digest, _HEX)
+    secret = F.when(entity.rlike("^[0-9a-fA-F]+$"), hexadecimal).otherwise(F.concat(F.substr(entity, F.lit(1), F.lit(4)), _spelled(F.concat(signs(F.substr(entity, F.lit(5), F.length(entity))), more("e")), digest, ALPHABETS)))
+    iban = F.concat(F.substr(entity, F.lit(1), F.lit(2)), _spelled(F.concat(F.substr(entity, F.lit(3), F.length(entity)), more("0")), digest, ALPHABETS))
     code = F.regexp_extract(entity, r"^(\+\d+ )?", 0)           # the country stays
-    phone = F.concat(code, _spelled(F.substr(entity, F.length(code) + 1, F.length(entity)), digest, _DIGITS))
+    phone = F.concat(code, _spelled(F.concat(F.substr(entity, F.length(code) + 1, F.length(entity)), more("0")), digest, _DIGITS))
+    # a name grows by letters of the kind of its last one
+    name = _spelled(F.concat(entity, F.repeat(F.lower(F.regexp_extract(entity, r"(\p{L})[^\p{L}]*$", 1)), grown)), digest, ALPHABETS)
     return (F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "card", card).when(kind == "secret", secret)
-            .when(kind == "iban", iban).when(kind == "ssn", digits).when(kind == "phone", phone).otherwise(_spelled(entity, digest, _KINDS)))
+            .when(kind == "iban", iban).when(kind == "ssn", digits).when(kind == "phone", phone).otherwise(name))
 
 
 def _kind(mention: Column) -> Column:
@@ -143,8 +206,9 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     entities = stage(entities.select("kind", "entity").distinct(), "entities")
     todo = entities.filter("kind <> 'first'").withColumn("attempt", F.lit(0))
     done = None
+    draw = surrogate(F.col("kind"), F.col("entity"), _digest(key, F.col("kind"), F.col("entity"), F.col("attempt")), F.greatest(F.col("attempt") - (DRAWS - 1), F.lit(0)))
     while True:
-        drawn = todo.withColumn("surrogate", surrogate(F.col("kind"), F.col("entity"), _digest(key, F.col("kind"), F.col("entity"), F.col("attempt"))))
+        drawn = todo.withColumn("surrogate", draw)
         # of entities that draw the same, the smallest keeps it; nobody takes a real entity's value or a taken one
         first = drawn.groupBy("kind", "surrogate").agg(F.min("entity").alias("holder"))
         checked = drawn.join(first, ["kind", "surrogate"]).join(entities.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("real")), ["kind", "surrogate"], "left")
@@ -155,15 +219,9 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         checked = stage(checked.withColumn("good", (F.col("entity") == F.col("holder")) & F.col("real").isNull() & F.col("taken").isNull()), "surrogates")
         good = checked.filter("good").select("kind", "entity", "surrogate")
         done = good if done is None else done.union(good)
-        # an entity without a letter or digit to change keeps its own form; a space too small for all gets longer
+        # those whose form has no free value left draw longer ones, so the values never run out
         todo = checked.filter("not good").select("kind", "entity", (F.col("attempt") + 1).alias("attempt"))
-        left = todo.agg(F.count("*").alias("n"), F.max("attempt").alias("most")).first()
-        if not left["n"]:
-            break
-        if left["most"] > 8:
-            # almost no free value of this form: a letter follows that says which one it is
-            more = F.concat("entity", F.lit("x"), F.substr(F.sha2(F.concat(F.lit(key), "entity"), 256), F.lit(1), F.lit(12)))
-            done = done.union(todo.select("kind", "entity", more.alias("surrogate")))
+        if todo.isEmpty():
             break
     return done.union(entities.filter("kind = 'first'").select("kind", "entity", _first_name(F.col("entity"), key)))
 

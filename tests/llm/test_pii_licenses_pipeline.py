@@ -47,6 +47,20 @@ def test_surrogates_stay_distinct_in_a_small_space(spark):
     assert len(set(got.values())) == 400 and not set(got.values()) & {t for _, t in rows}
 
 
+def test_surrogates_never_hold_the_entity(spark):
+    """Letters of no alphabet, forms with nothing to change, and more short names than their form has free values."""
+    odd = {1: "Dr. Արամ", 2: "用户@例子.公司", 3: "٣٤@٥.example", 4: "_@-.example", 5: "Dr. Ёж", 6: "ŋŧ@ŋ.example"}
+    short = {i + 10: f"Mr. {a}{b}" for i, (a, b) in enumerate((a, b) for a in "BCDFGHJKLMNPQRSTVWXYZ" for b in "aeiou")}
+    got = {i: t for i, _, t in replaced(edges(spark, list((odd | short).items())))}
+    own = lambda t: re.split(r"[ @]", t)[1 if "." == t[2] else 0]
+    for i, t in odd.items():
+        assert got[i] != t and own(t) not in got[i]
+    assert re.fullmatch("Dr\\. [\u0531-\u0556][\u0560-\u0588]{3}", got[1]) and re.fullmatch("[\u4e00-\u9fff]{2}@[\u4e00-\u9fff]{2}\\.公司", got[2])
+    new = [got[i] for i in short]
+    assert len(set(new)) == len(new) == 105 and not set(new) & set(short.values())
+    assert all(re.fullmatch("Mr\\. [A-Z][a-z]{2,}", x) for x in new) and not any(x.startswith(t) and len(x) > 12 for x, t in zip(new, short.values(), strict=True))
+
+
 def test_surrogate_columns_and_empty(spark):
     out = surrogates.replace_pii(edges(spark, TEXTS), KEY)
     assert out.dtypes[:10] == edges(spark).dtypes
