@@ -1,12 +1,13 @@
 """PII: keyed surrogates for detected entities, with DataFrame functions only.
 
 1. One regular expression finds the mentions of every text (e-mail and IP addresses, payment cards, phone,
-   account and social security numbers, secrets, and names after a title or known first names).  A mention stands for one or
-   two entities; digits alone identify a number, so that its spellings are one entity, and first and last names
+   account and social security numbers, secrets, and runs of name words after a title or known first names).  A mention stands for one or
+   more entities; digits alone identify a number, so that its spellings are one entity, and first and last names
    are entities of their own, so that "Mr. Smith" and "John Smith" stay one person.
 2. Every distinct entity gets a surrogate from a keyed hash: letters become letters of the same script, case and kind
    (vowel or consonant), letters of other alphabets become letters of their script, digits become digits, all else stays; IP addresses stay valid, card numbers keep a valid check
-   digit, first names come from the list of the same gender and script.
+   digit, first names come from the list of the same gender and script
+   (an unlisted one after a title: names of the title's gender joined).
 3. Collision checks: a surrogate that another entity of its type has as well, or that is some entity of the
    corpus, is drawn again with the next attempt, until none is left; after ``DRAWS`` attempts each further one is a character longer.
    No surrogate is made from its entity's characters.  So distinct entities stay distinct
@@ -42,10 +43,18 @@ FIRST_NAMES = {
     ("greek", "m"): "Αλέξανδρος Γιώργος Δημήτρης Κώστας Νίκος Πέτρος".split(),
 }
 #: Titles by gender (fixed values); the gender decides the list for a first name after it.
-TITLES = "Mr Mrs Ms Miss Dr Prof Herr Frau Monsieur Madame Señor Señora Господин Госпожа Κύριος Κυρία".split()
+TITLES_BY_GENDER = {"m": "Mr Herr Monsieur Señor Господин Κύριος".split(), "f": "Mrs Ms Miss Frau Madame Señora Госпожа Κυρία".split(), "": "Dr Prof".split()}
+TITLES = [t for titles in TITLES_BY_GENDER.values() for t in titles]
+#: Small words inside names (fixed values); they stay.
+PARTICLES = "van von der den de da di del della du dos das la le bin ibn al el ter ten zu zur".split()
 
 _GIVEN = "|".join(n for names in FIRST_NAMES.values() for n in names)
-_CAPITAL = r"\p{Lu}\p{Ll}+"
+_TITLED = rf"(?:(?:{'|'.join(TITLES)})\.? )+"
+_INITIAL = r"\p{Lu}\.(?:-?\p{Lu}\.)*+"
+#: A word with a capital, capitals, hyphens and apostrophes inside, without a genitive's ending.
+_WORD = r"\p{Lu}(?:[\p{L}\p{M}]++|(?=['’-]))(?:['’-](?!s(?!\p{L}))[\p{L}\p{M}]++)*+"
+#: Names that may follow one name, as many as there are.
+_MORE = rf"(?: (?:(?:{'|'.join(PARTICLES)}) )*(?:{_INITIAL}|{_WORD}))"
 #: Patterns by type, first match counts (Java regular expressions).
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
@@ -55,7 +64,7 @@ PATTERNS = {
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "card": r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)",
     "phone": r"(?<!\d)(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)",
-    "name": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:(?:{'|'.join(TITLES)})\.? (?:(?:{_GIVEN})(?!\p{{L}})(?: {_CAPITAL})?|{_CAPITAL})|(?:{_GIVEN}) {_CAPITAL})(?!\p{{L}})",
+    "name": rf"(?<!\p{{L}})(?=\p{{Lu}})(?:{_TITLED}(?:(?:{'|'.join(PARTICLES)}) )*(?:{_INITIAL}|{_WORD}){_MORE}*+|(?:{_GIVEN})(?![\p{{L}}\p{{M}}]){_MORE}++)(?![\p{{L}}\p{{M}}])",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _NUMBERS = ("ssn", "card", "phone")
@@ -189,24 +198,36 @@ def _kind(mention: Column) -> Column:
 
 
 def _entities(mention: Column) -> Column:
-    """The entities of a mention: (kind, entity)."""
+    """The entities of a mention: (kind, entity, the gender that its title tells)."""
     kind = _kind(mention)
-    bare = F.regexp_replace(mention, rf"^(?:{'|'.join(TITLES)})\.? ", "")
-    words = F.transform(F.split(bare, " "), lambda w: F.struct(F.when(w.rlike(f"^(?:{_GIVEN})$"), "first").otherwise("last").alias("kind"), w.alias("entity")))
+    title, bare = F.regexp_extract(mention, f"^{_TITLED}", 0), F.regexp_replace(mention, f"^{_TITLED}", "")
+    gender = F.lit(None).cast("string")
+    for g in "mf":
+        gender = F.when(title.rlike(rf"^(?:.* )?(?:{'|'.join(TITLES_BY_GENDER[g])})\.? "), g).otherwise(gender)
+    # the word after a title is a first name if another word follows
+    led = (title != "") & bare.rlike(rf"^{_WORD} (?:.* )?{_WORD}$")
+    role = lambda w, i: (F.when(w.isin(*PARTICLES), "particle").when(w.rlike(f"^{_INITIAL}$"), "initial").when(w.rlike(f"^(?:{_GIVEN})$"), "first")
+                         .when(led & (i == 0), "given").otherwise("last"))
+    words = F.transform(F.split(bare, " "), lambda w, i: F.struct(role(w, i).alias("kind"), w.alias("entity"), F.when(i == 0, gender).alias("gender")))
     code = F.regexp_extract(mention, r"^\+\d{1,3}(?=[^0-9])", 0)
     rest = F.regexp_replace(F.substr(mention, F.length(code) + 1, F.length(mention)), r"\D", "")
     phone = F.when(code != "", F.concat(code, F.lit(" "), rest)).otherwise(F.regexp_replace(mention, r"\D", ""))
     one = F.when(kind == "email", F.lower(mention)).when(kind == "phone", phone).when(kind.isin(*_NUMBERS), F.regexp_replace(mention, r"\D", "")).when(kind == "iban", F.regexp_replace(mention, " ", "")).otherwise(mention)
-    return F.when(kind == "name", words).otherwise(F.array(F.struct(kind.alias("kind"), one.alias("entity"))))
+    return F.when(kind == "name", words).otherwise(F.array(F.struct(kind.alias("kind"), one.alias("entity"), F.lit(None).cast("string").alias("gender"))))
 
 
 def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
     """(kind, entity, surrogate): distinct entities, each with a surrogate that no other entity of its kind has and
     that is no entity itself."""
-    entities = stage(entities.select("kind", "entity").distinct(), "entities")
-    todo = entities.filter("kind <> 'first'").withColumn("attempt", F.lit(0))
+    # a first name's gender is that of most of its titles
+    side = F.when(F.col("gender") == "f", 1).when(F.col("gender") == "m", -1).otherwise(0)
+    entities = stage(entities.groupBy("kind", "entity").agg(F.sum(side if "gender" in entities.columns else F.lit(0)).alias("side")), "entities")
+    own = F.col("kind").isin("first", "initial", "particle")
+    todo = entities.filter(~own).withColumn("attempt", F.lit(0))
     done = None
-    draw = surrogate(F.col("kind"), F.col("entity"), _digest(key, F.col("kind"), F.col("entity"), F.col("attempt")), F.greatest(F.col("attempt") - (DRAWS - 1), F.lit(0)))
+    digest = _digest(key, F.col("kind"), F.col("entity"), F.col("attempt"))
+    draw = surrogate(F.col("kind"), F.col("entity"), digest, F.greatest(F.col("attempt") - (DRAWS - 1), F.lit(0)))
+    draw = F.coalesce(F.when(F.col("kind") == "given", _given_name(F.col("entity"), F.col("side"), digest, F.col("attempt"))), draw)
     while True:
         drawn = todo.withColumn("surrogate", draw)
         # of entities that draw the same, the smallest keeps it; nobody takes a real entity's value or a taken one
@@ -220,10 +241,36 @@ def surrogate_table(entities: DataFrame, key: str) -> DataFrame:
         good = checked.filter("good").select("kind", "entity", "surrogate")
         done = good if done is None else done.union(good)
         # those whose form has no free value left draw longer ones, so the values never run out
-        todo = checked.filter("not good").select("kind", "entity", (F.col("attempt") + 1).alias("attempt"))
+        todo = checked.filter("not good").select("kind", "entity", "side", (F.col("attempt") + 1).alias("attempt"))
         if todo.isEmpty():
             break
-    return done.union(entities.filter("kind = 'first'").select("kind", "entity", _first_name(F.col("entity"), key)))
+    kept = F.when(F.col("kind") == "first", _first_name(F.col("entity"), key)).when(F.col("kind") == "initial", _initials(F.col("entity"), key)).otherwise(F.col("entity"))
+    return done.union(entities.filter(own).select("kind", "entity", kept))
+
+
+def _initials(initials: Column, key: str) -> Column:
+    """Initials in an alphabet turned by a keyed step, so distinct ones stay distinct."""
+    import hashlib
+    source = target = ""
+    for first, last in (("A", "Z"), ("А", "Я"), ("Α", "Ρ"), ("Σ", "Ω")):
+        letters = [chr(c) for c in range(ord(first), ord(last) + 1)]
+        ranked = sorted(letters, key=lambda c: hashlib.sha256(f"{key}\x1finitial\x1f{c}".encode()).digest())
+        source, target = source + "".join(ranked), target + "".join(ranked[1:] + ranked[:1])
+    turned = F.translate(initials, source, target)
+    return F.when(turned != initials, turned).otherwise(F.regexp_replace(initials, r"\p{Lu}", target[0]))
+
+
+def _given_name(name: Column, side: Column, digest: Column, attempt: Column) -> Column:
+    """Names of the script's and gender's list joined by hyphens, as the list's own names stand for each other: two, and
+    one more after each ``DRAWS`` attempts; null without a gender or list."""
+    def joined(names: list[str]) -> Column:
+        own = F.split(F.lit(" ".join(names)), " ")
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.least((attempt / DRAWS).cast("int") + 1, F.lit(62))), lambda i: F.element_at(own, _draw(digest, i, len(names)) + 1)), "-")
+    out = F.lit(None).cast("string")
+    for script, signs in (("latin", r"\p{IsLatin}"), ("cyrillic", r"\p{IsCyrillic}"), ("greek", r"\p{IsGreek}")):
+        for gender, sign in (("f", 1), ("m", -1)):
+            out = F.when(name.rlike(signs) & (F.signum(side) == sign), joined(FIRST_NAMES[script, gender])).otherwise(out)
+    return out
 
 
 def _first_name(name: Column, key: str) -> Column:
@@ -244,7 +291,7 @@ def _filled(mention: Column, kind: Column, values: Column) -> Column:
         full = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike(other), c).otherwise(F.substr(value, before(i), F.lit(1)))), "")
         # a number that had to grow is written as it is
         return F.when(F.length(value) == F.length(F.regexp_replace(mention, other, "")), full).otherwise(F.element_at(values, 1))
-    title = F.regexp_extract(mention, rf"^((?:{'|'.join(TITLES)})\.? )", 1)
+    title = F.regexp_extract(mention, f"^{_TITLED}", 0)
     return (F.when(kind.isin(*_NUMBERS), poured(r"[^0-9]")).when(kind == "iban", poured(r"[^0-9A-Z]"))
             .when(kind == "name", F.concat(title, F.array_join(values, " "))).otherwise(F.element_at(values, 1)))
 
@@ -259,9 +306,9 @@ def replace_pii(docs: DataFrame, key: str, id_column: str = "doc_id", text_colum
     some = stage(found.filter(F.size("_found") > 0), "mentions")
     none = found.filter(F.size("_found") == 0)
     mentions = some.select("_row", F.explode(F.array_distinct("_found")).alias("mention")).distinct()
-    spelled = mentions.select("mention").distinct().withColumn("entities", _entities(F.col("mention"))).select("mention", F.posexplode("entities").alias("place", "e")).select("mention", "place", "e.kind", "e.entity")
+    spelled = mentions.select("mention").distinct().withColumn("entities", _entities(F.col("mention"))).select("mention", F.posexplode("entities").alias("place", "e")).select("mention", "place", "e.kind", "e.entity", "e.gender")
     spelled = stage(spelled, "spelled")
-    values = spelled.join(surrogate_table(spelled, key), ["kind", "entity"]).groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("place", "surrogate"))).alias("v"))
+    values = spelled.drop("gender").join(surrogate_table(spelled, key), ["kind", "entity"]).groupBy("mention").agg(F.sort_array(F.collect_list(F.struct("place", "surrogate"))).alias("v"))
     kind = _kind(F.col("mention"))
     replaced = values.select("mention", kind.alias("kind"), _filled(F.col("mention"), kind, F.col("v.surrogate")).alias("new"))
     by_row = mentions.join(replaced, "mention").groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("mention", F.struct("new", "kind")))).alias("_new"))

@@ -61,6 +61,18 @@ def test_surrogates_never_hold_the_entity(spark):
     assert all(re.fullmatch("Mr\\. [A-Z][a-z]{2,}", x) for x in new) and not any(x.startswith(t) and len(x) > 12 for x, t in zip(new, short.values(), strict=True))
 
 
+def test_surrogates_take_whole_names(spark):
+    names = ["Dr. Priya Sharma", "Mr. Kevin Durant", "Anna Maria Schmidt", "John McDonald", "John F. Kennedy", "Anna O'Neil", "Prof. Dr. Ada King-Noel", "Herr Ludwig van Beethoven", "Mr. J.R. Durant"]
+    got = {i: (n, t) for i, n, t in replaced(edges(spark, [(i, f"so {x}'s house, and") for i, x in enumerate(names)]))}
+    for i, x in enumerate(names):
+        n, t = got[i]
+        assert n == 1 and t.startswith("so ") and t.endswith("'s house, and")
+        assert not any(w in t for w in re.findall(r"[^ ]+", re.sub(r"\b(?:Dr|Mr|Prof|Herr)\b\.?|van", "", x))), t
+    new = [t[3:-13] for _, t in (got[i] for i in range(len(names)))]
+    assert all(w in surrogates.FIRST_NAMES["latin", "m"] for w in new[1].split(" ")[1].split("-"))
+    assert new[1].split(" ")[-1] == new[8].split(" ")[-1] and " van " in new[7] and re.fullmatch(r"\w+ [A-Z]\. \w+", new[4])
+
+
 def test_surrogate_columns_and_empty(spark):
     out = surrogates.replace_pii(edges(spark, TEXTS), KEY)
     assert out.dtypes[:10] == edges(spark).dtypes
