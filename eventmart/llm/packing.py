@@ -40,14 +40,14 @@ UNIT = 4
 STEP = 1 / 400
 
 
-def pieces_of(docs: DataFrame, tokenizer_path: str, kind: str, capacity: int, end_id: int, with_ids: bool = False) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer_path: str, kind: str, capacity: int, end_id: int, with_ids: bool = False, literal: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, task, rank[, ids]) of each piece."""
     fields = [docs.schema["doc_id"], *T._parse_datatype_string("piece int, start long, length long, ids_crc32 long, task int, rank long").fields]
     schema = T.StructType([*fields, T.StructField("ids", T.BinaryType())] if with_ids else fields)
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, task, seen = encoder(tokenizer_path, kind), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        enc, task, seen = encoder(tokenizer_path, kind, literal), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         try:
             for batch in batches:
                 owner, out, blobs = [], [], []
@@ -175,10 +175,10 @@ def lay_out(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Layout:
     return Layout(base, *(np.array(x, np.int64)[order] for x in (start, sequence, copies)), n)
 
 
-def pack(docs: DataFrame, tokenizer_path: str, kind: str = "words", capacity: int = 4096, end_id: int = 1, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, kind: str = "words", capacity: int = 4096, end_id: int = 1, id_column: str = "doc_id", text_column: str = "text", with_ids: bool = False, literal: bool = False) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset[, ids]."""
     spark = docs.sparkSession
-    pieces = stage(pieces_of(take(docs, doc_id=id_column, text=text_column), tokenizer_path, kind, capacity, end_id, with_ids), "pieces")
+    pieces = stage(pieces_of(take(docs, doc_id=id_column, text=text_column), tokenizer_path, kind, capacity, end_id, with_ids, literal), "pieces")
     by_task = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     histogram = by_task.groupBy("length").agg(F.sum("n").alias("n")).orderBy("length").collect()   # at most `capacity` rows
     layout = lay_out(np.array([r["length"] for r in histogram], np.int64), np.array([r["n"] for r in histogram], np.int64), capacity)

@@ -89,7 +89,7 @@ def read_segment(data: bytes) -> np.ndarray:
     return np.concatenate([read_block(data, b) for b in range(blocks)] or [np.zeros(0, "<u4")])
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "bytes", end_id: int = 0, planes: str = "byte", id_column: str = "doc_id", text_column: str = "text") -> None:
+def write_ids(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "bytes", end_id: int = 0, planes: str = "byte", id_column: str = "doc_id", text_column: str = "text", literal: bool = False) -> None:
     """Encode all documents and write their ids, in ascending order of doc_id."""
     own = take(docs, doc_id=id_column, text=text_column)
     end = int(end_id).to_bytes(4, "little")
@@ -97,7 +97,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, kind: str = "byte
     schema = T.StructType([T.StructField("shard", T.IntegerType()), T.StructField("segment", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("doc_ids", T.ArrayType(id_type)), T.StructField("n_tokens", T.ArrayType(T.LongType())), T.StructField("data", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, shard, segment, start = encoder(tokenizer_path, kind), TaskContext.get().partitionId(), 0, 0
+        enc, shard, segment, start = encoder(tokenizer_path, kind, literal), TaskContext.get().partitionId(), 0, 0
         ids, parts, counts, held, list_type = [], [], [], 0, None
 
         def row() -> pa.RecordBatch:

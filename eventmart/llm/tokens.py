@@ -9,7 +9,9 @@ of its pieces laid end to end.  A task keeps the pieces it has met, up to a boun
 
 A new piece of letters goes straight to the tokenizer's model, one of letters before a point or comma in
 two parts, and any other through the whole tokenizer.  Texts for which cuts might differ (rare white space or
-separators, text that is not in Unicode normal form, spaces before other white space) are encoded whole.
+separators, text that is not in Unicode normal form, spaces before other white space) are encoded whole, and so are
+those that hold the string of an added token, which is that token's id; with ``literal`` such a special string is
+ordinary text.
 """
 
 from __future__ import annotations
@@ -95,11 +97,14 @@ class Pieces(dict):
 
 
 class Encoder:
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, literal: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True      # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = literal
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if not (literal and t.special)]
+        # a piece is lower-cased before it is encoded, and some tokens are looked for in the normalized text
+        self.added = re.compile("|".join(re.escape(t.content) for t in added), re.IGNORECASE) if added else None
         self.words = kind == "words"
         self.bare = Pieces(self.tokenizer, "")
         self.known = self.bare if self.words else Pieces(self.tokenizer, " ", self.bare)
@@ -116,6 +121,8 @@ class Encoder:
 
     def _pieces(self, text: str) -> list[str] | None:
         """The pieces of a text; None for a text that has to be encoded whole."""
+        if self.added and self.added.search(text):
+            return None
         plain = text.isascii()
         if not self.words:
             odd = any(x in text for x in _SPACE_PAIRS) or not plain and any(x in text for x in _WIDE_SPACES)
@@ -145,6 +152,6 @@ class Encoder:
 
 
 @cache
-def encoder(path: str, kind: str) -> Encoder:
-    """One encoder a Python worker."""
-    return Encoder(path, kind)
+def encoder(path: str, kind: str, literal: bool = False) -> Encoder:
+    """One encoder a Python worker and setting."""
+    return Encoder(path, kind, literal)

@@ -29,6 +29,22 @@ def test_encoder_equals_the_tokenizer(path, kind):
     assert list(Encoder(path, kind).encode(texts)) == [x.tobytes() for x in ids_of(path, texts)]
 
 
+@pytest.mark.parametrize(("path", "kind"), [(WORDS, "words"), (BYTES, "bytes")])
+def test_special_strings_are_their_tokens(spark, path, kind):
+    texts = ["one document <|endoftext|> another", "<|endoftext|>", "a<|endoftext|>b c", "A <|ENDOFTEXT|> b", "x <|startoftext|>y", *ODD]
+    plain = Tokenizer.from_file(path)
+    want = [np.array(e.ids, "<u4") for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert list(Encoder(path, kind, literal=False).encode(texts)) == [x.tobytes() for x in want]
+    docs = edges(spark, list(enumerate(texts)))
+    if kind == "words":
+        got = {r.doc_id: r.length for r in packing.pack(docs, path).collect()}
+    else:
+        folder = run_dir(spark, "test-planes")
+        plane_files.write_ids(docs, folder, path)
+        got = {r[0]: r[2] for r in plane_files.read_ids(spark, folder).collect()}
+    assert got == {i: len(x) + 1 for i, x in enumerate(want)}
+
+
 def test_encoder_forgets_and_stays_right(monkeypatch):
     monkeypatch.setattr("eventmart.llm.tokens.MAX_PIECES", 50)
     texts = [t for _, t in rows_of(SF001, "doc_id, text", "documents")[:60]]
