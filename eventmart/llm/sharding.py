@@ -8,8 +8,8 @@ of their shard (a shard is cut into as many ranges as ``task_bytes`` asks for) a
 
 The key is 32 hexadecimal digits: the hash of the text, then the id.  Equal texts are neighbours, yet any
 number of them can be split between two shards by id.  A candidate boundary is a prefix of
-the key, so one pass counts every cell of every open range with one partial aggregate.  What is collected is at
-most ``16 ** DIGITS`` cells for each open boundary.
+the key, so one pass counts every cell of every open range with one partial aggregate.  What is collected is
+``16 ** DIGITS`` cells of the first round, and in each later one a single row for each open boundary.
 
 Defined results: a null text has no bytes beside the row's own ``row_bytes``; a null id sorts first among equal
 texts; rows equal in both text and id share a key and stay in one shard, in any order; an empty table gives an
@@ -20,6 +20,7 @@ which then replaces them; fewer rows than shards leave some shards empty.
 from __future__ import annotations
 
 import bisect
+import itertools
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,35 +44,43 @@ def find_splitters(keys: DataFrame, targets: list[float], slack: float) -> list[
     """A key boundary for each target: the bytes of all keys below it are within ``slack`` of the target, or it
     is the boundary of a single key.  ``keys`` has key and size."""
     found: list[str | None] = [None] * len(targets)
-    open_cells: dict[str, float] = {"": 0.0}                 # prefix: bytes below it
-    holds: dict[str, list[int]] = {"": list(range(len(targets)))}
+    holds = [("", j, float(t)) for j, t in enumerate(targets)]       # open cell, target, bytes wanted inside the cell
     digits = 0
     while holds:
-        digits = min(digits + DIGITS, KEY)
-        probed = keys if open_cells.keys() == {""} else keys.filter(F.substring("key", 1, digits - DIGITS if digits < KEY else len(next(iter(holds)))).isin(list(holds)))
-        cells = probed.groupBy(F.substring("key", 1, digits).alias("cell")).agg(F.sum("size").alias("size")).collect()
-        inside: dict[str, list[tuple[str, int]]] = {p: [] for p in holds}
-        for row in sorted((r["cell"], r["size"]) for r in cells):
-            inside[row[0][:len(next(iter(holds)))]].append(row)
-        after: dict[str, list[int]] = {}
-        below: dict[str, float] = {}
-        for prefix, wanted in holds.items():
-            edges = [open_cells[prefix]]
-            for _, size in inside[prefix]:
-                edges.append(edges[-1] + size)
-            names = [c for c, _ in inside[prefix]]
-            for j in wanted:
-                k = min(max(bisect.bisect_right(edges, targets[j]) - 1, 0), len(names) - 1)
-                low, high = targets[j] - edges[k], edges[k + 1] - targets[j]
-                if min(low, high) <= slack or digits == KEY:
-                    found[j] = names[k] if low <= high else next_after(names[k])
-                else:
-                    after.setdefault(names[k], []).append(j)
-                    below[names[k]] = edges[k]
-        holds, open_cells = after, below
+        width, digits = digits, min(digits + DIGITS, KEY)
+        chosen = []
+        if not width:
+            cells = sorted((r["cell"], r["size"]) for r in _cells(keys, "", digits).collect())   # at most 16 ** DIGITS rows
+            edges = [0.0, *itertools.accumulate(float(size) for _, size in cells)]
+            for _, j, want in holds:
+                k = min(max(bisect.bisect_right(edges, want) - 1, 0), len(cells) - 1)
+                chosen.append((j, cells[k][0], edges[k], edges[k + 1], want))
+        else:
+            asked = keys.sparkSession.createDataFrame(holds, "prefix string, j int, want double")
+            prefix = F.substring("key", 1, width)
+            probed = keys.join(F.broadcast(asked.select("prefix").distinct()), prefix == F.col("prefix"), "left_semi")
+            before = F.sum("size").over(Window.partitionBy("prefix").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
+            cells = _cells(probed, prefix, digits).withColumn("before", F.coalesce(before, F.lit(0)))
+            inside = cells.join(F.broadcast(asked), "prefix").filter((F.col("before") <= F.col("want")) | (F.col("before") == 0))
+            # of the cells that start below a target the last one holds it; one row a boundary is collected
+            last = inside.groupBy("j", "want").agg(F.max(F.struct("cell", "before", "size")).alias("c"))
+            chosen = [(r["j"], r["cell"], float(r["before"]), float(r["before"] + r["size"]), r["want"]) for r in last.select("j", "want", "c.*").collect()]
+        holds = []
+        for j, cell, start, end, want in chosen:
+            low, high = want - start, end - want
+            if min(low, high) <= slack or digits == KEY:
+                found[j] = cell if low <= high else next_after(cell)
+            else:
+                holds.append((cell, j, low))
     return found
 
 
+def _cells(keys: DataFrame, prefix, digits: int) -> DataFrame:
+    """Bytes of each cell, with the open cell that it lies in."""
+    prefix = F.lit(prefix) if isinstance(prefix, str) else prefix
+    return keys.groupBy(prefix.alias("prefix"), F.substring("key", 1, digits).alias("cell")).agg(F.sum("size").alias("size"))
+
+
 def next_after(prefix: str) -> str:
     """The smallest key prefix of the same length above this one; past the last there is none but ``g``."""
     value = int(prefix, 16) + 1

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from eventmart.llm import packing, plane_files, sharding
@@ -166,6 +167,20 @@ def test_shards_with_many_ranges(spark):
     check_shards(sharding.shard_by_bytes(edges(spark, rows), task_bytes=4000).collect(), rows, 0.01)
 
 
+def test_splitters_collect_one_row_a_boundary(spark, monkeypatch):
+    keys = spark.range(60_000).select(sharding.sort_key(F.col("id").cast("string"), F.col("id")).alias("key"), (F.col("id") % 50 + 8).cast("long").alias("size"))
+    rows = sorted(map(tuple, keys.collect()))
+    total = sum(s for _, s in rows)
+    targets, seen = [total * i / 200 for i in range(1, 200)], []
+    kind = type(keys)
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: seen.append(collect(df)) or seen[-1])
+    found = sharding.find_splitters(keys, targets, 30.0)
+    assert len(seen) > 1 and len(seen[0]) <= 4096 and all(len(x) <= len(targets) for x in seen[1:])
+    for t, splitter in zip(targets, found, strict=True):
+        assert abs(sum(s for k, s in rows if k < splitter) - t) <= 30
+
+
 def test_shard_query(spark):
     rows = rows_of(SF01, "doc_id, text", "documents")
     got = sharding.op7_histogram_shards(spark, SF01).collect()
