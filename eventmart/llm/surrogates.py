@@ -79,7 +79,7 @@ _ACCENTED = ("áàâäãåæéèêëíìîïóòôöõøœúùûüýÿ", "ñçš
 
 
 #: A script with fewer letters (or figures) than this borrows the Latin ones; of a larger one than the second, the first are drawn.
-_FEWEST, _MOST = 8, 64
+_FEWEST, _MOST = 8, 16
 #: Draws of an entity's own form; each later one is a character longer than the one before.
 DRAWS = 5
 
@@ -138,14 +138,19 @@ def _other(c: Column) -> Column:
 
 
 def _letter(c: Column, i: Column, digest: Column, kinds) -> Column:
-    base, letters = c, F.lit(None).cast("string")
-    if kinds is ALPHABETS:
-        base = F.translate(c, *_BASES)
-        letters = F.when(c.rlike(r"[\p{L}\p{N}&&[^\x00-\x7F]]"), _other(c))
-    for k in reversed(kinds):
-        letters = F.when(F.instr(F.lit(k), base) > 0, F.lit(k)).otherwise(letters)
-    number = F.conv(F.substr(digest, (i % 63) * 4 + 1, F.lit(4)), 16, 10).cast("int") % F.length(letters)
-    return F.coalesce(F.substr(letters, number.cast("int") + 1, F.lit(1)), c)
+    def drawn_from(base: Column) -> Column:
+        letters = F.when(c.rlike(r"[\p{L}\p{N}&&[^\x00-\x7F]]"), _other(c)) if kinds is ALPHABETS else F.lit(None).cast("string")
+        for k in reversed(kinds):
+            letters = F.when(F.instr(F.lit(k), base) > 0, F.lit(k)).otherwise(letters)
+        return letters
+
+    def drawn(letters: Column) -> Column:
+        number = F.conv(F.substr(digest, (i % 63) * 4 + 1, F.lit(4)), 16, 10).cast("int") % F.length(letters)
+        return F.coalesce(F.substr(letters, number.cast("int") + 1, F.lit(1)), c)
+
+    # the long texts are bound once: repeated in the plan they would fill the driver
+    base = F.array(F.translate(c, *_BASES) if kinds is ALPHABETS else c)
+    return F.get(F.transform(F.transform(base, drawn_from), drawn), F.lit(0))
 
 
 def _spelled(entity: Column, digest: Column, kinds) -> Column:
@@ -154,6 +159,7 @@ def _spelled(entity: Column, digest: Column, kinds) -> Column:
 
 #: Letters with marks, and for each a letter of its alphabet.
 _BASES = "".join(_ACCENTED) + "".join(_MARKED), "".join(a[0] * len(m) for m, a in zip((*_ACCENTED, *_MARKED), (*ALPHABETS[:4], *ALPHABETS), strict=True))
+_ASCII = ALPHABETS[:5]
 _DIGITS = ("0123456789",)
 _HEX = ("0123456789", "abcdef", "ABCDEF")
 
@@ -180,8 +186,8 @@ def surrogate(kind: Column, entity: Column, digest: Column, grown: Column) -> Co
     label = _spelled(signs(F.regexp_extract(entity, r"@([^.]*)", 1)), F.sha2(digest, 512), ALPHABETS)
     email = F.concat(local, F.lit("@"), label, F.regexp_extract(entity, r"@[^.]*(.*)$", 1))
     hexadecimal = _spelled(F.concat(entity, more("0")), digest, _HEX)
-    secret = F.when(entity.rlike("^[0-9a-fA-F]+$"), hexadecimal).otherwise(F.concat(F.substr(entity, F.lit(1), F.lit(4)), _spelled(F.concat(signs(F.substr(entity, F.lit(5), F.length(entity))), more("e")), digest, ALPHABETS)))
-    iban = F.concat(F.substr(entity, F.lit(1), F.lit(2)), _spelled(F.concat(F.substr(entity, F.lit(3), F.length(entity)), more("0")), digest, ALPHABETS))
+    secret = F.when(entity.rlike("^[0-9a-fA-F]+$"), hexadecimal).otherwise(F.concat(F.substr(entity, F.lit(1), F.lit(4)), _spelled(F.concat(signs(F.substr(entity, F.lit(5), F.length(entity))), more("e")), digest, _ASCII)))
+    iban = F.concat(F.substr(entity, F.lit(1), F.lit(2)), _spelled(F.concat(F.substr(entity, F.lit(3), F.length(entity)), more("0")), digest, _ASCII))
     code = F.regexp_extract(entity, r"^(\+\d+ )?", 0)           # the country stays
     phone = F.concat(code, _spelled(F.concat(F.substr(entity, F.length(code) + 1, F.length(entity)), more("0")), digest, _DIGITS))
     # a name grows by letters of the kind of its last one
