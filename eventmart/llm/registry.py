@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventmart.llm import decontaminate, jaccard_join, language_id, licenses, line_dedup, merkle, packing, plane_files, quality, sharding, surrogates, toxicity
+from eventmart.llm import decontaminate, hard_negatives, jaccard_join, language_id, licenses, line_dedup, merkle, packing, plane_files, quality, sharding, surrogates, toxicity
 from eventmart.llm.common import ship_code
 
 def _shipped(query):
@@ -25,6 +25,7 @@ QUERIES = {
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_language_id": language_id.op11_language_id,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 QUERIES = {name: _shipped(query) for name, query in QUERIES.items()}
 SQL = {
@@ -32,4 +33,5 @@ SQL = {
     "op8_jaccard_join": jaccard_join.OP8_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
     "op12_merkle_manifest": merkle.OP12_SQL,
+    "op13_hard_negatives": hard_negatives.OP13_SQL,
 }
