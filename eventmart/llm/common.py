@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import math
 import os
 import shutil
@@ -53,6 +56,7 @@ def take(df: DataFrame, **columns: str) -> DataFrame:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared work folder and read back: what follows never recomputes ``df``, also when
     executors are lost."""
+    give_back()
     spark = df.sparkSession
     path = run_dir(spark, label)
     df.write.parquet(path)
@@ -68,6 +72,14 @@ def hashed_sample(df: DataFrame, n: int, *columns: str) -> DataFrame:
     return few.orderBy(h, *columns).limit(n)
 
 
+def give_back() -> None:
+    """Return what Python, numpy and Arrow no longer use to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """A column as one string array without nulls (null: empty).  What Arrow holds of earlier batches is given back."""
     pa.default_memory_pool().release_unused()

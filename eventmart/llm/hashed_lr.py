@@ -111,12 +111,6 @@ class Rows:
     value: np.ndarray
     bounds: np.ndarray
 
-    @classmethod
-    def of(cls, slots: list[bytes], values: list[bytes]) -> Rows:
-        """From little-endian 32-bit slots and floats of each row."""
-        return cls(np.frombuffer(b"".join(slots), "<i4"), np.frombuffer(b"".join(values), "<f4"),
-                   np.r_[0, np.cumsum([len(s) // 4 for s in slots])].astype(np.int64))
-
     def __len__(self) -> int:
         return len(self.bounds) - 1
 
@@ -146,6 +140,21 @@ class Rows:
         return out
 
 
+class Collected:
+    """Rows on their way to the driver, held once: little-endian 32-bit slots and floats."""
+
+    def __init__(self):
+        self.slots, self.values, self.ends = bytearray(), bytearray(), [0]
+
+    def add(self, slots: bytes, values: bytes) -> None:
+        self.slots += slots
+        self.values += values
+        self.ends.append(len(self.slots) // 4)
+
+    def rows(self) -> Rows:
+        return Rows(np.frombuffer(self.slots, "<i4"), np.frombuffer(self.values, "<f4"), np.array(self.ends, np.int64))
+
+
 def fit(rows: Rows, y: np.ndarray, bits: int, *, use: np.ndarray | None = None, pairs: tuple[Rows, np.ndarray] | None = None,
         pair_weight: float = 0.0, l2: float = 1e-4, steps: int = 100, rate: float = 0.5) -> tuple[np.ndarray, float]:
     """Full-batch gradient descent (Adam) on log loss, both classes weighing the same; ``use`` marks the rows to fit.

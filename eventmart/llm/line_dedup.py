@@ -50,10 +50,12 @@ def _long_keys(texts: pa.Array, min_chars: int) -> Iterator[tuple[int, np.ndarra
         long = (chars[b] - chars[a]) >= min_chars
         a, b, line = a[long], b[long], full[long]
         doc = np.searchsorted(before, line, "right") - 1
-        h = mix(s.hashes(a, b))
-        order = np.lexsort((h, doc))
-        h, doc, a, b = h[order], doc[order], a[order], b[order]
-        new = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])] if len(h) else np.zeros(0, bool)
+        h, other = mix(s.hashes(a, b)), s.hashes(a, b, seed=1)
+        order = np.lexsort((other, h, doc))
+        h, other, doc, a, b = h[order], other[order], doc[order], a[order], b[order]
+        # keys of one text are the same if both hashes and their lengths are
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (other[1:] != other[:-1]) | ((b - a)[1:] != (b - a)[:-1]) | (doc[1:] != doc[:-1])
         yield s.first + doc[new], h[new], np.c_[a[new], b[new]], s.buf
 
 

@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventmart.llm.common import column, hashed_sample, table, take
-from eventmart.llm.hashed_lr import Features, Model, Rows, fit, platt
+from eventmart.llm.common import column, give_back, hashed_sample, table, take
+from eventmart.llm.hashed_lr import Collected, Features, Model, Rows, fit, platt
 from eventmart.llm.textvec import SPACE, Slice, mix, slices, sums, table_of, windows
 
 #: The bound on labelled rows that training sees.
@@ -58,13 +58,24 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, features: Feat
 
 def train(rows: DataFrame, features: Features, prior: float, pair_weight: float = 0.0, calibration_fold: int = 1) -> Model:
     """Fit on all folds but one, calibrate on that one."""
-    # in a fixed order, so that the same rows always make the same model
-    got = sorted((tuple(r) for r in rows.toLocalIterator()), key=lambda r: (r[0], r[3], r[4]))
-    y, fold = np.array([r[1] for r in got], int), np.array([r[2] for r in got], int)
-    every = Rows.of([r[3] for r in got], [r[4] for r in got])
-    source = np.array([i for i, r in enumerate(got) if r[5] is not None and r[2] != calibration_fold], int)
-    twins = Rows.of([got[i][5] for i in source], [got[i][6] for i in source])
-    del got
+    every, twins, y, fold, source = Collected(), Collected(), [], [], []
+    # in a fixed order, so that the same rows always make the same model; a row's arrays are taken over as it comes
+    for r in rows.orderBy("key", "slots", "counts").toLocalIterator():
+        if r["slots2"] is not None and r["fold"] != calibration_fold:
+            source.append(len(y))
+            twins.add(r["slots2"], r["counts2"])
+        every.add(r["slots"], r["counts"])
+        y.append(r["y"])
+        fold.append(r["fold"])
+    every, twins, source = every.rows(), twins.rows(), np.array(source, int)
+    try:
+        return _trained(every, twins, source, np.array(y, int), np.array(fold, int), features, prior, pair_weight, calibration_fold)
+    finally:
+        del every, twins
+        give_back()
+
+
+def _trained(every: Rows, twins: Rows, source: np.ndarray, y: np.ndarray, fold: np.ndarray, features: Features, prior: float, pair_weight: float, calibration_fold: int) -> Model:
     fitted = fold != calibration_fold
     if not len(y) or len(set(y[fitted])) < 2:
         p = min(max(((y == 1).sum() + 2 * prior) / (len(y) + 2), 1e-6), 1 - 1e-6)
@@ -100,10 +111,11 @@ def counts(s: Slice) -> dict[str, np.ndarray]:
     a, b, before = s.lines()
     full = np.searchsorted(start, b) > np.searchsorted(start, a)
     owner = np.repeat(text, np.diff(before))
-    key = mix(s.hashes(a[full], b[full]) + mix(owner[full] + np.uint64(1)))
-    order = np.argsort(key, kind="stable")
-    again = np.zeros(len(key), bool)
-    again[order[1:]] = key[order[1:]] == key[order[:-1]]
+    a, b = a[full], b[full]
+    keys = np.stack([s.hashes(a, b), s.hashes(a, b, seed=1), (b - a).astype(np.uint64), owner[full]])
+    order = np.lexsort(keys)
+    again = np.zeros(len(a), bool)
+    again[order[1:]] = (keys[:, order[1:]] == keys[:, order[:-1]]).all(axis=0)
     dup_lines = np.bincount(owner[full][again].astype(np.int64), minlength=s.n)
     # words inside three-word windows that occur twice or more
     h, first = windows(s.hashes(start, end), words, 3)

@@ -78,12 +78,21 @@ ALPHABETS = ("aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ",
 _ACCENTED = ("áàâäãåæéèêëíìîïóòôöõøœúùûüýÿ", "ñçšžßđłćč", "ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕØÚÙÛÜÝ", "ÑÇŠŽĐŁĆČ")
 
 
-#: A script with fewer letters (or figures) than this borrows the Latin ones; of a larger one than the second, the first are drawn.
-_FEWEST, _MOST = 8, 16
+#: A script with fewer letters (or figures) than this borrows the Latin ones; of a larger one than the second, so many common ones are drawn.
+_FEWEST, _MOST = 8, 64
 #: Draws of an entity's own form; each later one is a character longer than the one before.
 DRAWS = 5
 
 
+def _common(letter: str) -> bool:
+    """Whether a sign of a large script is an everyday one: the older national character sets hold no others (of the
+    Chinese one, the part for everyday signs)."""
+    try:
+        return letter.encode("gb2312") < b"\xd8" if "一" <= letter <= "鿿" else bool(letter.encode("euc_kr"))
+    except UnicodeEncodeError:
+        return False
+
+
 def _other_letters() -> tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...], tuple[str, ...]]:
     """For the letters and figures that no alphabet above holds: those whose base letter one of ALPHABETS holds, by
     alphabet; and runs of code points of one script, as the first one of each in hexadecimal digits, with the capitals and
@@ -111,6 +120,8 @@ def _other_letters() -> tuple[tuple[str, ...], tuple[str, ...], tuple[str, ...],
         k = own.get(script, 0)
         plain, large = ("0123456789",) * 2 if script[-1] == "N" else (ALPHABETS[k + 1], ALPHABETS[k + 3])
         enough = script not in own and len(others) >= _FEWEST
+        if len(others) > _MOST:
+            others.sort(key=lambda c: not _common(c))
         targets[script] = "".join(capitals[:_MOST]) if enough and len(capitals) >= _FEWEST else large, "".join(others[:_MOST]) if enough else plain
     return tuple(accented), tuple(r[0] for r in runs), tuple(targets[r[1]][0] for r in runs), tuple(targets[r[1]][1] for r in runs)
 

@@ -1,14 +1,14 @@
 """Whole-column text work inside an Arrow task: words, lines, n-grams and their hashes as numpy arrays.
 
 Every helper takes the UTF-8 bytes of many texts laid end to end, so that a batch costs a few array
-passes and no Python step per word.  A hash of a byte range comes from one running sum per slice:
-``(S[end] - S[start]) * P**-start`` modulo 2**64, the same number wherever the range lies.
+passes and no Python step per word.  A hash of a byte range is taken in blocks of eight bytes from its start: each is
+mixed with its place, which no sum of other blocks undoes, and the sum is mixed with the range's length, so it is the same number
+wherever the range lies.  What a hash needs beside the bytes follows the blocks handled at once, not the length of a text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +30,9 @@ def table_of(byte_values) -> np.ndarray:
 SPACE = table_of([0x20, *range(0x09, 0x0E)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
-_LETTER = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-@cache
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    inverse = np.uint64(pow(int(_P), -1, 1 << 64))
-    with np.errstate(over="ignore"):
-        up = np.cumprod(np.r_[np.uint64(1), np.full(size, _P, np.uint64)])
-        down = np.cumprod(np.r_[np.uint64(1), np.full(size, inverse, np.uint64)])
-    return up, down
+#: Blocks that are hashed at once.
+_BLOCKS = 1 << 20
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -57,7 +50,7 @@ class Slice:
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, first: int):
         self.buf, self.offs, self.first, self.n = buf, offs, first, len(offs) - 1
-        self._sums = None
+        self._eights = None
 
     def spans(self, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and end of each maximal run of word bytes; no run crosses from one text to the next."""
@@ -80,14 +73,38 @@ class Slice:
         before = np.searchsorted(at, self.offs) + np.arange(self.n + 1)
         return starts, ends, before
 
-    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """64-bit hash of each byte range."""
-        if self._sums is None:
-            size = max(SLICE_BYTES, 1 << int(len(self.buf)).bit_length())
-            up, self._down = _powers(size)
-            self._sums = np.zeros(len(self.buf) + 1, np.uint64)
-            np.cumsum(_LETTER[self.buf] * up[:len(self.buf)], out=self._sums[1:])
-        return (self._sums[end] - self._sums[start]) * self._down[start]
+    def hashes(self, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+        """64-bit hash of each byte range; another ``seed`` gives another hash."""
+        if self._eights is None:
+            padded = np.concatenate([self.buf, np.zeros(8, np.uint8)])
+            self._eights = np.ndarray(len(self.buf) + 1, "<u8", padded, strides=(1,))       # eight bytes from every place
+        size = end - start
+        key = mix(np.array([2 * seed + 1], np.uint64))[0] | np.uint64(1)
+        out = mix((self._eights[start] & _TAIL[np.minimum(size, 8)]) + (size.astype(np.uint64) * _P + key))
+        more = np.flatnonzero(size > 8)
+        if len(more):
+            blocks = (size[more] - 1) >> 3                       # beyond the first
+            before = np.cumsum(blocks)
+            i = 0
+            while i < len(more):
+                done = int(before[i - 1]) if i else 0
+                j = max(i + 1, int(np.searchsorted(before, done + _BLOCKS, "right")))
+                own, n = more[i:j], blocks[i:j]
+                if j > i + 1:
+                    first = np.cumsum(n) - n
+                    place = np.arange(int(n.sum())) - np.repeat(first, n) + 1
+                    out[own] += np.add.reduceat(self._mixed(np.repeat(start[own], n), np.repeat(size[own], n), place, key), first)
+                else:                                            # a range of any length, by parts
+                    for k in range(1, int(n[0]) + 1, _BLOCKS):
+                        place = np.arange(k, min(k + _BLOCKS, int(n[0]) + 1))
+                        out[own] += self._mixed(start[own], size[own], place, key).sum(dtype=np.uint64)
+                i = j
+        return out
+
+    def _mixed(self, start: np.ndarray, size: np.ndarray, place: np.ndarray, key: np.uint64) -> np.ndarray:
+        """The blocks at some places of ranges, mixed with their place."""
+        at = 8 * place
+        return mix((self._eights[start + at] & _TAIL[np.minimum(size - at, 8)]) + (place.astype(np.uint64) + np.uint64(1)) * key)
 
     def counts(self, positions: np.ndarray) -> np.ndarray:
         """Number of the (ascending) positions in each text."""

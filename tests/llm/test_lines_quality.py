@@ -3,7 +3,7 @@ import hashlib
 import pyarrow as pa
 import pytest
 
-from eventmart.llm import line_dedup, quality, toxicity
+from eventmart.llm import jaccard_join, line_dedup, quality, toxicity
 from eventmart.llm.common import hashed_sample
 from eventmart.llm.hashed_lr import Features
 from eventmart.llm.textvec import slices
@@ -143,3 +143,47 @@ def test_hashed_sample_is_bounded_and_the_same_each_time(spark):
     first = [r.doc_id for r in hashed_sample(df.repartition(3), 50, "doc_id").collect()]
     assert len(first) == 50 and first == [r.doc_id for r in hashed_sample(df.repartition(7), 50, "doc_id").collect()]
     assert hashed_sample(df.limit(5), 50, "doc_id").count() == 5 and hashed_sample(df.limit(0), 50, "doc_id").count() == 0
+
+
+# -- hashes -----------------------------------------------------------------------------------------------
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two texts of 2 ** n letters that collide in every polynomial hash modulo 2 ** 64, from n = 10 on."""
+    a, b = "a", "b"
+    for _ in range(n):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_hashes_tell_thue_morse_lines_apart(spark):
+    a, b = thue_morse(10)
+    assert quality.counts(next(slices(pa.array([f"{a}\n{b}\n{a}"]))))["n_dup_lines"].tolist() == [1]
+    rows = [(i, f"{a}\n{b}\nown {i}") for i in range(6)]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.line_report(edges(spark, rows)).collect()}
+    assert got == {**dict.fromkeys(range(5), 2), 5: 0}
+    words = " ".join(["w"] * 3)
+    pairs = [(1, f"{a} {words}"), (2, f"{b} {words}"), (3, f"{a} {words}")]
+    assert {r.doc_id: r.component_id for r in jaccard_join.join(edges(spark, pairs)).collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_hashes_are_the_same_wherever_a_range_lies(monkeypatch):
+    texts = ["x" * n + "some words, and a longer line than eight bytes of it" for n in range(20)]
+    (s,) = slices(pa.array(texts))
+    for size in (0, 1, 7, 8, 9, 16, 17, 40):
+        start = s.offs[1:] - size
+        whole = s.hashes(start, s.offs[1:])
+        assert len(set(whole.tolist())) == 1 and (size == 0 or whole[0] != s.hashes(start, s.offs[1:], seed=1)[0])
+        monkeypatch.setattr("eventmart.llm.textvec._BLOCKS", 2)
+        assert (s.hashes(start, s.offs[1:]) == whole).all()
+        monkeypatch.undo()
+    assert len({int(s.hashes(s.offs[:1], s.offs[:1] + k)[0]) for k in range(50)}) == 50
+
+
+def test_text_of_fifty_megabytes():
+    """Memory follows a text's length by a factor that does not grow, and nothing is kept afterwards."""
+    line = "a line of some ninety characters which the whole text repeats again and again, and once more"
+    text = pa.array([f"{line}\n" * (50_000_000 // (len(line) + 1)) + "end"])
+    (s,) = slices(text)
+    got = quality.counts(s)
+    n = len(text[0].as_py().split("\n")) - 1
+    assert got["n_dup_lines"].tolist() == [n - 1] and got["n_words"].tolist() == [17 * n + 1]
+    assert [len(h) for _, h, _, _ in line_dedup._long_keys(text, 40)] == [1]
