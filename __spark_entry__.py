@@ -10,10 +10,11 @@ Every query reads whole benchmark tables through an adapter
 
 from __future__ import annotations
 
-import importlib.util
+import contextlib
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -357,10 +358,11 @@ _add("store_reopened_row_counts", "clickstream", _reopened, _REG["catalog_row_co
 
 # A folder of SQL files
 def _sql_folder(spark: SparkSession, ev: DataFrame) -> DataFrame:
-    """Three files over the events, their results as (query, key, value)."""
+    """Files over the events, one with two aliases, back quotes and braces, their results as (query, key, value)."""
     folder = run_dir(spark, "sql")
     texts = {"by_day": "SELECT event_date_str AS key, COUNT(*) AS value\nFROM events\nGROUP BY event_date_str;",
              "by_type": "SELECT event_type AS key, COUNT(DISTINCT session_id) AS value FROM events GROUP BY 1",
+             "pairs": "SELECT a.event_type AS key, COUNT(*) AS value FROM events a, `events` b WHERE a.session_id = b.session_id AND a.event_time = b.event_time AND a.event_type <> '{events} FROM events' GROUP BY 1",
              "late": "WITH late AS (SELECT * FROM events WHERE event_hour >= 12)\nSELECT country AS key, COUNT(*) AS value FROM late GROUP BY country"}
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     fs = fs_path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -375,7 +377,20 @@ def _sql_folder(spark: SparkSession, ev: DataFrame) -> DataFrame:
 _add("sql_folder_run", "clickstream", _sql_folder, """
 SELECT 'by_day' AS query, event_date_str AS key, COUNT(*) AS value FROM ev GROUP BY event_date_str
 UNION ALL SELECT 'by_type', event_type, COUNT(DISTINCT session_id) FROM ev GROUP BY event_type
-UNION ALL SELECT 'late', country, COUNT(*) FROM ev WHERE event_hour >= 12 GROUP BY country""")
+UNION ALL SELECT 'late', country, COUNT(*) FROM ev WHERE event_hour >= 12 GROUP BY country
+UNION ALL SELECT 'pairs', a.event_type, COUNT(*) FROM ev a, ev b WHERE a.session_id = b.session_id AND a.event_time = b.event_time GROUP BY 2""")
+
+# A mart whose rebuild fails stays as it was
+def _rebuild_failed(spark: SparkSession, ev: DataFrame) -> DataFrame:
+    store = _store(spark, ev, ["country_metrics"])
+    broken = ev.withColumn("country", F.when(F.col("session_id").isNotNull(), F.raise_error(F.lit("lost")).cast("string")))
+    with contextlib.suppress(PySparkException):
+        store.write("country_metrics", marts.mart_plans(broken)["country_metrics"])
+    return TableStore(spark, store.root).read("country_metrics")
+
+
+_add("mart_rebuild_failed", "clickstream", _rebuild_failed, """
+SELECT country, COUNT(*) AS total_events, COUNT(DISTINCT session_id) AS unique_sessions FROM ev GROUP BY country""")
 
 # Columns and types of a mart read back
 _add("mart_schema", "clickstream",
@@ -389,7 +404,7 @@ for _name in ("total_events_by_day", "top_event_types", "revenue_by_category", "
     _order = {"total_events_by_day": "event_date NULLS LAST", "top_event_types": "total_events DESC, page_position NULLS LAST",
               "revenue_by_category": "total_revenue DESC, category_name NULLS LAST", "top_products": "view_count DESC, product_id NULLS LAST, category_name NULLS LAST",
               "monthly_trends": "event_month", "session_depth": "pages_per_session"}[_name]
-    _add(f"order_{_name}", "sales", (lambda n: lambda spark, ev: mr.numbered(run_query(spark, ev, n)))(_name),
+    _add(f"order_{_name}", "sales", (lambda n, o: lambda spark, ev: mr.numbered(run_query(spark, ev, n), o))(_name, _order.replace(" NULLS LAST", "")),
          f"SELECT CAST(ROW_NUMBER() OVER (ORDER BY {_order}) - 1 AS BIGINT) AS place, r.* FROM ({QUERIES[_name].plain_sql.replace('{events}', 'ev')}) r")
 
 
@@ -455,6 +470,14 @@ SELECT CAST(event_id AS VARCHAR) AS session_id, event_type, CAST(NULL AS TIMESTA
 _FILE = "SELECT CAST(event_id AS VARCHAR) AS session_id, event_type, value AS price, {props} AS props FROM events"
 _DIRECT["etl_mixed_headers"] = (etl_runs.etl_mixed_headers, "etl_clickstream", _FILE.format(props="props"))
 _DIRECT["etl_quoted_newlines"] = (etl_runs.etl_quoted_newlines, "etl_clickstream", _FILE.format(props="'first line, \"quoted\"' || chr(10) || props"))
+_DIRECT["etl_newlines_mixed_files"] = (etl_runs.etl_newlines_mixed_files, "etl_clickstream", _FILE.format(props="CASE WHEN event_id % 3 = 0 THEN 'first line, \"quoted\"' || chr(10) ELSE '' END || props"))
+_DIRECT["etl_quoted_values"] = (etl_runs.etl_quoted_values, "etl_clickstream", """
+SELECT CAST(event_id AS VARCHAR) AS session_id, event_type, value AS price,
+       CASE event_id % 4 WHEN 0 THEN event_type || ' 55"' WHEN 1 THEN '"' || event_type || '"' WHEN 2 THEN '"' ELSE 'say "' || event_type || '" twice' END AS note
+FROM events""")
+_DIRECT["etl_rerun_shrunk"] = (etl_runs.etl_rerun_shrunk, "etl_clickstream", """
+SELECT mode, CAST(event_id AS VARCHAR) AS session_id, strftime(ts, '%Y-%m-%d') AS event_date_str
+FROM events, (VALUES ('static'), ('dynamic')) m(mode) WHERE CAST(ts AS DATE) > (SELECT MIN(CAST(ts AS DATE)) FROM events)""")
 _LINE = "CAST(event_id AS VARCHAR) || ',' || event_type || ',' || CAST(value AS VARCHAR)"
 _DIRECT["etl_malformed_rows"] = (etl_runs.etl_malformed_rows, "etl_clickstream", f"""
 SELECT 'loaded' AS place, CAST(event_id AS VARCHAR) AS content, value AS price FROM events WHERE event_id % 10 NOT IN (1, 2, 3)
@@ -495,24 +518,17 @@ def _bind(adapter: str, fn) -> QueryFn:
     return run
 
 
-def _there(module: str) -> bool:
-    try:
-        return importlib.util.find_spec(module) is not None
-    except ModuleNotFoundError:                  # its package is absent
-        return False
-
-
-# The text operators live in a subpackage of their own, which may be absent.
+# The text operators live in a subpackage of their own, which may be absent, or lack a library here.
 _LLM, _LLM_SQL = {}, {}
-if _there("eventmart.llm.registry"):
+with contextlib.suppress(ImportError):
     from eventmart.llm import registry as _llm
     _LLM.update(_llm.QUERIES)
     _LLM_SQL.update(_llm.SQL)
-    if _there("corpus_pipeline"):
-        import corpus_pipeline as _pipeline
-        _LLM["pipeline"] = _pipeline.run
-        if _pipeline.ORACLE_SQL is not None:
-            _LLM_SQL["pipeline"] = _pipeline.ORACLE_SQL
+with contextlib.suppress(ImportError):
+    import corpus_pipeline as _pipeline
+    _LLM["pipeline"] = _pipeline.run
+    if _pipeline.ORACLE_SQL is not None:
+        _LLM_SQL["pipeline"] = _pipeline.ORACLE_SQL
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -32,7 +32,7 @@ from eventmart.streaming.ingest import start_ingest
 def _input_options(s: argparse.ArgumentParser) -> None:
     s.add_argument("--sep", default=None, help="default: found in each file's header")
     s.add_argument("--quarantine", default=None, help="folder for malformed rows (default: they stop the run)")
-    s.add_argument("--multi-line", action="store_true", help="read line breaks inside quotes")
+    s.add_argument("--multi-line", action="store_true", help="read line breaks inside quotes in all files (default: in those that have some)")
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -94,7 +94,7 @@ def main(argv=None, spark=None) -> int:
     own = spark is None
     spark = spark or build_session(master=args.master)
     if args.cmd == "etl":
-        res = run_etl(spark, args.input, args.lake, source=args.source, sep=args.sep, quarantine=args.quarantine, multi_line=args.multi_line)
+        res = run_etl(spark, args.input, args.lake, source=args.source, sep=args.sep, quarantine=args.quarantine, multi_line=args.multi_line or None)
         print(f"source {res.source}; missing optional columns {res.missing_optional}")
         for x in res.layouts:
             print(f"separator {x.sep!r}, {len(x.header)} columns: {len(x.files)} file(s)")
@@ -102,7 +102,7 @@ def main(argv=None, spark=None) -> int:
             print(f"{k:>20}: {v}")
     elif args.cmd == "ingest":
         start_ingest(spark, args.landing, args.lake, args.checkpoint, sep=args.sep, quarantine=args.quarantine,
-                     multi_line=args.multi_line).awaitTermination()
+                     multi_line=args.multi_line or None).awaitTermination()
     elif args.cmd == "build-marts":
         store = TableStore(spark, args.store)
         built = marts.build_marts(store, read_lake(spark, args.lake))

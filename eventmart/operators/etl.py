@@ -10,8 +10,9 @@ aggregated in every map task, so a row repeated a billion times costs one row
 per task) and the write, which is rebalanced by day.  Metrics are collected with
 ``DataFrame.observe`` during the write itself.
 
-Malformed rows (see ``sources.delimited``) stop the run, before anything is written, unless a ``quarantine``
-folder is given: they are then written there with their text, and counted.
+The write is a version that counts only when it is whole (``sources.snapshots``).  Malformed rows (see ``sources.delimited``) stop
+the run before it is committed, unless a ``quarantine`` folder is given: they are then written there with their text, and counted, before
+the commit.  If there are any, files with line breaks inside quotes are looked for, and the input is read again with those as a whole.
 
 Deliberate differences from a pandas implementation of the same steps:
 missing text stays null rather than the text ``nan`` and is then filled with
@@ -26,6 +27,7 @@ import hashlib
 import re
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ from eventmart.functions.expressions import as_double, category_label
 from eventmart.functions.naming import OPTIONAL_COLUMNS, REQUIRED_COLUMNS, column_plan
 from eventmart.sources import delimited
 from eventmart.sources.delimited import BAD_ROW, Layout
-from eventmart.sources.lake import PARTITION_COLUMN, source_folder, write_lake
+from eventmart.sources.lake import PARTITION_COLUMN, lake_snapshots, source_folder, write_version
 
 # Columns whose missing numbers become 0, and whose missing labels become "unknown".
 PRICE_COLUMNS = ["price", "price_secondary"]
@@ -51,6 +53,10 @@ class SchemaError(ValueError):
     """A required column is missing after header mapping."""
 
 
+class MalformedRows(PySparkException, ValueError):
+    """An input has rows that do not fit their header."""
+
+
 # -- schema ----------------------------------------------------------------
 
 def validate_schema(columns) -> list[str]:
@@ -188,9 +194,11 @@ def _paths(paths) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def source_name(paths) -> str:
-    """Source id of an input by its paths: the last name, readable, and a digest of them all."""
-    paths = sorted(_paths(paths))
+def source_name(spark: SparkSession, paths) -> str:
+    """Source id of an input by its paths, however they are spelled: the last name, readable, and a digest of them all."""
+    path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    qualified = [p.getFileSystem(conf).makeQualified(p).toString() for p in map(path, _paths(paths))]
+    paths = sorted(qualified)
     name = re.sub(r"[^A-Za-z0-9]+", "-", paths[0].rstrip("/").rsplit("/", 1)[-1]).strip("-")
     return f"{name[:40]}-{hashlib.sha256(chr(10).join(paths).encode()).hexdigest()[:12]}"
 
@@ -213,16 +221,11 @@ def well_formed(typed: DataFrame, fail: bool = True) -> DataFrame:
     return typed.filter(~bad).drop(BAD_ROW)
 
 
-def run_etl(spark: SparkSession, input_path, output_path: str, *, source: str | None = None, sep: str | None = None,
-            quarantine: str | None = None, multi_line: bool = False) -> EtlResult:
-    """Add an input (a path or several) to a lake.  ``source`` names it; a rerun under the same name replaces
-    its rows.  Malformed rows go to ``quarantine``, or fail the run."""
-    source = source or source_name(input_path)
-    typed, found, missing = read_events_file(spark, input_path, sep, multi_line)
-
+def _write_events(typed: DataFrame, output_path: str, source: str) -> tuple[str, dict]:
+    """Clean the well-formed rows and write them as a version of the source, not committed.  Returns version and metrics."""
     read_obs = Observation("rows_read")
-    typed = typed.observe(read_obs, F.count(F.lit(1)).alias("rows_read"), F.count(BAD_ROW).alias("rows_malformed"))
-    derived = (well_formed(typed, fail=quarantine is None).transform(drop_duplicate_rows).transform(trim_text)
+    typed = typed.observe(read_obs, F.count(F.lit(1)).alias("rows_read"), F.count(BAD_ROW).alias("rows_malformed"), F.min(BAD_ROW).alias("example"))
+    derived = (well_formed(typed, fail=False).transform(drop_duplicate_rows).transform(trim_text)
                .transform(build_event_datetime).transform(add_derived_columns))
     fill_obs = Observation("filled")
     derived = derived.observe(
@@ -236,20 +239,44 @@ def run_etl(spark: SparkSession, input_path, output_path: str, *, source: str |
                        F.min("event_date").alias("min_date"),
                        F.max("event_date").alias("max_date"),
                        F.count_if(F.col("event_date").isNull()).alias("rows_without_date")))
-    write_lake(events, output_path, source)
-
+    version = write_version(events, output_path, source)
     metrics = {**read_obs.get, **{k: v for k, v in fill_obs.get.items() if k != "_"}, **out_obs.get}
     metrics["duplicates_dropped"] = metrics["rows_read"] - metrics["rows_malformed"] - metrics["rows_written"]
+    return version, metrics
+
+
+def run_etl(spark: SparkSession, input_path, output_path: str, *, source: str | None = None, sep: str | None = None,
+            quarantine: str | None = None, multi_line: bool | None = None) -> EtlResult:
+    """Add an input (a path or several) to a lake.  ``source`` names it; a rerun under the same name replaces
+    its rows, in one step.  Malformed rows go to ``quarantine``, or fail the run.
+
+    ``multi_line``: quoted fields may hold line breaks in all files (True) or in none (False); by default in those files where
+    they do."""
+    source = source or source_name(spark, input_path)
+    log = lake_snapshots(spark, output_path)
+    typed, found, missing = read_events_file(spark, input_path, sep, bool(multi_line))
+    version, metrics = _write_events(typed, output_path, source)
+    if metrics["rows_malformed"] and multi_line is None:
+        found = [delimited.files_with_breaks(spark, x) for x in found]
+        if any(x.whole for x in found):
+            log.abandon(source, version)
+            typed = delimited.read_layouts(spark, found)
+            version, metrics = _write_events(typed, output_path, source)
+    example = metrics.pop("example")
     if metrics["rows_malformed"]:
-        (delimited.read_layouts(spark, found, multi_line).filter(F.col(BAD_ROW).isNotNull())
-         .select(F.col(BAD_ROW).alias("line")).write.mode("overwrite").parquet(source_folder(quarantine, source)))
+        if quarantine is None:
+            log.abandon(source, version)
+            raise MalformedRows(f"malformed row: {example}")
+        (typed.filter(F.col(BAD_ROW).isNotNull()).select(F.col(BAD_ROW).alias("line"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(source_folder(quarantine, source)))
+    log.commit(source, version)
     return EtlResult(output_path, source, found, missing, metrics)
 
 
 def etl_metrics_frame(spark: SparkSession, result: EtlResult) -> DataFrame:
     """The run's metrics as one row; its days are counted in the folder it wrote."""
     m = result.metrics
-    days = spark.read.parquet(source_folder(result.output_path, result.source)).agg(
+    days = spark.read.parquet(lake_snapshots(spark, result.output_path).current(result.source)).agg(
         F.count_distinct(PARTITION_COLUMN).alias("partitions"))
     counted = [k for k in m if k in ("rows_read", "rows_malformed", "duplicates_dropped", "rows_written", "rows_without_date") or k.endswith("_filled")]
     return days.select(

@@ -6,9 +6,10 @@ the result (AQE already shrinks small post-aggregate results to few files).
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -18,11 +19,20 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_csv_if_any(df: DataFrame, path: str) -> bool:
-    """``write_csv`` for a result that has rows; says whether it has."""
-    if df.isEmpty():
-        return False
-    write_csv(df, path)
-    return True
+    """``write_csv`` for a result that has rows; says whether it has.  The result runs once: it is written beside the
+    folder, its rows are counted on the way, and it takes the folder's place if there are any."""
+    spark, rows = df.sparkSession, Observation()
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    draft, final = jvm_path(f"{path.rstrip('/')}.{uuid.uuid4().hex[:8]}.tmp"), jvm_path(path.rstrip("/"))
+    fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        write_csv(df.observe(rows, F.count(F.lit(1)).alias("n")), draft.toString())
+        if not rows.get["n"]:
+            return False
+        fs.delete(final, True)
+        return bool(fs.rename(draft, final))
+    finally:
+        fs.delete(draft, True)
 
 
 def read_csv(spark, path: str, schema) -> DataFrame:

@@ -205,6 +205,49 @@ def etl_quoted_newlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lake(spark, f"{work}/lake").select(*_FILE_COLUMNS)
 
 
+def etl_newlines_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line breaks inside quotes in some files of a folder, without any setting: those are read as a whole, the others by line."""
+    work = run_dir(spark, "etl-newlines-mixed")
+    raw = _events_file(spark, sf_dir)
+    breaks = F.col("Session ID") % 3 == 0
+    export_delimited(raw.filter(breaks).withColumn("Props", F.concat(F.lit('first line, "quoted"\n'), "Props")), f"{work}/raw/breaks", ",")
+    export_delimited(raw.filter(~breaks), f"{work}/raw/plain", ",")
+    result = run_etl(spark, f"{work}/raw", f"{work}/lake")
+    if not all("/breaks/" in f for x in result.layouts for f in x.whole):
+        raise AssertionError("a file without line breaks was read as a whole")
+    return read_lake(spark, f"{work}/lake").select(*_FILE_COLUMNS)
+
+
+def etl_quoted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that end in a quote sign, hold a quoted word, or are a quote sign only."""
+    work = run_dir(spark, "etl-quoted")
+    kind, word = F.col("Session ID") % 4, F.col("Action")
+    note = (F.when(kind == 0, F.concat(word, F.lit(' 55"'))).when(kind == 1, F.concat(F.lit('"'), word, F.lit('"')))
+            .when(kind == 2, F.lit('"')).otherwise(F.concat(F.lit('say "'), word, F.lit('" twice'))))
+    export_delimited(_events_file(spark, sf_dir).drop("Props").withColumn("Note", note), f"{work}/raw", ",")
+    run_etl(spark, f"{work}/raw", f"{work}/lake")
+    return read_lake(spark, f"{work}/lake").select("session_id", "event_type", "price", "note")
+
+
+def etl_rerun_shrunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rerun of an input that has lost its first day, under both overwrite modes of the session: no row of that day stays."""
+    key, parts = "spark.sql.sources.partitionOverwriteMode", []
+    before = spark.conf.get(key)
+    raw = table(spark, sf_dir, "events").select(F.col("event_id").alias("Session ID"), F.col("ts").alias("Timestamp"))
+    first = raw.agg(F.to_date(F.min("Timestamp"))).first()[0]
+    try:
+        for mode in ("static", "dynamic"):
+            work = run_dir(spark, "etl-shrunk")
+            spark.conf.set(key, mode)
+            for part in (raw, raw.filter(F.to_date("Timestamp") > F.lit(first))):
+                part.write.mode("overwrite").option("header", True).csv(f"{work}/raw")
+                run_etl(spark, f"{work}/raw", f"{work}/lake")
+            parts.append(read_lake(spark, f"{work}/lake").select(F.lit(mode).alias("mode"), "session_id", PARTITION_COLUMN))
+    finally:
+        spark.conf.set(key, before)
+    return parts[0].unionAll(parts[1])
+
+
 def etl_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with a field too many, too few, or cut by a quote are counted and kept in the quarantine; the others are loaded."""
     work = run_dir(spark, "etl-malformed")

@@ -13,7 +13,9 @@ deterministic.  Money is rounded with ``round2`` semantics: ``ROUND(x*100)/100``
 
 from __future__ import annotations
 
-import re
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -192,22 +194,39 @@ class MissingColumns(ValueError):
     """The events frame lacks a column the query needs."""
 
 
+@contextmanager
+def events_session(events: DataFrame) -> Iterator[SparkSession]:
+    """A session with the caller's settings in which ``events`` is a view; nobody else's session gets a view of that name."""
+    spark, name = events.sparkSession, f"events_{uuid.uuid4().hex}"
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    events.createGlobalTempView(name)
+    try:
+        own.sql(f"CREATE TEMPORARY VIEW events AS SELECT * FROM global_temp.{name}")
+        yield own
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
 def run_sql_folder(spark: SparkSession, events: DataFrame, folder: str) -> dict[str, DataFrame]:
-    """Every ``.sql`` file of a folder, by name: its text with ``events`` as the table.  A file that is one of the named queries and lacks columns is left out."""
+    """Every ``.sql`` file of a folder, by name: its text with ``events`` as a table.  A file that is one of the named queries and lacks columns is left out."""
     files = spark.read.text(f"{folder.rstrip('/')}/*.sql", wholetext=True).select("value", F.col("_metadata.file_name").alias("name"))
     out = {}
-    for row in files.orderBy("name").collect():              # texts of queries
-        name = row["name"].removesuffix(".sql")
-        if name in QUERIES and QUERIES[name].missing(events.columns):
-            continue
-        out[name] = run_sql(spark, events, row["value"])
+    with events_session(events) as own:
+        for row in files.orderBy("name").collect():              # texts of queries
+            name = row["name"].removesuffix(".sql")
+            if name in QUERIES and QUERIES[name].missing(events.columns):
+                continue
+            out[name] = own.sql(row["value"].strip().rstrip(";"))
     return out
 
 
-def run_sql(spark: SparkSession, events: DataFrame, text: str) -> DataFrame:
-    """One SQL text that reads ``events``."""
-    bound = re.sub(r"\b(FROM|JOIN)\s+events\b", r"\1 {events}", text.strip().rstrip(";"), flags=re.IGNORECASE)
-    return spark.sql(bound, events=events)
+def run_sql(events: DataFrame, text: str) -> DataFrame:
+    """One SQL text that reads the table ``events``, under any alias, as often as it likes."""
+    with events_session(events) as own:
+        return own.sql(text.strip().rstrip(";"))
 
 
 def run_query(spark: SparkSession, events: DataFrame, name: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """The event lake (Parquet by input and day) and the table store.
 
-Layout: ``<root>/source_id=<input>/event_date_str=YYYY-MM-DD/part-*.parquet``.  An input (its ``source_id``) owns its
-folder: another input only adds files, and a rerun of the same input replaces its own rows and no others.
+Layout: ``<root>/source_id=<input>/_snapshot=<version>/event_date_str=YYYY-MM-DD/part-*.parquet``.  An input (its ``source_id``) owns
+its folder: another input only adds files.  A rerun of the same input writes a version of its own, which replaces the earlier one
+when it is whole (``snapshots``), whatever the session's overwrite mode; until then, and if it fails, readers see the earlier rows.
 Reading with a filter on ``event_date_str`` prunes whole directories (``PartitionFilters``); selecting a few
-columns prunes the Parquet columns (``ReadSchema``).
+columns prunes the Parquet columns (``ReadSchema``).  Lakes are read by ``read_lake``, which knows the versions.
 """
 
 from __future__ import annotations
@@ -14,39 +15,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from eventmart.sources.snapshots import VERSION_COLUMN, Snapshots
+
 SOURCE_COLUMN = "source_id"
 PARTITION_COLUMN = "event_date_str"
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def source_folder(path: str, source: str) -> str:
+def checked_source(source: str) -> str:
     if not re.fullmatch(r"[A-Za-z0-9._-]+", source):
         raise ValueError(f"a source id has letters, digits, '.', '_' and '-' only: {source!r}")
-    return f"{path.rstrip('/')}/{SOURCE_COLUMN}={source}"
+    return source
 
 
-def write_lake(df: DataFrame, path: str, source: str) -> None:
-    """Write the events of one input, partitioned by day, in place of its earlier events.
+def source_folder(path: str, source: str) -> str:
+    return f"{path.rstrip('/')}/{SOURCE_COLUMN}={checked_source(source)}"
+
+
+def lake_snapshots(spark: SparkSession, path: str) -> Snapshots:
+    return Snapshots(spark, path, f"{SOURCE_COLUMN}={{name}}")
+
+
+def write_version(df: DataFrame, path: str, source: str) -> str:
+    """Write the events of one input, partitioned by day, as a version that nobody sees yet.
 
     ``rebalance`` on the partition column lets AQE cut a hot day into several
     tasks (and merge tiny days), so neither one huge task nor tasks x days small
     files."""
+    log = lake_snapshots(df.sparkSession, path)
+    version = log.begin()
     (df.hint("rebalance", PARTITION_COLUMN)
-       .write.mode("overwrite")
+       .write.mode("errorifexists")
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy(PARTITION_COLUMN)
-       .parquet(source_folder(path, source)))
+       .parquet(log.folder(checked_source(source), version)))
+    return version
+
+
+def write_lake(df: DataFrame, path: str, source: str) -> None:
+    """Write the events of one input in place of its earlier events."""
+    lake_snapshots(df.sparkSession, path).commit(source, write_version(df, path, source))
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:
     """The lake as one DataFrame, columns of all inputs; the day column stays text (``yyyy-MM-dd``),
     whatever the directory names look like (a null day reads back as null).
 
-    The file listing is taken now: after a later write to the same lake, read
+    The versions and files are those of now: after a later write to the same lake, read
     it again rather than reusing this frame."""
-    found = spark.read.option("mergeSchema", True).parquet(path).schema
-    schema = StructType([StructField(f.name, StringType()) if f.name in (SOURCE_COLUMN, PARTITION_COLUMN) else f for f in found])
-    return spark.read.schema(schema).parquet(path)
+    log = lake_snapshots(spark, path)
+    folders = [log.folder(name, v) for name, v in sorted(log.versions().items())]
+    if not folders:
+        raise ValueError(f"no events in {path}")
+    reader = spark.read.option("basePath", path.rstrip("/"))
+    found = reader.option("mergeSchema", True).parquet(*folders).schema
+    text = (SOURCE_COLUMN, PARTITION_COLUMN, VERSION_COLUMN)
+    schema = StructType([StructField(f.name, StringType()) if f.name in text else f for f in found])
+    return spark.read.option("basePath", path.rstrip("/")).schema(schema).parquet(*folders).drop(VERSION_COLUMN)
 
 
 def days_between(df: DataFrame, first: str, last: str) -> DataFrame:
@@ -58,41 +83,39 @@ class TableStore:
     """Named result tables (marts, job outputs) stored as Parquet under ``root``.
 
     ``root`` is a folder on shared storage, and every answer comes from it, so a store reopened later by
-    another job sees the same tables.
+    another job sees the same tables.  A table that is written again stays readable as it was until the new one is
+    whole, and a write that fails leaves it so.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._log = Snapshots(spark, self.root)
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
+        """Folder of the table as it is now."""
+        folder = self._log.current(name)
+        if folder is None:
+            raise KeyError(f"no table {name!r} in {self.root}")
+        return folder
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
+        version = self._log.begin()
+        df.write.mode("errorifexists").parquet(self._log.folder(name, version))
+        self._log.commit(name, version)
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
-
-    def _file_system(self):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
-
-    def _written(self, fs, folder) -> bool:
-        """Whether a write has ended there."""
-        return fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS"))
+        # the folder itself, without its name as a column
+        folder = self.path(name)
+        return self.spark.read.option("basePath", folder).parquet(folder)
 
     def exists(self, name: str) -> bool:
-        fs, _ = self._file_system()
-        return self._written(fs, self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name)))
+        return self._log.current(name) is not None
 
     def names(self) -> list[str]:
         """The tables in storage."""
-        fs, where = self._file_system()
-        if not fs.exists(where):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory() and self._written(fs, s.getPath()))
+        return sorted(self._log.versions())
 
     def tables(self) -> dict[str, DataFrame]:
         return {n: self.read(n) for n in self.names()}

@@ -26,7 +26,7 @@ _FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def start_ingest(spark: SparkSession, landing: str, lake: str, checkpoint: str, *, sep: str | None = None,
-                 quarantine: str | None = None, multi_line: bool = False, available_now: bool = True,
+                 quarantine: str | None = None, multi_line: bool | None = None, available_now: bool = True,
                  name: str | None = None) -> StreamingQuery:
     """Start the incremental ingest.  ``name`` tells the ingests of one lake apart (by default the checkpoint does)."""
     name = name or f"ingest-{hashlib.sha256(checkpoint.encode()).hexdigest()[:12]}"

@@ -3,10 +3,14 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
+from eventmart.operators import etl
 from eventmart.operators.etl import SchemaError, drop_duplicate_rows, read_events_file, run_etl, well_formed
+from eventmart.sources import delimited
 from eventmart.sources.lake import read_lake
+from eventmart.sources.snapshots import Snapshots
 from tests.conftest import write_text
 
 DIRTY = """Year;Month; DAY ;Session ID;Page 1 (main category);Page 2 (clothing model);Country;Price;Revenue;Page;Extra Col!
@@ -120,19 +124,112 @@ def test_malformed_rows_stop_the_run(spark, workdir):
 
 def test_malformed_rows_are_kept_apart(spark, workdir):
     src = write_text(workdir, "broken.csv", BROKEN)
-    res = run_etl(spark, src, f"{workdir}/lake", quarantine=f"{workdir}/bad")
-    m = res.metrics
-    assert (m["rows_read"], m["rows_malformed"], m["rows_written"], m["duplicates_dropped"]) == (5, 3, 2, 0)
-    assert sorted(r.line for r in spark.read.parquet(f"{workdir}/bad").collect()) == ["b,2", "c,3,DE,EXTRA", 'rest"']
+    # line by line, both halves of a row that a quote cuts are malformed
+    m = run_etl(spark, src, f"{workdir}/lake", quarantine=f"{workdir}/bad", multi_line=False).metrics
+    assert (m["rows_read"], m["rows_malformed"], m["rows_written"], m["duplicates_dropped"]) == (5, 4, 1, 0)
+    assert sorted(r.line for r in spark.read.parquet(f"{workdir}/bad").collect()) == ["b,2", "c,3,DE,EXTRA", 'd,4,"open', 'rest"']
+    # the file has a field that goes on in the next line, so it is read as a whole
+    m = run_etl(spark, src, f"{workdir}/lake", quarantine=f"{workdir}/bad").metrics
+    assert (m["rows_read"], m["rows_malformed"], m["rows_written"], m["duplicates_dropped"]) == (4, 2, 2, 0)
+    assert sorted(r.line for r in spark.read.parquet(f"{workdir}/bad").collect()) == ["b,2", "c,3,DE,EXTRA"]
+    assert {r.session_id: r.country for r in read_lake(spark, f"{workdir}/lake").collect()} == {"a": "PL", "d": "open\nrest"}
 
 
 def test_line_breaks_inside_quotes(spark, workdir):
     src = write_text(workdir, "q.csv", 'session_id,price,note\na,1,"two\nlines, and ""quotes"""\nb,2,plain\n')
     with pytest.raises(PySparkException, match="malformed row"):
-        run_etl(spark, src, f"{workdir}/lake")
-    run_etl(spark, src, f"{workdir}/lake", multi_line=True)
-    notes = {r.session_id: r.note for r in read_lake(spark, f"{workdir}/lake").collect()}
-    assert notes == {"a": 'two\nlines, and "quotes"', "b": "plain"}
+        run_etl(spark, src, f"{workdir}/lake", multi_line=False)
+    for how in (True, None):
+        run_etl(spark, src, f"{workdir}/lake", multi_line=how)
+        notes = {r.session_id: r.note for r in read_lake(spark, f"{workdir}/lake").collect()}
+        assert notes == {"a": 'two\nlines, and "quotes"', "b": "plain"}
+
+
+def test_valid_quoted_values(spark, workdir):
+    """Values that end in a quote sign, or are one; a file with line breaks beside them, and one whose quote is never closed."""
+    folder = os.path.join(workdir, "in put")
+    os.makedirs(folder)
+    write_text(folder, "a.csv", 'session_id,note,price\na,"TV 55""",1\nb,"""so said""",2\nc,"""",3\nd,say "hi",4\ne,"",5\nf,"x;y,z",6\n')
+    res = run_etl(spark, folder, f"{workdir}/one")
+    assert res.metrics["rows_malformed"] == 0
+    want = {"a": 'TV 55"', "b": '"so said"', "c": '"', "d": 'say "hi"', "e": None, "f": "x;y,z"}
+    assert {r.session_id: r.note for r in read_lake(spark, f"{workdir}/one").collect()} == want
+    write_text(folder, "b [2].csv", 'session_id,note,price\ng,"two\nlines",7\nh,plain,8\n')
+    write_text(folder, "c.csv", 'session_id,note,price\ni,"never closed,9\nj,fine,10\n')
+    res = run_etl(spark, folder, f"{workdir}/two", quarantine=f"{workdir}/bad")
+    got = {r.session_id: r.note for r in read_lake(spark, f"{workdir}/two").collect()}
+    assert got == want | {"g": "two\nlines", "h": "plain", "j": "fine"}
+    assert [r.line for r in spark.read.parquet(f"{workdir}/bad").collect()] == ['i,"never closed,9']
+    assert [len(x.whole) for x in res.layouts] == [1]
+
+
+def test_headers_of_many_files(spark, workdir):
+    """The driver gets a row a header line, whatever the number of files."""
+    folder = os.path.join(workdir, "many")
+    os.makedirs(folder)
+    for i in range(600):
+        body = f"session_id,price\ns{i},{i}\n" if i % 3 else f"\ufeffprice;session_id\n{i};s{i}\n"
+        write_text(folder, f"f{i:04d}.csv", body if i != 7 else f"\n  \n{body}")
+    found = delimited.header_lines(spark, [folder])
+    assert {r.line for r in found.select("line").distinct().collect()} == {"session_id,price", "price;session_id"}
+    assert sum(len(r.files) for r in found.collect()) == 600 and found.count() <= 2 * 64
+    typed, got, _ = read_events_file(spark, folder)
+    assert sorted((x.sep, len(x.files)) for x in got) == [(",", 400), (";", 200)]
+    assert {(r.session_id, r.price) for r in well_formed(typed).collect()} == {(f"s{i}", float(i)) for i in range(600)}
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_rerun_replaces_whole_versions(spark, workdir, mode):
+    """A rerun with fewer days leaves no old ones, under both overwrite modes."""
+    lake, before = f"{workdir}/lake", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        src = write_text(workdir, "in.csv", "timestamp,session_id\n2024-01-01 10:00:00,a\n2024-01-02 10:00:00,b\n")
+        run_etl(spark, src, lake)
+        seen = read_lake(spark, lake)
+        write_text(workdir, "in.csv", "timestamp,session_id\n2024-01-02 10:00:00,c\n")
+        run_etl(spark, src, lake)
+        assert [r.session_id for r in read_lake(spark, lake).collect()] == ["c"]
+        assert sorted(r.session_id for r in seen.collect()) == ["a", "b"]          # a reader that began before
+        run_etl(spark, f"file://{src}", lake)
+        assert [r.session_id for r in read_lake(spark, lake).collect()] == ["c"]   # another spelling of the path
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_killed_rerun_leaves_the_old_rows(spark, workdir, monkeypatch):
+    lake = f"{workdir}/lake"
+    src = write_text(workdir, "in.csv", "timestamp,session_id\n2024-01-01 10:00:00,a\n2024-01-02 10:00:00,b\n")
+    run_etl(spark, src, lake)
+    write_text(workdir, "in.csv", "timestamp,session_id\n2024-01-03 10:00:00,c\n")
+    broken = lambda df: df.withColumn("event_hour", F.when(F.col("session_id") == "c", F.raise_error(F.lit("killed")).cast("int")))
+    with monkeypatch.context() as m:
+        m.setattr(etl, "add_partition_key", lambda df, plain=etl.add_partition_key: broken(plain(df)))
+        with pytest.raises(PySparkException, match="killed"):
+            run_etl(spark, src, lake)
+    assert sorted(r.session_id for r in read_lake(spark, lake).collect()) == ["a", "b"]
+    with monkeypatch.context() as m:                                                # or in the commit itself
+        m.setattr(Snapshots, "_put", lambda *a: (_ for _ in ()).throw(OSError("killed")))
+        with pytest.raises(OSError, match="killed"):
+            run_etl(spark, src, lake)
+    assert sorted(r.session_id for r in read_lake(spark, lake).collect()) == ["a", "b"]
+    run_etl(spark, src, lake)
+    assert [r.session_id for r in read_lake(spark, lake).collect()] == ["c"]
+
+
+def test_snapshot_log(spark, workdir, monkeypatch):
+    """Commits at once take different numbers, full entries stand for those before, old versions are deleted."""
+    monkeypatch.setattr("eventmart.sources.snapshots.FULL_EVERY", 4)
+    one, two = Snapshots(spark, workdir), Snapshots(spark, workdir)
+    monkeypatch.setattr(one, "_numbers", lambda plain=one._numbers: (two.commit("b", two.begin()), monkeypatch.undo(), plain()[:-1])[2])
+    one.commit("a", "a0")
+    assert set(one.versions()) == {"a", "b"}
+    monkeypatch.setattr("eventmart.sources.snapshots.FULL_EVERY", 4)
+    for i in range(1, 10):
+        os.makedirs(one.folder("a", f"a{i}"))
+        one.commit("a", f"a{i}")
+    assert two.versions()["a"] == "a9" and one.current("a").endswith("/a/_snapshot=a9") and one.current("x") is None
+    assert sorted(os.listdir(f"{workdir}/a")) == ["_snapshot=a8", "_snapshot=a9"]
 
 
 def test_line_break_in_a_header_fails(spark, workdir):
