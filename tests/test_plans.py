@@ -91,8 +91,8 @@ def test_hot_day_is_split_across_files(spark, workdir):
         write_lake(df.repartition(16), f"{workdir}/lake", "a")
     finally:
         spark.conf.set(key, before)
-    hot_files = glob.glob(f"{workdir}/lake/source_id=a/event_date_str=2024-01-01/*.parquet")
-    cold_files = glob.glob(f"{workdir}/lake/source_id=a/event_date_str=2024-02-01/*.parquet")
+    hot_files = glob.glob(f"{workdir}/lake/source_id=a/_snapshot=*/event_date_str=2024-01-01/*.parquet")
+    cold_files = glob.glob(f"{workdir}/lake/source_id=a/_snapshot=*/event_date_str=2024-02-01/*.parquet")
     assert len(hot_files) > 1
     assert len(hot_files) > len(cold_files)
     assert read_lake(spark, f"{workdir}/lake").count() == n
