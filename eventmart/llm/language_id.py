@@ -42,6 +42,8 @@ from eventmart.llm.textvec import Slice, slices
 MAX_ROWS = 64
 MAX_BYTES = 48_000
 TOTAL_BYTES = 2_000_000
+#: Languages whose counts are broadcast.
+MAX_BROADCAST = 10_000
 #: Bytes that are parsed in a row.
 SEGMENT = 512
 _SPACE = 0x20
@@ -205,7 +207,9 @@ def _crc(c: Column) -> Column:
 def training_texts(docs: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> dict[str, bytes]:
     """For each language the symbols to learn, from documents outside the held-out fold."""
     own = take(docs, doc_id="doc_id", text="text", lang="lang").filter("doc_id is not null and text is not null and lang is not null").filter(_crc(F.col("doc_id")) % 3 != 1)
-    counted = own.groupBy("lang").agg(F.count("*").alias("n"))
+    counted = stage(own.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    if counted.count() <= MAX_BROADCAST:
+        counted = F.broadcast(counted)                    # else rows would be dealt out by language
     # rows with large hashes are left out before their language's are ranked: some 8 * max_rows stay
     h = F.xxhash64("doc_id", F.lit(11))
     few = own.select("doc_id", "lang").join(counted, "lang").withColumn("h", h).filter(F.shiftrightunsigned("h", 11).cast("double") / 2.0 ** 53 < 8.0 * max_rows / F.col("n"))
