@@ -155,12 +155,12 @@ class Collected:
         return Rows(np.frombuffer(self.slots, "<i4"), np.frombuffer(self.values, "<f4"), np.array(self.ends, np.int64))
 
 
-def fit(rows: Rows, y: np.ndarray, bits: int, *, use: np.ndarray | None = None, pairs: tuple[Rows, np.ndarray] | None = None,
-        pair_weight: float = 0.0, l2: float = 1e-4, steps: int = 100, rate: float = 0.5) -> tuple[np.ndarray, float]:
+def fit(rows: Rows, y: np.ndarray, bits: int, *, use: np.ndarray | None = None, changes: Rows | None = None,
+        change_weight: float = 0.0, l2: float = 1e-4, steps: int = 100, rate: float = 0.5) -> tuple[np.ndarray, float]:
     """Full-batch gradient descent (Adam) on log loss, both classes weighing the same; ``use`` marks the rows to fit.
 
-    ``pairs``: rows of texts with swapped terms, and the row in ``rows`` each comes from;
-    ``pair_weight`` times the mean squared change of margin is added to the loss."""
+    ``changes``: what swapped or added terms change in a text's row; ``change_weight`` times the mean squared
+    change of margin is added to the loss."""
     size, use = 1 << bits, np.ones(len(y), bool) if use is None else use
     w, b = np.zeros(size), 0.0
     m, v = np.zeros(size + 1), np.zeros(size + 1)
@@ -169,11 +169,8 @@ def fit(rows: Rows, y: np.ndarray, bits: int, *, use: np.ndarray | None = None,
         margin = rows.margins(w, b)
         pull = weight * (sigmoid(margin) - y)
         g = np.append(l2 * w, pull.sum())
-        if pairs is not None and len(pairs[1]):
-            twin, source = pairs
-            push = 2 * pair_weight * (twin.margins(w, b) - margin[source]) / len(source)
-            g[:-1] += twin.pulled(push, size)
-            pull = pull - np.bincount(source, push, len(y))
+        if changes is not None and len(changes):
+            g[:-1] += changes.pulled(2 * change_weight * changes.margins(w, 0.0) / len(changes), size)
         g[:-1] += rows.pulled(pull, size)
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g

@@ -37,7 +37,7 @@ _SYMBOLS = table_of(b"#*$%&|<>")
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, features: Features, max_rows: int, extra=None) -> DataFrame:
     """(key, y, fold, slots, counts, …) of at most ``max_rows`` labelled documents.  ``extra(texts)`` may give
-    further sparse rows of the same texts, for example with swapped terms."""
+    a list of further sparse rows for each text, for example what swapped terms change."""
     marks = take(labels, doc_id="doc_id", y=label).filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").cast("int").alias("y"))
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     chosen = hashed_sample(marks.withColumn("fold", (crc % 5).cast("int")), max_rows, "doc_id")
@@ -49,41 +49,43 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, features: Feat
                 continue
             texts = column(batch, "text")
             got = features.rows(texts)
-            swapped = extra(texts) if extra else [None] * len(got)
-            blobs = lambda rows, i, kind: pa.array([None if r is None else r[i].astype(kind).tobytes() for r in rows], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("y"), batch.column("fold"), blobs(got, 0, "<i4"), blobs(got, 1, "<f4"), blobs(swapped, 0, "<i4"), blobs(swapped, 1, "<f4")], ["key", "y", "fold", "slots", "counts", "slots2", "counts2"])
+            further = extra(texts) if extra else [[] for _ in got]
+            blobs = lambda rows, i, kind: [r[i].astype(kind).tobytes() for r in rows]
+            own = [pa.array(blobs(got, i, kind), pa.binary()) for i, kind in enumerate(("<i4", "<f4"))]
+            more = [pa.array([blobs(rows, i, kind) for rows in further], pa.list_(pa.binary())) for i, kind in enumerate(("<i4", "<f4"))]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("y"), batch.column("fold"), *own, *more], ["key", "y", "fold", "slots", "counts", "slots2", "counts2"])
 
-    return pairs.mapInArrow(run, "key string, y int, fold int, slots binary, counts binary, slots2 binary, counts2 binary")
+    return pairs.mapInArrow(run, "key string, y int, fold int, slots binary, counts binary, slots2 array<binary>, counts2 array<binary>")
 
 
 def train(rows: DataFrame, features: Features, prior: float, pair_weight: float = 0.0, calibration_fold: int = 1) -> Model:
     """Fit on all folds but one, calibrate on that one."""
-    every, twins, y, fold, source = Collected(), Collected(), [], [], []
+    every, changes, y, fold = Collected(), Collected(), [], []
     # in a fixed order, so that the same rows always make the same model; a row's arrays are taken over as it comes
     for r in rows.orderBy("key", "slots", "counts").toLocalIterator():
-        if r["slots2"] is not None and r["fold"] != calibration_fold:
-            source.append(len(y))
-            twins.add(r["slots2"], r["counts2"])
+        if r["fold"] != calibration_fold:
+            for slots, counts_ in zip(r["slots2"], r["counts2"], strict=True):
+                changes.add(slots, counts_)
         every.add(r["slots"], r["counts"])
         y.append(r["y"])
         fold.append(r["fold"])
-    every, twins, source = every.rows(), twins.rows(), np.array(source, int)
+    every, changes = every.rows(), changes.rows()
     try:
-        return _trained(every, twins, source, np.array(y, int), np.array(fold, int), features, prior, pair_weight, calibration_fold)
+        return _trained(every, changes, np.array(y, int), np.array(fold, int), features, prior, pair_weight, calibration_fold)
     finally:
-        del every, twins
+        del every, changes
         give_back()
 
 
-def _trained(every: Rows, twins: Rows, source: np.ndarray, y: np.ndarray, fold: np.ndarray, features: Features, prior: float, pair_weight: float, calibration_fold: int) -> Model:
+def _trained(every: Rows, changes: Rows, y: np.ndarray, fold: np.ndarray, features: Features, prior: float, pair_weight: float, calibration_fold: int) -> Model:
     fitted = fold != calibration_fold
     if not len(y) or len(set(y[fitted])) < 2:
         p = min(max(((y == 1).sum() + 2 * prior) / (len(y) + 2), 1e-6), 1 - 1e-6)
         return Model(features, np.zeros(1 << features.bits, np.float32), float(np.log(p / (1 - p))))
-    w, b = fit(every, y, features.bits, use=fitted, pairs=(twins, source), pair_weight=pair_weight)
+    w, b = fit(every, y, features.bits, use=fitted, changes=changes, change_weight=pair_weight)
     held, margin = ~fitted, every.margins(w, b)
     a, c = platt(margin[held], y[held]) if len(set(y[held])) == 2 else (1.0, 0.0)
-    return Model(features, w.astype(np.float32), b, a, c, {"rows": int(len(y)), "calibrated_on": int(held.sum())})
+    return Model(features, w.astype(np.float32), b, a, c, {"rows": int(len(y)), "calibrated_on": int(held.sum()), "pairs": len(changes)})
 
 
 def quality_model(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, features: Features = FEATURES) -> Model:

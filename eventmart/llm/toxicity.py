@@ -1,9 +1,10 @@
 """Toxicity: a hashed n-gram classifier trained with counterfactual identity swaps.
 
-A logistic regression over hashed words and word beginnings (``hashed_lr``).  For every
-labelled training text that mentions an identity term, a twin is made with each term swapped for another of
-its group (``TERM_GROUPS``); the fit adds ``pair_weight`` times the mean squared difference of the two
-margins to the loss, so that a neutral mention of a group carries no score of its own.  Training takes at
+A logistic regression over hashed words and word beginnings (``hashed_lr``).  Counterfactuals are made for every
+labelled training text (``counterfactuals``): where it mentions identity terms, the text with each of them swapped for every other of
+its group (``TERM_GROUPS``); and, whether it does or not, one of its sentences with each term of one group put at one place, against
+the sentence itself.  The fit adds ``pair_weight`` times the mean squared difference of the two margins to the loss, so that
+a neutral mention of a group carries no score of its own.  ``Model.notes`` counts the pairs.  Training takes at
 most ``max_rows`` labelled rows, none from the held-out fold (crc32 of the id as text, modulo 5, is 0); fold 1
 calibrates the score.  All documents are scored whole in Arrow batches.  Only the text is an input.
 
@@ -31,7 +32,7 @@ from eventmart.llm.quality import labelled_rows, train
 
 MAX_ROWS = 4000
 FEATURES = Features(bits=18, word_sizes=(1,), head_sizes=(3, 4, 5, 6, 7), char_sizes=())
-PAIR_WEIGHT = 1.0
+PAIR_WEIGHT = 5.0
 THRESHOLD = 0.5
 #: Terms that may stand for one another in a sentence, by group (English, German, French, Spanish).
 TERM_GROUPS = (
@@ -46,30 +47,71 @@ TERM_GROUPS = (
     ("chrétien", "musulman", "juif", "bouddhiste"), ("femme", "homme"), ("femmes", "hommes"), ("immigré", "réfugié", "citoyen"),
     ("cristiano", "musulmán", "judío", "budista"), ("mujer", "hombre"), ("mujeres", "hombres"), ("inmigrante", "refugiado", "ciudadano"),
 )
-_SWAP = {t: group[(i + 1) % len(group)] for group in TERM_GROUPS for i, t in enumerate(group)}
-_TERM = re.compile(r"\b(" + "|".join(sorted(map(re.escape, _SWAP), key=len, reverse=True)) + r")\b", re.IGNORECASE)
-
-
-def swapped(text: str) -> str | None:
-    """The text with each identity term replaced by the next of its group; None without such a term."""
-    out, n = _TERM.subn(lambda m: _SWAP[m[0].lower()], text)
-    return out if n else None
-
-
-def twins(features: Features):
-    """Sparse rows of the swapped texts, None where nothing was swapped."""
-    def rows(texts: pa.Array) -> list:
-        new = [swapped(x) for x in texts.to_pylist()]
-        which = [i for i, x in enumerate(new) if x is not None]
-        got = dict(zip(which, features.rows(pa.array([new[i] for i in which], pa.string())), strict=True))
-        return [got.get(i) for i in range(len(new))]
-    return rows
+_GROUP = {t: group for group in TERM_GROUPS for t in group}
+_TERM = re.compile(r"\b(" + "|".join(sorted(map(re.escape, _GROUP), key=len, reverse=True)) + r")\b", re.IGNORECASE)
+_SENTENCE = re.compile(r"[^.!?\n]*\w[^.!?\n]*")
+
+
+def swapped(text: str, step: int = 1) -> str | None:
+    """The text with each identity term replaced by the one ``step`` places on in its group; None if that changes nothing."""
+    def other(found: re.Match) -> str:
+        group = _GROUP[found[0].lower()]
+        to = (group.index(found[0].lower()) + step) % len(group)
+        return found[0] if group[to] == found[0].lower() else group[to]
+    out = _TERM.sub(other, text)
+    return out if out != text else None
+
+
+def mentions(text: str) -> tuple[str, list[str]] | None:
+    """One sentence of the text, and it again with each term of one group put before one of its words; None without words.
+    Sentence, group and place follow from the text's checksum."""
+    found = [m.span() for m in _SENTENCE.finditer(text)]
+    if not found:
+        return None
+    crc = zlib.crc32(text.encode())
+    start, end = found[crc % len(found)]
+    words = text[start:end].split()
+    at, group = crc // 7 % (len(words) + 1), TERM_GROUPS[crc // 3 % len(TERM_GROUPS)]
+    return " ".join(words), [" ".join([*words[:at], term, *words[at:]]) for term in group]
+
+
+def counterfactuals(features: Features):
+    """For each text the differences between the sparse rows of its counterfactuals and those of what they were made from.  An
+    added term makes a sentence longer, which damps all its words; both rows are damped alike here, so that only the term is penalised."""
+    most = max(map(len, TERM_GROUPS))
+
+    def pairs_of(text: str | None) -> list[tuple[str, str]]:
+        if not text:
+            return []
+        planted = mentions(text)
+        swaps = dict.fromkeys(swapped(text, k) for k in range(1, most)) if _TERM.search(text) else {}
+        return [(text, x) for x in swaps if x is not None] + ([(planted[0], x) for x in planted[1]] if planted else [])
+
+    def differences(texts: pa.Array) -> list[list]:
+        out = []
+        for text in texts.to_pylist():
+            made = pairs_of(text)
+            plain = list(dict.fromkeys(x for x, _ in made))
+            rows = features.rows(pa.array([*plain, *[x for _, x in made]], pa.string())) if made else []
+            source = dict(zip(plain, rows, strict=False))
+            longer = [np.sqrt(len(y.split()) / max(len(x.split()), 1)) for x, y in made]
+            out.append([difference((row[0], row[1] * scale), source[x]) for (x, _), row, scale in zip(made, rows[len(plain):], longer, strict=True)])
+        return out
+    return differences
+
+
+def difference(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sparse row ``a - b``."""
+    slots, at = np.unique(np.concatenate([a[0], b[0]]), return_inverse=True)
+    values = np.bincount(at, np.concatenate([a[1], -b[1]]), len(slots))
+    differs = np.abs(values) > 1e-6
+    return slots[differs].astype(np.int32), values[differs].astype(np.float32)
 
 
 def toxicity_model(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, features: Features = FEATURES, pair_weight: float = PAIR_WEIGHT) -> Model:
     """Learns from labels outside the held-out fold only."""
     learn = take(labels, doc_id="doc_id", toxic="toxic").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
-    return train(labelled_rows(docs, learn, "toxic", features, max_rows, twins(features)), features, prior=0.1, pair_weight=pair_weight)
+    return train(labelled_rows(docs, learn, "toxic", features, max_rows, counterfactuals(features)), features, prior=0.1, pair_weight=pair_weight)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, pair_weight: float = PAIR_WEIGHT) -> DataFrame:

@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -89,9 +90,28 @@ def test_quality_query(spark):
 # -- toxicity ---------------------------------------------------------------------------------------------
 def test_swaps_terms_within_their_group():
     assert toxicity.swapped("A Muslim woman, and old men") == "A jewish man, and young women"
+    assert toxicity.swapped("A Muslim woman, and old men", 2) == "A hindu woman, and old men"
     assert toxicity.swapped("no such word") is None
 
 
+def test_mentions_put_every_term_of_a_group_into_one_sentence():
+    plain, planted = toxicity.mentions("First one here.  Second  sentence there!\nThird")
+    assert plain in ("First one here", "Second sentence there", "Third")
+    terms = [(set(x.split()) - set(plain.split())).pop() for x in planted]
+    assert tuple(terms) in toxicity.TERM_GROUPS
+    assert all(" ".join(w for w in x.split() if w != t) == plain for x, t in zip(planted, terms, strict=True))
+    assert toxicity.mentions(" .!\n") is None
+
+
+def test_counterfactual_rows_hold_the_terms_only():
+    features = Features(bits=18, word_sizes=(1,), char_sizes=())
+    got = toxicity.counterfactuals(features)(pa.array([None, "", "The muslim baker met an idiot"]))
+    assert got[0] == got[1] == []
+    slots = {w: features.rows(pa.array([w]))[0][0][0] for w in [*toxicity._GROUP, "the", "baker", "met", "an", "idiot"]}
+    touched = {int(x) for row in got[2] for x in row[0]}
+    assert touched <= {int(slots[t]) for t in toxicity._GROUP} and len(got[2]) > 5
+
+
 def test_toxicity_edges(spark):
     none = spark.createDataFrame([], LABELS)
     got = toxicity.toxicity_scores(edges(spark), none).collect()
@@ -110,16 +130,31 @@ def _training(spark):
     return edges(spark, rows), spark.createDataFrame(labels, LABELS)
 
 
-def test_counterfactual_pairs_weaken_the_group_term(spark):
+def test_counterfactual_pairs_free_neutral_mentions_at_production_weight(spark):
     docs, labels = _training(spark)
-    probe = pa.array(["the muslim neighbour walked to market", "the hindu neighbour walked to market"])
-    gap = {}
-    for weight in (0.0, 20.0):
-        model = toxicity.toxicity_model(docs, labels, features=Features(bits=14, word_sizes=(1,), char_sizes=()), pair_weight=weight)
-        a, b = model.margins(probe)
-        gap[weight] = abs(a - b)
+    neutral = ["today the {} neighbour walked to market", "the {} friend baker came along", "a {} friend"]
+    score = {}
+    for weight in (0.0, toxicity.PAIR_WEIGHT):
+        model = toxicity.toxicity_model(docs, labels, pair_weight=weight)
+        assert model.notes["pairs"] > 400
+        score[weight] = [model.scores(pa.array([x.format(t) for t in sorted(toxicity._GROUP)])) for x in neutral]
         assert model.scores(pa.array(["idiot scum came along"]))[0] > 0.5 > model.scores(pa.array(["friend baker came along"]))[0]
-    assert gap[20.0] < 0.5 * gap[0.0]
+    assert max(np.ptp(s) for s in score[0.0]) > 0.2 and max(np.ptp(s) for s in score[toxicity.PAIR_WEIGHT]) < 0.02
+    # the first sentence's words are those of toxic and clean texts alike; the others are clean, whoever they mention
+    assert [float((s >= 0.5).mean()) for s in score[toxicity.PAIR_WEIGHT][1:]] == [0, 0]
+    plain = model.scores(pa.array([" ".join(x.replace("{}", "").split()) for x in neutral]))
+    assert all(np.abs(s - p).max() < 0.1 for s, p in zip(score[toxicity.PAIR_WEIGHT], plain, strict=True))
+
+
+def test_neutral_mentions_on_the_given_labels(spark):
+    """The penalty is at work in the query's own model: scores of sentences do not depend on the group they mention."""
+    sf = SF01.replace("0.01", "0.1")
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    neutral = ["the {} teacher bakes bread", "our {} doctor came to the market today", "{} families live in this town"]
+    model = toxicity.toxicity_model(docs, labels)
+    assert model.notes["pairs"] > 5000
+    scores = [model.scores(pa.array([x.format(t) for t in sorted(toxicity._GROUP)])) for x in neutral]
+    assert max(np.ptp(s) for s in scores) < 0.02 and max(s.max() for s in scores) < 0.5
 
 
 def test_toxicity_held_out_accuracy(spark):
