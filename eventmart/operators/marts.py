@@ -72,4 +72,4 @@ def mart_plans(events: DataFrame) -> dict[str, DataFrame]:
 def build_marts(store: TableStore, events: DataFrame) -> dict[str, DataFrame]:
     """Write every buildable mart (replacing an older one) and return them as
     read back from storage."""
-    return {name: store.write(name, plan) for name, plan in mart_plans(events).items()}
+    return store.write_all(mart_plans(events))

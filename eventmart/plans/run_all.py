@@ -1,7 +1,7 @@
 """Run every named query and every job over one events frame.
 
 A query or job whose columns are missing is skipped (and reported as such);
-the others run and may be saved as tables (``mr_<job>`` for jobs) and CSV.
+the others share one scan of the events (``shared_scan``) and may be saved as tables (``mr_<job>`` for jobs) and CSV.
 The summary ``(kind, name, status, rows)`` is one lazy plan: row counts are
 aggregates over the (saved) results, not driver-side loops over data.
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from eventmart.operators.jobs import JOBS
 from eventmart.operators.sinks import write_csv_if_any
 from eventmart.plans.queries import QUERIES, run_query
+from eventmart.plans.shared_scan import SharedScan
 from eventmart.sources.lake import TableStore
 
 
@@ -34,17 +35,20 @@ def run_all(spark: SparkSession, events: DataFrame, store: TableStore | None = N
              for n, q in QUERIES.items()]
     items += [("job", n, j.missing(events.columns), (lambda j=j: j.run(events)))
               for n, j in JOBS.items()]
-    for kind, name, missing, plan in items:
-        if wanted not in (None, kind):
-            continue
+    items = [i for i in items if wanted in (None, i[0])]
+    shared = SharedScan(events, [(kind, name) for kind, name, missing, _ in items if not missing])
+    results = {(kind, name): shared.result(kind, name) if (kind, name) in shared.items else plan()
+               for kind, name, missing, plan in items if not missing}
+    tables = {(kind, name): name if kind == "query" else f"mr_{name}" for kind, name in results}
+    if store is not None:
+        saved = store.write_all({tables[item]: result for item, result in results.items()})
+        results = {item: saved[tables[item]] for item in results}
+    for kind, name, missing, _ in items:
         if missing:
             parts.append(_status(spark, kind, name, "skipped", None))
             continue
-        result = plan()
-        table = name if kind == "query" else f"mr_{name}"
-        if store is not None:
-            result = store.write(table, result)
+        result = results[kind, name]
         if csv_dir:
-            write_csv_if_any(result, f"{csv_dir.rstrip('/')}/{table}")
+            write_csv_if_any(result, f"{csv_dir.rstrip('/')}/{tables[kind, name]}")
         parts.append(_status(spark, kind, name, "ok", result))
     return reduce(DataFrame.unionByName, parts)

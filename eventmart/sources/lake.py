@@ -10,6 +10,7 @@ columns prunes the Parquet columns (``ReadSchema``).  Lakes are read by ``read_l
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,8 @@ from eventmart.sources.snapshots import VERSION_COLUMN, Snapshots
 SOURCE_COLUMN = "source_id"
 PARTITION_COLUMN = "event_date_str"
 MAX_RECORDS_PER_FILE = 5_000_000
+#: Tables that a store writes at once.
+WRITES_AT_ONCE = 8
 
 
 def checked_source(source: str) -> str:
@@ -103,12 +106,25 @@ class TableStore:
         version = self._log.begin()
         df.write.mode("errorifexists").parquet(self._log.folder(name, version))
         self._log.commit(name, version)
-        return self.read(name)
+        return self._at(self._log.folder(name, version), df.schema)
+
+    def write_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write several tables, some at once, so that small ones do not wait for each other's last tasks.  They are
+        named one after the other when all are whole; if one fails, all stay as they were."""
+        versions = {name: self._log.begin() for name in tables}
+        with ThreadPoolExecutor(WRITES_AT_ONCE) as pool:
+            list(pool.map(lambda t: tables[t].write.mode("errorifexists").parquet(self._log.folder(t, versions[t])), tables))
+        for name, version in versions.items():
+            self._log.commit(name, version)
+        return {name: self._at(self._log.folder(name, versions[name]), df.schema) for name, df in tables.items()}
 
     def read(self, name: str) -> DataFrame:
+        return self._at(self.path(name))
+
+    def _at(self, folder: str, schema: StructType | None = None) -> DataFrame:
         # the folder itself, without its name as a column
-        folder = self.path(name)
-        return self.spark.read.option("basePath", folder).parquet(folder)
+        reader = self.spark.read.option("basePath", folder)
+        return (reader.schema(schema) if schema else reader).parquet(folder)
 
     def exists(self, name: str) -> bool:
         return self._log.current(name) is not None
