@@ -11,7 +11,7 @@ number of them can be split between two shards by id.  A candidate boundary is a
 the key, so one pass counts every cell of every open range with one partial aggregate.  What is collected is
 ``16 ** DIGITS`` cells of the first round, and in each later one a single row for each open boundary.
 
-Defined results: a null text has no bytes beside the row's own ``row_bytes``; a null id sorts first among equal
+Defined results: a null text has no bytes beside the row's own ``row_bytes``, and rows that all have none are dealt out by number; a null id sorts first among equal
 texts; rows equal in both text and id share a key and stay in one shard, in any order; an empty table gives an
 empty table; other columns move along with the rows unless their names are those of a result column,
 which then replaces them; fewer rows than shards leave some shards empty.
@@ -90,13 +90,18 @@ def next_after(prefix: str) -> str:
 def shard_by_bytes(docs: DataFrame, n_shards: int = 24, id_column: str = "doc_id", text_column: str = "text", row_bytes: int = 8, tolerance: float = 0.001, task_bytes: int = 32 << 20) -> DataFrame:
     """All rows and columns with ``size``, ``shard`` and ``slot`` (0, 1, … in key order in the shard)."""
     spark = docs.sparkSession
-    text, doc_id = F.col(text_column), F.col(id_column)
-    own = docs.select(*[F.col(c) for c in docs.columns if c.lower() not in ("size", "shard", "slot")],
-                      (F.coalesce(F.octet_length(text), F.lit(0)) + row_bytes).cast("long").alias("size"), sort_key(text, doc_id).alias("_key"))
-    keys = stage(own.select(F.col("_key").alias("key"), "size"), "shard-keys")
-    total = keys.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
-    if not total:
-        return own.drop("_key").withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
+    kept = [c for c in docs.columns if c.lower() not in ("size", "shard", "slot")]
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])               # no name of a column clashes with one of ours
+    at = {c.lower(): f"c{i}" for i, c in enumerate(docs.columns)}
+    text, doc_id = F.col(at[text_column.lower()]), F.col(at[id_column.lower()])
+    own = plain.select(*[at[c.lower()] for c in kept], (F.coalesce(F.octet_length(text), F.lit(0)) + row_bytes).cast("long").alias("_size"), sort_key(text, doc_id).alias("_key"))
+    result = lambda df: df.select(*[F.col(at[c.lower()]).alias(c) for c in kept], F.col("_size").alias("size"), "shard", "slot")
+    keys = stage(own.select(F.col("_key").alias("key"), F.col("_size").alias("size")), "shard-keys")
+    total, n = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    if not total:                                                                  # rows without bytes are dealt out by number
+        keys, total = keys.withColumn("size", F.lit(1).cast("long")), n
+    if not n:
+        return result(own.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")}))
     parts = max(1, round(total / n_shards / task_bytes))
     ranges = n_shards * parts
     splitters = sorted(find_splitters(keys, [total * i / ranges for i in range(1, ranges)], tolerance * total / ranges))
@@ -119,7 +124,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 24, id_column: str = "doc_id
     moved = ranged(own, "_key")
     place = F.row_number().over(Window.partitionBy("_range").orderBy("_key")).cast("long") - 1
     numbered = moved.withColumn("_place", place).join(counts, F.col("_range") == F.col("_counted"))
-    return numbered.withColumns({"shard": (F.col("_range") / parts).cast("int"), "slot": F.col("_place") + F.col("_before")}).drop("_key", "_range", "_place", "_counted", "_before")
+    return result(numbered.withColumns({"shard": (F.col("_range") / parts).cast("int"), "slot": F.col("_place") + F.col("_before")}))
 
 
 def op7_histogram_shards(spark, sf_dir: str) -> DataFrame:

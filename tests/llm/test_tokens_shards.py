@@ -192,3 +192,20 @@ def test_shard_query(spark):
 def test_shard_plan_is_jvm_only(spark):
     plan = sharding.shard_by_bytes(edges(spark))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
+
+
+def test_shards_with_clashing_columns_and_rows_without_bytes(spark):
+    names = ["first", "cell", "inside", "_key", "_range", "n", "c0", "c1", "SIZE"]
+    rows = [(i, None if i % 5 == 0 else f"text {i % 40}", *range(len(names))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{c}` int" for c in names))
+    out = sharding.shard_by_bytes(docs, n_shards=4)
+    assert out.columns == ["doc_id", "text", *names[:-1], "size", "shard", "slot"]
+    got = out.collect()
+    assert sorted((r.doc_id, r.text, *[r[c] for c in names[:-1]]) for r in got if r.text) == sorted(r[:-1] for r in rows if r[1])
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got))) for s in range(4))
+    for count in (0, 1, 48):
+        none = spark.createDataFrame([(i, None) for i in range(count)], "doc_id long, text string")
+        got = sharding.shard_by_bytes(none, n_shards=4, row_bytes=0).collect()
+        assert sorted(r.doc_id for r in got) == list(range(count))
+        of = [sorted(r.slot for r in got if r.shard == s) for s in range(4)]
+        assert all(slots == list(range(len(slots))) for slots in of) and (count < 4 or max(map(len, of)) - min(map(len, of)) <= 1)
