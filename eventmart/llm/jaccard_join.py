@@ -16,7 +16,9 @@ it, and the counts are summed per pair.
    is connected.  Where a document does not link to its hub, it is paired with those of the list whose counts allow
    a link: a pair that shares no rare n-gram (others came up in step 2) differs in at least
    ``rare_a + rare_b + |frequent_a - frequent_b|`` n-grams, and, by the triangle inequality, in at least the
-   difference of what each differs from the hub.
+   difference of what each differs from the hub.  The frequent n-grams of each document fall into
+   ``GROUPS`` groups besides, by hash, and one bit each says whether their number is odd; no two sets differ in fewer n-grams
+   than in these bits, a bound that leaves little more than the links.
    Documents with equal sets (128 bits of the set agree) are one class before that, of which one document stands in lists and pairs.
 4. Surviving pairs are verified: whole sets of the documents concerned are cut into fragments of the order, the
    overlap is counted in every fragment and summed per pair.
@@ -56,6 +58,8 @@ _FLUSH_DOCS = 60_000
 FRAGMENT_GRAMS = 1_500_000
 #: Fragments of whole sets in the verification.
 SET_FRAGMENTS = 8
+#: Groups of a document's frequent n-grams, of which parities are kept.
+GROUPS = 1024
 
 
 def shingle_sets(s: Slice, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +148,7 @@ def fragment_edges(fragments: int, percent: int) -> np.ndarray:
     return (edges * 2.0 ** 64).astype(np.uint64)
 
 
-_ROW = "fragment int, blob binary, node long, n int, rare int, often array<long>, digest array<long>"
+_ROW = "fragment int, blob binary, node long, n int, rare int, often array<long>, digest array<long>, parity array<long>"
 
 
 def _prefixes(nodes: DataFrame, n: int, percent: int, buckets: int, bitmap, edges: np.ndarray) -> DataFrame:
@@ -173,10 +177,11 @@ def _prefixes(nodes: DataFrame, n: int, percent: int, buckets: int, bitmap, edge
                     prefix = size - -(-percent * size // 100) + 1 if size else 0
                     rare = own[~mark]
                     late = own[mark][:max(0, prefix - len(rare))]
-                    docs.append((int(node_of[s.first + i]), size, len(rare), late.view(np.int64), digest[i]))
+                    odd = np.packbits(np.bincount((own[mark] % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS) & 1).view(np.int64) if len(late) else None
+                    docs.append((int(node_of[s.first + i]), size, len(rare), late.view(np.int64), digest[i], odd))
                     grams_of.append(rare[:prefix])
                     place_of.append(np.full(len(grams_of[-1]), len(docs) - 1, np.uint32))
-            yield pa.RecordBatch.from_arrays([pa.array([-1 - task % 64] * len(docs), pa.int32()), pa.nulls(len(docs), pa.binary()), pa.array([d[0] for d in docs], pa.int64()), pa.array([d[1] for d in docs], pa.int32()), pa.array([d[2] for d in docs], pa.int32()), pa.array([d[3] for d in docs], pa.list_(pa.int64())), pa.array([d[4] for d in docs], pa.list_(pa.int64()))], schema.names)
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - task % 64] * len(docs), pa.int32()), pa.nulls(len(docs), pa.binary()), pa.array([d[0] for d in docs], pa.int64()), pa.array([d[1] for d in docs], pa.int32()), pa.array([d[2] for d in docs], pa.int32()), pa.array([d[3] for d in docs], pa.list_(pa.int64())), pa.array([d[4] for d in docs], pa.list_(pa.int64())), pa.array([d[5] for d in docs], pa.list_(pa.int64()))], schema.names)
             grams, place = np.concatenate(grams_of), np.concatenate(place_of)
             part = np.searchsorted(edges, grams, "right")
             order = np.argsort(part, kind="stable")
@@ -192,12 +197,12 @@ def _prefixes(nodes: DataFrame, n: int, percent: int, buckets: int, bitmap, edge
                 which.append(int(f))
             none = len(blobs)
             if none:
-                yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(blobs, pa.binary()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.list_(pa.int64())), pa.nulls(none, pa.list_(pa.int64()))], schema.names)
+                yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(blobs, pa.binary()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.list_(pa.int64())), pa.nulls(none, pa.list_(pa.int64())), pa.nulls(none, pa.list_(pa.int64()))], schema.names)
 
     return nodes.mapInArrow(run, schema)
 
 
-_COUNTED = "node long, n int, rare int, often array<long>, digest array<long>, a long, b long, shared int, na int, nb int, late int"
+_COUNTED = "node long, n int, rare int, often array<long>, digest array<long>, parity array<long>, a long, b long, shared int, na int, nb int, late int"
 
 
 def _count_fragment(percent: int):
@@ -206,13 +211,13 @@ def _count_fragment(percent: int):
 
     def out(a, b, shared, na, nb, late) -> pa.RecordBatch:
         k = len(a)
-        return pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int64())), pa.array(a), pa.array(b), pa.array(shared.astype(np.int32)), pa.array(na), pa.array(nb), pa.array(late)], names)
+        return pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int64())), pa.nulls(k, pa.list_(pa.int64())), pa.array(a), pa.array(b), pa.array(shared.astype(np.int32)), pa.array(na), pa.array(nb), pa.array(late)], names)
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key[0].as_py() < 0:
             for batch in batches:
                 k = batch.num_rows
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("node", "n", "rare", "often", "digest")], *[pa.nulls(k, t) for t in (pa.int64(), pa.int64(), *[pa.int32()] * 4)]], names)
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("node", "n", "rare", "often", "digest", "parity")], *[pa.nulls(k, t) for t in (pa.int64(), pa.int64(), *[pa.int32()] * 4)]], names)
             return
         nodes, sizes, lates, grams, places, docs = [], [], [], [], [], 0
         for batch in batches:
@@ -346,7 +351,7 @@ def link_components(nodes: DataFrame, n: int, percent: int, by_id: bool) -> tupl
     edges = fragment_edges(max(8, math.ceil(size / 6 * (100 - percent) / 100 / FRAGMENT_GRAMS)), percent)
     counted = _prefixes(texts, n, percent, buckets, bitmap, edges).groupBy("fragment").applyInArrow(_count_fragment(percent), _COUNTED)
     counted = stage(counted, "counted")
-    docs = counted.filter("node is not null").select("node", "n", "rare", "often", "digest")
+    docs = counted.filter("node is not null").select("node", "n", "rare", "often", "digest", "parity")
     # documents with equal sets are one class; its smallest node stands for it from here on
     classes = docs.filter("n > 0").groupBy("n", "digest").agg(F.min("node").alias("rep"), F.count("*").alias("k")).filter("k > 1")
     same = stage(docs.join(classes, ["n", "digest"]).filter("node <> rep").select("node", "rep").distinct(), "classes")
@@ -356,9 +361,9 @@ def link_components(nodes: DataFrame, n: int, percent: int, by_id: bool) -> tupl
         likely = likely.join(same.withColumnRenamed("node", side), side, "left").withColumn(side, F.coalesce("rep", side)).drop("rep")
     likely = likely.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     # 3: lists of frequent prefix n-grams; documents in one list have its hub in common
-    lists = docs.filter(F.size("often") > 0).join(same.select("node"), "node", "left_anti").select("node", "n", "rare", F.explode("often").alias("gram"))
+    lists = docs.filter(F.size("often") > 0).join(same.select("node"), "node", "left_anti").select("node", "n", "rare", "parity", F.explode("often").alias("gram"))
     hubs = lists.groupBy("gram").agg(F.min(F.struct("rare", "node", "n")).alias("hub"))
-    lists = lists.join(hubs, "gram").select("node", "n", "rare", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.rare").alias("hub_rare"))
+    lists = lists.join(hubs, "gram").select("node", "n", "rare", "parity", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.rare").alias("hub_rare"))
     lists = stage(lists.distinct(), "lists")
     to_hub = lists.filter("node <> hub").filter(_may_link(percent, "", "hub_")).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
     pairs = stage(likely.union(to_hub).distinct(), "pairs")
@@ -371,13 +376,15 @@ def link_components(nodes: DataFrame, n: int, percent: int, by_id: bool) -> tupl
     # from the hub where these are known, allow
     differ = measured.select("a", "b", (F.col("na") + F.col("nb") - 2 * F.col("overlap")).alias("differ"), F.expr(_linked(percent)).alias("tied"))
     differ = differ.select(F.col("a").alias("node"), F.col("b").alias("hub"), "differ", "tied").union(differ.select("b", "a", "differ", "tied"))
-    members = lists.join(differ, ["node", "hub"], "left").select("hub", "node", "n", "rare", F.when(F.col("node") == F.col("hub"), 0).otherwise(F.col("differ")).alias("differ"), ((F.col("node") == F.col("hub")) | F.coalesce("tied", F.lit(False))).alias("tied"))
+    members = lists.join(differ, ["node", "hub"], "left").select("hub", "node", "n", "rare", "parity", F.when(F.col("node") == F.col("hub"), 0).otherwise(F.col("differ")).alias("differ"), ((F.col("node") == F.col("hub")) | F.coalesce("tied", F.lit(False))).alias("tied"))
     members = stage(members, "members")
     loose = members.filter("not tied").drop("tied")
     cells = members.select("hub", F.col("n").alias("other_n"), F.col("rare").alias("other_rare")).distinct()
     open_cells = loose.select("hub", "n", "rare").distinct().join(cells, "hub").filter(_may_link(percent, "", "other_"))
-    others = members.select("hub", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("rare").alias("other_rare"), F.col("differ").alias("other_differ"), F.col("tied").alias("other_tied"))
-    near = f"coalesce(abs(differ - other_differ), 0) <= n + other_n - 2 * {_overlap(percent, 'n', 'other_n')}"
+    others = members.select("hub", F.col("node").alias("other"), F.col("n").alias("other_n"), F.col("rare").alias("other_rare"), F.col("parity").alias("other_parity"), F.col("differ").alias("other_differ"), F.col("tied").alias("other_tied"))
+    apart = " + ".join(f"bit_count(parity[{i}] ^ other_parity[{i}])" for i in range(GROUPS // 64))
+    room = f"n + other_n - 2 * {_overlap(percent, 'n', 'other_n')}"
+    near = f"coalesce(abs(differ - other_differ), 0) <= {room} and rare + other_rare + {apart} <= {room}"
     more = loose.join(open_cells, ["hub", "n", "rare"]).join(others, ["hub", "other_n", "other_rare"]).filter(near).filter("other_tied or node < other")
     more = more.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     more = stage(more, "more")
