@@ -465,6 +465,9 @@ FROM ev""")
 _DIRECT["stream_late_rows"] = (etl_runs.stream_late_rows, "etl_clickstream", "SELECT * FROM ev")
 _DIRECT["stream_then_batch"] = (etl_runs.stream_then_batch, "etl_clickstream", "SELECT * FROM ev")
 _DIRECT["etl_two_inputs_same_day"] = (etl_runs.etl_two_inputs_same_day, "etl_clickstream", "SELECT * FROM ev")
+for _name in marts.MART_NAMES:
+    _DIRECT[f"mart_incremental_{_name}"] = (
+        (lambda n: lambda spark, sf: etl_runs.mart_incremental(spark, sf, n))(_name), "etl_clickstream", _MART_ORACLES[_name])
 _DIRECT["etl_undated_two_inputs"] = (etl_runs.etl_undated_two_inputs, "etl_clickstream", """
 SELECT CAST(event_id AS VARCHAR) AS session_id, event_type, CAST(NULL AS TIMESTAMP) AS event_time, CAST(NULL AS VARCHAR) AS event_date_str FROM events""")
 _FILE = "SELECT CAST(event_id AS VARCHAR) AS session_id, event_type, value AS price, {props} AS props FROM events"

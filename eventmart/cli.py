@@ -20,6 +20,7 @@ import sys
 
 from eventmart.operators import jobs, marts
 from eventmart.operators.etl import run_etl
+from eventmart.operators.mart_states import update_marts
 from eventmart.operators.report import Report
 from eventmart.operators.sinks import read_csv, row_counts, write_csv_if_any
 from eventmart.plans.queries import QUERIES, run_query, run_sql_folder
@@ -55,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("build-marts")
     s.add_argument("--lake", required=True)
     s.add_argument("--store", required=True)
+    s.add_argument("--incremental", action="store_true", help="read only inputs that changed since the store's last incremental build")
 
     for name, choices in (("query", sorted(QUERIES)), ("job", sorted(jobs.JOBS))):
         s = sub.add_parser(name)
@@ -105,7 +107,7 @@ def main(argv=None, spark=None) -> int:
                      multi_line=args.multi_line or None).awaitTermination()
     elif args.cmd == "build-marts":
         store = TableStore(spark, args.store)
-        built = marts.build_marts(store, read_lake(spark, args.lake))
+        built = update_marts(store, args.lake)[0] if args.incremental else marts.build_marts(store, read_lake(spark, args.lake))
         row_counts(built).show(truncate=False)
     elif args.cmd in ("query", "job"):
         events = read_lake(spark, args.lake)

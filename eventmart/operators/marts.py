@@ -63,6 +63,10 @@ _BUILDERS = {
 }
 
 
+#: The event column that each mart is grouped by.
+MART_KEYS = {name: key for name, (_, key) in _BUILDERS.items()}
+
+
 def mart_plans(events: DataFrame) -> dict[str, DataFrame]:
     """The marts buildable from ``events`` (lazy), by name."""
     return {name: build(events) for name, (build, key) in _BUILDERS.items()

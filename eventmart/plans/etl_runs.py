@@ -18,9 +18,10 @@ from eventmart.operators.etl import (
     add_derived_columns, build_event_datetime, clean_events, drop_duplicate_rows,
     etl_metrics_frame, read_events_file, run_etl, schema_report, trim_text, well_formed,
 )
+from eventmart.operators.mart_states import update_marts
 from eventmart.plans.queries import run_query
 from eventmart.session import run_dir
-from eventmart.sources.lake import PARTITION_COLUMN, days_between, read_lake
+from eventmart.sources.lake import PARTITION_COLUMN, TableStore, days_between, read_lake
 from eventmart.sources.tables import table
 from eventmart.streaming.ingest import start_ingest
 
@@ -168,6 +169,19 @@ def etl_two_inputs_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lake(spark, f"{work}/lake").select(*CLICKSTREAM_COLUMNS)
 
 
+def mart_incremental(spark: SparkSession, sf_dir: str, mart: str) -> DataFrame:
+    """A mart brought up to date after each of three runs: an input with all events, another with some of them, and the first again without those."""
+    work = run_dir(spark, "marts-incremental")
+    raw = clickstream_raw(spark, sf_dir)
+    store, lake = TableStore(spark, f"{work}/marts"), f"{work}/lake"
+    some, others = raw.filter("Page % 3 = 0"), raw.filter("Page % 3 <> 0")
+    for name, part in (("first", raw), ("second", some), ("first", others)):
+        export_delimited(part, f"{work}/{name}", ",")
+        run_etl(spark, f"{work}/{name}", lake)
+        marts, _ = update_marts(store, lake)
+    return marts[mart]
+
+
 def etl_undated_two_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two inputs without any readable time, one run twice: their undated rows stand side by side."""
     work = run_dir(spark, "etl-undated")

@@ -60,14 +60,15 @@ def write_lake(df: DataFrame, path: str, source: str) -> None:
     lake_snapshots(df.sparkSession, path).commit(source, write_version(df, path, source))
 
 
-def read_lake(spark: SparkSession, path: str) -> DataFrame:
+def read_lake(spark: SparkSession, path: str, versions: dict[str, str] | None = None) -> DataFrame:
     """The lake as one DataFrame, columns of all inputs; the day column stays text (``yyyy-MM-dd``),
     whatever the directory names look like (a null day reads back as null).
 
     The versions and files are those of now: after a later write to the same lake, read
-    it again rather than reusing this frame."""
+    it again rather than reusing this frame.  ``versions`` (input -> version) reads just these instead."""
     log = lake_snapshots(spark, path)
-    folders = [log.folder(name, v) for name, v in sorted(log.versions().items())]
+    versions = log.versions() if versions is None else versions
+    folders = [log.folder(name, v) for name, v in sorted(versions.items())]
     if not folders:
         raise ValueError(f"no events in {path}")
     reader = spark.read.option("basePath", path.rstrip("/"))
