@@ -9,7 +9,9 @@ columns prunes the Parquet columns (``ReadSchema``).  Lakes are read by ``read_l
 
 from __future__ import annotations
 
+import contextlib
 import re
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,11 @@ from eventmart.sources.snapshots import VERSION_COLUMN, Snapshots
 SOURCE_COLUMN = "source_id"
 PARTITION_COLUMN = "event_date_str"
 MAX_RECORDS_PER_FILE = 5_000_000
+#: Partitions that days are dealt out to before small ones are merged: with few days in each, a day is cut only if it is large itself.
+#: Above 200 (``spark.shuffle.sort.bypassMergeThreshold``) a task would sort its rows in memory to deal them out.
+DAY_PARTITIONS = 200
+#: Days that a task writes side by side as they come; only the rows of further days are sorted.
+DAYS_AT_ONCE = 64
 #: Tables that a store writes at once.
 WRITES_AT_ONCE = 8
 
@@ -39,19 +46,36 @@ def lake_snapshots(spark: SparkSession, path: str) -> Snapshots:
     return Snapshots(spark, path, f"{SOURCE_COLUMN}={{name}}")
 
 
+@contextlib.contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session for the time of a write."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def write_version(df: DataFrame, path: str, source: str) -> str:
     """Write the events of one input, partitioned by day, as a version that nobody sees yet.
 
     ``rebalance`` on the partition column lets AQE cut a hot day into several
     tasks (and merge tiny days), so neither one huge task nor tasks x days small
-    files."""
+    files.  The rows of a task are not sorted by day first, which would hold them all in memory.  Tasks put their own
+    files into place (committer 2), not the driver one by one: nobody reads the folder before the log names it."""
     log = lake_snapshots(df.sparkSession, path)
     version = log.begin()
-    (df.hint("rebalance", PARTITION_COLUMN)
-       .write.mode("errorifexists")
-       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-       .partitionBy(PARTITION_COLUMN)
-       .parquet(log.folder(checked_source(source), version)))
+    with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(DAYS_AT_ONCE)):
+        (df.hint("rebalance", DAY_PARTITIONS, PARTITION_COLUMN)
+           .write.mode("errorifexists")
+           .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+           .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+           .partitionBy(PARTITION_COLUMN)
+           .parquet(log.folder(checked_source(source), version)))
     return version
 
 

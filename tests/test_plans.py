@@ -98,6 +98,53 @@ def test_hot_day_is_split_across_files(spark, workdir):
     assert read_lake(spark, f"{workdir}/lake").count() == n
 
 
+def test_days_of_usual_size_are_not_cut(spark, workdir):
+    """Many days dealt to few shuffle partitions: each partition is large, its days are not, so every day is one file."""
+    import glob
+    from eventmart.sources.lake import write_lake
+    df = spark.range(120_000).select(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 60).cast("int")).cast("string").alias("event_date_str"), F.col("id"))
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k", "spark.sql.shuffle.partitions": "2"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        write_lake(df.repartition(16), f"{workdir}/lake", "a")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(glob.glob(f"{workdir}/lake/source_id=a/_snapshot=*/event_date_str=*/*.parquet")) == 60
+    assert read_lake(spark, f"{workdir}/lake").agg(F.count("id"), F.count_distinct("id")).first() == (120_000, 120_000)
+
+
+_ONE_DAY = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from eventmart.session import build_session
+spark = build_session(master="local[2]", extra={"spark.driver.memory": "2g", "spark.eventLog.enabled": "true", "spark.eventLog.dir": sys.argv[2],
+                                                "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
+from eventmart.sources.lake import read_lake, write_lake
+write_lake(spark.range(400_000).selectExpr("concat('2024-01-0', id % 1 + 1) AS event_date_str", "id"), sys.argv[3], "a")
+assert read_lake(spark, sys.argv[3]).selectExpr("count(DISTINCT id)").first()[0] == 400_000
+assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+spark.stop()
+"""
+
+
+def test_rows_of_a_day_are_not_held_to_be_written(workdir):
+    """All rows are of one day: the task that writes them takes no memory for them."""
+    import glob
+    import json
+    import os
+    import subprocess
+    import sys
+    os.mkdir(f"{workdir}/log")
+    subprocess.run([sys.executable, "-c", _ONE_DAY, os.path.dirname(os.path.dirname(os.path.abspath(__file__))), f"{workdir}/log", f"{workdir}/lake"], check=True, timeout=300)
+    with open(*glob.glob(f"{workdir}/log/*"), encoding="utf-8") as f:
+        tasks = [e["Task Metrics"] for e in map(json.loads, f) if e["Event"] == "SparkListenerTaskEnd"]
+    writers = [t["Peak Execution Memory"] for t in tasks if t["Output Metrics"]["Records Written"]]
+    assert writers and max(writers) < 1 << 20
+
+
 def test_no_registered_query_broadcasts_or_reads_unused_columns(spark):
     """Named queries and jobs: no broadcast exchange, except the top-k ones,
     whose broadcast side is the k-row top list; no scan of the source's full
