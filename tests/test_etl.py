@@ -310,3 +310,16 @@ def test_etl_metrics_frame(spark, workdir):
     assert str(row.min_date) == "2008-04-01" and str(row.max_date) == "2008-05-02"
     assert row.price_filled == res.metrics["price_filled"] == 2
     assert row.country_filled == 2 and row.rows_without_date == 1
+
+
+def test_dates_of_parts_and_weekdays_are_as_their_texts(spark):
+    """Dates built from numbers are those that their text reads as, and names of days those that Spark formats, with odd numbers too."""
+    from eventmart.operators.etl import WEEKDAYS, _date_of, add_derived_columns
+    years, months, days = (-1, 0, 1, 4, 1582, 1900, 2000, 2001, 9999, 10000, 2 ** 40, None), (-1, 0, 1, 2, 4, 10, 12, 13, 2 ** 40, None), (-1, 0, 1, 10, 28, 29, 30, 31, 32, 2 ** 40, None)
+    parts = spark.createDataFrame([(y, m, d) for y in years for m in months for d in days], "y bigint, m bigint, d bigint")
+    both = parts.select("*", _date_of(*map(F.col, "ymd")).cast("string").alias("got"), F.format_string("%04d-%02d-%02d", "y", "m", "d").try_cast("date").cast("string").alias("text"))
+    assert both.filter(~F.col("got").eqNullSafe(F.col("text"))).collect() == []
+    assert both.filter("got IS NOT NULL").count() > 100
+    week = spark.range(-1, 8).select(F.when(F.col("id") >= 0, F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int"))).cast("timestamp_ntz").alias("event_time"))
+    named = add_derived_columns(week).select("day_of_week", F.date_format("event_time", "EEEE")).collect()
+    assert all(a == b for a, b in named) and {a for a, _ in named} == {None, *WEEKDAYS}
