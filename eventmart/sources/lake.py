@@ -65,15 +65,13 @@ def write_version(df: DataFrame, path: str, source: str) -> str:
 
     ``rebalance`` on the partition column lets AQE cut a hot day into several
     tasks (and merge tiny days), so neither one huge task nor tasks x days small
-    files.  The rows of a task are not sorted by day first, which would hold them all in memory.  Tasks put their own
-    files into place (committer 2), not the driver one by one: nobody reads the folder before the log names it."""
+    files.  The rows of a task are not sorted by day first, which would hold them all in memory."""
     log = lake_snapshots(df.sparkSession, path)
     version = log.begin()
     with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(DAYS_AT_ONCE)):
         (df.hint("rebalance", DAY_PARTITIONS, PARTITION_COLUMN)
            .write.mode("errorifexists")
            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-           .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
            .partitionBy(PARTITION_COLUMN)
            .parquet(log.folder(checked_source(source), version)))
     return version
