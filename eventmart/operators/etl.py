@@ -7,9 +7,12 @@
 
 Two steps shuffle: the duplicate drop (a hash aggregate on all columns, partially
 aggregated in every map task, so a row repeated a billion times costs one row
-per task) and the write, which is rebalanced by day.  Metrics are collected with
+per task) and the write, which is rebalanced by day before most columns are derived.  Metrics are collected with
 ``DataFrame.observe`` during the write itself.
 
+The typed rows of a large input are staged first, by slices of days (copies of a row have the same day), and slice after slice is then
+cleaned and written to the same version.  So the disk holds the shuffled rows of one slice, not of the whole input twice.
+
 The write is a version that counts only when it is whole (``sources.snapshots``).  Malformed rows (see ``sources.delimited``) stop
 the run before it is committed, unless a ``quarantine`` folder is given: they are then written there with their text, and counted, before
 the commit.  If there are any, files with line breaks inside quotes are looked for, and the input is read again with those as a whole.
@@ -23,8 +26,10 @@ declared, not guessed from the data; a rerun of an input replaces its own rows i
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
@@ -35,12 +40,20 @@ from eventmart.functions.expressions import as_double, category_label
 from eventmart.functions.naming import OPTIONAL_COLUMNS, REQUIRED_COLUMNS, column_plan
 from eventmart.sources import delimited
 from eventmart.sources.delimited import BAD_ROW, Layout
-from eventmart.sources.lake import PARTITION_COLUMN, lake_snapshots, source_folder, write_version
+from eventmart.session import run_dir
+from eventmart.sources.lake import PARTITION_COLUMN, checked_source, deal_by_day, lake_snapshots, source_folder, write_days
 
 # Columns whose missing numbers become 0, and whose missing labels become "unknown".
 PRICE_COLUMNS = ["price", "price_secondary"]
 LABEL_COLUMNS = ["country", "device", "event_type", "colour", "location"]
 
+#: An input of so many bytes, as stored, is staged.
+STAGED_FROM = 64 << 20
+#: Slices of days that staged rows are dealt out to; small ones are handled together, up to so many staged bytes.
+SLICES = 16
+SLICE_BYTES = 128 << 20
+SLICE_COLUMN = "_slice"
+
 #: Names of the days from Monday on, as ``EEEE`` formats them.
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
@@ -231,12 +244,52 @@ def well_formed(typed: DataFrame, fail: bool = True) -> DataFrame:
     return typed.filter(~bad).drop(BAD_ROW)
 
 
-def _write_events(typed: DataFrame, output_path: str, source: str) -> tuple[str, dict]:
-    """Clean the well-formed rows and write them as a version of the source, not committed.  Returns version and metrics."""
-    read_obs = Observation("rows_read")
-    typed = typed.observe(read_obs, F.count(F.lit(1)).alias("rows_read"), F.count(BAD_ROW).alias("rows_malformed"), F.min(BAD_ROW).alias("example"))
-    derived = (well_formed(typed, fail=False).transform(drop_duplicate_rows).transform(trim_text)
-               .transform(build_event_datetime).transform(add_derived_columns))
+def _is_large(spark: SparkSession, found: list[Layout]) -> bool:
+    """Whether the input's files have ``STAGED_FROM`` bytes."""
+    path, conf, size = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration(), 0
+    for at in (path(f) for x in found for f in x.files):
+        fs = at.getFileSystem(conf)
+        size += sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(at) or ())
+        if size >= STAGED_FROM:
+            return True
+    return False
+
+
+def _together(sizes: dict[str, int], most: int) -> list[list[str]]:
+    """The names in lists of up to ``most`` bytes; a larger one stands alone."""
+    lists, room = [], 0
+    for name, size in sizes.items():
+        if not lists or size > room:
+            lists.append([])
+            room = most
+        lists[-1].append(name)
+        room -= size
+    return lists
+
+
+def _staged(rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows in parts, each with all rows of its days; a part's files are deleted when the next is asked for."""
+    spark = rows.sparkSession
+    folder = run_dir(spark, "staged")
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        day = event_time_columns(rows)[1]
+        write_days(rows.withColumn(SLICE_COLUMN, F.pmod(F.hash(day), F.lit(SLICES))), folder, SLICE_COLUMN, compression="zstd")
+        slices = [s.getPath() for s in fs.listStatus(at) if s.isDirectory()]
+        sizes = {p.toString(): fs.getContentSummary(p).getLength() for p in slices}
+        for names in _together(sizes, SLICE_BYTES) or [[]]:
+            yield spark.read.schema(rows.schema).parquet(*names) if names else spark.createDataFrame([], rows.schema)
+            for name in names:
+                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(name), True)
+    finally:
+        fs.delete(at, True)
+
+
+def _write_part(rows: DataFrame, folder: str) -> dict:
+    """Clean well-formed rows and add them to a version's folder.  Returns metrics."""
+    timed = rows.transform(drop_duplicate_rows).transform(trim_text).transform(build_event_datetime)
+    derived = deal_by_day(timed, "event_date").transform(add_derived_columns)
     fill_obs = Observation("filled")
     derived = derived.observe(
         fill_obs, F.lit(0).alias("_"),
@@ -249,8 +302,31 @@ def _write_events(typed: DataFrame, output_path: str, source: str) -> tuple[str,
                        F.min("event_date").alias("min_date"),
                        F.max("event_date").alias("max_date"),
                        F.count_if(F.col("event_date").isNull()).alias("rows_without_date")))
-    version = write_version(events, output_path, source)
-    metrics = {**read_obs.get, **{k: v for k, v in fill_obs.get.items() if k != "_"}, **out_obs.get}
+    write_days(events, folder)
+    return {**{k: v for k, v in fill_obs.get.items() if k != "_"}, **out_obs.get}
+
+
+def _merged(parts: list[dict]) -> dict:
+    """Metrics of all parts: counts are added up."""
+    how = {"min_date": min, "max_date": max}
+    return {k: how.get(k, sum)([p[k] for p in parts if p[k] is not None] or [None]) for k in parts[0]}
+
+
+def _write_events(typed: DataFrame, output_path: str, source: str, staged: bool) -> tuple[str, dict]:
+    """Clean the well-formed rows and write them as a version of the source, not committed.  Returns version and metrics."""
+    read_obs = Observation("rows_read")
+    typed = typed.observe(read_obs, F.count(F.lit(1)).alias("rows_read"), F.count(BAD_ROW).alias("rows_malformed"), F.min(BAD_ROW).alias("example"))
+    rows = well_formed(typed, fail=False)
+    log = lake_snapshots(typed.sparkSession, output_path)
+    version = log.begin()
+    folder = log.folder(checked_source(source), version)
+    try:
+        with contextlib.closing(_staged(rows) if staged else (x for x in [rows])) as parts:
+            written = _merged([_write_part(part, folder) for part in parts])
+    except BaseException:
+        log.abandon(source, version)
+        raise
+    metrics = {**read_obs.get, **written}
     metrics["duplicates_dropped"] = metrics["rows_read"] - metrics["rows_malformed"] - metrics["rows_written"]
     return version, metrics
 
@@ -265,13 +341,14 @@ def run_etl(spark: SparkSession, input_path, output_path: str, *, source: str |
     source = source or source_name(spark, input_path)
     log = lake_snapshots(spark, output_path)
     typed, found, missing = read_events_file(spark, input_path, sep, bool(multi_line))
-    version, metrics = _write_events(typed, output_path, source)
+    staged = _is_large(spark, found)
+    version, metrics = _write_events(typed, output_path, source, staged)
     if metrics["rows_malformed"] and multi_line is None:
         found = [delimited.files_with_breaks(spark, x) for x in found]
         if any(x.whole for x in found):
             log.abandon(source, version)
             typed = delimited.read_layouts(spark, found)
-            version, metrics = _write_events(typed, output_path, source)
+            version, metrics = _write_events(typed, output_path, source, staged)
     example = metrics.pop("example")
     if metrics["rows_malformed"]:
         if quarantine is None:

@@ -26,11 +26,16 @@ from eventmart.sources.tables import table
 from eventmart.streaming.ingest import start_ingest
 
 
+#: Records of an exported file: compressed files cannot be cut, so they are read several a task.
+RECORDS_PER_FILE = 500_000
+
+
 def export_delimited(df: DataFrame, path: str, sep: str, mode: str = "overwrite") -> None:
-    """Write ``df`` as delimited text with a header, keeping values verbatim
+    """Write ``df`` as delimited text with a header, compressed, keeping values verbatim
     (no whitespace stripping; embedded quotes doubled).  ``append`` adds new
     files next to the ones already in ``path``."""
     (df.write.mode(mode)
+       .option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE)
        .option("header", True).option("sep", sep)
        .option("quote", '"').option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)

@@ -28,6 +28,8 @@ MAX_RECORDS_PER_FILE = 5_000_000
 DAY_PARTITIONS = 200
 #: Days that a task writes side by side as they come; only the rows of further days are sorted.
 DAYS_AT_ONCE = 64
+#: Spark deletes the shuffle files of a query when it ends, not when the driver's JVM happens to collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Tables that a store writes at once.
 WRITES_AT_ONCE = 8
 
@@ -60,20 +62,30 @@ def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-def write_version(df: DataFrame, path: str, source: str) -> str:
-    """Write the events of one input, partitioned by day, as a version that nobody sees yet.
+def deal_by_day(df: DataFrame, day: str = PARTITION_COLUMN) -> DataFrame:
+    """The rows of a day together, as ``write_days`` needs them.
+
+    ``rebalance`` lets AQE cut a hot day into several tasks (and merge tiny days), so neither one huge task nor tasks x days small
+    files.  What can be derived from other columns is best derived afterwards, so that it is not shuffled."""
+    return df.hint("rebalance", DAY_PARTITIONS, day)
+
+
+def write_days(df: DataFrame, folder: str, column: str = PARTITION_COLUMN, **options) -> None:
+    """Add rows to a folder partitioned by ``column``, as they are dealt out.  The rows of a task are not sorted by it first, which
+    would hold them all in memory; the write's shuffle files are deleted when it ends."""
+    with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(DAYS_AT_ONCE)), _setting(df.sparkSession, SHUFFLE_CLEANUP, "true"):
+        (df.write.mode("append")
+           .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+           .options(**options)
+           .partitionBy(column)
+           .parquet(folder))
+
 
-    ``rebalance`` on the partition column lets AQE cut a hot day into several
-    tasks (and merge tiny days), so neither one huge task nor tasks x days small
-    files.  The rows of a task are not sorted by day first, which would hold them all in memory."""
+def write_version(df: DataFrame, path: str, source: str) -> str:
+    """Write the events of one input, partitioned by day, as a version that nobody sees yet."""
     log = lake_snapshots(df.sparkSession, path)
     version = log.begin()
-    with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", str(DAYS_AT_ONCE)):
-        (df.hint("rebalance", DAY_PARTITIONS, PARTITION_COLUMN)
-           .write.mode("errorifexists")
-           .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-           .partitionBy(PARTITION_COLUMN)
-           .parquet(log.folder(checked_source(source), version)))
+    write_days(deal_by_day(df), log.folder(checked_source(source), version))
     return version
 
 

@@ -197,6 +197,86 @@ def test_rerun_replaces_whole_versions(spark, workdir, mode):
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
+def _shuffle_files(spark) -> int:
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(found.apply(i).getName().startswith("shuffle_") for i in range(found.size()))
+
+
+def _many_days(workdir) -> str:
+    """Rows of 40 days, each twice, and two without a day."""
+    rows = [f"2024;{1 + d // 28};{1 + d % 28};s{d};A{d % 3};{d % 5}; {d}.5;PL" for d in range(40)] + ["x;1;1;none;A;1;1;NA", "2024;2;30;none;A;1;1;NA"]
+    return write_text(workdir, "days.csv", "\n".join(["Year;Month;Day;Session ID;Clothing_Model;Category;Price;Country", *rows, *rows[:40]]) + "\n")
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_a_run_leaves_no_shuffled_rows_on_disk(spark, workdir, monkeypatch, staged):
+    import time
+    if staged:
+        monkeypatch.setattr(etl, "STAGED_FROM", 1)
+        monkeypatch.setattr(etl, "SLICES", 4)
+        monkeypatch.setattr(etl, "SLICE_BYTES", 1)
+    src = _many_days(workdir)
+    read_events_file(spark, src)
+    before = _shuffle_files(spark)                   # of other tests, and of the header lines
+    parts = []
+    monkeypatch.setattr(etl, "_write_part", lambda rows, folder, plain=etl._write_part: (parts.append(_shuffle_files(spark)), plain(rows, folder))[1])
+    monkeypatch.setattr(etl, "read_events_file", lambda *a, plain=etl.read_events_file: (lambda got: (parts.append(_shuffle_files(spark)), got)[1])(plain(*a)))
+    run_etl(spark, src, f"{workdir}/lake")
+    header = max(0, parts[0] - before)
+    end = time.time() + 20
+    while _shuffle_files(spark) > before + header and time.time() < end:             # blocks are removed by a message
+        time.sleep(0.2)
+    assert _shuffle_files(spark) <= before + header
+    assert len(parts) == (1 + etl.SLICES if staged else 2)
+
+
+def test_staged_rows_are_those_of_one_go(spark, workdir, monkeypatch):
+    src = _many_days(workdir)
+    plain = run_etl(spark, src, f"{workdir}/plain")
+    frames, staged = [], []
+    monkeypatch.setattr(etl, "STAGED_FROM", 1)
+    monkeypatch.setattr(etl, "SLICES", 4)
+    monkeypatch.setattr(etl, "SLICE_BYTES", 1)
+    monkeypatch.setattr(etl, "run_dir", lambda *a, make=etl.run_dir: (staged.append(make(*a)), staged[-1])[1])
+    monkeypatch.setattr(etl, "drop_duplicate_rows", lambda df, drop=etl.drop_duplicate_rows: (frames.append(df.count()), drop(df))[1])
+    sliced = run_etl(spark, src, f"{workdir}/sliced")
+    assert len(frames) == etl.SLICES and sum(frames) == 82 and max(frames) < 50
+    assert sliced.metrics == plain.metrics and plain.metrics["rows_written"] == 42 and plain.metrics["country_filled"] == 2
+    assert len(staged) == 1 and not os.path.exists(staged[0])
+    assert _rows(read_lake(spark, f"{workdir}/sliced")) == _rows(read_lake(spark, f"{workdir}/plain"))
+    monkeypatch.setattr(etl, "SLICE_BYTES", 1 << 30)
+    del frames[:]
+    assert run_etl(spark, src, f"{workdir}/together").metrics == plain.metrics and frames == [82]
+    # no row at all, and malformed rows, staged too
+    empty = write_text(workdir, "empty.csv", "Year;Month;Day;Session ID\n")
+    assert run_etl(spark, empty, f"{workdir}/empty").metrics["rows_written"] == 0
+    with pytest.raises(etl.MalformedRows):
+        run_etl(spark, write_text(workdir, "bad.csv", "timestamp,session_id\n2024-01-01,a\n2024-01-01,b,c\n"), f"{workdir}/bad")
+    assert not os.path.exists(f"{workdir}/bad/_log") and not any(map(os.path.exists, staged))
+
+
+def test_derived_columns_are_not_shuffled(spark, workdir, monkeypatch):
+    plans = []
+    monkeypatch.setattr(etl, "write_days", lambda df, folder, write=etl.write_days: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, folder))[1])
+    run_etl(spark, _many_days(workdir), f"{workdir}/lake")
+    above, _, below = plans[0].partition("RebalancePartitions")
+    assert below and all(c in above and c not in below for c in ("event_month", "day_of_week", "event_date_str"))
+
+
+def test_killed_staged_run_leaves_nothing_behind(spark, workdir, monkeypatch):
+    src, lake, staged = _many_days(workdir), f"{workdir}/lake", []
+    monkeypatch.setattr(etl, "STAGED_FROM", 1)
+    monkeypatch.setattr(etl, "SLICES", 4)
+    monkeypatch.setattr(etl, "SLICE_BYTES", 1)
+    monkeypatch.setattr(etl, "run_dir", lambda *a, make=etl.run_dir: (staged.append(make(*a)), staged[-1])[1])
+    stop = lambda df: df.withColumn("event_hour", F.when(F.col("session_id") == "s39", F.raise_error(F.lit("killed")).cast("int")).otherwise(F.col("event_hour")))
+    monkeypatch.setattr(etl, "add_partition_key", lambda df, plain=etl.add_partition_key: stop(plain(df)))
+    with pytest.raises(PySparkException, match="killed"):
+        run_etl(spark, src, lake, source="days")
+    assert staged and not os.path.exists(staged[0])
+    assert not os.path.exists(f"{lake}/source_id=days") or not os.listdir(f"{lake}/source_id=days")
+
+
 def test_killed_rerun_leaves_the_old_rows(spark, workdir, monkeypatch):
     lake = f"{workdir}/lake"
     src = write_text(workdir, "in.csv", "timestamp,session_id\n2024-01-01 10:00:00,a\n2024-01-02 10:00:00,b\n")
